@@ -79,45 +79,62 @@ def _reference_vectors(nprof: DataFrame, match_time_signature: bool) -> DataFram
     """
     vec_cols = [F.col(c).alias(f"g_{c}") for c in S.SIMILARITY_COLS]
     if match_time_signature:
-        return nprof.select(_G, F.col(_TS).alias("vec_ts"), *vec_cols)
+        return nprof.select(_G, _TS, *vec_cols)
     first = nprof.groupBy(_G).agg(
         F.min_by(F.struct(*S.SIMILARITY_COLS), F.col(_TS)).alias("v"))
     return first.select(_G, *[F.col(f"v.{c}").alias(f"g_{c}") for c in S.SIMILARITY_COLS])
 
 
-def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
-                         match_time_signature: bool = False) -> DataFrame:
-    """``tracks`` plus ``primary_genre`` (table function of the reference job)."""
-    cands = genre_candidates(clean)
-    lists = genre_lists(cands)
-    nprof = normalized_profile(profile)
-    key_cols = ["track_id", _TS, *S.SIMILARITY_COLS]
+KEY_COLS = ["track_id", _TS, *S.SIMILARITY_COLS]
+
 
-    # distinct (track, signature, features) keys that need a similarity vote
-    keys = (tracks.select(*key_cols).distinct()
+def vote_keys(tracks: DataFrame, lists: DataFrame) -> DataFrame:
+    """Distinct (track, time signature, features) of tracks listed under more
+    than one row, with unit-length features: the rows that need a vote."""
+    keys = (tracks.select(*KEY_COLS).distinct()
             .join(lists.where(F.col("list_len") > 1).select("track_id"), "track_id", "left_semi"))
     unit = l2_normalize(S.SIMILARITY_COLS, l2_norm(*S.SIMILARITY_COLS))
-    keys = keys.select(*key_cols, *[u.alias(f"t_{c}") for u, c in zip(unit, S.SIMILARITY_COLS)])
+    return keys.select(*KEY_COLS, *[u.alias(f"t_{c}") for u, c in zip(unit, S.SIMILARITY_COLS)])
+
 
+def valid_candidates(keys: DataFrame, cands: DataFrame, nprof: DataFrame) -> DataFrame:
+    """Listed genres that were recorded with the row's time signature
+    (a semi join against the profile's (genre, signature) pairs)."""
     eligible = keys.join(cands.where(F.col(_G).isNotNull()).select("track_id", _G, "pos"), "track_id")
-    # the genre must have been recorded with the row's time signature
-    eligible = eligible.join(nprof.select(_G, _TS), [_G, _TS], "left_semi")
+    return eligible.join(nprof.select(_G, _TS), [_G, _TS], "left_semi")
+
+
+def similarity_scores(eligible: DataFrame, nprof: DataFrame, match_time_signature: bool = False) -> DataFrame:
+    """Cosine similarity of each row with each eligible genre's vector,
+    rounded to ``SIMILARITY_DECIMALS``."""
     vectors = _reference_vectors(nprof, match_time_signature)
     if match_time_signature:
-        scored = eligible.join(vectors, (eligible[_G] == vectors[_G]) & (eligible[_TS] == vectors["vec_ts"])) \
-                         .drop(vectors[_G]).drop("vec_ts")
+        scored = eligible.join(vectors, [_G, _TS])
     else:
         scored = eligible.join(vectors, _G)
     sim = F.round(dot([f"t_{c}" for c in S.SIMILARITY_COLS], [f"g_{c}" for c in S.SIMILARITY_COLS]),
                   S.SIMILARITY_DECIMALS)
-    best = (scored.withColumn("sim", sim)
-            .groupBy(*key_cols)
-            .agg(F.min_by(_G, F.struct((-F.col("sim")).alias("neg_sim"), "pos", _G)).alias("voted_genre")))
-
-    out = (tracks.join(lists, "track_id", "left")
-           .join(best, key_cols, "left")
-           .withColumn("primary_genre",
-                       F.when(F.col("list_len") == 1, F.col("first_genre"))
-                        .otherwise(F.col("voted_genre")))
-           .drop("list_len", "first_genre", "voted_genre"))
-    return out
+    return scored.select(*KEY_COLS, _G, "pos", sim.alias("sim"))
+
+
+def argmax_genre(scored: DataFrame) -> DataFrame:
+    """Per row key: the genre with the highest similarity; ties go to the
+    earlier list position, then the smaller name."""
+    return scored.groupBy(*KEY_COLS).agg(
+        F.min_by(_G, F.struct((-F.col("sim")).alias("neg_sim"), "pos", _G)).alias("voted_genre"))
+
+
+def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
+                         match_time_signature: bool = False) -> DataFrame:
+    """``tracks`` plus ``primary_genre`` (table function of the reference job)."""
+    cands = genre_candidates(clean)
+    lists = genre_lists(cands)
+    nprof = normalized_profile(profile)
+    keys = vote_keys(tracks, lists)
+    best = argmax_genre(similarity_scores(valid_candidates(keys, cands, nprof), nprof, match_time_signature))
+    return (tracks.join(lists, "track_id", "left")
+            .join(best, KEY_COLS, "left")
+            .withColumn("primary_genre",
+                        F.when(F.col("list_len") == 1, F.col("first_genre"))
+                         .otherwise(F.col("voted_genre")))
+            .drop("list_len", "first_genre", "voted_genre"))

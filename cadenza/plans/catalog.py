@@ -94,3 +94,4 @@ register("q5_key_popularity", O.with_chain(O.Q5))(_question(Q.q5_key_popularity)
 register("q5_key_avg_raw", O.with_chain(O.Q5_RAW))(_question(Q.q5_key_avg_raw))
 register("q5_key_counts", O.with_chain(O.Q5_COUNTS))(_question(Q.q5_key_counts))
 register("q6_top_albums", O.with_chain(O.Q6))(_question(Q.q6_top_albums))
+from cadenza.plans import catalog_ops  # noqa: E402,F401  (registers the operator keys)

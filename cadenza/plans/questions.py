@@ -136,17 +136,23 @@ def album_popularity_by_id(star: Star) -> DataFrame:
         round_half_up(exact_avg("popularity"), 0).alias("avg_popularity_score"))
 
 
+def album_category_rank(star: Star) -> DataFrame:
+    """Every album with its category and its dense rank by score among all
+    albums (singles included)."""
+    # written once: both the rank and the rows it is joined back to read it
+    ap = checkpoint(album_popularity_by_id(star))
+    cat = ap.select("album_name", "artists", "genres",
+                    album_category("num_songs").alias("album_category"),
+                    "num_songs", "avg_popularity_score")
+    return dense_rank_all(cat, ["avg_popularity_score"], "album_rank", ascending=False)
+
+
 def q6_top_albums(star: Star, k: int = TOP_K) -> DataFrame:
     """Top-k non-single albums by score with their overall rank among all
     albums (singles included).  The reference orders by score only; ties are
     broken by rank, name, artists, category and genres so the k rows are
     deterministic."""
-    # written once: both the rank and the rows below read it
-    ap = checkpoint(album_popularity_by_id(star))
-    cat = ap.select("album_name", "artists", "genres",
-                    album_category("num_songs").alias("album_category"),
-                    "num_songs", "avg_popularity_score")
-    ranked = dense_rank_all(cat, ["avg_popularity_score"], "album_rank", ascending=False)
+    ranked = album_category_rank(star)
     out = (ranked.where(F.col("album_category") != "Single")
            .groupBy("album_name", "artists", "album_category", "genres", "album_rank")
            .agg(F.sum("num_songs").cast("bigint").alias("num_songs"),

@@ -30,6 +30,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     )
     if master:
         builder = builder.master(master)
+    if master is None or master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        builder = builder.config("spark.driver.memory", os.environ.get("CADENZA_DRIVER_MEMORY", "8g"))
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
