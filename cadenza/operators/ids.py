@@ -3,10 +3,10 @@
 ``dense_ids`` numbers the distinct values of some columns 1..n in sort order
 (the pandas ``astype('category').cat.codes + 1`` rule); a null value gets 0.
 A global ``dense_rank()`` window would move every row into one task, so the
-distinct values are range-partitioned and sorted across the cluster, written
-once as a reliable checkpoint (so recomputation after executor loss sees the
-same partitions), numbered inside each partition, and shifted by the running
-count of the partitions before it.  Only one row per partition ever meets in
+distinct values are range-partitioned and sorted across the cluster, numbered
+inside each partition, written once to the shared checkpoint folder together
+with those numbers (so recomputation after executor loss cannot renumber
+them), and shifted by the running count of the partitions before it.  Only one row per partition ever meets in
 a single place.
 """
 
@@ -45,10 +45,12 @@ def dense_ids(df: DataFrame, cols, id_col: str, ascending=True,
             is_null = is_null & F.col(c).isNull()
         all_null = keys.where(is_null).distinct().select(F.lit(null_id).cast("long").alias(id_col), *cols)
         keys = keys.where(~is_null)
-    ordered = checkpoint(keys.distinct().orderBy(*_sort_exprs(cols, ascending)))
+    ordered = keys.distinct().orderBy(*_sort_exprs(cols, ascending))
     mid = F.monotonically_increasing_id()
-    pos = ordered.select(*cols, F.shiftright(mid, 33).alias("_part"),
-                         (mid.bitwiseAND(F.lit(_LOW_BITS))).alias("_row"))
+    # partition number and row number inside it are stored with the keys, so
+    # the numbering is fixed once written, whatever re-reads it later
+    pos = checkpoint(ordered.select(*cols, F.shiftright(mid, 33).alias("_part"),
+                                    (mid.bitwiseAND(F.lit(_LOW_BITS))).alias("_row")), "ids")
     sizes = pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     # one row per partition: the running total needs no shuffle of the data
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)

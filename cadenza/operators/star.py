@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,18 +55,49 @@ def dim_tracks(named: DataFrame, albums: DataFrame) -> DataFrame:
     return joined.select(*[albums["album_id"] if c == "album_id" else named[c] for c in S.DIM_TRACK_COLS])
 
 
-@dataclass
 class Star:
-    """The six output tables plus the intermediate frames they come from."""
-    clean: DataFrame
-    tracks: DataFrame
-    profile: DataFrame
-    dim_artists: DataFrame
-    dim_albums: DataFrame
-    dim_tracks: DataFrame
-    dim_genre: DataFrame
-    artist_track_mapping: DataFrame
-    fact_track_popularity: DataFrame
+    """The six output tables plus the frames they come from.
+
+    Tables are built on first use, so a question that needs only the fact
+    table never pays for the dense-id jobs of the artist and album ids.
+    """
+
+    def __init__(self, clean: DataFrame, tracks: DataFrame, profile: DataFrame, **tables: DataFrame):
+        self.clean, self.tracks, self.profile = clean, tracks, profile
+        self._tables = dict(tables)
+
+    def _get(self, name: str, build):
+        if name not in self._tables:
+            self._tables[name] = build()
+        return self._tables[name]
+
+    @property
+    def dim_tracks_named(self) -> DataFrame:
+        return self._get("_named", lambda: dim_tracks_named(self.tracks))
+
+    @property
+    def dim_albums(self) -> DataFrame:
+        return self._get("dim_albums", lambda: dim_albums(self.dim_tracks_named))
+
+    @property
+    def dim_artists(self) -> DataFrame:
+        return self._get("dim_artists", lambda: dim_artists(self.tracks))
+
+    @property
+    def dim_tracks(self) -> DataFrame:
+        return self._get("dim_tracks", lambda: dim_tracks(self.dim_tracks_named, self.dim_albums))
+
+    @property
+    def dim_genre(self) -> DataFrame:
+        return self._get("dim_genre", lambda: self.profile.select(*S.GENRE_FEATURE_COLS))
+
+    @property
+    def artist_track_mapping(self) -> DataFrame:
+        return self._get("artist_track_mapping", lambda: artist_track_mapping(self.tracks, self.dim_artists))
+
+    @property
+    def fact_track_popularity(self) -> DataFrame:
+        return self._get("fact_track_popularity", lambda: fact_track_popularity(self.tracks))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in S.STAR_TABLES}
@@ -79,31 +108,21 @@ class Star:
             df.createOrReplaceTempView(prefix + name)
 
 
-def build_star(raw: DataFrame, match_time_signature: bool = False,
-               checkpoint_tracks: bool = False) -> Star:
-    """Clean, pick primary genres and build all six tables (lazy plans).
+def build_star(raw: DataFrame, match_time_signature: bool = False, checkpoint_stages: bool = True) -> Star:
+    """Clean, pick primary genres and define all six tables.
 
-    With ``checkpoint_tracks`` the track rows with their primary genre are
-    written once to the checkpoint folder, so the six outputs share them and
-    a lost executor does not redo the genre vote.
+    With ``checkpoint_stages`` the cleaned rows and the track rows with their
+    primary genre are each written once to the shared checkpoint folder:
+    every table and the genre vote read them, so the scan, the full-row
+    dedup and the vote run once, and a lost executor re-reads files instead
+    of redoing shuffles.
     """
+    from cadenza.session import checkpoint
     clean = clean_tracks(raw)
+    if checkpoint_stages:
+        clean = checkpoint(clean)
     profile = genre_profile(clean)
     tracks = assign_primary_genre(track_rows(clean), clean, profile, match_time_signature)
-    if checkpoint_tracks:
-        from cadenza.session import checkpoint
+    if checkpoint_stages:
         tracks = checkpoint(tracks)
-    named = dim_tracks_named(tracks)
-    albums = dim_albums(named)
-    artists = dim_artists(tracks)
-    return Star(
-        clean=clean,
-        tracks=tracks,
-        profile=profile,
-        dim_artists=artists,
-        dim_albums=albums,
-        dim_tracks=dim_tracks(named, albums),
-        dim_genre=profile.select(*S.GENRE_FEATURE_COLS),
-        artist_track_mapping=artist_track_mapping(tracks, artists),
-        fact_track_popularity=fact_track_popularity(tracks),
-    )
+    return Star(clean=clean, tracks=tracks, profile=profile)

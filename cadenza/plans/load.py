@@ -25,7 +25,7 @@ def load_star(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, f
     """Build and write the six tables; the returned Star reads the written
     files, so later questions start from durable data, not from lineage."""
     out_dir = out_dir or shared_output_dir(spark, "star")
-    star = build_star(raw, match_time_signature=match_time_signature, checkpoint_tracks=True)
+    star = build_star(raw, match_time_signature=match_time_signature)
     audit = write_tables(star.tables(), out_dir, fmt=fmt)
     tables = {name: spark.read.format(fmt).load(f"{out_dir}/{name}") for name in star.tables()}
     written = Star(clean=star.clean, tracks=star.tracks, profile=star.profile, **tables)

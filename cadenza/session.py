@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -62,11 +63,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     return sc.getCheckpointDir()
 
 
-def checkpoint(df):
-    """Reliable, eager checkpoint into the shared checkpoint folder.
+def shared_dir(spark: SparkSession, label: str) -> str:
+    """A fresh folder under the cluster's shared checkpoint location."""
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
+    return f"{base.rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex}"
+
+
+def checkpoint(df, label: str = "stage"):
+    """Write ``df`` as a parquet table in the shared checkpoint folder and
+    read it back (eager).
 
     Cuts lineage so a lost executor re-reads the written files instead of
-    recomputing the upstream shuffles.  Never a local checkpoint.
+    recomputing upstream shuffles; the columnar copy is cheaper to write and
+    read than serialized rows and keeps column pruning and filter pushdown
+    for every reader.  Never a local checkpoint.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = shared_dir(spark, label)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)

@@ -9,20 +9,17 @@ auditing costs no extra pass.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.session import ensure_checkpoint_dir
+from cadenza.session import shared_dir
 
 AUDIT_SCHEMA = "table_name string, row_count long"
 
 
 def shared_output_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
-    return f"{base.rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex}"
+    return shared_dir(spark, label)
 
 
 def write_tables(tables: dict[str, DataFrame], base: str | None = None, fmt: str = "parquet",
