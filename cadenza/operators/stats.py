@@ -44,8 +44,8 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """Equal-width histogram between min and max, NumPy semantics: bin i holds
     edge_i <= x < edge_{i+1}, the last bin is closed; all bins are listed."""
     vals = df.where(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("x"))
-    mn = vals.select(F.min("x")).scalar()
-    mx = vals.select(F.max("x")).scalar()
+    rng = vals.select(F.struct(F.min("x").alias("mn"), F.max("x").alias("mx"))).scalar()
+    mn, mx = rng["mn"], rng["mx"]
     lo = F.when(mn == mx, mn - 0.5).otherwise(mn)
     hi = F.when(mn == mx, mx + 0.5).otherwise(mx)
     # one projection per step keeps the expression tree linear
@@ -80,11 +80,9 @@ def kde(df: DataFrame, column: str, gridsize: int = 200) -> DataFrame:
     """
     freq = value_frequencies(df, column)
     v = F.col(column).cast("double")
-    n_tot = freq.select(F.sum("n").cast("double")).scalar()
-    mn = freq.select(F.min(v)).scalar()
-    mx = freq.select(F.max(v)).scalar()
-    s1 = freq.select(F.sum(v * F.col("n"))).scalar()
-    s2 = freq.select(F.sum(v * v * F.col("n"))).scalar()
+    st = freq.select(F.struct(F.sum("n").cast("double").alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"),
+                              F.sum(v * F.col("n")).alias("s1"), F.sum(v * v * F.col("n")).alias("s2"))).scalar()
+    n_tot, mn, mx, s1, s2 = st["n"], st["mn"], st["mx"], st["s1"], st["s2"]
     sd = F.sqrt((s2 - s1 * s1 / n_tot) / (n_tot - 1))
     h = sd * F.pow(n_tot, F.lit(-0.2))
     step = (mx - mn) / F.lit(float(gridsize - 1))
@@ -100,27 +98,32 @@ def kde(df: DataFrame, column: str, gridsize: int = 200) -> DataFrame:
 
 def boxplot_stats(df: DataFrame, column: str, whis: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, IQR, whiskers at the most extreme values
-    within ``whis`` x IQR of the box, number of outliers, mean."""
+    within ``whis`` x IQR of the box, number of outliers, mean.
+
+    Two aggregates over the (value, frequency) table: the quartiles (one
+    scalar subquery), then everything that depends on them.  A value below
+    the low whisker is exactly a value below the low fence, so the outliers
+    are counted in the same pass.
+    """
     freq = value_frequencies(df, column)
-    q = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75})
-    q1, med, q3 = (q.select(c).scalar() for c in ("q1", "median", "q3"))
+    v, n = F.col(column).cast("double"), F.col("n")
+    q = freq.select(F.struct(*[F.percentile(F.col(column), p, n).alias(a)
+                               for a, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])).scalar()
+    q1, med, q3 = q["q1"], q["median"], q["q3"]
     iqr = q3 - q1
     lo_fence, hi_fence = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
-    v = F.col(column).cast("double")
-    wlo = F.coalesce(F.min(F.when(v >= lo_fence, v)), q1)
-    whi = F.coalesce(F.max(F.when(v <= hi_fence, v)), q3)
     stats = freq.agg(
-        (F.sum(v * F.col("n")) / F.sum("n")).alias("mean"),
-        wlo.alias("whisker_low"), whi.alias("whisker_high"))
-    wl, wh = stats.select("whisker_low").scalar(), stats.select("whisker_high").scalar()
-    n_out = freq.select(F.coalesce(F.sum(F.when((v < wl) | (v > wh), F.col("n"))), F.lit(0)).cast("long")).scalar()
+        (F.sum(v * n) / F.sum(n)).alias("mean"),
+        F.coalesce(F.min(F.when(v >= lo_fence, v)), q1).alias("whisker_low"),
+        F.coalesce(F.max(F.when(v <= hi_fence, v)), q3).alias("whisker_high"),
+        F.coalesce(F.sum(F.when((v < lo_fence) | (v > hi_fence), n)), F.lit(0)).cast("long").alias("n_outliers"))
     return stats.select("mean", q1.alias("q1"), med.alias("median"), q3.alias("q3"), iqr.alias("iqr"),
-                        "whisker_low", "whisker_high", n_out.alias("n_outliers"))
+                        "whisker_low", "whisker_high", "n_outliers")
 
 
 def boxplot_outliers(df: DataFrame, column: str, whis: float = 1.5, keep=("track_id",)) -> DataFrame:
     """The rows drawn as fliers: outside the whiskers."""
-    st = boxplot_stats(df, column, whis)
-    wl, wh = st.select("whisker_low").scalar(), st.select("whisker_high").scalar()
+    st = boxplot_stats(df, column, whis).select(F.struct("whisker_low", "whisker_high")).scalar()
+    wl, wh = st["whisker_low"], st["whisker_high"]
     v = F.col(column).cast("double")
     return df.where((v < wl) | (v > wh)).select(*keep, column)
