@@ -68,7 +68,7 @@ register("distinct_subset", W(f"SELECT DISTINCT {', '.join(S.GENRE_FEATURE_COLS)
 
 # --- genre profile and vote ----------------------------------------------------------
 
-register("genre_profile_normalized", W(f"SELECT {_sql_round(F4, ['track_genre', 'time_signature', *F4])} FROM nprof"))(
+register("l2_normalize", W(f"SELECT {_sql_round(F4, ['track_genre', 'time_signature', *F4])} FROM nprof"))(
     lambda spark, d: _round_doubles(G.normalized_profile(star_for(spark, d).profile), F4))
 register("l2_norm", W(f"SELECT track_genre, time_signature, round({O._norm()}, {_R}) AS norm FROM profile"))(
     lambda spark, d: star_for(spark, d).profile.select(
@@ -86,6 +86,19 @@ def _l2_denormalize(spark, d):
     return n.select("track_genre", "time_signature", *[F.round(F.col(c) * F.col("_norm"), _R).alias(c) for c in F4])
 
 
+register("genre_profile", W(f"SELECT {_sql_round(F4, S.GENRE_FEATURE_COLS)} FROM profile"))(
+    lambda spark, d: _round_doubles(G.genre_profile(star_for(spark, d).clean), F4))
+
+# Profile rows of a few genres at one time signature (the notebook's check
+# of one multi-genre track against its candidate genres).
+ISIN_SIGNATURE = 4
+ISIN_GENRES = ["AF-1", "NO-2", "RF-3", "AO-4"]
+_isin_sql = ", ".join(f"'{g}'" for g in ISIN_GENRES)
+register("filter_isin", W(f"SELECT {_sql_round(F4, S.GENRE_FEATURE_COLS)} FROM nprof "
+                          f"WHERE time_signature = {ISIN_SIGNATURE} AND track_genre IN ({_isin_sql})"))(
+    lambda spark, d: _round_doubles(G.normalized_profile(star_for(spark, d).profile).where(
+        (F.col("time_signature") == ISIN_SIGNATURE) & F.col("track_genre").isin(*ISIN_GENRES)), F4))
+
 register("genre_time_signatures", W(
     "SELECT track_genre, list(time_signature ORDER BY time_signature) AS time_signatures FROM profile GROUP BY track_genre"))(
     lambda spark, d: G.genre_time_signatures(star_for(spark, d).profile))
@@ -135,6 +148,18 @@ def _explode(spark, d):
     return artist_names(star_for(spark, d).tracks)
 
 
+def _artists_per_track(spark, d):
+    from cadenza.functions.columns import group_concat
+    star = star_for(spark, d)
+    joined = star.artist_track_mapping.join(star.dim_artists, "artist_id")
+    return joined.groupBy("track_id").agg(group_concat("artist_name").alias("artist_names"))
+
+
+register("string_agg_ordered", W(O._final(
+    "SELECT map.track_id, string_agg(art.artist_name, ', ' ORDER BY art.artist_name) AS artist_names "
+    "FROM artist_track_mapping map JOIN dim_artists art ON map.artist_id = art.artist_id GROUP BY map.track_id")))(
+    _artists_per_track)
+
 _scale_sql = "CASE key " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.KEY_NAMES.items()) + " END"
 register("key_scale", W(f"SELECT DISTINCT key, {_scale_sql} AS scale FROM tracks"))(
     lambda spark, d: C.track_rows(star_for(spark, d).clean).select("key", key_scale("key").alias("scale")).distinct())
