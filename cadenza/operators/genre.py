@@ -14,7 +14,7 @@ known; the candidate genres per track come from one aggregation keyed by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza import schema as S
@@ -88,53 +88,69 @@ def _reference_vectors(nprof: DataFrame, match_time_signature: bool) -> DataFram
 KEY_COLS = ["track_id", _TS, *S.SIMILARITY_COLS]
 
 
-def vote_keys(tracks: DataFrame, lists: DataFrame) -> DataFrame:
-    """Distinct (track, time signature, features) of tracks listed under more
-    than one row, with unit-length features: the rows that need a vote."""
-    keys = (tracks.select(*KEY_COLS).distinct()
-            .join(lists.where(F.col("list_len") > 1).select("track_id"), "track_id", "left_semi"))
-    unit = l2_normalize(S.SIMILARITY_COLS, l2_norm(*S.SIMILARITY_COLS))
-    return keys.select(*KEY_COLS, *[u.alias(f"t_{c}") for u, c in zip(unit, S.SIMILARITY_COLS)])
+def candidates_with_lists(cands: DataFrame) -> DataFrame:
+    """Candidates with their track's list length and first genre attached.
 
+    The window is partitioned by track, and a partition holds one row per
+    distinct listed genre of that track, so it stays small however many
+    rows the track has.
+    """
+    w = Window.partitionBy("track_id")
+    return cands.select("track_id", _G, "pos",
+                        F.sum("mult").over(w).alias("list_len"),
+                        F.min_by(_G, F.struct("pos", _G)).over(w).alias("first_genre"))
 
-def valid_candidates(keys: DataFrame, cands: DataFrame, nprof: DataFrame) -> DataFrame:
-    """Listed genres that were recorded with the row's time signature
-    (a semi join against the profile's (genre, signature) pairs)."""
-    eligible = keys.join(cands.where(F.col(_G).isNotNull()).select("track_id", _G, "pos"), "track_id")
-    return eligible.join(nprof.select(_G, _TS), [_G, _TS], "left_semi")
 
+def vote_rows(tracks: DataFrame, cinfo: DataFrame) -> DataFrame:
+    """Each track row with each genre of its track's list (a row without a
+    track id keeps one row with no candidate)."""
+    return tracks.join(cinfo, "track_id", "left")
 
-def similarity_scores(eligible: DataFrame, nprof: DataFrame, match_time_signature: bool = False) -> DataFrame:
-    """Cosine similarity of each row with each eligible genre's vector,
-    rounded to ``SIMILARITY_DECIMALS``."""
-    vectors = _reference_vectors(nprof, match_time_signature)
-    if match_time_signature:
-        scored = eligible.join(vectors, [_G, _TS])
-    else:
-        scored = eligible.join(vectors, _G)
-    sim = F.round(dot([f"t_{c}" for c in S.SIMILARITY_COLS], [f"g_{c}" for c in S.SIMILARITY_COLS]),
-                  S.SIMILARITY_DECIMALS)
-    return scored.select(*KEY_COLS, _G, "pos", sim.alias("sim"))
 
+def mark_eligible(rows: DataFrame, nprof: DataFrame) -> DataFrame:
+    """``eligible``: the genre was recorded with the row's time signature."""
+    keys = nprof.select(_G, _TS, F.lit(True).alias("eligible"))
+    return rows.join(keys, [_G, _TS], "left")
 
-def argmax_genre(scored: DataFrame) -> DataFrame:
-    """Per row key: the genre with the highest similarity; ties go to the
-    earlier list position, then the smaller name."""
-    return scored.groupBy(*KEY_COLS).agg(
-        F.min_by(_G, F.struct((-F.col("sim")).alias("neg_sim"), "pos", _G)).alias("voted_genre"))
+
+def add_similarity(rows: DataFrame, nprof: DataFrame, match_time_signature: bool = False) -> DataFrame:
+    """Cosine similarity of the row with each eligible genre's vector,
+    rounded to ``SIMILARITY_DECIMALS``; null for ineligible genres."""
+    vectors = _reference_vectors(nprof, match_time_signature)
+    on = [_G, _TS] if match_time_signature else [_G]
+    unit = l2_normalize(S.SIMILARITY_COLS, l2_norm(*S.SIMILARITY_COLS))
+    t_cols = [f"t_{c}" for c in S.SIMILARITY_COLS]
+    withunit = rows.select("*", *[u.alias(t) for u, t in zip(unit, t_cols)])
+    scored = withunit.join(vectors, on, "left")
+    sim = F.round(dot(t_cols, [f"g_{c}" for c in S.SIMILARITY_COLS]), S.SIMILARITY_DECIMALS)
+    return scored.withColumn("sim", F.when(F.col("eligible"), sim)) \
+                 .drop(*t_cols, *[f"g_{c}" for c in S.SIMILARITY_COLS])
+
+
+def vote(scored: DataFrame, row_cols: list[str]) -> DataFrame:
+    """One row per track row: the listed genre with the highest similarity
+    (ties: earlier list position, then smaller name), or the only listed
+    genre when the list has one entry."""
+    best = F.min_by(_G, F.when(F.col("sim").isNotNull(),
+                               F.struct((-F.col("sim")).alias("neg_sim"), "pos", _G)))
+    return (scored.groupBy(*row_cols)
+            .agg(F.max("list_len").alias("list_len"), F.max("first_genre").alias("first_genre"),
+                 best.alias("voted_genre"))
+            .select(*row_cols, F.when(F.col("list_len") == 1, F.col("first_genre"))
+                                 .otherwise(F.col("voted_genre")).alias("primary_genre"),
+                    "list_len", "voted_genre"))
+
+
+def scored_rows(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
+                match_time_signature: bool = False) -> DataFrame:
+    """Track rows x listed genres with eligibility and similarity."""
+    cinfo = candidates_with_lists(genre_candidates(clean))
+    nprof = normalized_profile(profile)
+    return add_similarity(mark_eligible(vote_rows(tracks, cinfo), nprof), nprof, match_time_signature)
 
 
 def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
                          match_time_signature: bool = False) -> DataFrame:
     """``tracks`` plus ``primary_genre`` (table function of the reference job)."""
-    cands = genre_candidates(clean)
-    lists = genre_lists(cands)
-    nprof = normalized_profile(profile)
-    keys = vote_keys(tracks, lists)
-    best = argmax_genre(similarity_scores(valid_candidates(keys, cands, nprof), nprof, match_time_signature))
-    return (tracks.join(lists, "track_id", "left")
-            .join(best, KEY_COLS, "left")
-            .withColumn("primary_genre",
-                        F.when(F.col("list_len") == 1, F.col("first_genre"))
-                         .otherwise(F.col("voted_genre")))
-            .drop("list_len", "first_genre", "voted_genre"))
+    scored = scored_rows(tracks, clean, profile, match_time_signature)
+    return vote(scored, tracks.columns).drop("list_len", "voted_genre")

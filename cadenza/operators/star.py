@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import threading
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -65,10 +67,17 @@ class Star:
     def __init__(self, clean: DataFrame, tracks: DataFrame, profile: DataFrame, **tables: DataFrame):
         self.clean, self.tracks, self.profile = clean, tracks, profile
         self._tables = dict(tables)
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
     def _get(self, name: str, build):
-        if name not in self._tables:
-            self._tables[name] = build()
+        # tables may be requested from several writer threads at once; each
+        # is built once (the id dimensions run jobs while being defined)
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._tables:
+                self._tables[name] = build()
         return self._tables[name]
 
     @property
@@ -102,6 +111,11 @@ class Star:
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in S.STAR_TABLES}
 
+    def table_builders(self) -> dict:
+        """Name -> zero-argument function returning the table (built lazily,
+        so writers running in parallel also define the tables in parallel)."""
+        return {name: (lambda n=name: getattr(self, n)) for name in S.STAR_TABLES}
+
     def register(self, prefix: str = "") -> None:
         """Temp views named like the reference's tables (``USE spotify``)."""
         for name, df in self.tables().items():

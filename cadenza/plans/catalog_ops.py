@@ -40,11 +40,13 @@ def _genre_parts(spark, d, match=False):
     tracks = C.track_rows(clean)
     cands = G.genre_candidates(clean)
     lists = G.genre_lists(cands)
-    nprof = G.normalized_profile(profile)
-    keys = G.vote_keys(tracks, lists)
-    eligible = G.valid_candidates(keys, cands, nprof)
-    return dict(star=star, tracks=tracks, cands=cands, lists=lists, nprof=nprof, keys=keys,
-                eligible=eligible)
+    scored = G.scored_rows(tracks, clean, profile, match)
+    return dict(star=star, tracks=tracks, cands=cands, lists=lists, scored=scored)
+
+
+def _voting(scored):
+    """Rows of tracks listed more than once with an eligible genre."""
+    return scored.where((F.col("list_len") > 1) & F.col("eligible"))
 
 
 # --- cleaning --------------------------------------------------------------------
@@ -119,17 +121,20 @@ register("valid_genre_candidates", W(
     "JOIN cands c ON c.track_id = k.track_id AND c.track_genre IS NOT NULL "
     "JOIN (SELECT track_genre, time_signature FROM nprof) e ON e.track_genre = c.track_genre "
     "AND e.time_signature = k.time_signature"))(
-    lambda spark, d: _genre_parts(spark, d)["eligible"].select(*KEYS, "track_genre", "pos"))
+    lambda spark, d: _voting(_genre_parts(spark, d)["scored"]).select(*KEYS, "track_genre", "pos").distinct())
 register("cosine_similarity", W(f"SELECT {', '.join(KEYS)}, track_genre, pos, round(sim, {_R}) AS sim FROM scored"))(
-    lambda spark, d: _scored(spark, d).withColumn("sim", F.round("sim", _R)))
+    lambda spark, d: _voting(_genre_parts(spark, d)["scored"]).select(
+        *KEYS, "track_genre", "pos", F.round("sim", _R).alias("sim")).distinct())
 
 
-def _scored(spark, d, match=False):
-    p = _genre_parts(spark, d, match)
-    return G.similarity_scores(p["eligible"], p["nprof"], match)
+def _argmax(spark, d):
+    p = _genre_parts(spark, d)
+    voted = G.vote(p["scored"], p["tracks"].columns)
+    return (voted.where((F.col("list_len") > 1) & F.col("voted_genre").isNotNull())
+            .select(*KEYS, "voted_genre").distinct())
 
 
-register("argmax_per_group", W("SELECT * FROM best"))(lambda spark, d: G.argmax_genre(_scored(spark, d)))
+register("argmax_per_group", W("SELECT * FROM best"))(_argmax)
 register("primary_genre", W("SELECT * FROM tracks_g"))(lambda spark, d: star_for(spark, d).tracks)
 register("primary_genre_matched", W("SELECT * FROM tracks_g", match_time_signature=True))(
     lambda spark, d: star_for(spark, d, True).tracks)
@@ -345,7 +350,7 @@ def _counts_sql(names: list[str]) -> str:
 def _sink_tables(spark: SparkSession, d: str) -> DataFrame:
     star = star_for(spark, d)
     base = shared_output_dir(spark, "sink")
-    write_tables(star.tables(), base)
+    write_tables(star.table_builders(), base)
     return read_back_counts(spark, base, S.STAR_TABLES)
 
 

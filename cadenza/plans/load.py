@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from cadenza.operators.star import Star, build_star
+from cadenza.schema import STAR_TABLES
 from cadenza.plans import questions as Q
 from cadenza.sources.sinks import audit_frame, export_all, shared_output_dir, write_tables
 
@@ -26,8 +27,8 @@ def load_star(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, f
     files, so later questions start from durable data, not from lineage."""
     out_dir = out_dir or shared_output_dir(spark, "star")
     star = build_star(raw, match_time_signature=match_time_signature)
-    audit = write_tables(star.tables(), out_dir, fmt=fmt)
-    tables = {name: spark.read.format(fmt).load(f"{out_dir}/{name}") for name in star.tables()}
+    audit = write_tables(star.table_builders(), out_dir, fmt=fmt)
+    tables = {name: spark.read.format(fmt).load(f"{out_dir}/{name}") for name in STAR_TABLES}
     written = Star(clean=star.clean, tracks=star.tracks, profile=star.profile, **tables)
     return written, audit, out_dir
 
@@ -36,6 +37,6 @@ def run_load(spark: SparkSession, raw: DataFrame, out_dir: str | None = None,
              export_format: str = "csv") -> DataFrame:
     """Whole job; returns the audit of every table and answer written."""
     star, audit, out_dir = load_star(spark, raw, out_dir)
-    answers = {name: fn(star) for name, fn in ANSWER_NAMES.items()}
+    answers = {name: (lambda f=fn: f(star)) for name, fn in ANSWER_NAMES.items()}
     audit.update({f"answer:{k}": v for k, v in export_all(answers, f"{out_dir}/answers", export_format).items()})
     return audit_frame(spark, audit)

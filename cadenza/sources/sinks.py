@@ -9,6 +9,8 @@ auditing costs no extra pass.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,23 +24,40 @@ def shared_output_dir(spark: SparkSession, label: str) -> str:
     return shared_dir(spark, label)
 
 
-def write_tables(tables: dict[str, DataFrame], base: str | None = None, fmt: str = "parquet",
-                 mode: str = "overwrite", options: dict | None = None) -> dict[str, int]:
-    """Write each frame as ``<base>/<name>`` (or JDBC table ``name``) in
-    replace mode; return {name: rows written} observed during the write."""
-    audit: dict[str, int] = {}
-    for name, df in tables.items():
-        obs = Observation(f"load_{name}")
-        observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        writer = observed.write.mode(mode).format(fmt).options(**(options or {}))
-        if fmt == "jdbc":
-            writer.option("dbtable", name).save()
-        else:
-            if fmt == "csv":
-                writer = writer.option("header", True)
-            writer.save(f"{base}/{name}")
-        audit[name] = int(obs.get["rows"])
-    return audit
+def write_table(name: str, df: DataFrame, base: str | None = None, fmt: str = "parquet",
+                mode: str = "overwrite", options: dict | None = None) -> int:
+    """Write one frame as ``<base>/<name>`` (or JDBC table ``name``); return
+    the number of rows written, observed during the write itself."""
+    obs = Observation(f"load_{name}")
+    observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
+    writer = observed.write.mode(mode).format(fmt).options(**(options or {}))
+    if fmt == "jdbc":
+        writer.option("dbtable", name).save()
+    else:
+        if fmt == "csv":
+            writer = writer.option("header", True)
+        writer.save(f"{base}/{name}")
+    return int(obs.get["rows"])
+
+
+def write_tables(tables: dict, base: str | None = None, fmt: str = "parquet",
+                 mode: str = "overwrite", options: dict | None = None, parallel: int = 4) -> dict[str, int]:
+    """Write each frame in replace mode; return {name: rows written}.
+
+    ``tables`` maps names to DataFrames or to zero-argument functions that
+    return one.  The writes are independent jobs, so up to ``parallel`` of
+    them are submitted at once and share the cluster's slots.
+    """
+    def one(item):
+        name, df = item
+        df = df() if callable(df) else df
+        return name, write_table(name, df, base, fmt, mode, options)
+
+    items = list(tables.items())
+    if parallel <= 1 or len(items) == 1:
+        return dict(map(one, items))
+    with ThreadPoolExecutor(max_workers=min(parallel, len(items))) as pool:
+        return dict(pool.map(one, items))
 
 
 def audit_frame(spark: SparkSession, audit: dict[str, int]) -> DataFrame:
