@@ -65,7 +65,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir")
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
+    if not base:  # nothing configured and no context to ask (local use only)
+        base = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     return f"{base.rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex}"
 
 
