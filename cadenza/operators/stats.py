@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.profile import exact_quantiles, value_frequencies
+from cadenza.operators.profile import value_frequencies
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:

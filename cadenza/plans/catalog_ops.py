@@ -12,7 +12,7 @@ from cadenza.operators import clean as C
 from cadenza.operators import genre as G
 from cadenza.operators import profile as P
 from cadenza.operators import stats as ST
-from cadenza.operators.ids import dense_rank_all, top_k_dense
+from cadenza.operators.ids import top_k_dense
 from cadenza.plans import oracle as O
 from cadenza.plans import questions as Q
 from cadenza.plans.catalog import FLOAT_DECIMALS, _round_doubles, _sql_round, register, star_for
@@ -180,7 +180,7 @@ register("album_category", W(O.Q4_CTES + O._final(
 
 # --- ranking -------------------------------------------------------------------------------
 
-register("dense_rank_topk", W(O.Q1.split("{_final")[0] if False else
+register("dense_rank_topk", W(
     "top_pop AS (SELECT DISTINCT popularity FROM fact_track_popularity ORDER BY popularity DESC LIMIT 10),\n"
     + O._final("SELECT f.track_id, f.popularity, r.track_rank FROM fact_track_popularity f JOIN "
                "(SELECT popularity, dense_rank() OVER (ORDER BY popularity DESC) AS track_rank FROM top_pop) r "
