@@ -180,11 +180,9 @@ register("album_category", W(O.Q4_CTES + O._final(
 
 # --- ranking -------------------------------------------------------------------------------
 
-register("dense_rank_topk", W(
-    "top_pop AS (SELECT DISTINCT popularity FROM fact_track_popularity ORDER BY popularity DESC LIMIT 10),\n"
-    + O._final("SELECT f.track_id, f.popularity, r.track_rank FROM fact_track_popularity f JOIN "
-               "(SELECT popularity, dense_rank() OVER (ORDER BY popularity DESC) AS track_rank FROM top_pop) r "
-               "ON f.popularity = r.popularity")))(
+register("dense_rank_topk", W(O._final(
+    "SELECT track_id, popularity, track_rank FROM (SELECT track_id, popularity, "
+    "DENSE_RANK() OVER (ORDER BY popularity DESC) AS track_rank FROM fact_track_popularity) WHERE track_rank <= 10")))(
     lambda spark, d: top_k_dense(star_for(spark, d).fact_track_popularity, ["popularity"], 10, "track_rank"))
 register("dense_rank_global", W(O.Q6_CTES + O._final(
     "SELECT album_name, artists, genres, album_category, num_songs, "
