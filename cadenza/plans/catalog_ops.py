@@ -389,3 +389,24 @@ def _sink_export_sql() -> str | None:
 
 
 register("sink_export", _sink_export_sql())(_sink_export)
+
+
+# --- operators that otherwise only appear inside a larger query ------------------------
+
+def _join_surrogate(spark: SparkSession, d: str) -> DataFrame:
+    """Album names of the track dimension replaced by their ids (null-safe)."""
+    from cadenza.operators.star import dim_albums, dim_tracks_named
+    named = dim_tracks_named(star_for(spark, d).tracks).select("track_id", "album_name")
+    albums = dim_albums(named)
+    return (named.join(albums, named["album_name"].eqNullSafe(albums["album_name"]), "inner")
+            .select(named["track_id"], named["album_name"], albums["album_id"]))
+
+
+register("join_surrogate_nullsafe", W(
+    "SELECT n.track_id, n.album_name, a.album_id FROM named n "
+    "JOIN dim_albums a ON n.album_name IS NOT DISTINCT FROM a.album_name"))(_join_surrogate)
+
+register("string_agg_distinct", W(O.Q6_CTES + O._final(
+    "SELECT album_id, album_name, artists, genres FROM album_popularity")))(
+    lambda spark, d: Q.album_popularity_by_id(star_for(spark, d)).select(
+        "album_id", "album_name", "artists", "genres"))
