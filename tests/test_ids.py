@@ -30,3 +30,16 @@ def test_top_k_dense_keeps_ties(spark):
     out = sorted((r.i, r.rk) for r in top_k_dense(df, ["s"], 2, "rk").collect())
     assert out == [(0, 1), (1, 1), (2, 2)]
     assert top_k_dense(df, ["s"], 3, "rk").count() == 6
+
+
+def test_dense_ids_stable_across_rereads_and_partitionings(spark):
+    # many range partitions, AQE free to coalesce; ids are stored once, so two
+    # reads of the result agree, and they equal the one-partition definition
+    df = spark.range(0, 20000).select(F.format_string("n%05d", (F.col("id") * 7919) % 9973).alias("k"))
+    df = df.repartition(13)
+    ids = dense_ids(df, "k", "id")
+    a = {r.k: r.id for r in ids.collect()}
+    b = {r.k: r.id for r in ids.collect()}
+    assert a == b
+    assert sorted(a.values()) == list(range(1, len(a) + 1))
+    assert [k for k, _ in sorted(a.items(), key=lambda kv: kv[1])] == sorted(a)
