@@ -173,7 +173,7 @@ register("key_signature", W(f"SELECT track_id, key, mode, {O._key_signature_sql(
         "track_id", "key", "mode", key_signature("key", "mode").alias("key_signature")))
 register("album_category", W(O.Q4_CTES + O._final(
     "SELECT album_name, num_songs, CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_category "
-    "FROM album_category_rank")))(
+    "FROM banded")))(
     lambda spark, d: Q.album_popularity_by_name(star_for(spark, d)).select(
         "album_name", "num_songs", F.col("avg_popularity_score").cast("double").alias("avg_popularity_score"),
         album_category("num_songs").alias("album_category")))
@@ -186,8 +186,8 @@ register("dense_rank_topk", W(O._final(
     lambda spark, d: top_k_dense(star_for(spark, d).fact_track_popularity, ["popularity"], 10, "track_rank"))
 register("dense_rank_global", W(O.Q6_CTES + O._final(
     "SELECT album_name, artists, genres, album_category, num_songs, "
-    "CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_rank FROM album_category_rank")))(
-    lambda spark, d: Q.album_category_rank(star_for(spark, d)).select(
+    "CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_rank FROM banded_ranked")))(
+    lambda spark, d: Q.albums_ranked(star_for(spark, d)).select(
         "album_name", "artists", "genres", "album_category", "num_songs",
         F.col("avg_popularity_score").cast("double").alias("avg_popularity_score"), "album_rank"))
 
@@ -321,14 +321,13 @@ def _scan_table(spark: SparkSession, d: str) -> DataFrame:
 
 register("scan_table", W("SELECT track_id, popularity FROM fact_track_popularity"))(_scan_table)
 
-# The Q5 question as query text over the registered tables (read_sql path).
+# One question as query text over the registered tables (the read_sql path).
 SQL_Q5 = """
-SELECT key_signature,
-       CAST(ROUND(AVG(CAST(p.popularity AS DECIMAL(20,0))), 1) AS DOUBLE) AS avg_popularity
-FROM dim_tracks AS t
-INNER JOIN fact_track_popularity AS p ON t.track_id = p.track_id
-GROUP BY key_signature
-ORDER BY avg_popularity DESC
+WITH joined AS (
+  SELECT d.key_signature, CAST(f.popularity AS DECIMAL(20,0)) AS pop
+  FROM dim_tracks d JOIN fact_track_popularity f USING (track_id))
+SELECT key_signature, CAST(round(avg(pop), 1) AS DOUBLE) AS avg_popularity
+FROM joined GROUP BY key_signature
 """
 
 
@@ -379,7 +378,7 @@ _ANSWER_SQL = {"pop_scores": O.Q1, "track_vs_pop": O.Q2, "top_10_artists": O.Q3,
 
 
 def _sink_export_sql() -> str | None:
-    # the answers' CTE names collide (album_popularity, ...); run each answer
+    # the answers share CTE names (per_album, banded, ...); run each answer
     # as a scalar subquery with its own WITH list instead
     parts = []
     for name, q in _ANSWER_SQL.items():
@@ -407,6 +406,6 @@ register("join_surrogate_nullsafe", W(
     "JOIN dim_albums a ON n.album_name IS NOT DISTINCT FROM a.album_name"))(_join_surrogate)
 
 register("string_agg_distinct", W(O.Q6_CTES + O._final(
-    "SELECT album_id, album_name, artists, genres FROM album_popularity")))(
+    "SELECT album_id, album_name, artists, genres FROM per_album")))(
     lambda spark, d: Q.album_popularity_by_id(star_for(spark, d)).select(
         "album_id", "album_name", "artists", "genres"))

@@ -136,7 +136,7 @@ def album_popularity_by_id(star: Star) -> DataFrame:
         round_half_up(exact_avg("popularity"), 0).alias("avg_popularity_score"))
 
 
-def album_category_rank(star: Star) -> DataFrame:
+def albums_ranked(star: Star) -> DataFrame:
     """Every album with its category and its dense rank by score among all
     albums (singles included)."""
     # written once: both the rank and the rows it is joined back to read it
@@ -152,7 +152,7 @@ def q6_top_albums(star: Star, k: int = TOP_K) -> DataFrame:
     albums (singles included).  The reference orders by score only; ties are
     broken by rank, name, artists, category and genres so the k rows are
     deterministic."""
-    ranked = album_category_rank(star)
+    ranked = albums_ranked(star)
     out = (ranked.where(F.col("album_category") != "Single")
            .groupBy("album_name", "artists", "album_category", "genres", "album_rank")
            .agg(F.sum("num_songs").cast("bigint").alias("num_songs"),
