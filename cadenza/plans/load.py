@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cadenza.operators.star import Star, build_star
 from cadenza.schema import STAR_TABLES
 from cadenza.plans import questions as Q
+from cadenza.session import stage_scope
 from cadenza.sources.sinks import audit_frame, export_all, shared_output_dir, write_tables
 
 # Output names of the answers (one sheet each in the reference's workbook).
@@ -35,8 +36,14 @@ def load_star(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, f
 
 def run_load(spark: SparkSession, raw: DataFrame, out_dir: str | None = None,
              export_format: str = "csv") -> DataFrame:
-    """Whole job; returns the audit of every table and answer written."""
-    star, audit, out_dir = load_star(spark, raw, out_dir)
-    answers = {name: (lambda f=fn: f(star)) for name, fn in ANSWER_NAMES.items()}
-    audit.update({f"answer:{k}": v for k, v in export_all(answers, f"{out_dir}/answers", export_format).items()})
+    """Whole job; returns the audit of every table and answer written.
+
+    The intermediate stage tables (cleaned rows, voted tracks, id tables)
+    are removed from the shared folder once everything is written.
+    """
+    with stage_scope(spark):
+        star, audit, out_dir = load_star(spark, raw, out_dir)
+        answers = {name: (lambda f=fn: f(star)) for name, fn in ANSWER_NAMES.items()}
+        audit.update({f"answer:{k}": v
+                      for k, v in export_all(answers, f"{out_dir}/answers", export_format).items()})
     return audit_frame(spark, audit)

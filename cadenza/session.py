@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -83,4 +85,41 @@ def checkpoint(df, label: str = "stage"):
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
+    with _STAGES_LOCK:
+        _STAGES.append(path)
     return spark.read.parquet(path)
+
+
+_STAGES: list[str] = []
+_STAGES_LOCK = threading.Lock()
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> int:
+    """Delete folders through the cluster's file system (any Hadoop URI)."""
+    try:
+        jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    except Exception:  # Spark Connect: the server owns the storage
+        return 0
+    n = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        n += bool(hp.getFileSystem(conf).delete(hp, True))
+    return n
+
+
+@contextmanager
+def stage_scope(spark: SparkSession):
+    """Stage tables written inside the block are deleted when it ends.
+
+    Use it around a job whose results are written elsewhere (the load job);
+    DataFrames that still read a stage must not be used after the block.
+    """
+    with _STAGES_LOCK:
+        start = len(_STAGES)
+    try:
+        yield
+    finally:
+        with _STAGES_LOCK:
+            created = _STAGES[start:]
+            del _STAGES[start:]
+        delete_paths(spark, created)
