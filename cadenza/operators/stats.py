@@ -21,18 +21,19 @@ def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
 
     All pairs are computed in ONE aggregate pass; pairs with a null are
     skipped per pair (pairwise complete observations); NaN counts as missing.
-    The diagonal is exactly 1.
+    The one-row result is turned into rows by ``stack``; the diagonal is
+    exactly 1.
     """
     clean = df.select(*[F.when(F.isnan(c), None).otherwise(F.col(c)).alias(c) for c in features])
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    wide = clean.agg(*[F.corr(a, b).alias(f"{a}|{b}") for a, b in pairs])
-    stack = []
-    for a, b in pairs:
-        stack += [F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"), F.col(f"`{a}|{b}`").alias("r")),
-                  F.struct(F.lit(b).alias("feature_x"), F.lit(a).alias("feature_y"), F.col(f"`{a}|{b}`").alias("r"))]
+    wide = clean.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    args = []
+    for i, (a, b) in enumerate(pairs):
+        args += [F.lit(a), F.lit(b), F.col(f"c{i}"), F.lit(b), F.lit(a), F.col(f"c{i}")]
     for a in features:
-        stack.append(F.struct(F.lit(a).alias("feature_x"), F.lit(a).alias("feature_y"), F.lit(1.0).alias("r")))
-    return wide.select(F.explode(F.array(*stack)).alias("e")).select("e.*")
+        args += [F.lit(a), F.lit(a), F.lit(1.0)]
+    n_rows = 2 * len(pairs) + len(features)
+    return wide.select(F.stack(F.lit(n_rows), *args).alias("feature_x", "feature_y", "r"))
 
 
 def _edge(i, lo, step, hi, n_bins):
