@@ -10,6 +10,7 @@ SF_DIR = os.environ.get("CADENZA_TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["supplier", "part", "lineitem"]
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from plan_checks import check_plan  # noqa: E402
 
 
 def _norm(v):
@@ -43,6 +44,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF_DIR)
     srows, scols = [tuple(r) for r in df.collect()], df.columns
+    check_plan(name, df)       # no cartesian / nested-loop joins, pruned scans
     cur = duck.execute(oracle_sql()[name])
     ocols = [d[0] for d in cur.description]
     assert sorted(scols) == sorted(ocols)
