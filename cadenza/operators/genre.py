@@ -141,16 +141,34 @@ def vote(scored: DataFrame, row_cols: list[str]) -> DataFrame:
                     "list_len", "voted_genre"))
 
 
-def scored_rows(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
+def scored_rows(rows: DataFrame, clean: DataFrame, profile: DataFrame,
                 match_time_signature: bool = False) -> DataFrame:
-    """Track rows x listed genres with eligibility and similarity."""
+    """Rows (at least ``KEY_COLS``) x listed genres with eligibility and similarity."""
     cinfo = candidates_with_lists(genre_candidates(clean))
     nprof = normalized_profile(profile)
-    return add_similarity(mark_eligible(vote_rows(tracks, cinfo), nprof), nprof, match_time_signature)
+    return add_similarity(mark_eligible(vote_rows(rows, cinfo), nprof), nprof, match_time_signature)
+
+
+def vote_keys(tracks: DataFrame) -> DataFrame:
+    """The distinct (track, time signature, features) the vote depends on.
+
+    A track usually has one such key however many rows it has (other
+    albums, popularity variants), so the candidate pairs stay at about one
+    per listed genre even for a track that holds a large share of the rows.
+    """
+    return tracks.select(*KEY_COLS).distinct()
 
 
 def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame,
                          match_time_signature: bool = False) -> DataFrame:
-    """``tracks`` plus ``primary_genre`` (table function of the reference job)."""
-    scored = scored_rows(tracks, clean, profile, match_time_signature)
-    return vote(scored, tracks.columns).drop("list_len", "voted_genre")
+    """``tracks`` plus ``primary_genre`` (table function of the reference job).
+
+    The vote runs once per distinct key and is joined back to the track rows
+    with null-safe equality (a missing signature or id is a key too).
+    """
+    votes = vote(scored_rows(vote_keys(tracks), clean, profile, match_time_signature), KEY_COLS)
+    cond = None
+    for c in KEY_COLS:
+        e = tracks[c].eqNullSafe(votes[c])
+        cond = e if cond is None else cond & e
+    return tracks.join(votes, cond, "left").select(tracks["*"], votes["primary_genre"])

@@ -40,8 +40,9 @@ def _genre_parts(spark, d, match=False):
     tracks = C.track_rows(clean)
     cands = G.genre_candidates(clean)
     lists = G.genre_lists(cands)
-    scored = G.scored_rows(tracks, clean, profile, match)
-    return dict(star=star, tracks=tracks, cands=cands, lists=lists, scored=scored)
+    keys = G.vote_keys(tracks)
+    scored = G.scored_rows(keys, clean, profile, match)
+    return dict(star=star, tracks=tracks, cands=cands, lists=lists, keys=keys, scored=scored)
 
 
 def _voting(scored):
@@ -121,17 +122,17 @@ register("valid_genre_candidates", W(
     "JOIN cands c ON c.track_id = k.track_id AND c.track_genre IS NOT NULL "
     "JOIN (SELECT track_genre, time_signature FROM nprof) e ON e.track_genre = c.track_genre "
     "AND e.time_signature = k.time_signature"))(
-    lambda spark, d: _voting(_genre_parts(spark, d)["scored"]).select(*KEYS, "track_genre", "pos").distinct())
+    lambda spark, d: _voting(_genre_parts(spark, d)["scored"]).select(*KEYS, "track_genre", "pos"))
 register("cosine_similarity", W(f"SELECT {', '.join(KEYS)}, track_genre, pos, round(sim, {_R}) AS sim FROM scored"))(
     lambda spark, d: _voting(_genre_parts(spark, d)["scored"]).select(
-        *KEYS, "track_genre", "pos", F.round("sim", _R).alias("sim")).distinct())
+        *KEYS, "track_genre", "pos", F.round("sim", _R).alias("sim")))
 
 
 def _argmax(spark, d):
     p = _genre_parts(spark, d)
-    voted = G.vote(p["scored"], p["tracks"].columns)
+    voted = G.vote(p["scored"], G.KEY_COLS)
     return (voted.where((F.col("list_len") > 1) & F.col("voted_genre").isNotNull())
-            .select(*KEYS, "voted_genre").distinct())
+            .select(*KEYS, "voted_genre"))
 
 
 register("argmax_per_group", W("SELECT * FROM best"))(_argmax)
