@@ -43,12 +43,27 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def _is_local(spark: SparkSession) -> bool:
+    try:
+        return spark.conf.get("spark.master", "local").startswith("local")
+    except Exception:
+        return False
+
+
+def _local_scratch(spark: SparkSession) -> str:
+    """Scratch folder for local runs only; a cluster must name a shared one."""
+    if not _is_local(spark):
+        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share "
+                           "(the cleaned rows, voted tracks and id tables are written there)")
+    return tempfile.mkdtemp(prefix="cadenza-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     """Make sure reliable checkpoints have a home.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; Spark reads
-    it at start-up.  Only when nothing is configured (local tests) do we fall
-    back to a fresh scratch folder.
+    it at start-up.  Only when nothing is configured and the session is local
+    (tests, bench) do we fall back to a fresh scratch folder.
     """
     try:
         sc = spark.sparkContext
@@ -57,19 +72,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str | None:
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        base = os.environ.get("TMPDIR", "/tmp")
-        configured = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir=base)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(spark)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
 def shared_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location."""
-    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None)
-    if not base:  # nothing configured and no context to ask (local use only)
-        base = tempfile.mkdtemp(prefix="cadenza-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
+    base = ensure_checkpoint_dir(spark) or spark.conf.get("spark.checkpoint.dir", None) or _local_scratch(spark)
     return f"{base.rstrip('/')}/cadenza-{label}-{uuid.uuid4().hex}"
 
 
