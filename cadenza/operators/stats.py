@@ -91,10 +91,11 @@ def kde(df: DataFrame, column: str, gridsize: int = 200) -> DataFrame:
     gx = F.when(gi == gridsize - 1, mx).otherwise(gi.cast("double") * step + mn)
     contrib = (freq.select(v.alias("v"), F.col("n"),
                            F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"))
-               .select("gi", (F.col("n") * F.exp(-0.5 * F.pow((gx - F.col("v")) / h, 2))).alias("k")))
+               .select("gi", F.when(h > 0, F.col("n") * F.exp(-0.5 * F.pow((gx - F.col("v")) / h, 2))).alias("k")))
+    # a constant column has no bandwidth: no density (NULL), not a division by zero
+    density = F.when(h > 0, F.col("_k") / (n_tot * h * F.lit(math.sqrt(2 * math.pi))))
     return (contrib.groupBy("gi").agg(F.sum("k").alias("_k"))
-            .select(F.col("gi").cast("long").alias("grid_index"), gx.alias("x"),
-                    (F.col("_k") / (n_tot * h * F.lit(math.sqrt(2 * math.pi)))).alias("density")))
+            .select(F.col("gi").cast("long").alias("grid_index"), gx.alias("x"), density.alias("density")))
 
 
 def boxplot_stats(df: DataFrame, column: str, whis: float = 1.5) -> DataFrame:

@@ -71,3 +71,12 @@ def test_null_counts_and_value_counts(spark):
     assert nulls == {"a": 1, "b": 2}
     vc = [(r.a, r["count"]) for r in P.value_counts(df, "a").collect()]
     assert vc == [(1, 2), (3, 1)]
+
+
+def test_constant_column_statistics(spark):
+    df = spark.createDataFrame([(f"t{i}", 7) for i in range(5)], "track_id string, popularity int")
+    assert all(r.density is None for r in ST.kde(df, "popularity", 10).collect())
+    h = ST.histogram(df, "popularity", 30).collect()
+    assert sum(r["count"] for r in h) == 5
+    b = ST.boxplot_stats(df, "popularity").collect()[0]
+    assert (b.q1, b.q3, b.whisker_low, b.whisker_high, b.n_outliers) == (7.0, 7.0, 7.0, 7.0, 0)
