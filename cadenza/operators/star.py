@@ -117,7 +117,7 @@ class Star:
         return {name: (lambda n=name: getattr(self, n)) for name in S.STAR_TABLES}
 
     def register(self, prefix: str = "") -> None:
-        """Temp views named like the reference's tables (``USE spotify``)."""
+        """Register the six tables as temp views under their table names."""
         for name, df in self.tables().items():
             df.createOrReplaceTempView(prefix + name)
 
