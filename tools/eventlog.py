@@ -30,7 +30,7 @@ def main() -> None:
     files = [path]
     if "events_" in os.path.basename(path):
         files = sorted(glob.glob(os.path.join(os.path.dirname(path), "events_*")))
-    jobs, stages = {}, {}
+    jobs, stages, tasks = {}, {}, {}
     for f in files:
       with _open(f) as fh:
         for line in fh:
@@ -41,6 +41,9 @@ def main() -> None:
                                      "desc": e.get("Properties", {}).get("callSite.short", "")}
             elif ev == "SparkListenerJobEnd":
                 jobs[e["Job ID"]]["end"] = e["Completion Time"]
+            elif ev == "SparkListenerTaskEnd":
+                ti = e["Task Info"]
+                tasks.setdefault(e["Stage ID"], []).append(ti["Finish Time"] - ti["Launch Time"])
             elif ev == "SparkListenerStageCompleted":
                 si = e["Stage Info"]
                 stages[si["Stage ID"]] = {"ms": si.get("Completion Time", 0) - si.get("Submission Time", 0),
@@ -51,7 +54,9 @@ def main() -> None:
         print(f"  job {jid:4d} {d:6d} ms stages={j['stages']:3d} {j['desc']}")
     sd = sorted(stages.items(), key=lambda kv: -kv[1]["ms"])[:top]
     for sid, s in sd:
-        print(f"  stage {sid:4d} {s['ms']:6d} ms tasks={s['tasks']:4d} {s['name']}")
+        t = sorted(tasks.get(sid, [0]))
+        print(f"  stage {sid:4d} {s['ms']:6d} ms tasks={s['tasks']:4d} "
+              f"task max/median={t[-1]}/{t[len(t) // 2]} ms {s['name']}")
 
 
 if __name__ == "__main__":
