@@ -66,3 +66,23 @@ def test_album_join_matches_missing_names(make_raw):
     albums = sorted((r.album_id, r.album_name) for r in star.dim_albums.collect())
     assert albums == [(0, None), (1, "A"), (2, "B")]
     assert sorted((r.track_id, r.album_id) for r in star.dim_tracks.collect()) == [("t", 0), ("u", 2), ("v", 1)]
+
+
+def test_hot_track_votes_once_per_key(make_raw):
+    """A track holding most rows (other albums, popularity variants) is voted
+    once per (signature, features) key; pairs stay at one per listed genre."""
+    from cadenza.operators import genre as G
+    from cadenza.operators.clean import clean_tracks, track_rows
+    rows = [raw_row(i, "hot", f"g{i % 5}", album=f"A{i}", popularity=i % 100) for i in range(200)]
+    rows += [raw_row(1000 + i, f"c{i}", "g0") for i in range(10)]
+    clean = clean_tracks(make_raw(rows))
+    tracks = track_rows(clean)
+    profile = G.genre_profile(clean)
+    keys = G.vote_keys(tracks)
+    assert tracks.where("track_id = 'hot'").count() == 200
+    assert keys.where("track_id = 'hot'").count() == 1
+    scored = G.scored_rows(keys, clean, profile)
+    assert scored.where("track_id = 'hot'").count() == 5          # one per listed genre
+    voted = G.assign_primary_genre(tracks, clean, profile)
+    hot = {r.primary_genre for r in voted.where("track_id = 'hot'").collect()}
+    assert hot == {"g0"}      # equal vectors: the first listed genre wins, for all 200 rows
