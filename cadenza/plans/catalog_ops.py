@@ -322,22 +322,6 @@ def _scan_table(spark: SparkSession, d: str) -> DataFrame:
 
 register("scan_table", W("SELECT track_id, popularity FROM fact_track_popularity"))(_scan_table)
 
-# One question as query text over the registered tables (the read_sql path).
-SQL_Q5 = """
-WITH joined AS (
-  SELECT d.key_signature, CAST(f.popularity AS DECIMAL(20,0)) AS pop
-  FROM dim_tracks d JOIN fact_track_popularity f USING (track_id))
-SELECT key_signature, CAST(round(avg(pop), 1) AS DOUBLE) AS avg_popularity
-FROM joined GROUP BY key_signature
-"""
-
-
-def _sql_text_q5(spark: SparkSession, d: str) -> DataFrame:
-    star_for(spark, d).register()
-    return spark.sql(SQL_Q5)
-
-
-register("sql_text_q5", W(O.Q5))(_sql_text_q5)
 
 
 def _counts_sql(names: list[str]) -> str:
@@ -410,3 +394,16 @@ register("string_agg_distinct", W(O.Q6_CTES + O._final(
     "SELECT album_id, album_name, artists, genres FROM per_album")))(
     lambda spark, d: Q.album_popularity_by_id(star_for(spark, d)).select(
         "album_id", "album_name", "artists", "genres"))
+
+
+# --- the questions as Spark SQL text over the registered views --------------------------
+
+def _sql_question(name: str):
+    from cadenza.plans import sql_questions
+    return lambda spark, d: sql_questions.run(spark, star_for(spark, d), name)
+
+
+for _key, _oracle in (("q1_top_tracks", O.Q1), ("q2_duration_popularity_named", O.Q2_NAMED),
+                      ("q3_top_artists", O.Q3), ("q4_album_categories", O.Q4),
+                      ("q5_key_popularity", O.Q5), ("q6_top_albums", O.Q6)):
+    register(f"sql_text_{_key.split('_')[0]}", W(_oracle))(_sql_question(_key))
