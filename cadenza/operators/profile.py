@@ -37,8 +37,12 @@ def distinct_sorted(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct().orderBy(column)
 
 
-def head(df: DataFrame, n: int = 10, order=("row_no", "track_genre")) -> DataFrame:
-    """First n rows in file order (a distributed top-n, not a full sort)."""
+def head(df: DataFrame, n: int = 10, order=("row_no", "track_genre", "track_id")) -> DataFrame:
+    """First n rows in file order (a distributed top-n, not a full sort).
+
+    Position, then genre, then track id: a total order on the cleaned rows,
+    so the n rows are the same on every run.
+    """
     return df.orderBy(*order).limit(n)
 
 

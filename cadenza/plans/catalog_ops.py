@@ -218,7 +218,7 @@ register("distinct_sorted_key", W("SELECT DISTINCT key FROM clean ORDER BY key")
     lambda spark, d: P.distinct_sorted(star_for(spark, d).clean, "key"))
 register("distinct_sorted_mode", W("SELECT DISTINCT mode FROM clean ORDER BY mode"))(
     lambda spark, d: P.distinct_sorted(star_for(spark, d).clean, "mode"))
-register("head_rows", W("SELECT * FROM clean ORDER BY row_no, track_genre LIMIT 10"))(
+register("head_rows", W("SELECT * FROM clean ORDER BY row_no, track_genre, track_id LIMIT 10"))(
     lambda spark, d: P.head(star_for(spark, d).clean, 10))
 register("describe_popularity", W(O._final(
     f"SELECT count(popularity) AS count, round(avg(popularity), {_R}) AS mean, "
