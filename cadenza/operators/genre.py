@@ -62,14 +62,6 @@ def genre_lists(candidates: DataFrame) -> DataFrame:
         F.min_by(_G, F.struct("pos", _G)).alias("first_genre"))
 
 
-def genre_list_arrays(clean: DataFrame) -> DataFrame:
-    """The genre list itself, in file order with duplicates (display only)."""
-    return (clean.where(F.col("track_id").isNotNull())
-            .groupBy("track_id")
-            .agg(F.sort_array(F.collect_list(F.struct(S.ROW_NO, _G))).alias("_l"))
-            .select("track_id", F.transform("_l", lambda x: x[_G]).alias("genre_list")))
-
-
 def _reference_vectors(nprof: DataFrame, match_time_signature: bool) -> DataFrame:
     """The vector each genre is compared with.
 
