@@ -1,30 +1,43 @@
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cadenza.operators.ids import dense_ids, dense_rank_all, top_k_dense
 
+BOTH_PATHS = pytest.mark.parametrize("small", [100_000, 0], ids=["window", "range"])
 
-def test_dense_ids_sorted_dense_with_null_zero(spark):
+
+@BOTH_PATHS
+def test_dense_ids_sorted_dense_with_null_zero(spark, small):
     names = ["delta", "alpha", None, "charlie", "alpha", "bravo", None]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(3)
-    out = sorted((r.id, r.name) for r in dense_ids(df, "name", "id").collect())
+    out = sorted((r.id, r.name) for r in dense_ids(df, "name", "id", small_key_set=small).collect())
     assert out == [(0, None), (1, "alpha"), (2, "bravo"), (3, "charlie"), (4, "delta")]
 
 
-def test_dense_ids_many_partitions_match_window(spark):
+@BOTH_PATHS
+def test_dense_ids_many_partitions_match_window(spark, small):
     df = spark.range(0, 5000).select(((F.col("id") * 7919) % 1237).alias("v")).repartition(7)
-    got = {r.v: r.id for r in dense_ids(df, "v", "id").collect()}
+    got = {r.v: r.id for r in dense_ids(df, "v", "id", small_key_set=small).collect()}
     ref = {r.v: r.rk for r in df.distinct().select("v", F.dense_rank().over(Window.orderBy("v")).alias("rk")).collect()}
     assert got == ref
 
 
-def test_dense_rank_all_descending_matches_window(spark):
+@BOTH_PATHS
+def test_dense_rank_all_descending_matches_window(spark, small):
     df = spark.createDataFrame([(i, s) for i, s in enumerate([5, 3, 5, 9, 1, 3, 9, 0])], "i int, s int")
-    got = {r.i: r.rk for r in dense_rank_all(df, ["s"], "rk", ascending=False).collect()}
+    got = {r.i: r.rk for r in dense_rank_all(df, ["s"], "rk", ascending=False, small_key_set=small).collect()}
     ref = {r.i: r.rk for r in df.select("i", F.dense_rank().over(Window.orderBy(F.col("s").desc())).alias("rk")).collect()}
     assert got == ref
 
 
+def test_small_key_check_switches_path(spark):
+    from cadenza.operators.ids import _dense_ids
+    df = spark.range(0, 50).select((F.col("id") % 20).alias("v"))
+    assert _dense_ids(df, "v", "id", small_key_set=20)[1] is True
+    assert _dense_ids(df, "v", "id", small_key_set=19)[1] is False
+
+
 def test_top_k_dense_keeps_ties(spark):
     df = spark.createDataFrame([(i, s) for i, s in enumerate([10, 10, 9, 8, 8, 8, 7, 1])], "i int, s int")
     out = sorted((r.i, r.rk) for r in top_k_dense(df, ["s"], 2, "rk").collect())
@@ -32,12 +45,13 @@ def test_top_k_dense_keeps_ties(spark):
     assert top_k_dense(df, ["s"], 3, "rk").count() == 6
 
 
-def test_dense_ids_stable_across_rereads_and_partitionings(spark):
+@BOTH_PATHS
+def test_dense_ids_stable_across_rereads_and_partitionings(spark, small):
     # many range partitions, AQE free to coalesce; ids are stored once, so two
     # reads of the result agree, and they equal the one-partition definition
     df = spark.range(0, 20000).select(F.format_string("n%05d", (F.col("id") * 7919) % 9973).alias("k"))
     df = df.repartition(13)
-    ids = dense_ids(df, "k", "id")
+    ids = dense_ids(df, "k", "id", small_key_set=small)
     a = {r.k: r.id for r in ids.collect()}
     b = {r.k: r.id for r in ids.collect()}
     assert a == b
