@@ -159,8 +159,10 @@ def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame
     with null-safe equality (a missing signature or id is a key too).
     """
     votes = vote(scored_rows(vote_keys(tracks), clean, profile, match_time_signature), KEY_COLS)
+    # the votes come from the same rows: rename their keys so the join is unambiguous
+    votes = votes.select(*[F.col(c).alias(f"_v_{c}") for c in KEY_COLS], "primary_genre")
     cond = None
     for c in KEY_COLS:
-        e = tracks[c].eqNullSafe(votes[c])
+        e = F.col(c).eqNullSafe(F.col(f"_v_{c}"))
         cond = e if cond is None else cond & e
-    return tracks.join(votes, cond, "left").select(tracks["*"], votes["primary_genre"])
+    return tracks.join(votes, cond, "left").drop(*[f"_v_{c}" for c in KEY_COLS])

@@ -34,11 +34,19 @@ def dim_artists(tracks: DataFrame) -> DataFrame:
         F.col("artist_id").cast("int").alias("artist_id"), "artist_name")
 
 
+def lookup_id(df: DataFrame, dim: DataFrame, key: str, id_col: str) -> DataFrame:
+    """Attach ``dim``'s id to ``df`` by null-safe equality on ``key`` (a
+    missing name matches the dimension's null row).  The dimension's key is
+    renamed first, so the join is unambiguous even when ``dim`` was derived
+    from ``df`` itself."""
+    d = dim.select(F.col(key).alias("_dim_key"), id_col)
+    return df.join(d, F.col(key).eqNullSafe(F.col("_dim_key")), "inner").drop("_dim_key")
+
+
 def artist_track_mapping(tracks: DataFrame, artists: DataFrame) -> DataFrame:
     """Distinct (artist_id, track_id) pairs, null names mapped to id 0."""
-    names = artist_names(tracks)
-    joined = names.join(artists, names["artist_name"].eqNullSafe(artists["artist_name"]), "inner")
-    return joined.select(artists["artist_id"], names["track_id"]).distinct()
+    return lookup_id(artist_names(tracks), artists, "artist_name", "artist_id") \
+        .select("artist_id", "track_id").distinct()
 
 
 def dim_albums(dim_tracks_named: DataFrame) -> DataFrame:
@@ -53,8 +61,7 @@ def dim_tracks_named(tracks_with_genre: DataFrame) -> DataFrame:
 
 def dim_tracks(named: DataFrame, albums: DataFrame) -> DataFrame:
     """Replace the album name by its id (a missing name matches the null album)."""
-    joined = named.join(albums, named["album_name"].eqNullSafe(albums["album_name"]), "inner")
-    return joined.select(*[albums["album_id"] if c == "album_id" else named[c] for c in S.DIM_TRACK_COLS])
+    return lookup_id(named, albums, "album_name", "album_id").select(*S.DIM_TRACK_COLS)
 
 
 class Star:

@@ -379,11 +379,9 @@ register("sink_export", _sink_export_sql())(_sink_export)
 
 def _join_surrogate(spark: SparkSession, d: str) -> DataFrame:
     """Album names of the track dimension replaced by their ids (null-safe)."""
-    from cadenza.operators.star import dim_albums, dim_tracks_named
+    from cadenza.operators.star import dim_albums, dim_tracks_named, lookup_id
     named = dim_tracks_named(star_for(spark, d).tracks).select("track_id", "album_name")
-    albums = dim_albums(named)
-    return (named.join(albums, named["album_name"].eqNullSafe(albums["album_name"]), "inner")
-            .select(named["track_id"], named["album_name"], albums["album_id"]))
+    return lookup_id(named, dim_albums(named), "album_name", "album_id")
 
 
 register("join_surrogate_nullsafe", W(
