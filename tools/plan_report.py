@@ -111,14 +111,22 @@ def main() -> None:
         plan = final_plan(build())
         counts = [len(re.findall(p, plan)) for _, p in OPS]
         lines.append(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
-        for m in re.finditer(r"FileScan parquet [^\n]*?Location: [^\[]*\[([^\]]*)\][^\n]*?ReadSchema: (struct<[^>]*>)", plan):
-            scans.append((name, os.path.basename(m.group(1).split(",")[0].rstrip("/")), m.group(2)))
-    lines += ["", "## Scans (column pruning)", "", "| query | table | ReadSchema |", "| --- | --- | --- |"]
+        for line in plan.split("\n"):
+            m = re.search(r"FileScan parquet .*?Location: [^\[]*\[([^\]]*)\].*?PushedFilters: \[(.*?)\], "
+                          r"ReadSchema: (struct<.*)$", line)
+            if m:
+                table = os.path.basename(m.group(1).split(",")[0].rstrip("/").rstrip(".")) or "stage table"
+                if table.startswith("cadenza-"):
+                    table = "stage table (shared folder)"
+                scans.append((name, table, m.group(3), m.group(2)))
+    lines += ["", "## Scans (column pruning and pushed filters)", "",
+              "| query | table | PushedFilters | ReadSchema |", "| --- | --- | --- | --- |"]
     seen = set()
-    for name, table, schema in scans:
-        if (name, table, schema) not in seen:
-            seen.add((name, table, schema))
-            lines.append(f"| {name} | {table} | `{schema}` |")
+    for scan in scans:
+        if scan not in seen:
+            seen.add(scan)
+            name, table, schema, pushed = scan
+            lines.append(f"| {name} | {table} | `{pushed or '-'}` | `{schema}` |")
     with open(out, "w") as fh:
         fh.write("\n".join(lines) + "\n")
     print(f"wrote {out}")
