@@ -19,3 +19,11 @@ def test_run_load_writes_tables_answers_and_cleans_stages(spark, tmp_path):
     assert os.path.isdir(f"{out}/answers/pop_scores")
     assert len(session._STAGES) == before          # stage tables were deleted
     assert stages_on_disk() == disk_before
+
+
+def test_command_line_load(spark, tmp_path, capsys):
+    from cadenza.__main__ import main
+    main(["load", "--tables", "/root/testdata/sf0.001", "--out", str(tmp_path / "cli")])
+    printed = capsys.readouterr().out
+    assert "Table : dim_tracks :" in printed and "Rows Loaded" in printed
+    assert spark.read.parquet(str(tmp_path / "cli" / "fact_track_popularity")).count() > 0
