@@ -37,11 +37,12 @@ def main() -> None:
              # small local data: let AQE keep more, smaller partitions so the
              # CPU-bound stages use all cores (cluster runs use advisory sizes)
              .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "256k")
-             .config("spark.checkpoint.dir", f"{scratch}/checkpoints")
              .config("spark.eventLog.enabled", "true")
              .config("spark.eventLog.dir", f"file://{scratch}")
              .getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
+    from cadenza.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)   # the configured spark.checkpoint.dir; a scratch one only if unset
 
     from cadenza.operators import profile as P
     from cadenza.operators import stats as ST
