@@ -4,7 +4,7 @@ to the driver except where the result itself is a handful of numbers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -52,29 +52,73 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (the NumPy/pandas default).
+# Up to this many distinct values, the final percentile runs in one task over
+# the (value, frequency) table; beyond it, values are ranked across the cluster.
+SMALL_DOMAIN = 100_000
+_LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
-    The values are first reduced to (value, frequency) across the cluster;
-    the final percentile then sees one row per distinct value.  Meant for
-    scores over a bounded domain such as popularity 0-100.
+
+def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float],
+                    small_domain: int = SMALL_DOMAIN) -> DataFrame:
+    """Exact quantiles with linear interpolation (the NumPy/pandas default),
+    one row with one column per entry of ``probs``.
+
+    The values are first reduced to (value, frequency) across the cluster and
+    the number of distinct values is checked.  A small domain (popularity has
+    at most 101 values) goes through one ``percentile`` aggregate; a large one
+    through :func:`_ranked_quantiles`, where no task sees more than its range.
     """
     freq = value_frequencies(df, column)
-    return freq.agg(*[F.percentile(F.col(column), p, F.col("n")).alias(name) for name, p in probs.items()])
+    if small_domain > 0 and freq.limit(small_domain + 1).count() <= small_domain:
+        return freq.agg(*[F.percentile(F.col(column), p, F.col("n")).alias(name) for name, p in probs.items()])
+    return _ranked_quantiles(freq, column, probs)
+
+
+def _ranked_quantiles(freq: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
+    """Distributed exact quantiles: sort the distinct values by range, give
+    each its cumulative count (a running sum inside its range partition plus
+    the totals of the partitions before it), then pick the values at the two
+    ranks around p * (N - 1) and interpolate as Spark's ``percentile`` does."""
+    from cadenza.session import checkpoint
+    mid = F.monotonically_increasing_id()
+    pos = checkpoint(freq.orderBy(column).select(
+        F.col(column).cast("double").alias("v"), "n",
+        F.shiftright(mid, 33).alias("_part"), mid.bitwiseAND(F.lit(_LOW_BITS)).alias("_row")), "quantiles")
+    sizes = pos.groupBy("_part").agg(F.sum("n").alias("_pn"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"))
+    within = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
+    cum = (pos.join(F.broadcast(offsets), "_part")
+           .select("v", "n", (F.col("_off") + F.sum("n").over(within)).alias("_end")))
+    total = freq.select(F.sum("n")).scalar()
+
+    def value_at(rank):
+        # 0-based rank k falls on the value whose rows span [_end - n, _end)
+        return F.max(F.when((F.col("_end") - F.col("n") <= rank) & (rank < F.col("_end")), F.col("v")))
+
+    aggs = []
+    for name, p in probs.items():
+        position = F.lit(float(p)) * (total - 1)
+        lower, higher = F.floor(position), F.ceil(position)
+        lo_v, hi_v = value_at(lower), value_at(higher)
+        interp = (higher - position) * lo_v + (position - lower) * hi_v
+        aggs.append(F.when((higher == lower) | (lo_v == hi_v), lo_v).otherwise(interp).alias(name))
+    return cum.agg(*aggs)
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """``describe()`` of one integer-valued column: count, mean, sample std,
-    min, exact quartiles, max -- one aggregate over the (value, frequency)
-    table, so every sum is exact and no task sees more than the domain."""
+    """``describe()`` of one numeric column: count, mean, sample std, min,
+    exact quartiles, max.  Moments come from one aggregate over the (value,
+    frequency) table (exact sums for integer values); the quartiles from
+    :func:`exact_quantiles`, used as one scalar subquery."""
     freq = value_frequencies(df, column)
     v, n = F.col(column).cast("double"), F.col("n").cast("double")
     tot, s1, s2 = F.sum(n), F.sum(v * n), F.sum(v * v * n)
     var = (s2 - s1 * s1 / tot) / (tot - 1)
-    return freq.agg(
+    names = ("q25", "q50", "q75")
+    q = exact_quantiles(df, column, dict(zip(names, (0.25, 0.5, 0.75)))).select(F.struct(*names)).scalar()
+    moments = freq.agg(
         F.sum("n").alias("count"), (s1 / tot).alias("mean"),
         F.when(tot > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std"),
-        F.min(v).alias("min"),
-        *[F.percentile(F.col(column), p, F.col("n")).alias(name)
-          for name, p in (("q25", 0.25), ("q50", 0.5), ("q75", 0.75))],
-        F.max(v).alias("max"))
+        F.min(v).alias("min"), F.max(v).alias("max"))
+    return moments.select("count", "mean", "std", "min", *[q[c].alias(c) for c in names], "max")

@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.profile import value_frequencies
+from cadenza.operators.profile import exact_quantiles, value_frequencies
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
@@ -102,15 +102,15 @@ def boxplot_stats(df: DataFrame, column: str, whis: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, IQR, whiskers at the most extreme values
     within ``whis`` x IQR of the box, number of outliers, mean.
 
-    Two aggregates over the (value, frequency) table: the quartiles (one
-    scalar subquery), then everything that depends on them.  A value below
+    The quartiles come from :func:`exact_quantiles` (one scalar subquery),
+    then one aggregate over the (value, frequency) table does the rest.  A value below
     the low whisker is exactly a value below the low fence, so the outliers
     are counted in the same pass.
     """
     freq = value_frequencies(df, column)
     v, n = F.col(column).cast("double"), F.col("n")
-    q = freq.select(F.struct(*[F.percentile(F.col(column), p, n).alias(a)
-                               for a, p in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))])).scalar()
+    q = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}) \
+        .select(F.struct("q1", "median", "q3")).scalar()
     q1, med, q3 = q["q1"], q["median"], q["q3"]
     iqr = q3 - q1
     lo_fence, hi_fence = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr

@@ -80,3 +80,15 @@ def test_constant_column_statistics(spark):
     assert sum(r["count"] for r in h) == 5
     b = ST.boxplot_stats(df, "popularity").collect()[0]
     assert (b.q1, b.q3, b.whisker_low, b.whisker_high, b.n_outliers) == (7.0, 7.0, 7.0, 7.0, 0)
+
+
+def test_distributed_quantiles_match_numpy(spark):
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(50, 20, size=3000), 1)          # many distinct values, some repeats
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(5)
+    probs = {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}
+    small = P.exact_quantiles(df, "v", probs).collect()[0]
+    big = P.exact_quantiles(df, "v", probs, small_domain=0).collect()[0]
+    ref = np.percentile(x, [0, 25, 50, 90, 100])
+    for k, r in zip("abcde", ref):
+        assert math.isclose(small[k], r, rel_tol=1e-12) and math.isclose(big[k], r, rel_tol=1e-12)
