@@ -56,8 +56,8 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
                .when((k % 4).isin(1, 2), F.concat(first_artist, second_artist))
                .otherwise(first_artist))
     album = (F.when(k % 103 == 9, F.lit(None))
-             .when(k % 3 == 0, F.concat_ws(" ", "p_brand", "p_name"))
-             .when(k % 3 == 1, F.concat_ws(" ", "p_brand", "p_type"))
+             .when(k % 3 == 0, F.concat(F.col("p_brand"), F.lit(" "), F.col("p_name")))
+             .when(k % 3 == 1, F.concat(F.col("p_brand"), F.lit(" "), F.col("p_type")))
              .otherwise(F.concat(F.lit("Volume "), F.floor(F.sqrt(k)).cast("bigint").cast("string"))))
     bump = F.when(k % 11 == 0, F.col("l_linenumber")).otherwise(F.lit(0))
     ts_band = k % 50
