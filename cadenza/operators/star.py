@@ -71,12 +71,20 @@ class Star:
     table never pays for the dense-id jobs of the artist and album ids.
     """
 
-    def __init__(self, clean: DataFrame, tracks: DataFrame, profile: DataFrame, **tables: DataFrame):
-        self.clean, self.tracks, self.profile = clean, tracks, profile
+    def __init__(self, clean: DataFrame, tracks, profile: DataFrame, **tables: DataFrame):
+        """``tracks`` is the voted track rows or a function building them
+        (run on first use, so cleaning-only questions skip the vote)."""
+        self.clean, self.profile = clean, profile
         self._tables = dict(tables)
+        self._tracks = tracks
         self._locks: dict[str, threading.Lock] = {}
         self._guard = threading.Lock()
 
+    @property
+    def tracks(self) -> DataFrame:
+        """Track rows with their primary genre."""
+        return self._get("_tracks", lambda: self._tracks() if callable(self._tracks) else self._tracks)
+
     def _get(self, name: str, build):
         # tables may be requested from several writer threads at once; each
         # is built once (the id dimensions run jobs while being defined)
@@ -132,18 +140,20 @@ class Star:
 def build_star(raw: DataFrame, match_time_signature: bool = False, checkpoint_stages: bool = True) -> Star:
     """Clean, pick primary genres and define all six tables.
 
-    With ``checkpoint_stages`` the cleaned rows and the track rows with their
-    primary genre are each written once to the shared checkpoint folder:
-    every table and the genre vote read them, so the scan, the full-row
-    dedup and the vote run once, and a lost executor re-reads files instead
-    of redoing shuffles.
+    With ``checkpoint_stages`` the cleaned rows (now) and the track rows with
+    their primary genre (on first use) are each written once to the shared
+    checkpoint folder.  Every table and the vote read those copies, so the
+    scan, the full-row dedup and the vote run once, and a lost executor
+    re-reads files instead of redoing shuffles.
     """
     from cadenza.session import checkpoint
     clean = clean_tracks(raw)
     if checkpoint_stages:
         clean = checkpoint(clean)
     profile = genre_profile(clean)
-    tracks = assign_primary_genre(track_rows(clean), clean, profile, match_time_signature)
-    if checkpoint_stages:
-        tracks = checkpoint(tracks)
-    return Star(clean=clean, tracks=tracks, profile=profile)
+
+    def voted_tracks() -> DataFrame:
+        tracks = assign_primary_genre(track_rows(clean), clean, profile, match_time_signature)
+        return checkpoint(tracks) if checkpoint_stages else tracks
+
+    return Star(clean=clean, tracks=voted_tracks, profile=profile)
