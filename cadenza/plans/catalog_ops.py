@@ -204,6 +204,8 @@ def _nulls_sql(src: str) -> str:
     return O._final(" UNION ALL ".join(parts))
 
 
+register("profile_shape_dedup", W(f"SELECT count(*) AS n_rows, CAST({len(S.DATA_COLS)} AS BIGINT) AS n_cols FROM dedup"))(
+    lambda spark, d: P.shape(_dedup(spark, d)))
 register("profile_nulls", W(_nulls_sql("raw")))(lambda spark, d: P.null_counts(raw_tracks(spark, d)))
 register("profile_nulls_clean", W(_nulls_sql("named_rows")))(lambda spark, d: P.null_counts(_named(spark, d)))
 register("value_counts_time_signature_raw", W(
