@@ -222,6 +222,16 @@ register("distinct_sorted_mode", W("SELECT DISTINCT mode FROM clean ORDER BY mod
     lambda spark, d: P.distinct_sorted(star_for(spark, d).clean, "mode"))
 register("head_rows", W("SELECT * FROM clean ORDER BY row_no, track_genre, track_id LIMIT 10"))(
     lambda spark, d: P.head(star_for(spark, d).clean, 10))
+def _head_tracks(spark, d, n=5):
+    """First track rows (genre dropped, deduplicated) in order of first appearance."""
+    clean = star_for(spark, d).clean
+    first = clean.groupBy(*S.TRACK_COLS).agg(F.min("row_no").alias("first_row"))
+    return first.orderBy("first_row", "track_id").limit(n)
+
+
+_tc = ", ".join(S.TRACK_COLS)
+register("head_tracks", W(f"SELECT {_tc}, min(row_no) AS first_row FROM clean GROUP BY {_tc} "
+                          "ORDER BY first_row, track_id LIMIT 5"))(_head_tracks)
 register("describe_popularity", W(O._final(
     f"SELECT count(popularity) AS count, round(avg(popularity), {_R}) AS mean, "
     f"round(stddev_samp(popularity), {_R}) AS std, CAST(min(popularity) AS DOUBLE) AS min, "
