@@ -55,7 +55,3 @@ def track_rows(clean: DataFrame) -> DataFrame:
 def with_key_signature(df: DataFrame) -> DataFrame:
     from cadenza.functions.columns import key_signature
     return df.withColumn("key_signature", key_signature("key", "mode"))
-
-
-def is_missing_marker(c: Column) -> Column:
-    return c.isin(*S.MISSING_MARKERS)
