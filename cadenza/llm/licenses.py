@@ -7,7 +7,7 @@ in one window.  Every run of up to ``WINDOW`` shingles of a template is a
 template window.  ``BANDS`` MinHashes of a window are a band each: a window
 that shares one of its four shingles with a template's run has a Jaccard
 similarity of 1/4 or more to the run of the shared ones, so some band agrees
-with probability ``1 - 0.75 ** 32`` (0.9999) at least, and surely when a run
+with probability ``1 - 0.75 ** 24`` (0.999) at least, and surely when a run
 fills the window.
 
 Retrieved pairs are verified on the shingles themselves; a document has a
@@ -21,14 +21,12 @@ rows that share an id are one document; a null id is one document too.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WIDTH = 5
 WINDOW = 4
-BANDS = 32
+BANDS = 24
 CONTAINMENT = 0.8
 MAX_SHINGLES = 20_000
 #: license notices (fixed values)
@@ -58,10 +56,10 @@ def shingles(w: Column) -> Column:
                   ).otherwise(F.array().cast("array<string>"))
 
 
-def _bands(columns: list[Column]) -> list[Column]:
-    """A MinHash per band over shingle hashes; nulls are passed over."""
-    return [F.least(*[F.when(c.isNotNull(), F.xxhash64(c, F.lit(b))) for c in columns]) if len(columns) > 1
-            else F.xxhash64(columns[0], F.lit(b)) for b in range(BANDS)]
+def _band_key(hashes: list[Column], band: Column) -> Column:
+    """The window's MinHash in ``band`` as a key; nulls are passed over."""
+    low = F.least(*[F.when(h.isNotNull(), F.xxhash64(h, band)) for h in hashes])
+    return F.xxhash64(low, band)
 
 
 def template_windows(spark, templates: dict[str, str]) -> DataFrame:
@@ -78,27 +76,25 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     """``(id_col, license, n_shingles, containment)`` for every license found."""
     spark = docs.sparkSession
     runs = template_windows(spark, TEMPLATES if templates is None else templates)
-    hashed = [F.xxhash64(F.get("run", F.lit(i))) for i in range(WINDOW)]
-    own = [F.when(F.size("run") > i, h) for i, h in enumerate(hashed)]
-    lib = (runs.withColumn("b", F.array(*_bands(own)))
-           .select("license", "total", "run", F.posexplode("b").alias("band", "hash")))
-    kept = lib.select("band", "hash").distinct().limit(MAX_SHINGLES * BANDS * WINDOW + 1).collect()  # bounded by the library
-    if len(kept) > MAX_SHINGLES * BANDS * WINDOW:
+    if runs.where("size(run) = 1").count() > MAX_SHINGLES:
         raise ValueError(f"templates of over {MAX_SHINGLES} shingles")
-    known = {b: [r["hash"] for r in kept if r["band"] == b] for b in range(BANDS)}
+    band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
+    own = [F.get("run", F.lit(i)) for i in range(WINDOW)]
+    own = [F.when(r.isNotNull(), F.xxhash64(r)) for r in own]
+    index = runs.select("license", "run", band).select("license", _band_key(own, F.col("band")).alias("key")).distinct()
 
     spans = docs.select(F.col(id_col).alias("id"), words(F.col(text_col)).alias("w"))
     # overlapping windows: WINDOW + WIDTH - 1 words, a new one every WINDOW words
     starts = F.when(F.size("w") >= WIDTH, F.sequence(F.lit(1), F.size("w") - WIDTH + 1, F.lit(WINDOW)))
-    windows = spans.select("id", "w", F.explode(starts).alias("at")).select("id", F.slice("w", F.col("at"), WINDOW + WIDTH - 1).alias("w"))
+    windows = (spans.select("id", "w", F.explode(starts).alias("at"))
+               .select("id", F.slice("w", F.col("at"), WINDOW + WIDTH - 1).alias("w")))
     word = [F.get("w", F.lit(i)) for i in range(WINDOW + WIDTH - 1)]
     parts = [F.when(F.size("w") >= i + WIDTH, F.xxhash64(F.concat_ws(" ", *word[i:i + WIDTH]))) for i in range(WINDOW)]
     windows = windows.select("id", "w", *[p.alias(f"s{i}") for i, p in enumerate(parts)])
-    bands = _bands([F.col(f"s{i}") for i in range(WINDOW)])
-    hit = reduce(lambda a, b: a | b, [m.isin(known[b]) for b, m in enumerate(bands) if known[b]], F.lit(False))
-    near = windows.where(hit).select("id", "w", F.posexplode(F.array(*bands)).alias("band", "hash"))
-    index = F.broadcast(lib.select("license", "band", "hash").distinct())
-    pairs = near.join(index, ["band", "hash"]).select("id", "w", "license").distinct()
+    keys = windows.select("id", "w", *[f"s{i}" for i in range(WINDOW)], band).select(
+        "id", "w", _band_key([F.col(f"s{i}") for i in range(WINDOW)], F.col("band")).alias("key"))
+    # the library is bounded by MAX_SHINGLES
+    pairs = keys.join(F.broadcast(index), "key").select("id", "w", "license").distinct()
     body = runs.where("size(run) = 1").select("license", "total", F.col("run")[0].alias("shingle")).distinct()
     exact = (pairs.select("id", "license", F.explode(shingles(F.col("w"))).alias("shingle"))
              .join(F.broadcast(body), ["license", "shingle"]))

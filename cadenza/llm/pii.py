@@ -51,10 +51,8 @@ _PATTERNS = {
 }
 #: every entity begins where no letter or digit stands before
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(_PATTERNS.values()) + ")"
-_SYLLABLES = ("ba", "be", "bi", "da", "de", "do", "ka", "ke", "ki", "la", "le", "lo", "ma", "me", "mi", "na", "ne", "no",
-              "ra", "re", "ri", "sa", "se", "so", "ta", "te", "to", "va", "ve", "vi", "za", "zo")
-_CYRILLIC = ("ба", "бе", "би", "да", "де", "до", "ка", "ке", "ки", "ла", "ле", "ло", "ма", "ме", "ми", "на", "не", "но",
-             "ра", "ре", "ри", "са", "се", "со", "та", "те", "то", "ва", "ве", "ви", "за", "зо")
+_LATIN = "babebidadedokakekilalelomamemimonanenorareresasesotatetovavevizazo"
+_CYRILLIC = "бабебидададокакекилалеломамеминаненорарересасесотатетовавевизазориси"
 
 
 def matches(text: Column) -> Column:
@@ -80,10 +78,16 @@ def _canon(m: Column, kind: Column) -> Column:
             .when(kind == "phone", F.concat_ws(":", code, F.substr(bare, F.length(code) + 1, F.length(bare)))).otherwise(bare))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _draw(key: str, kind: Column, seed: Column, attempt: Column) -> Column:
     """192 keyed hexadecimal digits."""
-    base = F.concat_ws("\u0001", F.lit(key), kind, seed, attempt.cast("string"))
-    return F.concat(*[F.sha2(F.concat(base, F.lit(f"\u0001{i}")).cast("binary"), 256) for i in range(3)])
+    def three(base):
+        return F.concat(*[F.sha2(F.concat(base, F.lit(f"\u0001{i}")).cast("binary"), 256) for i in range(3)])
+    return _let(F.concat_ws("\u0001", F.lit(key), kind, seed, attempt.cast("string")), three)
 
 
 def _byte(draw: Column, i: Column) -> Column:
@@ -93,77 +97,80 @@ def _byte(draw: Column, i: Column) -> Column:
 def _like(text: Column, draw: Column) -> Column:
     """``text`` with each digit and letter replaced by one of its own sort."""
     def one(c, i):
-        b = _byte(draw, i)
-        return (F.when(c.rlike(r"^\d$"), (b % 10).cast("string"))
-                .when(c.rlike(r"^\p{Lu}$"), F.char(b % 26 + 65))
-                .when(c.rlike(r"^\p{L}$"), F.char(b % 26 + 97)).otherwise(c))
+        return _let(_byte(draw, i), lambda b: (
+            F.when(c.rlike(r"^\d$"), (b % 10).cast("string")).when(c.rlike(r"^\p{Lu}$"), F.char(b % 26 + 65))
+            .when(c.rlike(r"^\p{L}$"), F.char(b % 26 + 97)).otherwise(c)))
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
 def _luhn(digits: Column) -> Column:
     """``digits`` with their last one set to the check digit."""
-    n = F.length(digits)
     def add(acc, i):
-        d = F.substr(digits, n - i, F.lit(1)).cast("int")
-        d = F.when(i % 2 == 1, F.when(d >= 5, d * 2 - 9).otherwise(d * 2)).otherwise(d)
-        return acc + d
-    total = F.aggregate(F.sequence(F.lit(1), n - 1), F.lit(0), add)
-    return F.concat(F.substr(digits, F.lit(1), n - 1), ((F.lit(10) - total % 10) % 10).cast("string"))
+        return _let(F.substr(digits, F.length(digits) - i, F.lit(1)).cast("int"), lambda d: acc + F.when(
+            i % 2 == 1, F.when(d >= 5, d * 2 - 9).otherwise(d * 2)).otherwise(d))
+    total = F.aggregate(F.sequence(F.lit(1), F.length(digits) - 1), F.lit(0), add)
+    return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((F.lit(10) - total % 10) % 10).cast("string"))
 
 
 def _syllables(draw: Column, at: int, n: int, cyrillic: Column) -> Column:
-    pick = lambda names, i: F.element_at(F.array(*[F.lit(s) for s in names]), _byte(draw, F.lit(i)) % len(names) + 1)
-    return F.when(cyrillic, F.concat(*[pick(_CYRILLIC, at + i) for i in range(n)])).otherwise(
-        F.concat(*[pick(_SYLLABLES, at + i) for i in range(n)]))
+    def one(names: str) -> Column:
+        size = len(names) // 2
+        return F.array_join(F.transform(F.sequence(F.lit(at), F.lit(at + n - 1)), lambda i: F.substr(
+            F.lit(names), _byte(draw, i) % size * 2 + 1, F.lit(2))), "")
+    return F.when(cyrillic, one(_CYRILLIC)).otherwise(one(_LATIN))
+
+
+def _email(canon: Column, draw: Column, key: str) -> Column:
+    local = F.rpad(F.regexp_extract(canon, "^([^@]*)@", 1), F.greatest(F.lit(8), F.length(F.regexp_extract(canon, "^([^@]*)@", 1))), F.lit("a"))
+    domain = _draw(key, F.lit("domain"), F.regexp_extract(canon, "@(.*)$", 1), F.lit(0))
+    return F.concat(_like(local, draw), F.lit("@d"), F.substring(domain, 1, 10), F.lit(".example"))
+
+
+def _person(canon: Column, draw: Column) -> Column:
+    """First names end after the gender; a sole word after a title is a family name."""
+    cyrillic = canon.rlike(r"\p{IsCyrillic}")
+    pick = lambda latin, other: F.when(cyrillic, other).otherwise(latin)
+    end = F.when(canon.startswith("f:"), pick("na", "на")).when(canon.startswith("m:"), pick("ron", "рон")).otherwise(pick("mi", "ми"))
+    n = F.size(F.split(F.substring(canon, 3, 200), r"[\x20\-]"))
+    family = _syllables(draw, 8, 5, cyrillic)
+    return F.concat(F.substring(canon, 1, 2), F.when(n == 1, family).otherwise(F.concat(
+        _syllables(draw, 0, 3, cyrillic), end, F.lit(" "), family, F.when(n > 2, F.concat(F.lit(" "), _syllables(draw, 16, 4, cyrillic)))
+        .otherwise(""))))
 
 
 def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The replacement in canonical form: what collision checks compare."""
-    draw = _draw(key, kind, canon, attempt)
-    local = F.regexp_extract(canon, "^([^@]*)@", 1)
-    domain = F.regexp_extract(canon, "@(.*)$", 1)
-    local = F.when(F.length(local) < 8, F.concat(local, F.substr(F.lit("aaaaaaaa"), F.lit(1), F.lit(8) - F.length(local)))).otherwise(local)
-    email = F.concat(_like(local, draw), F.lit("@d"), F.substring(_draw(key, F.lit("domain"), domain, F.lit(0)), 1, 10), F.lit(".example"))
-    ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(draw, i) % 254 + 1).cast("string")), ".")
-    digits = _like(canon, draw)
-    card = _luhn(F.concat(F.substr(canon, F.lit(1), F.lit(1)), F.substring(digits, 2, 99)))
-    iban = F.concat(F.substring(canon, 1, 2), F.substring(digits, 3, 99))
-    cyrillic = canon.rlike(r"\p{IsCyrillic}")
-    end = F.when(canon.startswith("f:"), F.when(cyrillic, "на").otherwise("na")).when(
-        canon.startswith("m:"), F.when(cyrillic, "рон").otherwise("ron")).otherwise(F.when(cyrillic, "ми").otherwise("mi"))
-    words = F.split(F.substring(canon, 3, 200), r"[\x20\-]")
-    first = F.concat(_syllables(draw, 0, 3, cyrillic), end)
-    rest = F.transform(F.slice(words, 2, 9), lambda w, i: F.concat(F.lit(""), _syllables(draw, 8, 5, cyrillic),
-                                                                   F.when(i == 0, "").otherwise("lo")))
-    # a sole word after a title is a family name
-    sole = _syllables(draw, 16, 6, cyrillic)
-    person = F.when(F.size(words) == 1, sole).otherwise(F.array_join(F.concat(F.array(first), rest), " "))
-    name = F.concat(F.substring(canon, 1, 2), person)
-    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "iban", iban)
-            .when(kind == "name", name)
-            .when(kind == "phone", F.concat(F.regexp_extract(canon, "^[^:]*:", 0), F.regexp_extract(digits, ":(.*)$", 1)))
-            .otherwise(digits))
+    def made(draw):
+        ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(draw, i) % 254 + 1).cast("string")), ".")
+        def digits(d):
+            return (F.when(kind == "card", _luhn(F.concat(F.substring(canon, 1, 1), F.substring(d, 2, 99))))
+                    .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(d, 3, 99)))
+                    .when(kind == "phone", F.concat(F.regexp_extract(canon, "^[^:]*:", 0), F.regexp_extract(d, ":(.*)$", 1)))
+                    .otherwise(d))
+        return (F.when(kind == "email", _email(canon, draw, key)).when(kind == "ip", ip)
+                .when(kind == "name", _person(canon, draw)).otherwise(_let(_like(canon, draw), digits)))
+    return _let(_draw(key, kind, canon, attempt), made)
 
 
 def _render(m: Column, kind: Column, made: Column) -> Column:
     """The canonical replacement in the written form of ``m``."""
-    bare = F.replace(made, F.lit(":"), F.lit(""))
-
-    def place(c, i):
-        upto = F.length(F.regexp_replace(F.substr(m, F.lit(1), i + 1), r"[^\p{L}\p{N}]", ""))
-        return F.when(c.rlike(r"^[\p{L}\p{N}]$"), F.substr(bare, upto, F.lit(1))).otherwise(c)
-    masked = F.array_join(F.transform(F.split(m, ""), place), "")
-    title = F.regexp_extract(m, r"^(\S+\x20)", 1)
-    dash = F.regexp_replace(m, r"^\S+\x20", "").contains("-")
+    def masked(bare):
+        def place(c, i):
+            upto = F.length(F.regexp_replace(F.substr(m, F.lit(1), i + 1), r"[^\p{L}\p{N}]", ""))
+            return F.when(c.rlike(r"^[\p{L}\p{N}]$"), F.substr(bare, upto, F.lit(1))).otherwise(c)
+        return F.array_join(F.transform(F.split(m, ""), place), "")
+
+    bare_name = F.regexp_replace(m, r"^\S+\x20", "")
+    dashed = bare_name.contains("-") & ~bare_name.contains(" ")
     person = F.initcap(F.substring(made, 3, 200))
-    person = F.when(dash & ~F.regexp_replace(m, r"^\S+\x20", "").contains(" "), F.replace(person, F.lit(" "), F.lit("-"))).otherwise(person)
-    return (F.when(kind == "email", made).when(kind == "ip", made).when(kind == "name", F.concat(title, person)).otherwise(masked))
+    person = F.when(dashed, F.replace(person, F.lit(" "), F.lit("-"))).otherwise(person)
+    return (F.when(kind.isin("email", "ip"), made).when(kind == "name", F.concat(F.regexp_extract(m, r"^(\S+\x20)", 1), person))
+            .otherwise(_let(F.replace(made, F.lit(":"), F.lit("")), masked)))
 
 
 def _entities(found: Column) -> Column:
     def one(m):
-        kind = _kind(m)
-        return F.struct(kind.alias("kind"), _canon(m, kind).alias("canon"))
+        return _let(_kind(m), lambda kind: F.struct(kind.alias("kind"), _canon(m, kind).alias("canon")))
     return F.transform(found, one)
 
 
@@ -192,10 +199,13 @@ def redraws(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFram
 
 def _rewrite(text: Column, found: Column, attempts: Column | None, key: str) -> Column:
     def one(m):
-        kind = _kind(m)
-        canon = _canon(m, kind)
-        attempt = F.lit(0) if attempts is None else F.coalesce(F.element_at(attempts, F.concat_ws("\u0001", kind, canon)), F.lit(0))
-        return _render(m, kind, core(kind, canon, attempt, key))
+        def known(kind):
+            def named(canon):
+                attempt = F.lit(0) if attempts is None else F.coalesce(
+                    F.element_at(attempts, F.concat_ws("\u0001", kind, canon)), F.lit(0))
+                return _let(core(kind, canon, attempt, key), lambda made: _render(m, kind, made))
+            return _let(_canon(m, kind), named)
+        return _let(_kind(m), known)
     pieces = F.split(text, ANY, -1)
     made = F.concat(F.transform(found, one), F.array(F.lit("")))
     return F.when(F.size(found) > 0, F.array_join(F.zip_with(pieces, made, lambda p, s: F.concat(p, s)), "")).otherwise(text)
