@@ -22,6 +22,7 @@ id is written as an empty string; repeated documents each give a row.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
@@ -216,7 +217,7 @@ def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col:
                          F.size("_items").cast("long").alias("n_items"),
                          F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
                          F.col("_spans").alias("spans"))
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(coverage) * F.col("n_words"))))
+            .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(Decimal(str(coverage))) * F.col("n_words"))))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", max_span: int = WINDOW,
@@ -229,7 +230,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", max
     """
     found = find_spans(docs, items, text_col, **options)
     hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    kept = found.where(~((hit > 0) & (hit >= F.lit(coverage) * F.col("_n_words"))))
+    kept = found.where(~((hit > 0) & (hit >= F.lit(Decimal(str(coverage))) * F.col("_n_words"))))
     if cut_spans:
         @F.pandas_udf("string")
         def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:

@@ -31,8 +31,7 @@ def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
-            .withColumn("contaminated", F.expr("n_hit > 0 AND 20 * n_hit >= n_words")))
+    return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("spans")
 
 
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ span of a fixed pattern are left to it.
 The models are trained from labelled samples: seeded random strings over the
 usual key alphabets, together with the values that the fixed patterns found in
 a bounded hash sample of the corpus (``SAMPLE`` documents), against the other
-identifiers of that sample and a few fixed ones.
+identifiers of that sample and public names of the standard library.
 
 Defined results: a null text is empty; offsets count code points, ends
 exclusive; repeated rows each give a row.
@@ -65,7 +65,7 @@ def _codes(token: str) -> np.ndarray:
     return _INDEX[np.frombuffer(token.encode("ascii"), np.uint8)]
 
 
-def train(random_tokens, ordinary_tokens, prior: float = 0.5) -> np.ndarray:
+def train(random_tokens, ordinary_tokens, prior: float = 0.2) -> np.ndarray:
     """Log-likelihood ratio of each character transition, random over ordinary."""
     n = len(ALPHABET) + 1
 
@@ -86,6 +86,26 @@ def random_tokens(n: int = 4_000, seed: int = 13) -> list[str]:
     return ["".join(rng.choice(list(sets[i % len(sets)]), rng.integers(16, 48))) for i in range(n)]
 
 
+def identifiers() -> list[str]:
+    """Ordinary identifiers: the public names of some standard modules, alone
+    and joined in the usual styles, and the fixed ones."""
+    import argparse
+    import builtins
+    import concurrent.futures
+    import http.client
+    import logging.handlers
+    import os
+    import unittest.mock
+    import xml.dom.minidom
+
+    names = sorted({n for m in (argparse, builtins, concurrent.futures, http.client, logging.handlers, os, unittest.mock,
+                                xml.dom.minidom, re, string) for n in dir(m) if not n.startswith("_") and n.isascii()})
+    pairs = list(zip(names, names[1:] + names[:1], names[7:] + names[:7]))
+    joined = ["_".join(p) for p in pairs] + ["-".join(p).lower() for p in pairs] + ["/".join(p) for p in pairs]
+    joined += ["".join(w.title().replace("_", "") for w in p) for p in pairs]
+    return [*names, *joined, *IDENTIFIERS]
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE) -> np.ndarray:
     """The ratio table from a bounded sample of documents."""
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -97,7 +117,8 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
                 for s, e, _ in spans:
                     inside[s:e] = True
                 rows += [(0, m[0][:200]) for m in re.finditer(r"[A-Za-z0-9+/_=-]{3,}", text) if not inside[m.start()]][:2_000]
-                yield pd.DataFrame(rows, columns=["label", "token"])
+                if rows:
+                    yield pd.DataFrame(rows, columns=["label", "token"])
 
     rows = hash_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), sample_docs, "id")
     # counted by token where the text is, so that the driver gets transitions of distinct tokens
@@ -105,7 +126,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_
            .where(F.xxhash64("token") % 4 == 0).toPandas())
     keep = got["token"].map(lambda t: all(c in ALPHABET for c in t))
     got = got[keep]
-    return train([*random_tokens(), *got.token[got.label == 1]], [*IDENTIFIERS * 3, *got.token[got.label == 0]])
+    return train([*random_tokens(), *got.token[got.label == 1]], [*identifiers(), *got.token[got.label == 0]])
 
 
 def markov_spans(text: str, ratio: np.ndarray, taken: list, threshold: float) -> list[tuple[int, int, str]]:

@@ -119,7 +119,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                     found = stems(fold(text))
                     (toxic if y else clean).update(found if wanted is None else found & wanted)
             keys = list(toxic.keys() | clean.keys())
-            yield pd.DataFrame({"stem": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys]})
+            if keys:
+                yield pd.DataFrame({"stem": keys, "toxic": [toxic[k] for k in keys], "clean": [clean[k] for k in keys]})
         return run
 
     def total(df, wanted=None):
@@ -148,7 +149,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = [features(t, auto) for t in pdf["text"]]
             yield pd.DataFrame(x, columns=["a", "b", "c"]).assign(y=pdf["y"].to_numpy())
 
-    got = rows.mapInPandas(measure, "a double, b double, c double, y int").orderBy("a", "b", "c", "y").toPandas()
+    got = rows.mapInPandas(measure, "a double, b double, c double, y int").toPandas().sort_values(["a", "b", "c", "y"])
     return lexicon, _logistic(got[["a", "b", "c"]].to_numpy(), got["y"].to_numpy())
 
 
