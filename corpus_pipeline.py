@@ -24,11 +24,14 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate class stays: that of the smallest
-    id (of rows that share it, one); of a class without ids, one row."""
-    found = simhash_vptree.near_duplicates(docs)
-    stays = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stays, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.dropDuplicates(["doc_id"]).select(*COLUMNS)
+    id, null ids last.  Rows that share an id are told apart by their text; of
+    those that share both, one stays."""
+    key = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"),
+                   F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("t"))
+    keyed = docs.select(*COLUMNS, key.alias("_key"))
+    found = simhash_vptree.near_duplicates(keyed, id_col="_key")
+    stays = found.where("_key = component_id").select("_key").distinct()
+    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
