@@ -25,19 +25,20 @@ def main(argv: list[str] | None = None) -> None:
     src.add_argument("--tables", help="folder with lineitem/part/supplier parquet tables")
     load.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
     load.add_argument("--export-format", default="csv", choices=["csv", "parquet", "json"])
-    load.add_argument("--multi-line", action="store_true", help="quoted CSV fields contain line breaks")
+    load.add_argument("--single-line", action="store_true",
+                      help="no quoted CSV field contains a line break: files can be split")
     args = ap.parse_args(argv)
 
     spark = get_session()
     if args.csv:
         from cadenza.sources.csv import read_tracks_csv
-        raw = read_tracks_csv(spark, args.csv, multi_line=args.multi_line)
+        raw = read_tracks_csv(spark, args.csv, multi_line=not args.single_line)
     else:
         from cadenza.sources.fixture import raw_tracks
         raw = raw_tracks(spark, args.tables)
     from cadenza.plans.load import run_load
     for row in run_load(spark, raw, args.out, args.export_format).collect():
-        print(f"Table : {row.table_name} : {row.row_count} Rows Loaded")
+        print(f"{row.table_name}: {row.row_count} rows written")
 
 
 if __name__ == "__main__":

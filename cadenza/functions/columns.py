@@ -55,21 +55,10 @@ def l2_normalize(cols, norm=None) -> list[Column]:
     return [F.when(n == 0, _col(c)).otherwise(_col(c) / n) for c in cols]
 
 
-def l2_denormalize(cols, norm) -> list[Column]:
-    return [_col(c) * _col(norm) for c in cols]
-
-
 def dot(a_cols, b_cols) -> Column:
     return reduce(lambda x, y: x + y, [_col(a) * _col(b) for a, b in zip(a_cols, b_cols)])
 
 
-def cosine_similarity(a_cols, b_cols) -> Column:
-    """cos(a, b); 0 when either vector is zero."""
-    na, nb = l2_norm(*a_cols), l2_norm(*b_cols)
-    denom = na * nb
-    return F.when(denom == 0, F.lit(0.0)).otherwise(dot(a_cols, b_cols) / denom)
-
-
 # --- rounding with the reference's numeric rules ------------------------------
 
 def half_even_int(x) -> Column:
@@ -83,19 +72,19 @@ def exact_avg(x) -> Column:
     return F.avg(_col(x).cast("decimal(20,0)"))
 
 
-def exact_avg_dec(x) -> Column:
-    """Exact average of a decimal-valued column (adds four decimals)."""
-    return F.avg(_col(x))
-
-
-def round_half_up(x, n: int) -> Column:
-    """ROUND(x, n) on a decimal: half away from zero."""
-    return F.round(_col(x), n)
+def rounded_quotient(total: Column, count: Column, n: int) -> Column:
+    """total / count at ``n`` decimals, half away from zero, rounded once from
+    the exact integers; DOUBLE, null for no rows."""
+    total, count = total.cast("decimal(28,0)"), count.cast("decimal(19,0)")
+    scaled = F.abs(total) * F.lit(2 * 10 ** n).cast("decimal(7,0)") + count
+    whole = F.call_function("div", scaled, count * F.lit(2).cast("decimal(1,0)"))
+    return F.when(count > 0, F.signum(total.cast("double")) * whole.cast("double") / F.lit(float(10 ** n)))
 
 
-def decimal_div(x, divisor: int, scale: int) -> Column:
-    """Decimal division that keeps ``scale`` decimals (dividend scale + 4)."""
-    return F.round(_col(x) / F.lit(divisor), scale)
+def rounded_avg(x, n: int, divisor: int = 1) -> Column:
+    """ROUND(AVG(x) / divisor, n) of an integer column, rounded once."""
+    x = _col(x)
+    return rounded_quotient(F.sum(x.cast("decimal(18,0)")), F.count(x) * F.lit(divisor), n)
 
 
 # --- string aggregation -------------------------------------------------------

@@ -3,15 +3,11 @@ over the rows.
 
 ``dense_ids`` numbers the distinct values of some columns 1..n in sort order
 (the pandas ``astype('category').cat.codes + 1`` rule); a null value gets 0.
-Only the distinct keys are ever ranked, and their number is checked first:
-
-* up to ``SMALL_KEY_SET`` keys: one ``dense_rank`` window over the distinct
-  keys (a bounded sort in one task), broadcast where it is joined;
-* beyond that: the keys are range-partitioned and sorted across the cluster,
-  numbered inside each partition, written once to the shared checkpoint
-  folder together with those numbers (so recomputation after executor loss
-  cannot renumber them), and shifted by the running count of the partitions
-  before it.  Only one row per partition ever meets in a single place.
+Only the distinct keys are ever ranked: they are written once to the shared
+checkpoint folder, range-partitioned and sorted across the cluster, numbered
+inside each partition, written with those numbers (so recomputation after
+executor loss cannot renumber them), and shifted by the running count of the
+partitions before it.  Only one row per partition ever meets in a single place.
 """
 
 from __future__ import annotations
@@ -32,68 +28,42 @@ def _sort_exprs(cols: list[str], ascending) -> list[Column]:
             for c, a in zip(cols, ascending)]
 
 
-# Up to this many distinct keys are numbered by one window in one task and
-# broadcast where joined; beyond it the range-partitioned path is used.
-SMALL_KEY_SET = 100_000
-
+def dense_ids(df: DataFrame, cols, id_col: str, ascending=True, null_id: int | None = 0) -> DataFrame:
+    """Distinct ``cols`` with a dense id in sort order.
 
-def _dense_ids(df: DataFrame, cols, id_col: str, ascending=True, null_id: int | None = 0,
-               small_key_set: int = SMALL_KEY_SET) -> tuple[DataFrame, bool]:
+    With ``null_id`` set, rows whose key is entirely null get that id instead
+    of a position (surrogate-key rule); with ``null_id=None`` nulls are ranked
+    like any value (dense-rank rule).
+    """
     cols = [cols] if isinstance(cols, str) else list(cols)
-    keys = df.select(*cols)
+    distinct = checkpoint(df.select(*cols).distinct(), "keys")
     all_null = None
     if null_id is not None:
         is_null = F.lit(True)
         for c in cols:
             is_null = is_null & F.col(c).isNull()
-        all_null = keys.where(is_null).distinct().select(F.lit(null_id).cast("long").alias(id_col), *cols)
-        keys = keys.where(~is_null)
-    distinct = keys.distinct()
-    order = _sort_exprs(cols, ascending)
-    # size check first: a bounded key set needs no range partitioning
-    small = small_key_set > 0 and distinct.limit(small_key_set + 1).count() <= small_key_set
-    if small:
-        # at most small_key_set rows meet in one task; the ranks are a pure
-        # function of the key set, so a recomputation gives the same ids
-        numbered = distinct.select(*cols, F.dense_rank().over(Window.orderBy(*order)).cast("long").alias(id_col))
-    else:
-        ordered = distinct.orderBy(*order)
-        mid = F.monotonically_increasing_id()
-        # partition number and row number inside it are stored with the keys,
-        # so the numbering is fixed once written, whatever re-reads it later
-        pos = checkpoint(ordered.select(*cols, F.shiftright(mid, 33).alias("_part"),
-                                        (mid.bitwiseAND(F.lit(_LOW_BITS))).alias("_row")), "ids")
-        sizes = pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-        # one row per partition: the running total needs no shuffle of the data
-        before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-        offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-        numbered = (pos.join(F.broadcast(offsets), "_part")
-                    .select((F.col("_off") + F.col("_row") + 1).alias(id_col), *cols))
-    out = numbered if all_null is None else numbered.unionByName(all_null)
-    return out, small
-
-
-def dense_ids(df: DataFrame, cols, id_col: str, ascending=True,
-              null_id: int | None = 0, small_key_set: int = SMALL_KEY_SET) -> DataFrame:
-    """Distinct ``cols`` with a dense id in sort order.
-
-    With ``null_id`` set, rows whose key is entirely null get that id instead
-    of a position (surrogate-key rule); with ``null_id=None`` nulls are ranked
-    like any value (dense-rank rule).  Key sets up to ``small_key_set`` are
-    numbered by one bounded window; larger ones by the range-partitioned path.
-    """
-    return _dense_ids(df, cols, id_col, ascending, null_id, small_key_set)[0]
-
-
-def dense_rank_all(df: DataFrame, cols, rank_col: str, ascending=False,
-                   small_key_set: int = SMALL_KEY_SET) -> DataFrame:
+        all_null = distinct.where(is_null).select(F.lit(null_id).cast("long").alias(id_col), *cols)
+        distinct = distinct.where(~is_null)
+    mid = F.monotonically_increasing_id()
+    # partition number and row number inside it are stored with the keys,
+    # so the numbering is fixed once written, whatever re-reads it later
+    pos = checkpoint(distinct.orderBy(*_sort_exprs(cols, ascending)).select(
+        *cols, F.shiftright(mid, 33).alias("_part"), mid.bitwiseAND(F.lit(_LOW_BITS)).alias("_row")), "ids")
+    sizes = pos.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    # one row per partition: the running total needs no shuffle of the data
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    numbered = (pos.join(F.broadcast(offsets), "_part")
+                .select((F.col("_off") + F.col("_row") + 1).alias(id_col), *cols))
+    return numbered if all_null is None else numbered.unionByName(all_null)
+
+
+def dense_rank_all(df: DataFrame, cols, rank_col: str, ascending=False) -> DataFrame:
     """``DENSE_RANK() OVER (ORDER BY cols)`` for every row, computed on the
     distinct keys and joined back (null-safe) -- no single-partition window
-    over the rows.  A small key set (size checked) is broadcast."""
+    over the rows.  Adaptive execution broadcasts the ranks where they are few."""
     cols = [cols] if isinstance(cols, str) else list(cols)
-    ranks, small = _dense_ids(df, cols, rank_col, ascending=ascending, null_id=None,
-                              small_key_set=small_key_set)
-    return _join_back(df, ranks, cols, rank_col, broadcast=small)
+    return _join_back(df, dense_ids(df, cols, rank_col, ascending=ascending, null_id=None), cols, rank_col, broadcast=False)
 
 
 def top_k_dense(df: DataFrame, cols, k: int, rank_col: str, ascending=False) -> DataFrame:

@@ -14,9 +14,9 @@ def shape(df: DataFrame, exclude=("row_no",)) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(n_cols).cast("long").alias("n_cols"))
 
 
-def dtypes(df: DataFrame) -> list[tuple[str, str]]:
-    """Column names and Spark types (metadata only, no job)."""
-    return df.dtypes
+def dtypes(df: DataFrame) -> DataFrame:
+    """(column_name, data_type) of every column (metadata only, no scan)."""
+    return df.sparkSession.createDataFrame(df.dtypes, "column_name string, data_type string")
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -52,26 +52,17 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-# Up to this many distinct values, the final percentile runs in one task over
-# the (value, frequency) table; beyond it, values are ranked across the cluster.
-SMALL_DOMAIN = 100_000
 _LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float],
-                    small_domain: int = SMALL_DOMAIN) -> DataFrame:
+def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
     """Exact quantiles with linear interpolation (the NumPy/pandas default),
     one row with one column per entry of ``probs``.
 
     The values are first reduced to (value, frequency) across the cluster and
-    the number of distinct values is checked.  A small domain (popularity has
-    at most 101 values) goes through one ``percentile`` aggregate; a large one
-    through :func:`_ranked_quantiles`, where no task sees more than its range.
+    then ranked across it; no task sees more than its range.
     """
-    freq = value_frequencies(df, column)
-    if small_domain > 0 and freq.limit(small_domain + 1).count() <= small_domain:
-        return freq.agg(*[F.percentile(F.col(column), p, F.col("n")).alias(name) for name, p in probs.items()])
-    return _ranked_quantiles(freq, column, probs)
+    return _ranked_quantiles(value_frequencies(df, column), column, probs)
 
 
 def _ranked_quantiles(freq: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
@@ -90,7 +81,7 @@ def _ranked_quantiles(freq: DataFrame, column: str, probs: dict[str, float]) ->
     within = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
     cum = (pos.join(F.broadcast(offsets), "_part")
            .select("v", "n", (F.col("_off") + F.sum("n").over(within)).alias("_end")))
-    total = freq.select(F.sum("n")).scalar()
+    total = pos.select(F.sum("n")).scalar()
 
     def value_at(rank):
         # 0-based rank k falls on the value whose rows span [_end - n, _end)
@@ -113,12 +104,14 @@ def describe(df: DataFrame, column: str) -> DataFrame:
     :func:`exact_quantiles`, used as one scalar subquery."""
     freq = value_frequencies(df, column)
     v, n = F.col(column).cast("double"), F.col("n").cast("double")
-    tot, s1, s2 = F.sum(n), F.sum(v * n), F.sum(v * v * n)
-    var = (s2 - s1 * s1 / tot) / (tot - 1)
+    tot, s1 = F.sum(n), F.sum(v * n)
+    # squares of deviations from the mean: sums of squares would cancel
+    mean = freq.select(s1 / tot).scalar()
+    var = F.sum((v - mean) * (v - mean) * n) / (tot - 1)
     names = ("q25", "q50", "q75")
     q = exact_quantiles(df, column, dict(zip(names, (0.25, 0.5, 0.75)))).select(F.struct(*names)).scalar()
     moments = freq.agg(
         F.sum("n").alias("count"), (s1 / tot).alias("mean"),
-        F.when(tot > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("std"),
+        F.when(tot > 1, F.sqrt(var)).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
     return moments.select("count", "mean", "std", "min", *[q[c].alias(c) for c in names], "max")

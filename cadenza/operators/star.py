@@ -95,17 +95,33 @@ class Star:
                 self._tables[name] = build()
         return self._tables[name]
 
+    @property
+    def rows(self) -> DataFrame:
+        """Track rows before the vote: all that the fact, the bridge, the
+        artists and the albums need."""
+        return self._get("_rows", lambda: track_rows(self.clean))
+
     @property
     def dim_tracks_named(self) -> DataFrame:
         return self._get("_named", lambda: dim_tracks_named(self.tracks))
 
+    @property
+    def dim_tracks_unvoted(self) -> DataFrame:
+        """The track dimension without the genre.  The genre follows from the
+        row's other columns, so the row set is that of ``dim_tracks``."""
+        if "dim_tracks" in self._tables:
+            return self._tables["dim_tracks"].drop("primary_genre")
+        return self._get("_unvoted", lambda: lookup_id(
+            with_key_signature(self.rows).select(*[c for c in S.DIM_TRACK_COLS_NAMED if c != "primary_genre"]).distinct(),
+            self.dim_albums, "album_name", "album_id").select(*[c for c in S.DIM_TRACK_COLS if c != "primary_genre"]))
+
     @property
     def dim_albums(self) -> DataFrame:
-        return self._get("dim_albums", lambda: dim_albums(self.dim_tracks_named))
+        return self._get("dim_albums", lambda: dim_albums(self.rows))
 
     @property
     def dim_artists(self) -> DataFrame:
-        return self._get("dim_artists", lambda: dim_artists(self.tracks))
+        return self._get("dim_artists", lambda: dim_artists(self.rows))
 
     @property
     def dim_tracks(self) -> DataFrame:
@@ -117,11 +133,11 @@ class Star:
 
     @property
     def artist_track_mapping(self) -> DataFrame:
-        return self._get("artist_track_mapping", lambda: artist_track_mapping(self.tracks, self.dim_artists))
+        return self._get("artist_track_mapping", lambda: artist_track_mapping(self.rows, self.dim_artists))
 
     @property
     def fact_track_popularity(self) -> DataFrame:
-        return self._get("fact_track_popularity", lambda: fact_track_popularity(self.tracks))
+        return self._get("fact_track_popularity", lambda: fact_track_popularity(self.rows))
 
     def tables(self) -> dict[str, DataFrame]:
         return {name: getattr(self, name) for name in S.STAR_TABLES}
@@ -131,10 +147,11 @@ class Star:
         so writers running in parallel also define the tables in parallel)."""
         return {name: (lambda n=name: getattr(self, n)) for name in S.STAR_TABLES}
 
-    def register(self, prefix: str = "") -> None:
-        """Register the six tables as temp views under their table names."""
-        for name, df in self.tables().items():
-            df.createOrReplaceTempView(prefix + name)
+    def register(self, prefix: str = "", names=S.STAR_TABLES) -> None:
+        """Register tables as temp views under their names; only those in
+        ``names`` are built."""
+        for name in names:
+            getattr(self, name).createOrReplaceTempView(prefix + name)
 
 
 def build_star(raw: DataFrame, match_time_signature: bool = False, checkpoint_stages: bool = True) -> Star:

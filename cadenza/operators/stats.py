@@ -82,9 +82,10 @@ def kde(df: DataFrame, column: str, gridsize: int = 200) -> DataFrame:
     freq = value_frequencies(df, column)
     v = F.col(column).cast("double")
     st = freq.select(F.struct(F.sum("n").cast("double").alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"),
-                              F.sum(v * F.col("n")).alias("s1"), F.sum(v * v * F.col("n")).alias("s2"))).scalar()
-    n_tot, mn, mx, s1, s2 = st["n"], st["mn"], st["mx"], st["s1"], st["s2"]
-    sd = F.sqrt((s2 - s1 * s1 / n_tot) / (n_tot - 1))
+                              F.sum(v * F.col("n")).alias("s1"))).scalar()
+    n_tot, mn, mx = st["n"], st["mn"], st["mx"]
+    off = v - st["s1"] / n_tot
+    sd = F.sqrt(freq.select(F.sum(off * off * F.col("n"))).scalar() / (n_tot - 1))
     h = sd * F.pow(n_tot, F.lit(-0.2))
     step = (mx - mn) / F.lit(float(gridsize - 1))
     gi = F.col("gi")

@@ -151,7 +151,7 @@ register("explode_artists", W("SELECT artist_name, track_id FROM artist_names"))
 
 def _explode(spark, d):
     from cadenza.operators.star import artist_names
-    return artist_names(star_for(spark, d).tracks)
+    return artist_names(star_for(spark, d).rows)
 
 
 def _artists_per_track(spark, d):
@@ -206,6 +206,27 @@ def _nulls_sql(src: str) -> str:
 
 register("profile_shape_dedup", W(f"SELECT count(*) AS n_rows, CAST({len(S.DATA_COLS)} AS BIGINT) AS n_cols FROM dedup"))(
     lambda spark, d: P.shape(_dedup(spark, d)))
+_TYPE_NAMES = {f.name: f.dataType.simpleString() for f in S.RAW_SCHEMA.fields}
+register("profile_dtypes", "SELECT * FROM (VALUES " + ", ".join(
+    f"('{c}', '{t}')" for c, t in _TYPE_NAMES.items()) + ") AS t(column_name, data_type)")(
+    lambda spark, d: P.dtypes(raw_tracks(spark, d)))
+
+
+def _lookup_track(spark: SparkSession, d: str) -> DataFrame:
+    """The rows of the smallest track id that has a genre, with features,
+    genre list (one row per genre) and primary genre."""
+    star = star_for(spark, d)
+    first = star.clean.where(F.col("track_genre").isNotNull()).select(F.min("track_id")).scalar()
+    voted = star.tracks.where(F.col("track_id") == first)
+    listed = star.clean.where(F.col("track_id") == first).select("track_id", "track_genre").distinct()
+    return voted.select("track_id", "track_name", "popularity", "primary_genre", *S.AUDIO_FEATURES).join(listed, "track_id")
+
+
+register("lookup_track", W(O._final(
+    "SELECT v.track_id, v.track_name, v.popularity, v.primary_genre, " + ", ".join(f"v.{c}" for c in S.AUDIO_FEATURES)
+    + ", g.track_genre FROM tracks_g v JOIN (SELECT DISTINCT track_id, track_genre FROM clean) g USING (track_id) "
+    "WHERE track_id = (SELECT min(track_id) FROM clean WHERE track_genre IS NOT NULL)")))(_lookup_track)
+
 register("profile_nulls", W(_nulls_sql("raw")))(lambda spark, d: P.null_counts(raw_tracks(spark, d)))
 register("profile_nulls_clean", W(_nulls_sql("named_rows")))(lambda spark, d: P.null_counts(_named(spark, d)))
 register("value_counts_time_signature_raw", W(
@@ -257,7 +278,7 @@ def _corr_sql() -> str:
 
 
 register("feature_correlation", W(_corr_sql()))(
-    lambda spark, d: _round_doubles(ST.correlation_matrix(star_for(spark, d).dim_tracks, S.AUDIO_FEATURES), ["r"]))
+    lambda spark, d: _round_doubles(ST.correlation_matrix(star_for(spark, d).dim_tracks_unvoted, S.AUDIO_FEATURES), ["r"]))
 
 _HIST = """
 hv AS (SELECT CAST(popularity AS DOUBLE) AS x FROM fact_track_popularity),
@@ -328,8 +349,7 @@ register("scan_csv", W("SELECT * FROM raw"))(_scan_csv)
 
 def _scan_table(spark: SparkSession, d: str) -> DataFrame:
     star = star_for(spark, d)
-    star.register()
-    return spark.sql("SELECT track_id, popularity FROM fact_track_popularity")
+    return spark.sql("SELECT track_id, popularity FROM {fact}", fact=star.fact_track_popularity)
 
 
 register("scan_table", W("SELECT track_id, popularity FROM fact_track_popularity"))(_scan_table)

@@ -22,14 +22,14 @@ ANSWER_NAMES = {
 }
 
 
-def load_star(spark: SparkSession, raw: DataFrame, out_dir: str | None = None, fmt: str = "parquet",
+def load_star(spark: SparkSession, raw: DataFrame, out_dir: str | None = None,
               match_time_signature: bool = False) -> tuple[Star, dict[str, int], str]:
     """Build and write the six tables; the returned Star reads the written
     files, so later questions start from durable data, not from lineage."""
     out_dir = out_dir or shared_output_dir(spark, "star")
     star = build_star(raw, match_time_signature=match_time_signature)
-    audit = write_tables(star.table_builders(), out_dir, fmt=fmt)
-    tables = {name: spark.read.format(fmt).load(f"{out_dir}/{name}") for name in STAR_TABLES}
+    audit = write_tables(star.table_builders(), out_dir)
+    tables = {name: spark.read.parquet(f"{out_dir}/{name}") for name in STAR_TABLES}
     written = Star(clean=star.clean, tracks=star.tracks, profile=star.profile, **tables)
     return written, audit, out_dir
 

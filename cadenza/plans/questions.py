@@ -1,10 +1,9 @@
 """The six business questions (and the variants the reference's copies
 disagree on) as DataFrame plans over a :class:`~cadenza.operators.star.Star`.
 
-Numeric rules follow the SQL database the reference queried: ``AVG`` of an
-integer is an exact decimal with four more decimals (half up), ``ROUND`` is
-half away from zero on decimals, and a decimal division keeps four more
-decimals than its dividend.  Rounded values are returned as DOUBLE.
+Numeric rules: averages of integers are exact, and ``ROUND`` of one rounds the
+exact quotient once, half away from zero; an unrounded ``AVG`` is a decimal with
+four more decimals.  Values are returned as DOUBLE.
 
 Global ``DENSE_RANK`` windows are never run in one partition: a rank filter
 becomes a top-k over the distinct keys (broadcast, at most k rows) and a
@@ -16,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.columns import (album_category, decimal_div, exact_avg, exact_avg_dec,
-                                       group_concat, group_concat_distinct, round_half_up)
+from cadenza.functions.columns import (album_category, exact_avg, group_concat, group_concat_distinct, rounded_avg,
+                                       rounded_quotient)
 from cadenza.operators.ids import dense_rank_all, top_k_dense
 from cadenza.operators.star import Star
 from cadenza.session import checkpoint
@@ -43,9 +42,9 @@ def q1_top_tracks(star: Star, k: int = TOP_K) -> DataFrame:
 
 
 def _duration_popularity(star: Star, keys: list[str]) -> DataFrame:
-    joined = star.dim_tracks.join(star.fact_track_popularity, "track_id")
-    mins = round_half_up(decimal_div(exact_avg("duration_ms"), 60000, 8), 2)
-    avg_pop = round_half_up(exact_avg("popularity"), 1)
+    joined = star.dim_tracks_unvoted.join(star.fact_track_popularity, "track_id")
+    mins = rounded_avg("duration_ms", 2, 60000)
+    avg_pop = rounded_avg("popularity", 1)
     return (joined.groupBy(*keys)
             .agg(_dbl(mins, "mins"), _dbl(avg_pop, "avg_popularity"))
             .orderBy(F.col("avg_popularity").desc()))
@@ -66,7 +65,7 @@ def artist_popularity(star: Star) -> DataFrame:
               .join(star.dim_artists, "artist_id"))
     return joined.groupBy("artist_name").agg(
         F.count_distinct("track_id").alias("num_songs"),
-        round_half_up(exact_avg("popularity"), 0).alias("avg_popularity_score"))
+        rounded_avg("popularity", 0).alias("avg_popularity_score"))
 
 
 def q3_top_artists(star: Star, k: int = TOP_K, min_songs: int = 5) -> DataFrame:
@@ -79,11 +78,11 @@ def q3_top_artists(star: Star, k: int = TOP_K, min_songs: int = 5) -> DataFrame:
 
 
 def album_popularity_by_name(star: Star) -> DataFrame:
-    joined = (star.dim_tracks.join(star.fact_track_popularity, "track_id")
+    joined = (star.dim_tracks_unvoted.join(star.fact_track_popularity, "track_id")
               .join(star.dim_albums, "album_id"))
     return joined.groupBy("album_name").agg(
         F.count("track_id").alias("num_songs"),
-        round_half_up(exact_avg("popularity"), 0).alias("avg_popularity_score"))
+        rounded_avg("popularity", 0).alias("avg_popularity_score"))
 
 
 def q4_album_categories(star: Star) -> DataFrame:
@@ -93,18 +92,18 @@ def q4_album_categories(star: Star) -> DataFrame:
                     "avg_popularity_score")
     return (cat.groupBy("album_category")
             .agg(F.count("album_name").alias("num_albums"),
-                 _dbl(round_half_up(exact_avg_dec("avg_popularity_score"), 0), "avg_pop_score"))
+                 _dbl(rounded_avg("avg_popularity_score", 0), "avg_pop_score"))
             .orderBy(F.col("avg_pop_score").desc()))
 
 
 def _key_join(star: Star) -> DataFrame:
-    return star.dim_tracks.join(star.fact_track_popularity, "track_id")
+    return star.dim_tracks_unvoted.join(star.fact_track_popularity, "track_id")
 
 
 def q5_key_popularity(star: Star) -> DataFrame:
     """Mean popularity per key signature, one decimal."""
     return (_key_join(star).groupBy("key_signature")
-            .agg(_dbl(round_half_up(exact_avg("popularity"), 1), "avg_popularity"))
+            .agg(_dbl(rounded_avg("popularity", 1), "avg_popularity"))
             .orderBy(F.col("avg_popularity").desc()))
 
 
@@ -117,7 +116,7 @@ def q5_key_avg_raw(star: Star) -> DataFrame:
 
 def q5_key_counts(star: Star) -> DataFrame:
     """Number of track rows per key signature."""
-    return (star.dim_tracks.groupBy("key_signature")
+    return (star.dim_tracks_unvoted.groupBy("key_signature")
             .agg(F.count("track_id").alias("num_songs"))
             .orderBy(F.col("num_songs").desc()))
 
@@ -133,7 +132,7 @@ def album_popularity_by_id(star: Star) -> DataFrame:
         group_concat_distinct("artist_name").alias("artists"),
         group_concat_distinct("primary_genre").alias("genres"),
         F.count_distinct("track_id").alias("num_songs"),
-        round_half_up(exact_avg("popularity"), 0).alias("avg_popularity_score"))
+        rounded_avg("popularity", 0).alias("avg_popularity_score"))
 
 
 def albums_ranked(star: Star) -> DataFrame:
@@ -147,19 +146,33 @@ def albums_ranked(star: Star) -> DataFrame:
     return dense_rank_all(cat, ["avg_popularity_score"], "album_rank", ascending=False)
 
 
+def album_scores(star: Star) -> DataFrame:
+    """``(album_id, num_songs, score)``: mean popularity where a track weighs
+    once per artist, from per-track artist counts, without any names."""
+    artists = star.artist_track_mapping.groupBy("track_id").agg(F.count(F.lit(1)).alias("weight"))
+    joined = (star.dim_tracks_unvoted.select("track_id", "album_id").join(star.fact_track_popularity, "track_id")
+              .join(artists, "track_id"))
+    total = F.sum((F.col("popularity") * F.col("weight")).cast("decimal(18,0)"))
+    weight = F.sum(F.when(F.col("popularity").isNotNull(), F.col("weight")))
+    return joined.groupBy("album_id").agg(F.count_distinct("track_id").alias("num_songs"),
+                                          rounded_quotient(total, weight, 0).alias("score"))
+
+
 def q6_top_albums(star: Star, k: int = TOP_K) -> DataFrame:
     """Top-k non-single albums by score with their overall rank among all
-    albums (singles included).  The reference orders by score only; ties are
-    broken by rank, name, artists, category and genres so the k rows are
-    deterministic."""
-    ranked = albums_ranked(star)
-    out = (ranked.where(F.col("album_category") != "Single")
-           .groupBy("album_name", "artists", "album_category", "genres", "album_rank")
-           .agg(F.sum("num_songs").cast("bigint").alias("num_songs"),
-                _dbl(round_half_up(exact_avg_dec("avg_popularity_score"), 0), "avg_pop_score")))
-    return (out.select("album_name", "artists", "album_category", "genres",
-                       F.col("album_rank").alias("overall_rank"), "num_songs", "avg_pop_score")
-            .orderBy(F.col("avg_pop_score").desc_nulls_last(), F.col("overall_rank").asc_nulls_first(),
-                     F.col("album_name").asc_nulls_first(), F.col("artists").asc_nulls_first(),
-                     F.col("album_category").asc_nulls_first(), F.col("genres").asc_nulls_first())
-            .limit(k))
+    albums (singles included); ties are broken by rank and name, which is
+    unique.  Artist and genre strings are built for the k albums only."""
+    scores = checkpoint(album_scores(star), "album-scores")
+    ranked = dense_rank_all(scores, ["score"], "overall_rank", ascending=False)
+    order = [F.col("score").desc_nulls_last(), F.col("overall_rank").asc_nulls_first(), F.col("album_name").asc_nulls_first()]
+    best = (ranked.withColumn("album_category", album_category("num_songs")).where(F.col("album_category") != "Single")
+            .join(star.dim_albums, "album_id").orderBy(*order).limit(k))
+    tracks = star.dim_tracks.select("album_id", "track_id", "primary_genre").join(F.broadcast(best), "album_id")  # k rows
+    names = (tracks.select("album_id", "track_id").distinct().join(star.artist_track_mapping, "track_id")
+             .join(star.dim_artists, "artist_id").select("album_id", "artist_name").distinct()
+             .groupBy("album_id").agg(group_concat_distinct("artist_name").alias("artists")))
+    genres = (tracks.select("album_id", "primary_genre").distinct()
+              .groupBy("album_id").agg(group_concat_distinct("primary_genre").alias("genres")))
+    return (best.join(names, "album_id").join(genres, "album_id").orderBy(*order)
+            .select("album_name", "artists", "album_category", "genres", "overall_rank",
+                    F.col("num_songs").cast("bigint").alias("num_songs"), F.col("score").alias("avg_pop_score")))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
-import threading
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import SparkSession
 
@@ -95,13 +95,14 @@ def checkpoint(df, label: str = "stage"):
     spark = df.sparkSession
     path = shared_dir(spark, label)
     df.write.mode("overwrite").parquet(path)
-    with _STAGES_LOCK:
-        _STAGES.append(path)
+    scope = _SCOPE.get()
+    if scope is not None:
+        scope.append(path)
     return spark.read.parquet(path)
 
 
-_STAGES: list[str] = []
-_STAGES_LOCK = threading.Lock()
+#: paths of the innermost scope that the calling context is in
+_SCOPE: ContextVar[list[str] | None] = ContextVar("cadenza_scope", default=None)
 
 
 def delete_paths(spark: SparkSession, paths: list[str]) -> int:
@@ -119,17 +120,16 @@ def delete_paths(spark: SparkSession, paths: list[str]) -> int:
 
 @contextmanager
 def stage_scope(spark: SparkSession):
-    """Stage tables written inside the block are deleted when it ends.
+    """Stage tables written inside the block, by this context or copies of
+    it, are deleted when it ends; those of other threads stay.
 
     Use it around a job whose results are written elsewhere (the load job);
     DataFrames that still read a stage must not be used after the block.
     """
-    with _STAGES_LOCK:
-        start = len(_STAGES)
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
     try:
         yield
     finally:
-        with _STAGES_LOCK:
-            created = _STAGES[start:]
-            del _STAGES[start:]
-        delete_paths(spark, created)
+        _SCOPE.reset(token)
+        delete_paths(spark, paths)

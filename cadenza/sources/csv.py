@@ -15,27 +15,45 @@ from pyspark.sql import functions as F
 from cadenza import schema as S
 
 
-def read_tracks_csv(spark: SparkSession, path: str, multi_line: bool = False,
-                    pandas_missing: bool = True) -> DataFrame:
-    """Read one or many CSV files with the raw schema.
-
-    ``multi_line`` is needed only when quoted fields contain line breaks; it
-    makes each file a single split, so keep it off for large inputs that do
-    not need it.
+def read_tracks_csv(spark: SparkSession, path: str, multi_line: bool = True, pandas_missing: bool = True,
+                    on_bad: str = "fail") -> DataFrame:
+    """Read one or many CSV files into the raw schema.
+
+    Columns are taken by header name, whatever their order; a missing one is
+    refused.  The unnamed first column is the row number.  A record that does
+    not fit (wrong number of fields, text in a number's place) fails the read,
+    or with ``on_bad="report"`` stays with nulls and ``_bad`` true, so that it
+    can be counted.  ``multi_line`` lets quoted fields hold line breaks and makes
+    each file one split; switch it off only for files known to have none.
     """
-    df = (spark.read.schema(S.RAW_SCHEMA)
-          .option("header", True)
-          .option("quote", '"')
-          .option("escape", '"')
-          .option("multiLine", multi_line)
-          .option("mode", "PERMISSIVE")
-          .csv(path))
-    if pandas_missing:
-        df = df.select(*[
-            F.when(F.col(c).isin(*S.MISSING_MARKERS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-            if c in S.STRING_COLS else F.col(c)
-            for c in df.columns])
-    return df
+    if on_bad not in ("fail", "report"):
+        raise ValueError("on_bad is 'fail' or 'report'")
+    options = {"header": True, "quote": '"', "escape": '"', "multiLine": multi_line}
+    header = spark.read.options(**options).csv(path).columns
+    index = S.RAW_SCHEMA.fields[0].name
+    names = [index if k == 0 and c in ("_c0", "") else c for k, c in enumerate(header)]
+    wanted = {f.name for f in S.RAW_SCHEMA.fields}
+    if missing := wanted - set(names):
+        raise ValueError(f"columns missing from the header: {sorted(missing)}")
+    fields = ", ".join(f"`{c}` string" for c in names)
+    df = (spark.read.options(**options).schema(f"{fields}, `_record` string")
+          .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_record")
+          # several files: each must have the header of the first
+          .option("enforceSchema", names[0] != header[0]).csv(path))
+    bad, cols = F.col("_record").isNotNull(), []
+    for f in S.RAW_SCHEMA.fields:
+        text = F.col(f"`{f.name}`")
+        if f.name not in S.STRING_COLS or pandas_missing:
+            text = F.when(~text.isin(*S.MISSING_MARKERS), text)
+        value = text if f.name in S.STRING_COLS else text.try_cast(f.dataType)
+        if f.name not in S.STRING_COLS:
+            bad = bad | (text.isNotNull() & value.isNull())
+        cols.append(value.alias(f.name))
+    if on_bad == "report":
+        return df.select(*cols, bad.alias("_bad"))
+    told = F.concat(F.lit("malformed CSV record: "), F.coalesce("_record", F.col(f"`{index}`"), F.lit("")))
+    # as a filter the check stays, whichever columns a reader takes
+    return df.where(F.when(bad, F.raise_error(told)).otherwise(F.lit(True))).select(*cols)
 
 
 def write_tracks_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

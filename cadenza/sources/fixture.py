@@ -16,30 +16,15 @@ from cadenza.schema import RAW_SCHEMA
 
 
 def _pad(x: Column, width: int) -> Column:
-    return F.lpad(x.cast("string"), width, "0")
+    """Zero-padded to ``width``; a longer number is kept whole."""
+    s = x.cast("string")
+    return F.lpad(s, F.greatest(F.lit(width), F.length(s)), F.lit("0"))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that has fewer splits than the cluster has cores.
-
-    A single large row group is one task; everything fused into that stage
-    (join, 21 projections, the dedup's partial aggregate) would then run on
-    one core.  Inputs with enough splits -- any real multi-file table -- are
-    returned unchanged, so no shuffle is added at scale.
-    """
-    spark = df.sparkSession
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # Spark Connect: leave the plan alone
-        return df
-    return df.repartition(cores) if splits < cores else df
-
-
 def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20-column raw table plus ``row_no`` (see FIXTURES.md for the mapping)."""
     li = read_table(spark, sf_dir, "lineitem").select(
@@ -91,6 +76,5 @@ def raw_tracks(spark: SparkSession, sf_dir: str) -> DataFrame:
         "track_genre": F.concat(F.col("l_returnflag"), F.col("l_linestatus"), F.lit("-"),
                                 F.col("l_linenumber").cast("string")),
     }
-    li = spread_small_input(li)
     joined = li.join(part, li.l_partkey == part.p_partkey, "inner")
     return joined.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in RAW_SCHEMA.fields])

@@ -10,12 +10,15 @@ auditing costs no extra pass.
 from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza.session import shared_dir
 
+#: quotes doubled inside quotes, as spreadsheets and data-frame readers expect
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
 AUDIT_SCHEMA = "table_name string, row_count long"
 
 
@@ -35,7 +38,7 @@ def write_table(name: str, df: DataFrame, base: str | None = None, fmt: str = "p
         writer.option("dbtable", name).save()
     else:
         if fmt == "csv":
-            writer = writer.option("header", True)
+            writer = writer.options(**CSV_OPTIONS)
         writer.save(f"{base}/{name}")
     return int(obs.get["rows"])
 
@@ -57,7 +60,8 @@ def write_tables(tables: dict, base: str | None = None, fmt: str = "parquet",
     if parallel <= 1 or len(items) == 1:
         return dict(map(one, items))
     with ThreadPoolExecutor(max_workers=min(parallel, len(items))) as pool:
-        return dict(pool.map(one, items))
+        # each thread runs in a copy of the caller's context, so stages are booked to its scope
+        return dict(f.result() for f in [pool.submit(copy_context().run, one, i) for i in items])
 
 
 def audit_frame(spark: SparkSession, audit: dict[str, int]) -> DataFrame:
@@ -71,7 +75,7 @@ def read_back_counts(spark: SparkSession, base: str, names: list[str], fmt: str
     for name in names:
         reader = spark.read.format(fmt)
         if fmt == "csv":
-            reader = reader.option("header", True)
+            reader = reader.options(multiLine=True, **CSV_OPTIONS)
         frames.append(reader.load(f"{base}/{name}")
                       .agg(F.count(F.lit(1)).alias("row_count"))
                       .select(F.lit(name).alias("table_name"), "row_count"))

@@ -17,7 +17,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza import schema as S
-from cadenza.session import shared_dir
 
 
 def raw_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -33,22 +32,21 @@ def raw_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger
 
 
 def ingest(spark: SparkSession, landing_dir: str, raw_table_dir: str,
-           on_update: Callable[[DataFrame], None] | None = None,
-           checkpoint_location: str | None = None, available_now: bool = True):
+           checkpoint_location: str, on_update: Callable[[DataFrame], None] | None = None,
+           available_now: bool = True):
     """Append new drops to ``raw_table_dir``; call ``on_update(raw_table)``
     after each non-empty micro-batch (e.g. to rebuild and write the star).
 
     With ``available_now`` the query processes what has landed and stops
     (a scheduled batch run); otherwise it keeps running.
     """
-    checkpoint_location = checkpoint_location or shared_dir(spark, "ingest")
-
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        batch.write.mode("append").parquet(raw_table_dir)
+        # a batch that is run again replaces its own folder
+        batch.write.mode("overwrite").parquet(f"{raw_table_dir}/batch={batch_id}")
         if on_update is not None:
-            on_update(spark.read.parquet(raw_table_dir))
+            on_update(spark.read.parquet(raw_table_dir).drop("batch"))
 
     writer = (raw_file_stream(spark, landing_dir).writeStream
               .foreachBatch(on_batch)

@@ -9,7 +9,8 @@ import pytest
 SF_DIR = os.environ.get("CADENZA_TEST_SF_DIR", "/root/testdata/sf0.001")
 TABLES = ["supplier", "part", "lineitem"]
 
-from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
+from __spark_entry__ import entry  # noqa: E402
+from cadenza.plans.catalog import oracle_sql, queries  # noqa: E402
 from plan_checks import check_plan  # noqa: E402
 
 

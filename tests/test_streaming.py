@@ -8,9 +8,9 @@ def test_ingest_appends_new_drops_once(spark, tmp_path):
     raw = raw_tracks(spark, "/root/testdata/sf0.001")
     write_tracks_csv(raw, landing + "/drop1")
     seen = []
-    ingest(spark, landing + "/*", table, on_update=lambda df: seen.append(df.count()), checkpoint_location=ckpt)
+    ingest(spark, landing + "/*", table, ckpt, on_update=lambda df: seen.append(df.count()))
     assert seen == [raw.count()]
     # a second run with nothing new reads nothing again
-    ingest(spark, landing + "/*", table, on_update=lambda df: seen.append(df.count()), checkpoint_location=ckpt)
+    ingest(spark, landing + "/*", table, ckpt, on_update=lambda df: seen.append(df.count()))
     assert seen == [raw.count()]
     assert spark.read.parquet(table).count() == raw.count()
