@@ -14,6 +14,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spare(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def id_crc(col: str) -> Column:
     """CRC-32 of an id written as text (null id: null)."""
     return F.crc32(F.col(col).cast("string").cast("binary"))

@@ -26,9 +26,10 @@ from decimal import Decimal
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm.common import spare
 from cadenza.session import checkpoint
 
 WINDOW = 13
@@ -168,56 +169,67 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int):
 _BUILT: dict[int, Automaton] = {}
 
 
+FOUND = "n_words long, spans array<array<int>>, items array<string>"
+
+
 def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
-               item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """``docs`` with ``_n_words``, ``_spans`` (covered word ranges) and ``_items``.
+               item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
+               out_col: str = "found") -> DataFrame:
+    """``docs`` with ``out_col``: a struct of ``n_words``, ``spans`` (covered word
+    ranges) and ``items``.  Only texts and findings pass through Python.
 
     The automaton's items are broadcast; their size is bounded by ``block_words``.
     """
-    cols = docs.columns
-    out = docs.select(*[F.col(f"`{c}`") for c in cols], F.lit(0).cast("long").alias("_n_words"),
-                      F.array().cast("array<array<int>>").alias("_spans"), F.array().cast("array<string>").alias("_items"))
+    none = F.struct(F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
+                    F.array().cast("array<string>").alias("items"))
+    out, cols = docs.withColumn(out_col, none), [F.col(f"`{c}`") for c in docs.columns]
     sc = docs.sparkSession.sparkContext
     blocks = 0
     for block in item_blocks(items, item_id_col, item_text_col, block_words):
         if blocks:
             out = checkpoint(out, "decontaminate")  # one automaton at a time in a worker
-        out, blocks = _pass(out, text_col, sc.broadcast(block), window), blocks + 1
-    return out if blocks else _pass(out, text_col, sc.broadcast([]), window)
+        out, blocks = out.select(*cols, _pass(out, text_col, out_col, sc.broadcast(block), window)), blocks + 1
+    return out if blocks else out.select(*cols, _pass(out, text_col, out_col, sc.broadcast([]), window))
 
 
-def _pass(df: DataFrame, text_col: str, block, window: int) -> DataFrame:
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _pass(df: DataFrame, text_col: str, out_col: str, block, window: int):
+    @F.pandas_udf(FOUND)
+    def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
         key = id(block.value)
         if key not in _BUILT:
             _BUILT.clear()
             _BUILT[key] = Automaton(block.value, window)
         auto = _BUILT[key]
-        for pdf in batches:
-            n, spans, names = [], [], []
-            for t, s, i in zip(pdf[text_col], pdf["_spans"], pdf["_items"]):
-                words = words_of(t.encode("utf-8", "surrogatepass") if isinstance(t, str) else t)
+        for texts, before, named in batches:
+            rows = []
+            for t, s, i in zip(texts, before, named):
+                words = words_of(t)
                 found, keys = auto.hits(words)
-                n.append(len(words))
-                spans.append([list(x) for x in (_merge(s, found) if len(s) else found)])
-                names.append(sorted({*i, *keys}))
-            yield pdf.assign(_n_words=n, _spans=spans, _items=names)
+                rows.append((len(words), [list(x) for x in (_merge(s, found) if len(s) else found)], sorted({*i, *keys})))
+            yield pd.DataFrame(rows, columns=["n_words", "spans", "items"])
+
+    # run once a row, wherever its result is read
+    return run.asNondeterministic()(F.col(f"`{text_col}`").cast("binary"), F.col(f"{out_col}.spans"),
+                                    F.col(f"{out_col}.items")).alias(out_col)
+
+
+def _hit(spans: Column) -> Column:
+    return F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
+
 
-    return df.mapInPandas(run, df.schema)
+def _reached(hit: Column, n_words: Column, coverage: float) -> Column:
+    return (hit > 0) & (hit >= F.lit(Decimal(str(coverage))) * n_words)
 
 
 def report(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
            coverage: float = COVERAGE, **options) -> DataFrame:
     """Per document: ``id_col, n_words, n_hit, n_items, items_sha256, contaminated``
     (hit words are at least ``coverage`` of all) and ``spans``."""
-    found = find_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text")),
-                       items, **options)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    return (found.select(F.col("id").alias(id_col), F.col("_n_words").alias("n_words"), hit.alias("n_hit"),
-                         F.size("_items").cast("long").alias("n_items"),
-                         F.sha2(F.array_join("_items", ",").cast("binary"), 256).alias("items_sha256"),
-                         F.col("_spans").alias("spans"))
-            .withColumn("contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") >= F.lit(Decimal(str(coverage))) * F.col("n_words"))))
+    found = find_spans(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), items, **options)
+    return (found.select(F.col("id").alias(id_col), "found.n_words", _hit(F.col("found.spans")).alias("n_hit"),
+                         F.size("found.items").cast("long").alias("n_items"),
+                         F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"), "found.spans")
+            .withColumn("contaminated", _reached(F.col("n_hit"), F.col("n_words"), coverage)))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", max_span: int = WINDOW,
@@ -226,18 +238,19 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", max
 
     Documents whose hit words reach ``coverage`` of all go.  With ``cut_spans``
     the others lose each span of ``max_span`` words or more, separators within
-    the span included; else they stay as they are.
+    the span included; else they stay as they are.  Other columns stay as they
+    are, whatever their names.
     """
-    found = find_spans(docs, items, text_col, **options)
-    hit = F.aggregate("_spans", F.lit(0).cast("long"), lambda a, s: a + s[1] - s[0])
-    kept = found.where(~((hit > 0) & (hit >= F.lit(Decimal(str(coverage))) * F.col("_n_words"))))
+    at = spare(docs, "found")
+    found = find_spans(docs, items, text_col, out_col=at, **options)
+    kept = found.where(~_reached(_hit(F.col(f"{at}.spans")), F.col(f"{at}.n_words"), coverage))
     if cut_spans:
         @F.pandas_udf("string")
         def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
             return pd.Series([cut_words(t, s, max_span) if t and len(s) else t for t, s in zip(texts, spans)], dtype=object)
 
-        kept = kept.withColumn(text_col, cut(F.col(text_col), F.col("_spans")))
-    return kept.drop("_n_words", "_spans", "_items")
+        kept = kept.withColumn(text_col, cut(F.col(f"`{text_col}`"), F.col(f"{at}.spans")))
+    return kept.drop(at)
 
 
 def cut_words(text: str, spans, max_span: int) -> str:

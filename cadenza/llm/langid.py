@@ -10,8 +10,11 @@ Rejection is calibrated on a part of the training rows that the descent does
 not see: the temperature that fits their likelihood best, and the score below
 which a share of ``REJECT`` of them falls.
 
-Training takes at most ``TRAIN_DOCS`` documents for each language, by a hash,
-whose ``crc32(id) mod 4`` is not 2, and at most ``TRAIN_BYTES`` of each.
+Training takes at most ``TRAIN_DOCS`` documents for each language and
+``TRAIN_TOTAL`` in all (at least ``LEAST_DOCS`` a language), by a hash, whose
+``crc32(id) mod 4`` is not 2: each whole, and two short pieces of the longer
+ones.  Texts are turned into bags of buckets where they are; a bag has at most
+``BUCKETS`` entries, however long its text.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 with no trainable row every text is ``und``; repeated rows each give a row.
@@ -34,7 +37,8 @@ from cadenza.llm.common import id_crc
 BUCKETS = 1 << 16
 DIMS = 16
 TRAIN_DOCS = 600
-TRAIN_BYTES = 4_000
+TRAIN_TOTAL = 6_000
+LEAST_DOCS = 20
 EPOCHS = 12
 REJECT = 0.01
 PIECE = 1 << 16
@@ -57,25 +61,40 @@ def normal(text: str) -> bytes:
     return b" " + b" ".join(raw.split()) + b" "
 
 
-def subwords(data: bytes) -> np.ndarray:
-    """Bucket of every byte 2-, 3- and 4-gram."""
+def subwords(data: bytes, last: bool = True) -> np.ndarray:
+    """Bucket of every byte 2-, 3- and 4-gram; of a piece that another one
+    follows, those that begin before its last three bytes."""
     b = np.frombuffer(data, np.uint8).astype(np.uint32)
     two = b[:-1] << np.uint32(8) | b[1:]
-    grams = [two]
-    if len(b) >= 3:
-        grams.append((two[:-1] << np.uint32(8) | b[2:]) + np.uint32(1 << 24))
-    if len(b) >= 4:
-        grams.append(two[:-2] << np.uint32(16) | two[2:])
+    three = (two[:-1] << np.uint32(8) | b[2:]) + np.uint32(1 << 24)
+    grams = [two, three, two[:-2] << np.uint32(16) | two[2:]]
+    if not last:
+        grams = [g[:len(b) - 3] for g in grams]
     mixed = np.concatenate(grams) * np.uint32(2654435761)
     return (mixed >> np.uint32(16)).astype(np.int32)
 
 
-def _bags(texts) -> list[tuple[np.ndarray, np.ndarray]]:
-    out = []
-    for t in texts:
-        ids, n = np.unique(subwords(normal(t)), return_counts=True)
-        out.append((ids, (n / n.sum()).astype(np.float32)))
-    return out
+def windows(data: bytes) -> Iterator[np.ndarray]:
+    """Every subword of a normalised text once, in pieces that overlap by the
+    longest n-gram less one byte."""
+    for lo in range(0, max(1, len(data) - 3), PIECE):
+        last = lo + PIECE + 3 >= len(data)
+        yield subwords(data[lo:] if last else data[lo:lo + PIECE + 3], last)
+
+
+def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct buckets of a text and their shares."""
+    counts = np.zeros(BUCKETS, np.int64)
+    for ids in windows(normal(text)):
+        counts += np.bincount(ids, minlength=BUCKETS)
+    ids = np.flatnonzero(counts)
+    return ids.astype(np.int32), (counts[ids] / counts[ids].sum()).astype(np.float32)
+
+
+def pieces(text: str) -> list[str]:
+    """A whole text and, if it is long, short pieces of it, so that short texts
+    are known too; those without letters are left out."""
+    return [p for p in ([text, text[:60], text[len(text) // 2:][:150]] if len(text) > 200 else [text]) if _LETTER.search(p)]
 
 
 def _softmax(z):
@@ -103,33 +122,36 @@ def descend(bags, y: np.ndarray, n_langs: int, epochs: int = EPOCHS, rate: float
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_docs: int = TRAIN_DOCS) -> Model:
-    text = F.col(text_col)
-    rows = (docs.select(F.col(id_col).alias("id"), F.substring(text, 1, TRAIN_BYTES).alias("text"), F.col(lang_col).alias("lang"))
-            .where(text.isNotNull() & F.col("lang").isNotNull() & (F.coalesce(id_crc("id") % 4, F.lit(0)) != 2)
-                   & F.col("text").rlike(r"\p{L}")))
+        train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL) -> Model:
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
+            .where(F.col("lang").isNotNull() & (F.coalesce(id_crc("id") % 4, F.lit(0)) != 2) & F.col("text").rlike(r"\p{L}")))
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(500).collect()}
     if not counts:
         return Model((), b"", b"", 1.0, 0.0)
-    # a hash share of each language that gives about train_docs rows; a window then keeps the bound exact
+    train_docs = min(train_docs, max(LEAST_DOCS, train_total // len(counts)))
+    # a hash share of each language that gives about train_docs rows; a window over their ids then keeps the bound exact
     share = F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(max(1, n // (2 * train_docs))))])
-    draw = F.xxhash64(F.lit(19), "id")
+    rows = rows.withColumn("mark", F.xxhash64("text"))
+    draw = F.xxhash64(F.lit(19), "id", "mark")
     rows = rows.where(F.pmod(draw, share[F.col("lang")]) == 0).withColumn("draw", draw)
-    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw", "text"))
-    got = rows.withColumn("n", first).where(F.col("n") <= train_docs).orderBy("draw", "lang", "text").select("text", "lang").toPandas()
-    return train(got["text"], got["lang"])
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    rows = rows.withColumn("n", first).where(F.col("n") <= train_docs).select("text", "lang", "draw")
+
+    def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(lang, draw, k, *bag(p)) for text, lang, draw in zip(pdf["text"], pdf["lang"], pdf["draw"])
+                   for k, p in enumerate(pieces(text))]
+            yield pd.DataFrame(out, columns=["lang", "draw", "k", "ids", "shares"])
+
+    got = rows.mapInPandas(bags, "lang string, draw long, k int, ids array<int>, shares array<float>").toPandas()
+    got = got.sort_values(["draw", "lang", "k"], kind="stable")
+    return train([(np.asarray(i, np.int64), np.asarray(w, np.float32)) for i, w in zip(got["ids"], got["shares"])], got["lang"])
 
 
-def train(texts, langs) -> Model:
+def train(bags: list, langs) -> Model:
+    """The model from bags of buckets and their languages, in a fixed order."""
     names = tuple(sorted(set(langs)))
-    y = np.array([names.index(x) for x in langs])
-    # whole texts and short pieces of them, so that short texts are known too
-    pieces, labels = [], []
-    for t, k in zip(texts, y):
-        pieces += [t, t[:60], t[len(t) // 2:][:150]] if len(t) > 200 else [t]
-        labels += [k] * (3 if len(t) > 200 else 1)
-    usable = [i for i, p in enumerate(pieces) if _LETTER.search(p)]
-    bags, labels = _bags([pieces[i] for i in usable]), np.array([labels[i] for i in usable])
+    labels = np.array([names.index(x) for x in langs])
     seen = np.arange(len(bags)) % 10 != 9
     emb, out, bias = descend([b for b, s in zip(bags, seen) if s], labels[seen], len(names))
     table = emb @ out
@@ -153,16 +175,10 @@ def predict_text(text: str | None, model: Model) -> tuple[str, float]:
     if not text or not model.langs or not _LETTER.search(text):
         return "und", 0.0
     table, bias = _arrays(model)
-    data = normal(text)
-    if len(data) < 3:
-        data += b" "
     total, n = np.zeros(len(bias)), 0
-    for lo in range(0, len(data) - 1, PIECE):  # pieces overlap by the longest n-gram less one byte
-        ids = subwords(data[lo:lo + PIECE + 3] if lo + PIECE + 3 < len(data) else data[lo:])
+    for ids in windows(normal(text)):
         total += table[ids].sum(axis=0, dtype=np.float64)
         n += len(ids)
-        if lo + PIECE + 3 >= len(data):
-            break
     p = _softmax((total / n + bias) / model.temperature)
     k = int(p.argmax())
     return model.langs[k], float(p[k])

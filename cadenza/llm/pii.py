@@ -20,7 +20,7 @@ draw again are looked up when texts are rewritten: by a broadcast map up to
 ``MAP_ROWS`` of them, by a join per document beyond.
 
 Defined results: a null text stays null, an empty one empty; other columns stay
-as they are; rows that share an id each keep their own text.
+as they are, whatever their names; rows that share an id each keep their own text.
 """
 
 from __future__ import annotations
@@ -28,6 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.llm.common import spare
 from cadenza.session import checkpoint
 
 KEY = "cadenza-surrogates"
@@ -218,18 +219,19 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     again = redraws(docs, text_col, key)
     size = again.limit(map_rows + 1).count()
     name = F.concat_ws("\u0001", "kind", "canon")
-    text, attempts = F.col(f"`{text_col}`"), None
-    found = docs.withColumn("_found", matches(text))
+    text, attempts, at = F.col(f"`{text_col}`"), None, spare(docs, "found")
+    found = docs.withColumn(at, matches(text))
     if size > map_rows:
-        told = (found.select(F.col(f"`{id_col}`").alias("_i"), F.explode(F.array_distinct(_entities(F.col("_found")))).alias("_e"))
-                .select("_i", "_e.kind", "_e.canon").distinct().join(again, ["kind", "canon"])
-                .groupBy("_i").agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("attempt")))).alias("_m")))
-        found, attempts = found.join(told, F.col(f"`{id_col}`").eqNullSafe(F.col("_i")), "left"), F.col("_m")
+        i, m = spare(docs, "of_id"), spare(docs, "redrawn")
+        told = (found.select(F.col(f"`{id_col}`").alias(i), F.explode(F.array_distinct(_entities(F.col(at)))).alias("e"))
+                .select(i, "e.kind", "e.canon").distinct().join(again, ["kind", "canon"])
+                .groupBy(i).agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("attempt")))).alias(m)))
+        found, attempts = found.join(told, F.col(f"`{id_col}`").eqNullSafe(F.col(i)), "left"), F.col(m)
     elif size:
         table = again.agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("attempt")))).alias("m"))
         attempts = table.scalar()
-    made = _rewrite(text, F.col("_found"), attempts, key).alias(text_col)
-    extra = [F.coalesce(F.size("_found"), F.lit(0)).alias(count_col)] if count_col else []
+    made = _rewrite(text, F.col(at), attempts, key).alias(text_col)
+    extra = [F.coalesce(F.size(at), F.lit(0)).alias(count_col)] if count_col else []
     return found.select(*[made if c == text_col else F.col(f"`{c}`") for c in docs.columns], *extra)
 
 

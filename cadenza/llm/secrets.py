@@ -45,6 +45,7 @@ IDENTIFIERS = ("getElementById", "application_configuration", "content-security-
                "MAX_CONNECTION_TIMEOUT_SECONDS", "org/apache/commons/lang/StringUtils", "user_account_settings",
                "test_returns_empty_list_when_input_is_none", "addEventListener", "ThreadPoolExecutorFactory",
                "node_modules/typescript/lib", "background-color-transparent", "internationalization")
+_ORDINARY = re.compile(r"[A-Za-z0-9+/_=-]{3,}")
 _INDEX = np.full(128, len(ALPHABET), np.int64)
 _INDEX[[ord(c) for c in ALPHABET]] = range(len(ALPHABET))
 
@@ -65,18 +66,22 @@ def _codes(token: str) -> np.ndarray:
     return _INDEX[np.frombuffer(token.encode("ascii"), np.uint8)]
 
 
-def train(random_tokens, ordinary_tokens, prior: float = 0.2) -> np.ndarray:
-    """Log-likelihood ratio of each character transition, random over ordinary."""
+def transitions(tokens) -> np.ndarray:
+    """How often each character follows each other one."""
     n = len(ALPHABET) + 1
+    counts = np.zeros((n, n))
+    for t in tokens:
+        c = _codes(t)
+        np.add.at(counts, (c[:-1], c[1:]), 1.0)
+    return counts
+
 
-    def logp(tokens):
-        counts = np.full((n, n), prior)
-        for t in tokens:
-            c = _codes(t)
-            np.add.at(counts, (c[:-1], c[1:]), 1.0)
-        return np.log(counts / counts.sum(axis=1, keepdims=True))
+def ratio_table(random_counts: np.ndarray, ordinary_counts: np.ndarray, prior: float = 0.2) -> np.ndarray:
+    """Log-likelihood ratio of each character transition, random over ordinary."""
+    def logp(counts):
+        return np.log((counts + prior) / (counts + prior).sum(axis=1, keepdims=True))
 
-    return logp(random_tokens) - logp(ordinary_tokens)
+    return logp(random_counts) - logp(ordinary_counts)
 
 
 def random_tokens(n: int = 4_000, seed: int = 13) -> list[str]:
@@ -107,26 +112,36 @@ def identifiers() -> list[str]:
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE) -> np.ndarray:
-    """The ratio table from a bounded sample of documents."""
+    """The ratio table from a bounded sample of documents, each read whole.
+    The driver gets counts of transitions, whose number the alphabet bounds."""
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for text in pdf["text"].fillna(""):
                 spans = base_spans(text)
-                rows = [(1, text[s:e][-40:]) for s, e, k in spans if text[s:e].isascii()]
                 inside = np.zeros(len(text) + 1, bool)
                 for s, e, _ in spans:
                     inside[s:e] = True
-                rows += [(0, m[0][:200]) for m in re.finditer(r"[A-Za-z0-9+/_=-]{3,}", text) if not inside[m.start()]][:2_000]
+                # of an assigned value the part after the name and the sign
+                rows = {(1, (_ASSIGN.match(text, s)[2] if k == "assign" else text[s:e])) for s, e, k in spans}
+                rows |= {(0, m[0]) for m in _ORDINARY.finditer(text) if not inside[m.start()]}
                 if rows:
-                    yield pd.DataFrame(rows, columns=["label", "token"])
+                    yield pd.DataFrame(sorted(rows), columns=["label", "token"])
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros((2, len(ALPHABET) + 1, len(ALPHABET) + 1))
+        for pdf in batches:
+            for label in (0, 1):
+                total[label] += transitions(pdf["token"][pdf["label"] == label])
+        label, a, b = np.nonzero(total)
+        yield pd.DataFrame({"label": label, "a": a, "b": b, "n": total[label, a, b].astype(np.int64)})
 
     rows = hash_sample(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), sample_docs, "id")
-    # counted by token where the text is, so that the driver gets transitions of distinct tokens
     got = (rows.select("text").mapInPandas(pick, "label int, token string").distinct()
-           .where(F.xxhash64("token") % 4 == 0).toPandas())
-    keep = got["token"].map(lambda t: all(c in ALPHABET for c in t))
-    got = got[keep]
-    return train([*random_tokens(), *got.token[got.label == 1]], [*identifiers(), *got.token[got.label == 0]])
+           .mapInPandas(count, "label int, a int, b int, n long").groupBy("label", "a", "b").agg(F.sum("n").alias("n")).collect())
+    seen = np.zeros((2, len(ALPHABET) + 1, len(ALPHABET) + 1))
+    for r in got:
+        seen[r["label"], r["a"], r["b"]] = r["n"]
+    return ratio_table(transitions(random_tokens()) + seen[1], transitions(identifiers()) + seen[0])
 
 
 def markov_spans(text: str, ratio: np.ndarray, taken: list, threshold: float) -> list[tuple[int, int, str]]:

@@ -47,6 +47,25 @@ def test_contamination_matches_brute_force(spark, make_docs, block_words):
     assert decontaminate.report(make_docs(docs), bench.where("false")).where("contaminated").count() == 0
 
 
+def test_other_columns_pass_untouched(spark, make_docs):
+    from pyspark.sql import functions as F
+    big = 2 ** 60 + 1
+    text = "one two three four five six seven eight nine ten eleven twelve thirteen mail a.b12@corp.example.com"
+    docs = make_docs([(big, text), (None, "clean"), (big, None)], extra="found of_id redrawn Found_ _found").withColumn(
+        "deep", F.expr("map('k', array(struct(1 AS a, cast(null AS string) AS b)))"))
+    bench = spark.createDataFrame([(1, text), (1, None)], "item_id long, text string")
+    got = decontaminate.decontaminate(docs, bench)
+    assert got.columns == docs.columns and got.schema == docs.schema
+    assert sorted(map(str, got.collect())) == sorted(str(r) for r in docs.collect() if r.text != text)
+    cut = decontaminate.decontaminate(docs, bench, cut_spans=True, coverage=2.0)
+    assert sorted((str(r.doc_id), r.text) for r in cut.collect() if r.text is not None) == [(str(big), ""), ("None", "clean")]
+    for rows in (0, 20_000):
+        made = pii.pseudonymize(docs, map_rows=rows)
+        assert made.columns == docs.columns
+        same = [c for c in docs.columns if c != "text"]
+        assert sorted(map(str, made.select(*same).collect())) == sorted(map(str, docs.select(*same).collect()))
+
+
 def test_spans_are_cut_with_their_separators():
     assert decontaminate.cut_words("Keep this, drop THAT one! End.", [(2, 5)], 3) == "Keep this, ! End."
     assert decontaminate.cut_words("a b c", [(0, 1)], 3) == "a b c"
