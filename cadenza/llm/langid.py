@@ -139,13 +139,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     def bags(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            out = [(lang, draw, k, *bag(p)) for text, lang, draw in zip(pdf["text"], pdf["lang"], pdf["draw"])
+            out = [(lang, draw, k, *(x.tobytes() for x in bag(p))) for text, lang, draw in zip(pdf["text"], pdf["lang"], pdf["draw"])
                    for k, p in enumerate(pieces(text))]
             yield pd.DataFrame(out, columns=["lang", "draw", "k", "ids", "shares"])
 
-    got = rows.mapInPandas(bags, "lang string, draw long, k int, ids array<int>, shares array<float>").toPandas()
+    got = rows.mapInPandas(bags, "lang string, draw long, k int, ids binary, shares binary").toPandas()
     got = got.sort_values(["draw", "lang", "k"], kind="stable")
-    return train([(np.asarray(i, np.int64), np.asarray(w, np.float32)) for i, w in zip(got["ids"], got["shares"])], got["lang"])
+    return train([(np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)) for i, w in zip(got["ids"], got["shares"])], got["lang"])
 
 
 def train(bags: list, langs) -> Model:
