@@ -31,7 +31,7 @@ def artist_names(tracks: DataFrame) -> DataFrame:
 def dim_artists(tracks: DataFrame) -> DataFrame:
     names = artist_names(tracks)
     return dense_ids(names, "artist_name", "artist_id").select(
-        F.col("artist_id").cast("int").alias("artist_id"), "artist_name")
+        F.col("artist_id").cast("long").alias("artist_id"), "artist_name")
 
 
 def lookup_id(df: DataFrame, dim: DataFrame, key: str, id_col: str) -> DataFrame:
@@ -51,7 +51,7 @@ def artist_track_mapping(tracks: DataFrame, artists: DataFrame) -> DataFrame:
 
 def dim_albums(dim_tracks_named: DataFrame) -> DataFrame:
     return dense_ids(dim_tracks_named.select("album_name"), "album_name", "album_id").select(
-        F.col("album_id").cast("int").alias("album_id"), "album_name")
+        F.col("album_id").cast("long").alias("album_id"), "album_name")
 
 
 def dim_tracks_named(tracks_with_genre: DataFrame) -> DataFrame:
