@@ -26,12 +26,13 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """One document of each near-duplicate class stays: that of the smallest
     id, null ids last.  Rows that share an id are told apart by their text; of
     those that share both, one stays."""
-    key = F.struct(F.col("doc_id").isNull().alias("n"), F.coalesce("doc_id", F.lit(0)).alias("i"),
-                   F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("t"))
-    keyed = docs.select(*COLUMNS, key.alias("_key"))
-    found = simhash_vptree.near_duplicates(keyed, id_col="_key")
-    stays = found.where("_key = component_id").select("_key").distinct()
-    return keyed.join(stays, "_key", "left_semi").dropDuplicates(["_key"]).select(*COLUMNS)
+    parts = {"_null": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0)),
+             "_text": F.md5(F.coalesce("text", F.lit("")).cast("binary"))}
+    keyed = docs.select(*COLUMNS, *[c.alias(name) for name, c in parts.items()])
+    found = simhash_vptree.near_duplicates(keyed.select(F.struct(*parts).alias("_key"), "text"), id_col="_key")
+    stays = found.where("_key = component_id").select("_key.*").distinct()
+    # repeated rows go before the texts are dealt out; the join then finds them dealt by its own keys
+    return keyed.dropDuplicates(list(parts)).join(stays, list(parts), "left_semi").select(*COLUMNS)
 
 
 def decontaminate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
