@@ -43,8 +43,8 @@ def oracle_sql() -> dict[str, str]:
     return dict(_ORACLE)
 
 
-def star_for(spark: SparkSession, sf_dir: str, match_time_signature: bool = False) -> Star:
-    return build_star(raw_tracks(spark, sf_dir), match_time_signature=match_time_signature)
+def star_for(spark: SparkSession, sf_dir: str, match_time_signature: bool = False, stages: bool = True) -> Star:
+    return build_star(raw_tracks(spark, sf_dir), match_time_signature=match_time_signature, checkpoint_stages=stages)
 
 
 def _round_doubles(df: DataFrame, cols) -> DataFrame:
@@ -60,7 +60,9 @@ def _sql_round(cols, all_cols) -> str:
 
 def _star_table(name: str, float_cols=()):
     def fn(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = star_for(spark, sf_dir).tables()[name]
+        # a table that reads the cleaned rows once needs no written copy of them
+        star = star_for(spark, sf_dir, stages=name not in ("dim_genre", "fact_track_popularity"))
+        df = getattr(star, name)
         return _round_doubles(df, float_cols) if float_cols else df
     return fn
 

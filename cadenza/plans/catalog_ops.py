@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cadenza import schema as S
-from cadenza.functions.columns import album_category, key_scale, key_signature, l2_norm
+from cadenza.functions.columns import album_category, key_scale, key_signature, l2_norm, l2_normalize
 from cadenza.operators import clean as C
 from cadenza.operators import genre as G
 from cadenza.operators import profile as P
@@ -18,6 +18,7 @@ from cadenza.plans import questions as Q
 from cadenza.plans.catalog import FLOAT_DECIMALS, _round_doubles, _sql_round, register, star_for
 from cadenza.sources.csv import read_tracks_csv, write_tracks_csv
 from cadenza.sources.fixture import raw_tracks
+from cadenza.session import checkpoint
 from cadenza.sources.sinks import audit_frame, read_back_counts, shared_output_dir, write_tables
 
 W = O.with_chain
@@ -34,6 +35,15 @@ def _dedup(spark, d):
     return C.dedup_rows(_named(spark, d), S.DATA_COLS)
 
 
+def _clean(spark, d):
+    """The cleaned rows for a key that reads them once: no stage is written."""
+    return C.clean_tracks(raw_tracks(spark, d))
+
+
+def _profile(spark, d):
+    return G.genre_profile(_clean(spark, d))
+
+
 def _genre_parts(spark, d, match=False):
     star = star_for(spark, d, match)
     clean, profile = star.clean, star.profile
@@ -60,22 +70,29 @@ _raw_cols = ", ".join("CASE WHEN time_signature = 1 THEN 4 ELSE time_signature E
                       if c == "time_signature" else c for c in ["row_no", *S.DATA_COLS])
 register("replace_values", W(f"SELECT {_raw_cols} FROM raw"))(
     lambda spark, d: C.replace_values(raw_tracks(spark, d), "time_signature", S.REPLACE_TIME_SIGNATURE))
-register("clean_tracks", W("SELECT * FROM clean"))(lambda spark, d: star_for(spark, d).clean)
+register("clean_tracks", W("SELECT * FROM clean"))(lambda spark, d: _clean(spark, d))
 register("drop_genre", W("SELECT * EXCLUDE (track_genre) FROM clean"))(
-    lambda spark, d: star_for(spark, d).clean.drop("track_genre"))
-register("track_rows", W("SELECT * FROM tracks"))(lambda spark, d: C.track_rows(star_for(spark, d).clean))
+    lambda spark, d: _clean(spark, d).drop("track_genre"))
+register("track_rows", W("SELECT * FROM tracks"))(lambda spark, d: C.track_rows(_clean(spark, d)))
 register("project_columns", W("SELECT artists, track_id FROM tracks"))(
-    lambda spark, d: C.track_rows(star_for(spark, d).clean).select("artists", "track_id"))
+    lambda spark, d: C.track_rows(_clean(spark, d)).select("artists", "track_id"))
 register("distinct_subset", W(f"SELECT DISTINCT {', '.join(S.GENRE_FEATURE_COLS)} FROM clean"))(
-    lambda spark, d: star_for(spark, d).clean.select(*S.GENRE_FEATURE_COLS).distinct())
+    lambda spark, d: _clean(spark, d).select(*S.GENRE_FEATURE_COLS).distinct())
 
 # --- genre profile and vote ----------------------------------------------------------
 
 register("l2_normalize", W(f"SELECT {_sql_round(F4, ['track_genre', 'time_signature', *F4])} FROM nprof"))(
-    lambda spark, d: _round_doubles(G.normalized_profile(star_for(spark, d).profile), F4))
+    lambda spark, d: _round_doubles(G.normalized_profile(_profile(spark, d)), F4))
 register("l2_norm", W(f"SELECT track_genre, time_signature, round({O._norm()}, {_R}) AS norm FROM profile"))(
-    lambda spark, d: star_for(spark, d).profile.select(
+    lambda spark, d: _profile(spark, d).select(
         "track_genre", "time_signature", F.round(l2_norm(*F4), _R).alias("norm")))
+_kcols = ", ".join(KEYS)
+_trk_unit = ", ".join(f"round({O._unit(c, O._norm())}, {_R}) AS unit_{c}" for c in F4)
+register("l2_norm_tracks", W(f"SELECT {_kcols}, round({O._norm()}, {_R}) AS norm FROM (SELECT DISTINCT {_kcols} FROM tracks)"))(
+    lambda spark, d: G.vote_keys(C.track_rows(_clean(spark, d))).select(*KEYS, F.round(l2_norm(*F4), _R).alias("norm")))
+register("l2_normalize_tracks", W(f"SELECT {_kcols}, {_trk_unit} FROM (SELECT DISTINCT {_kcols} FROM tracks)"))(
+    lambda spark, d: G.vote_keys(C.track_rows(_clean(spark, d))).select(
+        *KEYS, *[F.round(u, _R).alias(f"unit_{c}") for u, c in zip(l2_normalize(F4, l2_norm(*F4)), F4)]))
 _denorm = ", ".join(f"round(n.{c} * {O._norm('p.')}, {_R}) AS {c}" for c in F4)
 register("l2_denormalize", W(f"SELECT n.track_genre, n.time_signature, {_denorm} FROM nprof n "
                              f"JOIN profile p USING (track_genre, time_signature)"))(
@@ -90,7 +107,7 @@ def _l2_denormalize(spark, d):
 
 
 register("genre_profile", W(f"SELECT {_sql_round(F4, S.GENRE_FEATURE_COLS)} FROM profile"))(
-    lambda spark, d: _round_doubles(G.genre_profile(star_for(spark, d).clean), F4))
+    lambda spark, d: _round_doubles(G.genre_profile(_clean(spark, d)), F4))
 
 # Profile rows of a few genres at one time signature (the notebook's check
 # of one multi-genre track against its candidate genres).
@@ -99,12 +116,12 @@ ISIN_GENRES = ["AF-1", "NO-2", "RF-3", "AO-4"]
 _isin_sql = ", ".join(f"'{g}'" for g in ISIN_GENRES)
 register("filter_isin", W(f"SELECT {_sql_round(F4, S.GENRE_FEATURE_COLS)} FROM nprof "
                           f"WHERE time_signature = {ISIN_SIGNATURE} AND track_genre IN ({_isin_sql})"))(
-    lambda spark, d: _round_doubles(G.normalized_profile(star_for(spark, d).profile).where(
+    lambda spark, d: _round_doubles(G.normalized_profile(_profile(spark, d)).where(
         (F.col("time_signature") == ISIN_SIGNATURE) & F.col("track_genre").isin(*ISIN_GENRES)), F4))
 
 register("genre_time_signatures", W(
     "SELECT track_genre, list(time_signature ORDER BY time_signature) AS time_signatures FROM profile GROUP BY track_genre"))(
-    lambda spark, d: G.genre_time_signatures(star_for(spark, d).profile))
+    lambda spark, d: G.genre_time_signatures(_profile(spark, d)))
 register("genre_list", W("SELECT * FROM cands"))(lambda spark, d: _genre_parts(spark, d)["cands"])
 register("array_len_first", W("SELECT * FROM lists"))(lambda spark, d: _genre_parts(spark, d)["lists"])
 register("join_left_genres", W("SELECT t.*, l.list_len, l.first_genre FROM tracks t LEFT JOIN lists l USING (track_id)"))(
@@ -143,7 +160,7 @@ register("primary_genre_matched", W("SELECT * FROM tracks_g", match_time_signatu
 # --- scalar functions ------------------------------------------------------------------
 
 register("split_artists", W("SELECT track_id, artists, string_split(artists, ';') AS artist_list FROM tracks"))(
-    lambda spark, d: C.track_rows(star_for(spark, d).clean).select(
+    lambda spark, d: C.track_rows(_clean(spark, d)).select(
         "track_id", "artists", F.split("artists", S.ARTIST_SEPARATOR).alias("artist_list")))
 register("explode_artists", W("SELECT artist_name, track_id FROM artist_names"))(
     lambda spark, d: _explode(spark, d))
@@ -151,7 +168,7 @@ register("explode_artists", W("SELECT artist_name, track_id FROM artist_names"))
 
 def _explode(spark, d):
     from cadenza.operators.star import artist_names
-    return artist_names(star_for(spark, d).rows)
+    return artist_names(C.track_rows(_clean(spark, d)))
 
 
 def _artists_per_track(spark, d):
@@ -168,9 +185,9 @@ register("string_agg_ordered", W(O._final(
 
 _scale_sql = "CASE key " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.KEY_NAMES.items()) + " END"
 register("key_scale", W(f"SELECT DISTINCT key, {_scale_sql} AS scale FROM tracks"))(
-    lambda spark, d: C.track_rows(star_for(spark, d).clean).select("key", key_scale("key").alias("scale")).distinct())
+    lambda spark, d: C.track_rows(_clean(spark, d)).select("key", key_scale("key").alias("scale")).distinct())
 register("key_signature", W(f"SELECT track_id, key, mode, {O._key_signature_sql()} AS key_signature FROM tracks"))(
-    lambda spark, d: C.track_rows(star_for(spark, d).clean).select(
+    lambda spark, d: C.track_rows(_clean(spark, d)).select(
         "track_id", "key", "mode", key_signature("key", "mode").alias("key_signature")))
 register("album_category", W(O.Q4_CTES + O._final(
     "SELECT album_name, num_songs, CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_category "
@@ -236,23 +253,37 @@ register("value_counts_time_signature_raw", W(
 register("value_counts_time_signature", W(
     'SELECT time_signature, count(*) AS "count" FROM clean WHERE time_signature IS NOT NULL '
     'GROUP BY time_signature ORDER BY "count" DESC'))(
-    lambda spark, d: P.value_counts(star_for(spark, d).clean, "time_signature"))
+    lambda spark, d: P.value_counts(_clean(spark, d), "time_signature"))
 register("distinct_sorted_key", W("SELECT DISTINCT key FROM clean ORDER BY key"))(
-    lambda spark, d: P.distinct_sorted(star_for(spark, d).clean, "key"))
+    lambda spark, d: P.distinct_sorted(_clean(spark, d), "key"))
 register("distinct_sorted_mode", W("SELECT DISTINCT mode FROM clean ORDER BY mode"))(
-    lambda spark, d: P.distinct_sorted(star_for(spark, d).clean, "mode"))
+    lambda spark, d: P.distinct_sorted(_clean(spark, d), "mode"))
 register("head_rows", W("SELECT * FROM clean ORDER BY row_no, track_genre, track_id LIMIT 10"))(
-    lambda spark, d: P.head(star_for(spark, d).clean, 10))
+    lambda spark, d: P.head(_clean(spark, d), 10))
 def _head_tracks(spark, d, n=5):
-    """First track rows (genre dropped, deduplicated) in order of first appearance."""
-    clean = star_for(spark, d).clean
-    first = clean.groupBy(*S.TRACK_COLS).agg(F.min("row_no").alias("first_row"))
-    return first.orderBy("first_row", "track_id").limit(n)
+    """First track rows (genre dropped, deduplicated) in order of first
+    appearance, with key signature, listed genres and primary genre.  Only the
+    tracks of these ``n`` rows are voted on."""
+    star = star_for(spark, d)
+    clean = star.clean
+    first = checkpoint(clean.groupBy(*S.TRACK_COLS).agg(F.min("row_no").alias("first_row"))
+                       .orderBy("first_row", "track_id").limit(n), "head")
+    of_head = clean.join(F.broadcast(first.select("track_id").distinct()), "track_id", "left_semi")  # n rows at most
+    listed = (G.genre_candidates(of_head).where(F.col("track_genre").isNotNull()).groupBy("track_id")
+              .agg(F.sort_array(F.collect_list(F.struct("pos", "track_genre"))).alias("g"))  # distinct genres of n tracks
+              .select("track_id", F.array_join("g.track_genre", ", ").alias("genres")))
+    voted = G.assign_primary_genre(first, of_head, star.profile)
+    return C.with_key_signature(voted).join(listed, "track_id", "left").select(
+        *S.TRACK_COLS, "first_row", "key_signature", "genres", "primary_genre")
 
 
 _tc = ", ".join(S.TRACK_COLS)
-register("head_tracks", W(f"SELECT {_tc}, min(row_no) AS first_row FROM clean GROUP BY {_tc} "
-                          "ORDER BY first_row, track_id LIMIT 5"))(_head_tracks)
+_same_row = " AND ".join(f"h.{c} IS NOT DISTINCT FROM t.{c}" for c in S.TRACK_COLS)
+register("head_tracks", W(O._final(
+    f"SELECT t.*, h.first_row, h.key_signature, g.genres FROM (SELECT {_tc}, min(row_no) AS first_row, "
+    f"{O._key_signature_sql()} AS key_signature FROM clean GROUP BY {_tc} ORDER BY first_row, track_id LIMIT 5) h "
+    f"JOIN tracks_g t ON {_same_row} LEFT JOIN (SELECT track_id, string_agg(track_genre, ', ' ORDER BY pos, track_genre) AS genres "
+    "FROM cands WHERE track_genre IS NOT NULL GROUP BY track_id) g ON g.track_id = t.track_id")))(_head_tracks)
 register("describe_popularity", W(O._final(
     f"SELECT count(popularity) AS count, round(avg(popularity), {_R}) AS mean, "
     f"round(stddev_samp(popularity), {_R}) AS std, CAST(min(popularity) AS DOUBLE) AS min, "

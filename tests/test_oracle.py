@@ -52,6 +52,23 @@ def test_query_matches_oracle(spark, duck, name):
     assert _canon(srows, scols) == _canon(cur.fetchall(), ocols)
 
 
+ONE_PASS = ["clean_tracks", "drop_genre", "track_rows", "project_columns", "distinct_subset", "genre_profile", "l2_norm",
+            "l2_norm_tracks", "l2_normalize_tracks", "filter_isin", "genre_time_signatures", "split_artists", "explode_artists",
+            "key_scale", "key_signature", "value_counts_time_signature", "distinct_sorted_key", "head_rows", "dim_genre",
+            "fact_track_popularity"]
+
+
+def test_one_pass_keys_write_no_stage(spark, monkeypatch):
+    from cadenza import session
+
+    def refuse(*_):
+        raise AssertionError("a stage was written")
+
+    monkeypatch.setattr(session, "shared_dir", refuse)
+    for name in ONE_PASS:
+        assert queries()[name](spark, SF_DIR).columns
+
+
 def test_entry_runs(spark):
     df = entry(spark)
     assert df.count() >= 0 and "overall_rank" in df.columns
