@@ -44,8 +44,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def _is_local(spark: SparkSession) -> bool:
+    """One JVM: not ``local-cluster``, whose executors share no folder by default."""
     try:
-        return spark.conf.get("spark.master", "local").startswith("local")
+        return spark.conf.get("spark.master", "").split("[")[0] == "local"
     except Exception:
         return False
 
