@@ -6,9 +6,10 @@ from any record on.  Of the records with equal payloads (of at least
 revisits that name it and carry headers only.
 
 ``read_warc`` deals byte ranges of the archives to tasks.  A task looks for the
-gzip magic in its range, accepts a place where a member decodes to a whole WARC
-header block, and owns the records that start inside the range; the last may
-end beyond it.  Bytes are read in blocks and payloads decoded in pieces.
+gzip magic in its range, accepts a place where a member decodes to a WARC
+header block (of any size; a broken one is an error), and owns the records that
+start inside the range; the last may end beyond it.  Bytes are read in blocks
+and payloads decoded in pieces.
 
 Archives live in a folder that all executors see (any file system that
 ``pyarrow.fs`` opens by URI); a file is written beside its name and then moved
@@ -132,21 +133,28 @@ class _Source:
 
 
 def _header(src: _Source, offset: int):
-    """The decoder, the decoded bytes so far and where input goes on, if a
-    whole WARC header block decodes from ``offset``; else None."""
-    z, out, at = zlib.decompressobj(31), b"", offset
-    while b"\r\n\r\n" not in out:
-        if at - src.base >= len(src.data) and not src.grow():
+    """The decoder, the decoded bytes so far and where input goes on, if a WARC
+    record decodes from ``offset``; None if what decodes there is no such record.
+    The header block may be of any size; of the payload at most a piece is decoded."""
+    z, out, at, seen = zlib.decompressobj(31), bytearray(), offset, 0
+    while (out[:5] != b"WARC/") or out.find(b"\r\n\r\n", max(0, seen - 3)) < 0:
+        told, seen = out[:5] == b"WARC/", len(out)
+        if not told and (seen >= 5 or z.eof):
+            return None
+        more = not z.eof and (at - src.base < len(src.data) or src.grow())
+        if not more:
+            if told:
+                raise ValueError(f"header block of the record at {offset} has no end")
             return None
         piece = src.data[at - src.base:at - src.base + 4096]
         try:
-            out += z.decompress(piece)
-        except zlib.error:
-            return None
-        at += len(piece) - len(z.unused_data)
-        if (len(out) >= 5 and not out.startswith(b"WARC/")) or (z.eof and b"\r\n\r\n" not in out) or len(out) > BLOCK:
+            out += z.decompress(piece, 65_536)
+        except zlib.error as e:
+            if told:
+                raise ValueError(f"header block of the record at {offset} does not decode") from e
             return None
-    return z, out, at
+        at += len(piece) - len(z.unused_data or z.unconsumed_tail)
+    return z, bytes(out), at
 
 
 def _fields(block: bytes) -> dict[str, str]:

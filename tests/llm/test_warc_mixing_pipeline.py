@@ -1,6 +1,7 @@
 import base64
 import gzip
 import hashlib
+import io
 
 import duckdb
 import numpy as np
@@ -49,6 +50,18 @@ def test_warc_members_are_plain_gzip_and_empty_tables_work(spark, tmp_path):
         "1": "response", "2": "response", "3": "revisit", "4": "response"}
 
 
+def test_long_pages_that_compress_well_and_long_urls_are_read():
+    pages = [(1, "u", b"The same sentence again. " * 210_000), (2, "http://x/" + "abc" * 700_000, b"short"), (3, None, b"a" * 3_000_000)]
+    parts = [warc.encode_record(i, "response", None, u, p) for i, u, p in pages]
+    data = b"".join(parts)
+    got = list(warc.records_in(io.BytesIO(data), 0, len(data), True))
+    assert [(int(r[0]), r[3], r[6]) for r in got] == pages
+    got = [r[0] for at in range(0, len(data), 999) for r in warc.records_in(io.BytesIO(data), at, at + 999, False)]
+    assert got == ["1", "2", "3"]
+    with pytest.raises(ValueError, match="header block"):
+        list(warc.records_in(io.BytesIO(parts[1][:2_000]), 0, 2_000, True))
+
+
 def test_mix_matches_sql_and_targets(spark, make_docs):
     rng = np.random.default_rng(7)
     rows = []
