@@ -10,12 +10,18 @@ similarity of 1/4 or more to the run of the shared ones, so some band agrees
 with probability ``1 - 0.75 ** 24`` (0.999) at least, and surely when a run
 fills the window.
 
+A template of fewer than five words is one shingle, its whole word sequence;
+every run of as many words of a text is compared with it, so none is missed.
+
 Retrieved pairs are verified on the shingles themselves; a document has a
 license where the share of the template's distinct shingles found in its
 retrieved windows is ``CONTAINMENT`` or more.
 
 The templates are a parameter and bounded (``MAX_SHINGLES``), so their tables
-are broadcast.  Defined results: a null, empty or shorter text has no license;
+are broadcast; the library here holds common notices, not all there are.
+Defined results: a null, empty or shorter text has no license, and a template
+without words is never found; a document may have several licenses (the header of
+an AGPL text also holds over 0.8 of the GPL's);
 rows that share an id are one document; a null id is one document too.
 """
 
@@ -43,6 +49,32 @@ TEMPLATES = {
     "cc-by-nc-4.0": "Licensed under CC BY-NC 4.0",
     "cc-by-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License",
     "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    "bsd-names": ("nor the names of its contributors may be used to endorse or promote products derived from this software "
+                  "without specific prior written permission"),
+    "bsd-warranty": "This software is provided by the copyright holders and contributors \"as is\" and any express or implied warranties",
+    "mit-warranty": "The software is provided \"as is\", without warranty of any kind",
+    "lgpl": "GNU Lesser General Public License",
+    "lgpl-header": ("This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                    "General Public License as published by the Free Software Foundation"),
+    "agpl": "GNU Affero General Public License",
+    "isc": ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice"),
+    "unlicense": "This is free and unencumbered software released into the public domain",
+    "cc0-1.0-deed": "dedicated the work to the public domain by waiving all of his or her rights to the work worldwide under copyright law",
+    "cc-by": "Licensed under CC BY 4.0",
+    "cc-by-sa": "Licensed under CC BY-SA 4.0",
+    "cc-by-sa-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
+    "epl": "made available under the terms of the Eclipse Public License",
+    "bsl-1.0": "Distributed under the Boost Software License, Version 1.0",
+    "zlib": "This software is provided 'as-is', without any express or implied warranty",
+}
+#: notices of fewer than ``WIDTH`` words (fixed values)
+NOTICES = {
+    "all-rights-reserved": "All rights reserved",
+    "cc0-1.0": "CC0 1.0 Universal",
+    "spdx": "SPDX-License-Identifier",
+    "copyright-line": "Copyright (c)",
+    **{f"copyright-{year}": f"Copyright {year}" for year in range(1970, 2050)},
 }
 
 
@@ -71,12 +103,31 @@ def template_windows(spark, templates: dict[str, str]) -> DataFrame:
             .where("i + n - 1 <= size(s)").select("license", "total", F.slice("s", F.col("i"), F.col("n")).alias("run")))
 
 
+def short_templates(spark, templates: dict[str, str]) -> DataFrame:
+    """``(license, n, run)``: the word sequences of the templates of ``n < WIDTH`` words."""
+    lib = spark.createDataFrame(list(templates.items()), "license string, body string").withColumn("w", words(F.col("body")))
+    return lib.select("license", F.size("w").alias("n"), F.array_join("w", " ").alias("run")).where(F.col("n").between(1, WIDTH - 1))
+
+
+def short_finds(spans: DataFrame, short: DataFrame) -> DataFrame:
+    """``(id, license)`` where ``w`` of ``(id, w)`` holds the whole sequence of a short template."""
+    sizes = sorted(r["n"] for r in short.select("n").distinct().collect())  # fewer than WIDTH
+
+    def runs(n: int) -> Column:
+        last = F.size("w") - n + 1
+        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("w", i, n), " "))
+                      ).otherwise(F.array().cast("array<string>"))
+    found = spans.select("id", F.explode(F.concat(F.array().cast("array<string>"), *[runs(n) for n in sizes])).alias("run"))
+    return found.join(F.broadcast(short), "run").select("id", "license").distinct()
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates: dict[str, str] | None = None,
          containment: float = CONTAINMENT) -> DataFrame:
     """``(id_col, license, n_shingles, containment)`` for every license found."""
     spark = docs.sparkSession
-    runs = template_windows(spark, TEMPLATES if templates is None else templates)
-    if runs.where("size(run) = 1").count() > MAX_SHINGLES:
+    templates = {**TEMPLATES, **NOTICES} if templates is None else templates
+    runs, short = template_windows(spark, templates), short_templates(spark, templates)
+    if runs.where("size(run) = 1").count() + short.count() > MAX_SHINGLES:
         raise ValueError(f"templates of over {MAX_SHINGLES} shingles")
     band = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     own = [F.get("run", F.lit(i)) for i in range(WINDOW)]
@@ -99,6 +150,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", templa
     exact = (pairs.select("id", "license", F.explode(shingles(F.col("w"))).alias("shingle"))
              .join(F.broadcast(body), ["license", "shingle"]))
     share = F.countDistinct("shingle") / F.first("total")
+    whole = short_finds(spans, short).select("id", "license", F.lit(1).cast("long").alias("n_shingles"), F.lit(1.0).alias("containment"))
     return (exact.groupBy("id", "license").agg(F.countDistinct("shingle").cast("long").alias("n_shingles"), share.alias("containment"))
-            .where(F.col("containment") >= containment)
+            .unionByName(whole).where(F.col("containment") >= containment)
             .select(F.col("id").alias(id_col), "license", "n_shingles", "containment"))

@@ -183,3 +183,20 @@ def test_licenses_match_plain_containment(spark, make_docs):
             if len(sh(t) & sh(b)) >= 0.8 * len(sh(b))}
     assert got == want and len(want) >= 13
     assert licenses.scan(docs.where("false")).count() == 0
+
+
+def test_short_templates_are_found_as_whole_word_sequences(spark, make_docs):
+    texts = ["x " * 9_000 + "ALL rights, reserved.", "all rights", "all rights are reserved", "Some rights reserved", None, "", "all",
+             "Copyright (c) 2019 A. All rights\nreserved. All rights reserved", "overall rights reserved", "all rights reservedly"]
+    docs = make_docs(list(enumerate(texts)) + [(None, "All rights reserved")])
+    got = licenses.scan(docs, templates={"r": "All rights reserved.", "one": "Copyright", "none": "--"}).collect()
+    assert {(r.doc_id, r.license, r.n_shingles, r.containment) for r in got} == {
+        (0, "r", 1, 1.0), (7, "r", 1, 1.0), (7, "one", 1, 1.0), (None, "r", 1, 1.0)} and len(got) == 4
+    got = {(r.doc_id, r.license) for r in licenses.scan(docs).collect()}
+    assert got == {(0, "all-rights-reserved"), (7, "all-rights-reserved"), (7, "copyright-line"), (None, "all-rights-reserved")}
+    # no notice of the library stands for another
+    own = {**licenses.TEMPLATES, **licenses.NOTICES}
+    got = {(r.doc_id, r.license) for r in licenses.scan(make_docs(list(enumerate(own.values())))).collect()}
+    assert {(i, k) for i, k in enumerate(own)} <= got
+    names = list(own)
+    assert {(names[i], k) for i, k in got if names[i] != k} == {("lgpl-header", "lgpl")}
