@@ -2,14 +2,14 @@
 
 Fixed patterns find credentials that are assigned to a telling name, access
 keys and long hexadecimal runs.  Two first-order character models, one of
-random strings and one of ordinary identifiers, then judge every other long
-token: where the mean log-likelihood ratio per transition passes
-``THRESHOLD``, the token is reported as kind ``random``.  Tokens that touch a
-span of a fixed pattern are left to it.
+random strings and one of ordinary identifiers, then judge every other token of
+16 characters or more, words too: where the mean log-likelihood ratio per
+transition passes ``THRESHOLD``, the token is reported as kind ``random``.
+Tokens that touch a span of a fixed pattern are left to it.
 
 The models are trained from labelled samples: seeded random strings over the
-usual key alphabets, together with the values that the fixed patterns found in
-a bounded hash sample of the corpus (``SAMPLE`` documents), against the other
+usual key alphabets, lower-case letters alone and in groups among them, together
+with the values that the fixed patterns found in a bounded hash sample of the corpus (``SAMPLE`` documents), against the other
 identifiers of that sample and public names of the standard library.
 
 Defined results: a null text is empty; offsets count code points, ends
@@ -18,6 +18,7 @@ exclusive; repeated rows each give a row.
 
 from __future__ import annotations
 
+import itertools
 import re
 import string
 from collections.abc import Iterator
@@ -88,7 +89,12 @@ def random_tokens(n: int = 4_000, seed: int = 13) -> list[str]:
     rng = np.random.default_rng(seed)
     sets = [string.ascii_letters + string.digits, string.hexdigits[:16], string.ascii_uppercase + string.digits,
             string.ascii_letters + string.digits + "+/", string.ascii_letters + string.digits + "_-"]
-    return ["".join(rng.choice(list(sets[i % len(sets)]), rng.integers(16, 48))) for i in range(n)]
+    out = ["".join(rng.choice(list(sets[i % len(sets)]), rng.integers(16, 48))) for i in range(n)]
+    low = ["".join(rng.choice(list(string.ascii_lowercase), rng.integers(16, 48))) for _ in range(n // 5)]
+    # keys are also written in groups
+    groups = [re.sub(rf"(.{{{size}}})(?=.)", rf"\1{sign}", t)
+              for t, size, sign in zip(low, itertools.cycle((4, 5, 6, 8)), itertools.cycle("--_/-"))]
+    return out + low + groups[:n // 8]
 
 
 def identifiers() -> list[str]:
@@ -153,8 +159,8 @@ def markov_spans(text: str, ratio: np.ndarray, taken: list, threshold: float) ->
         if any(b < e and s < f for b, f, _ in taken[k:k + 4]):
             continue
         token = m[0].strip("=-_/+")
-        if len(token) < 16 or token.islower() and token.isalpha() or not any(c.isdigit() for c in token) and token[1:].islower():
-            continue  # words, however long, are no keys
+        if len(token) < 16:
+            continue
         c = _codes(token)
         if ratio[c[:-1], c[1:]].mean() > threshold:
             at = s + m[0].index(token)

@@ -200,3 +200,18 @@ def test_short_templates_are_found_as_whole_word_sequences(spark, make_docs):
     assert {(i, k) for i, k in enumerate(own)} <= got
     names = list(own)
     assert {(names[i], k) for i, k in got if names[i] != k} == {("lgpl-header", "lgpl")}
+
+
+def test_random_lower_case_keys_are_told_from_long_words():
+    ratio = secrets.ratio_table(secrets.transitions(secrets.random_tokens()), secrets.transitions(secrets.identifiers()))
+    rng = np.random.default_rng(99)
+    letters = list("abcdefghijklmnopqrstuvwxyz")
+    found = lambda t: secrets.markov_spans(f"see {t} there", ratio, [], secrets.THRESHOLD) == [(4, 4 + len(t), "random")]
+    assert found("qzxkvjwpfhgtrbnm") and found("xkqz-vbnm-wrtp-lkjh") and found("Qzxkvjwpfhgtrbnmw")
+    keys = ["".join(rng.choice(letters, 24)) for _ in range(300)]
+    assert sum(map(found, keys)) > 280
+    assert sum(found("-".join(k[i:i + 4] for i in range(0, 24, 4))) for k in keys) > 270
+    words = ("internationalization uncharacteristically counterrevolutionary electroencephalography incomprehensibility "
+             "antidisestablishmentarianism state-of-the-art-technology internationalization_configuration_settings "
+             "donaudampfschifffahrtsgesellschaft anticonstitutionnellement node_modules/typescript/lib Responsibilities-and-duties")
+    assert not any(found(w) for w in words.split())
