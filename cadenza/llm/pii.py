@@ -5,18 +5,21 @@ numbers, social security numbers, IBANs, and names after a title.  Each gets a
 replacement of its own kind, drawn by a keyed hash from its canonical form (so
 one entity gets one replacement wherever and however it is written):
 
-* digits for digits and letters for letters in place, separators kept; a phone
-  keeps its country code, a card its first digit and a valid check digit, an
+* digits for digits and letters for letters of the same script (those of
+  ``_LETTERS``; Latin ones for others) in place, separators kept; a phone with a
+  plus sign keeps its country code (one without is an entity of its own), a card its first digit and a valid check digit, an
   address its four numbers below 256, an IBAN its country;
 * e-mail: a local part of the same make (eight characters at least) at a
   replacement of the domain under a reserved top level;
-* a name keeps its title, number of words and capitals; first names end after
-  the title's gender; Cyrillic names get Cyrillic syllables.
+* a name keeps its title, number of words, hyphens, initial capitals and words
+  all in capitals; a person is known by the name without the title, first names
+  end after the gender of all titles the person has (neutral where they differ);
+  Cyrillic, Greek and Armenian names get syllables of their script.
 
 Collisions: the distinct entities of all documents are gathered, and of those
 with equal replacements all but one, and those whose replacement is itself an
 entity of the corpus, draw again until none is left.  Only entities that had to
-draw again are looked up when texts are rewritten: by a broadcast map up to
+draw again, and names under titles of several genders, are looked up when texts are rewritten: by a broadcast map up to
 ``MAP_ROWS`` of them, by a join per document beyond.
 
 Defined results: a null text stays null, an empty one empty; other columns stay
@@ -39,7 +42,12 @@ MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа")
 NEUTRAL = ("Dr", "Prof")
 _EMAIL = r"[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+"
-_NAME = r"(?:" + "|".join([*MALE, *FEMALE, *NEUTRAL]) + r")\.?\x20\p{Lu}\p{Ll}++(?:[\x20\-]\p{Lu}\p{Ll}++){0,2}"
+#: an apostrophe joins what follows, but for a genitive's s
+_JOINED = r"['\u2019](?![sS](?!\p{L}))[\p{L}\p{M}]++"
+_WORD = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}]++(?:{_JOINED})*+|(?:{_JOINED})++)"
+_NAME = r"(?:" + "|".join([*MALE, *FEMALE, *NEUTRAL]) + rf")\.?\x20{_WORD}(?:[\x20\-]{_WORD})*+"
+#: country codes, none of which begins another
+_CODE = r"1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
 _PATTERNS = {
     "email": _EMAIL,
     "iban": r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
@@ -54,6 +62,17 @@ _PATTERNS = {
 ANY = r"(?<![\p{L}\p{N}])(?:" + "|".join(_PATTERNS.values()) + ")"
 _LATIN = "babebidadedokakekilalelomamemimonanenorareresasesotatetovavevizazo"
 _CYRILLIC = "бабебидададокакекилалеломамеминаненорарересасесотатетовавевизазориси"
+_GREEK = "βαβεβιγαγεδαδεδικακεκικολαλελιλομαμεμιναρεριροσασεσιτατετοφαφεχα"
+_ARMENIAN = "բաբեգագեդադեզակակեկիլալելիմամեմինանենիպապեռասասեսիտատետովավեքա"
+#: script: syllables and the first names' endings for f, m and n
+_SYLLABLES = {"Cyrillic": (_CYRILLIC, "на", "рон", "ми"), "Greek": (_GREEK, "να", "ρον", "μι"),
+              "Armenian": (_ARMENIAN, "նա", "րոն", "մի")}
+_span = lambda a, n: "".join(map(chr, range(a, a + n)))
+#: script: lower-case letters, or letters without case
+_LETTERS = {"Cyrillic": _span(0x430, 32), "Greek": _span(0x3B1, 17) + _span(0x3C3, 7), "Armenian": _span(0x561, 38),
+            "Hebrew": _span(0x5D0, 27), "Arabic": _span(0x628, 18), "Devanagari": _span(0x915, 20), "Bengali": _span(0x995, 20),
+            "Thai": _span(0xE01, 40), "Georgian": _span(0x10D0, 33), "Hangul": _span(0xAC00, 200), "Hiragana": _span(0x304B, 23),
+            "Katakana": _span(0x30AB, 23), "Han": _span(0x4E00, 200)}
 
 
 def matches(text: Column) -> Column:
@@ -70,8 +89,8 @@ def _kind(m: Column) -> Column:
 def _canon(m: Column, kind: Column) -> Column:
     """One form for the ways in which an entity is written."""
     bare = F.regexp_replace(m, r"[^\p{L}\p{N}]", "")
-    person = F.lower(F.regexp_replace(m, r"^\S+\x20", ""))
-    code = F.regexp_extract(m, r"^\+(\d{1,3})(?=[\x20.\-(])", 1)
+    person = F.lower(F.translate(F.regexp_replace(m, r"^\S+\x20", ""), "-\u2019", " '"))
+    code = F.when(m.startswith("+"), F.regexp_extract(bare, f"^({_CODE})", 1)).otherwise("")
     gender = (F.when(m.rlike("^(?:" + "|".join(FEMALE) + r")\.?\x20"), "f")
               .when(m.rlike("^(?:" + "|".join(MALE) + r")\.?\x20"), "m").otherwise("n"))
     return (F.when(kind == "email", F.lower(m)).when(kind == "ip", m)
@@ -97,10 +116,16 @@ def _byte(draw: Column, i: Column) -> Column:
 
 def _like(text: Column, draw: Column) -> Column:
     """``text`` with each digit and letter replaced by one of its own sort."""
+    def letter(c, b):
+        out = F.when(c.rlike("^[A-Z]$"), F.char(b % 26 + 65)).when(c.rlike("^[a-z]$"), F.char(b % 26 + 97))
+        for script, letters in _LETTERS.items():
+            drawn = F.substr(F.lit(letters), b % len(letters) + 1, F.lit(1))
+            out = out.when(c.rlike(rf"^\p{{Is{script}}}$"), F.when(c.rlike(r"^\p{Lu}$"), F.upper(drawn)).otherwise(drawn))
+        return out.when(c.rlike(r"^\p{Lu}$"), F.char(b % 26 + 65)).otherwise(F.char(b % 26 + 97))
+
     def one(c, i):
         return _let(_byte(draw, i), lambda b: (
-            F.when(c.rlike(r"^\d$"), (b % 10).cast("string")).when(c.rlike(r"^\p{Lu}$"), F.char(b % 26 + 65))
-            .when(c.rlike(r"^\p{L}$"), F.char(b % 26 + 97)).otherwise(c)))
+            F.when(c.rlike(r"^\d$"), (b % 10).cast("string")).when(c.rlike(r"^\p{L}$"), letter(c, b)).otherwise(c)))
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
@@ -113,12 +138,10 @@ def _luhn(digits: Column) -> Column:
     return F.concat(F.substr(digits, F.lit(1), F.length(digits) - 1), ((F.lit(10) - total % 10) % 10).cast("string"))
 
 
-def _syllables(draw: Column, at: int, n: int, cyrillic: Column) -> Column:
-    def one(names: str) -> Column:
-        size = len(names) // 2
-        return F.array_join(F.transform(F.sequence(F.lit(at), F.lit(at + n - 1)), lambda i: F.substr(
-            F.lit(names), _byte(draw, i) % size * 2 + 1, F.lit(2))), "")
-    return F.when(cyrillic, one(_CYRILLIC)).otherwise(one(_LATIN))
+def _syllables(draw: Column, at: Column, n: int, names: str) -> Column:
+    size = len(names) // 2
+    return F.array_join(F.transform(F.sequence(at, at + n - 1), lambda i: F.substr(
+        F.lit(names), _byte(draw, i) % size * 2 + 1, F.lit(2))), "")
 
 
 def _email(canon: Column, draw: Column, key: str) -> Column:
@@ -129,14 +152,20 @@ def _email(canon: Column, draw: Column, key: str) -> Column:
 
 def _person(canon: Column, draw: Column) -> Column:
     """First names end after the gender; a sole word after a title is a family name."""
-    cyrillic = canon.rlike(r"\p{IsCyrillic}")
-    pick = lambda latin, other: F.when(cyrillic, other).otherwise(latin)
-    end = F.when(canon.startswith("f:"), pick("na", "на")).when(canon.startswith("m:"), pick("ron", "рон")).otherwise(pick("mi", "ми"))
-    n = F.size(F.split(F.substring(canon, 3, 200), r"[\x20\-]"))
-    family = _syllables(draw, 8, 5, cyrillic)
-    return F.concat(F.substring(canon, 1, 2), F.when(n == 1, family).otherwise(F.concat(
-        _syllables(draw, 0, 3, cyrillic), end, F.lit(" "), family, F.when(n > 2, F.concat(F.lit(" "), _syllables(draw, 16, 4, cyrillic)))
-        .otherwise(""))))
+    n = F.size(F.split(F.substring(canon, 3, 10_000), " "))
+
+    def of(names: str, female: str, male: str, neutral: str) -> Column:
+        end = F.when(canon.startswith("f:"), female).when(canon.startswith("m:"), male).otherwise(neutral)
+        family = _syllables(draw, F.lit(8), 5, names)
+        more = F.when(n > 2, F.transform(F.sequence(F.lit(3), n), lambda j: _syllables(draw, j * 4 + 4, 4, names))
+                      ).otherwise(F.array().cast("array<string>"))
+        return F.when(n == 1, family).otherwise(F.array_join(
+            F.concat(F.array(F.concat(_syllables(draw, F.lit(0), 3, names), end), family), more), " "))
+
+    made = of(_LATIN, "na", "ron", "mi")
+    for script, how in _SYLLABLES.items():
+        made = F.when(canon.rlike(rf"\p{{Is{script}}}"), of(*how)).otherwise(made)
+    return F.concat(F.substring(canon, 1, 2), made)
 
 
 def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
@@ -161,10 +190,14 @@ def _render(m: Column, kind: Column, made: Column) -> Column:
             return F.when(c.rlike(r"^[\p{L}\p{N}]$"), F.substr(bare, upto, F.lit(1))).otherwise(c)
         return F.array_join(F.transform(F.split(m, ""), place), "")
 
-    bare_name = F.regexp_replace(m, r"^\S+\x20", "")
-    dashed = bare_name.contains("-") & ~bare_name.contains(" ")
-    person = F.initcap(F.substring(made, 3, 200))
-    person = F.when(dashed, F.replace(person, F.lit(" "), F.lit("-"))).otherwise(person)
+    def person(bare):
+        written, seps = F.split(bare, r"[\x20\-]"), F.concat(F.regexp_extract_all(bare, F.lit(r"[\x20\-]"), F.lit(0)), F.array(F.lit("")))
+
+        def word(w, i):
+            own = F.get(written, i)
+            return F.concat(F.when(own == F.upper(own), F.upper(w)).otherwise(F.initcap(w)), F.get(seps, i))
+        return F.array_join(F.transform(F.split(F.substring(made, 3, 100_000), " "), word), "")
+    person = _let(F.regexp_replace(m, r"^\S+\x20", ""), person)
     return (F.when(kind.isin("email", "ip"), made).when(kind == "name", F.concat(F.regexp_extract(m, r"^(\S+\x20)", 1), person))
             .otherwise(_let(F.replace(made, F.lit(":"), F.lit("")), masked)))
 
@@ -175,25 +208,46 @@ def _entities(found: Column) -> Column:
     return F.transform(found, one)
 
 
+def _settled(written: DataFrame) -> DataFrame:
+    """``(kind, canon, settled)``: of a name, ``settled`` has the gender of all its titles."""
+    person = F.when(F.col("kind") == "name", F.expr("substring(canon, 3)"))
+    gender = F.substring("canon", 1, 1)
+    one = (written.where("kind = 'name'").groupBy(person.alias("person"))
+           .agg(F.max((gender == "f").cast("int")).alias("f"), F.max((gender == "m").cast("int")).alias("m")))
+    told = F.when(F.col("f") > F.col("m"), "f:").when(F.col("m") > F.col("f"), "m:").otherwise("n:")
+    return (written.join(one, person == F.col("person"), "left")
+            .select("kind", "canon", F.when(F.col("kind") == "name", F.concat(told, "person")).otherwise(F.col("canon")).alias("settled")))
+
+
+def _bare(kind: Column, canon: Column) -> Column:
+    """What is compared: a name without the gender."""
+    return F.when(kind == "name", F.substring(canon, 3, 100_000)).otherwise(canon)
+
+
 def redraws(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
-    """``(kind, canon, attempt)`` of the entities whose first replacement collides."""
+    """``(kind, canon, attempt, settled)`` of the entities whose first
+    replacement collides or whose settled form is not that of the title."""
     found = docs.select(F.explode(F.array_distinct(_entities(matches(F.col(text_col))))).alias("e"))
-    every = checkpoint(found.select("e.kind", "e.canon").distinct(), "pii-entities")
-    now = checkpoint(every.withColumn("attempt", F.lit(0)).withColumn("made", core(F.col("kind"), F.col("canon"), F.col("attempt"), key)), "pii-drawn")
-    real = every.select(F.col("kind").alias("rk"), F.col("canon").alias("rc"))
+    written = checkpoint(_settled(found.select("e.kind", "e.canon").distinct()), "pii-entities")
+    every = written.select("kind", F.col("settled").alias("canon")).distinct()
+    draw = lambda: core(F.col("kind"), F.col("canon"), F.col("attempt"), key)
+    now = checkpoint(every.withColumn("attempt", F.lit(0)).withColumn("made", draw()), "pii-drawn")
+    real = every.select(F.col("kind").alias("rk"), _bare(F.col("kind"), F.col("canon")).alias("rc"))
     for _ in range(ROUNDS):
-        holder = (now.groupBy("kind", "made").agg(F.min(F.struct("attempt", "canon")).alias("h"), F.count(F.lit(1)).alias("n"))
-                  .where("n > 1").select(F.col("kind").alias("hk"), F.col("made").alias("hm"), F.col("h.canon").alias("hc")))
-        loses = (now.join(holder, (F.col("kind") == F.col("hk")) & (F.col("made") == F.col("hm")), "left")
-                 .join(real, (F.col("kind") == F.col("rk")) & (F.col("made") == F.col("rc")), "left")
+        holder = (now.groupBy("kind", _bare(F.col("kind"), F.col("made")).alias("hm")).agg(F.min(F.struct("attempt", "canon")).alias("h"), F.count(F.lit(1)).alias("n"))
+                  .where("n > 1").select(F.col("kind").alias("hk"), "hm", F.col("h.canon").alias("hc")))
+        loses = (now.join(holder, (F.col("kind") == F.col("hk")) & (_bare(F.col("kind"), F.col("made")) == F.col("hm")), "left")
+                 .join(real, (F.col("kind") == F.col("rk")) & (_bare(F.col("kind"), F.col("made")) == F.col("rc")), "left")
                  .select("kind", "canon", "attempt", "made",
                          ((F.col("hc").isNotNull() & (F.col("hc") != F.col("canon"))) | F.col("rc").isNotNull()).alias("again")))
         loses = checkpoint(loses, "pii-check")
         if loses.where("again").isEmpty():
-            return now.where("attempt > 0").select("kind", "canon", "attempt")
+            drawn = now.where("attempt > 0").select("kind", F.col("canon").alias("settled"), "attempt")
+            return (written.join(drawn, ["kind", "settled"], "left").where("attempt IS NOT NULL OR canon != settled")
+                    .select("kind", "canon", F.coalesce("attempt", F.lit(0)).alias("attempt"), "settled"))
         attempt = F.col("attempt") + F.col("again").cast("int")
         now = checkpoint(loses.select("kind", "canon", attempt.alias("attempt"), "again", "made")
-                         .withColumn("made", F.when(F.col("again"), core(F.col("kind"), F.col("canon"), F.col("attempt"), key))
+                         .withColumn("made", F.when(F.col("again"), draw())
                                      .otherwise(F.col("made"))).drop("again"), "pii-drawn")
     raise ValueError(f"replacements still collide after {ROUNDS} rounds")
 
@@ -202,9 +256,11 @@ def _rewrite(text: Column, found: Column, attempts: Column | None, key: str) ->
     def one(m):
         def known(kind):
             def named(canon):
-                attempt = F.lit(0) if attempts is None else F.coalesce(
-                    F.element_at(attempts, F.concat_ws("\u0001", kind, canon)), F.lit(0))
-                return _let(core(kind, canon, attempt, key), lambda made: _render(m, kind, made))
+                if attempts is None:
+                    return _let(core(kind, canon, F.lit(0), key), lambda made: _render(m, kind, made))
+                own = F.coalesce(F.element_at(attempts, F.concat_ws("\u0001", kind, canon)),
+                                 F.struct(F.lit(0).alias("attempt"), canon.alias("settled")))
+                return _let(own, lambda e: _let(core(kind, e["settled"], e["attempt"], key), lambda made: _render(m, kind, made)))
             return _let(_canon(m, kind), named)
         return _let(_kind(m), known)
     pieces = F.split(text, ANY, -1)
@@ -225,11 +281,12 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         i, m = spare(docs, "of_id"), spare(docs, "redrawn")
         told = (found.select(F.col(f"`{id_col}`").alias(i), F.explode(F.array_distinct(_entities(F.col(at)))).alias("e"))
                 .select(i, "e.kind", "e.canon").distinct().join(again, ["kind", "canon"])
-                .groupBy(i).agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("attempt")))).alias(m)))
+                .groupBy(i).agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m)))
         found, attempts = found.join(told, F.col(f"`{id_col}`").eqNullSafe(F.col(i)), "left"), F.col(m)
     elif size:
-        table = again.agg(F.map_from_entries(F.collect_list(F.struct(name, F.col("attempt")))).alias("m"))
-        attempts = table.scalar()
+        m = spare(docs, "redrawn")
+        table = again.agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m))
+        found, attempts = found.crossJoin(F.broadcast(table)), F.col(m)  # one row
     made = _rewrite(text, F.col(at), attempts, key).alias(text_col)
     extra = [F.coalesce(F.size(at), F.lit(0)).alias(count_col)] if count_col else []
     return found.select(*[made if c == text_col else F.col(f"`{c}`") for c in docs.columns], *extra)

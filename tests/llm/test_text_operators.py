@@ -215,3 +215,23 @@ def test_random_lower_case_keys_are_told_from_long_words():
              "antidisestablishmentarianism state-of-the-art-technology internationalization_configuration_settings "
              "donaudampfschifffahrtsgesellschaft anticonstitutionnellement node_modules/typescript/lib Responsibilities-and-duties")
     assert not any(found(w) for w in words.split())
+
+
+@pytest.mark.parametrize("map_rows", [20_000, 0])
+def test_one_entity_has_one_surrogate_in_every_form(spark, make_docs, map_rows):
+    texts = ["+17415553069 and +1 (741) 555-3069 and +1 741-555-3069; +442079460958, +44 2079 460958",
+             "Dr Jane Doe, Ms Jane Doe, Jane", "Ms. Jane Doe's dog; Mr Jon-Ole Roe", "Mr Jon Ole Roe; Dr Kim Poe", "Dr Kim Poe",
+             "Dr Γιώργος Παπαδόπουλος wrote γιωργος.παπα@corp.example.com",
+             "Mr Ronald McDonald met Ms Mary O'Brien and Mr Juan Carlos Maria Garcia Lopez too. Mr JOHN SMITH"]
+    out = {r.doc_id: r.text for r in pii.pseudonymize(make_docs(list(enumerate(texts))), map_rows=map_rows).collect()}
+    phones = [re.sub(r"\D", "", x) for x in re.split(" and |; |, ", out[0])]
+    assert phones[0] == phones[1] == phones[2] != "17415553069" and phones[0][0] == "1" and out[0].startswith("+1")
+    assert phones[3] == phones[4] != "442079460958" and phones[3].startswith("44")
+    jane = re.fullmatch(r"Dr (\w+na \w+), Ms (\w+), Jane".replace("(\\w+),", "(\\w+na \\w+),"), out[1])
+    assert jane and jane[1] == jane[2] and out[2].startswith(f"Ms. {jane[1]}'s dog; Mr ")
+    jon = re.search(r"Mr (\w+ron)-(\w+) (\w+)$", out[2])
+    assert jon and out[3].startswith("Mr " + " ".join(jon.groups())) and out[3].endswith(out[4]) and "mi " in out[4]
+    assert re.fullmatch(r"Dr [Α-Ω][α-ω]+μι [Α-Ω][α-ω]+ wrote [α-ω]+\.[α-ω]+@d\w+\.example", out[5]) and "γιωργος" not in out[5]
+    assert re.fullmatch(r"Mr [A-Z][a-z]+ron [A-Z][a-z]+ met Ms [A-Z][a-z]+na [A-Z][a-z]+ and Mr [A-Z][a-z]+ron(?: [A-Z][a-z]+){4} too"
+                        r"\. Mr [A-Z]+ [A-Z]+", out[6])
+    assert not re.search("Donald|Brien|Garcia|Lopez|SMITH", out[6])
