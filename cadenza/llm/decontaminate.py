@@ -21,6 +21,7 @@ id is written as an empty string; repeated documents each give a row.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from decimal import Decimal
 
@@ -166,7 +167,15 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int):
         yield block
 
 
-_BUILT: dict[int, Automaton] = {}
+_BUILT: dict[str, Automaton] = {}
+
+
+def _built(token: str, items: list, window: int) -> Automaton:
+    """The automaton of the block that ``token`` names, kept in the worker."""
+    if token not in _BUILT:
+        _BUILT.clear()
+        _BUILT[token] = Automaton(items, window)
+    return _BUILT[token]
 
 
 FOUND = "n_words long, spans array<array<int>>, items array<string>"
@@ -193,13 +202,11 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
 
 
 def _pass(df: DataFrame, text_col: str, out_col: str, block, window: int):
+    token = uuid.uuid4().hex  # an address may be used again
+
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        key = id(block.value)
-        if key not in _BUILT:
-            _BUILT.clear()
-            _BUILT[key] = Automaton(block.value, window)
-        auto = _BUILT[key]
+        auto = _built(token, block.value, window)
         for texts, before, named in batches:
             rows = []
             for t, s, i in zip(texts, before, named):

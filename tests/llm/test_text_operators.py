@@ -235,3 +235,11 @@ def test_one_entity_has_one_surrogate_in_every_form(spark, make_docs, map_rows):
     assert re.fullmatch(r"Mr [A-Z][a-z]+ron [A-Z][a-z]+ met Ms [A-Z][a-z]+na [A-Z][a-z]+ and Mr [A-Z][a-z]+ron(?: [A-Z][a-z]+){4} too"
                         r"\. Mr [A-Z]+ [A-Z]+", out[6])
     assert not re.search("Donald|Brien|Garcia|Lopez|SMITH", out[6])
+
+
+def test_an_automaton_is_kept_by_its_block_not_by_an_address():
+    items = [("1", [b"a", b"b"])]
+    first = decontaminate._built("x", items, 2)
+    items[:] = [("2", [b"c", b"d"])]  # another block at the same address
+    assert decontaminate._built("y", items, 2).hits([b"c", b"d"]) == ([(0, 2)], {"2"})
+    assert first.hits([b"c", b"d"]) == ([], set())
