@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cadenza.llm import (decontaminate, embedding_dedup, langid, licenses, mixing, pii, secrets, simhash_vptree, toxicity,
-                         warc)
+from cadenza.llm import (conversation_trie, decontaminate, embedding_dedup, filter_audit, fingerprints, langid, licenses, mixing,
+                         pii, secrets, simhash_vptree, toxicity, warc)
 from cadenza.llm.common import table
-from cadenza.llm.sql import MIXING
+from cadenza.llm.sql import CONVERSATION_TRIE, FILTER_AUDIT, MIXING
 from cadenza.session import shared_dir
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -65,10 +65,23 @@ def op10_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.digest(fingerprints.compare_edits(table(spark, sf_dir, "documents")))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, QueryFn]:
     return {f.__name__: f for f in (op1_simhash, op2_warc, op3_decontaminate, op4_secrets, op5_toxicity, op6_mixing, op7_pii,
-                                    op8_licenses, op9_langid, op10_embedding_dedup)}
+                                    op8_licenses, op9_langid, op10_embedding_dedup, op11_fingerprints, op12_filter_audit,
+                                    op13_conversation_trie)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_mixing": MIXING}
+    return {"op6_mixing": MIXING, "op12_filter_audit": FILTER_AUDIT, "op13_conversation_trie": CONVERSATION_TRIE}
