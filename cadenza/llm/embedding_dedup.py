@@ -17,8 +17,11 @@ that no cut divides are joined in pairs of row chunks, so memory stays bounded.
 
 Defined results: a vector that is null, zero, or holds a null or non-finite
 component, and a row with a null label or id, links with nothing: no links, its
-own component.  Vectors of different length never link.  Repeated rows count as
-copies of each other.
+own component.  Vectors of different length never link.  Rows of equal label and
+vector are copies of each other, whatever their ids; an id that other labels or
+vectors share names nothing but its rows, so it joins no classes.  Vectors are
+scaled by powers of two before lengths are taken, so very small and very large
+components neither vanish nor overflow.
 """
 
 from __future__ import annotations
@@ -43,8 +46,14 @@ def rotation(dims: int) -> np.ndarray:
     return q * np.sign(np.diag(r))
 
 
-def _units(vectors) -> np.ndarray:
+def _scaled(vectors) -> np.ndarray:
+    """The vectors with largest components between a half and one: exact, for any length."""
     x = np.array([np.asarray(v, np.float64) for v in vectors])
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
+
+
+def _units(vectors) -> np.ndarray:
+    x = _scaled(vectors)
     return x / np.linalg.norm(x, axis=1, keepdims=True)
 
 
@@ -137,13 +146,14 @@ def links(distinct: DataFrame, cosine: float = COSINE, block_dims: int = BLOCK_D
     sample = distinct.where(F.pmod(F.xxhash64(F.lit(3), "node"), F.lit(step)) == 0).select("label", "v").toPandas()
     sample["dims"] = sample["v"].map(len)
     rows = max(16, cell_rows // step)
-    trees = {}
+    trees, sizes = {}, {}
     for (label, dims), own in sample.groupby(["label", "dims"]):
+        sizes[label, dims] = len(own)
         if len(own) > rows:
             x, parts = _units(own["v"]) @ rotation(dims), _blocks(dims, block_dims)
             radius = [float(np.sqrt((2 - 2 * cosine + 1e-9) * (b.stop - b.start) / dims)) + 1e-9 for b in parts]
             trees[label, dims] = [_cuts(x[:, b], rows, r) for b, r in zip(parts, radius)]
-    trees = distinct.sparkSession.sparkContext.broadcast(trees)  # grows with the sample, not with the rows
+    trees = distinct.sparkSession.sparkContext.broadcast((trees, sizes))  # grows with the sample, not with the rows
 
     def deal(batches):
         for pdf in batches:
@@ -153,7 +163,9 @@ def links(distinct: DataFrame, cosine: float = COSINE, block_dims: int = BLOCK_D
                 x = _units(own["v"]) @ rotation(dims)
                 for k, b in enumerate(_blocks(dims, block_dims)):
                     radius = float(np.sqrt((2 - 2 * cosine + 1e-9) * (b.stop - b.start) / dims)) + 1e-9
-                    tree = trees.value.get((label, dims), [0] * (k + 1))[k]
+                    cut, sampled = trees.value
+                    # without a tree the label is one cell of its sampled size
+                    tree = cut[label, dims][k] if (label, dims) in cut else sampled.get((label, dims), 1)
                     for cell, size, idx, copied in _deal(tree, x[:, b], radius):
                         p = max(1, -(-size * step // (2 * cell_rows)))
                         part = own["node"].to_numpy()[idx] % p
@@ -165,7 +177,7 @@ def links(distinct: DataFrame, cosine: float = COSINE, block_dims: int = BLOCK_D
 
     def search(key, pdf):
         lo, hi = key[4], key[5]
-        raw = np.array([np.asarray(v, np.float64) for v in pdf["v"]])
+        raw = _scaled(pdf["v"])
         node = pdf["node"].to_numpy()
         linked, label = _search(raw, int(key[2]), cosine, block_dims, pdf["copied"].to_numpy(),
                                 pdf["part"].to_numpy() if lo != hi else None, pdf["copies"].to_numpy())
@@ -190,15 +202,18 @@ def near_duplicates(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "
             & ~F.exists(v, number) & F.exists(v, lambda x: x != 0))
     own = rows.select(F.col(id_col).alias("id"), F.col(label_col).alias("label"), F.col(vector_col).alias("v"))
     own = own.withColumn("key", F.when(F.coalesce(fine, F.lit(False)), F.md5(F.array_join(v.cast("array<string>"), ",").cast("binary"))))
-    copies = checkpoint(own.where("key IS NOT NULL").groupBy("label", "key")
-                        .agg(F.min("id").alias("node"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v")), "vectors")
-    found = checkpoint(links(copies, cosine, block_dims, sample_rows, cell_rows), "vector-links")
+    copies = own.where("key IS NOT NULL").groupBy("label", "key").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.first("v").alias("v"))
+    # the numbers are written with the classes, so nothing renumbers them
+    copies = checkpoint(copies.withColumn("node", F.monotonically_increasing_id()), "vectors")
+    found = checkpoint(links(copies.drop("least"), cosine, block_dims, sample_rows, cell_rows), "vector-links")
     comp = connected_components(found.select(F.col("node").alias("a"), F.col("parent").alias("b")))
     linked = found.groupBy("node").agg(F.sum("linked").alias("linked"))
-    named = (copies.select("label", "key", "node", "copies").join(linked, "node", "left").join(comp, "node", "left")
-             .select(F.col("label").alias("l"), F.col("key").alias("k"),
-                     (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-                     F.coalesce("component", "node").alias("component_id")))
+    classes = (copies.select("label", "key", "node", "copies", "least").join(linked, "node", "left").join(comp, "node", "left")
+               .select("label", "key", "least", (F.coalesce("linked", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+                       F.coalesce("component", "node").alias("class")))
+    least = classes.groupBy("class").agg(F.min("least").alias("component_id"))
+    named = classes.join(least, "class").select(F.col("label").alias("l"), F.col("key").alias("k"), "n_links", "component_id")
     return (own.select("id", "label", "key")
             .join(named, (F.col("label") == F.col("l")) & (F.col("key") == F.col("k")), "left")
             .select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -6,15 +6,16 @@ through a linear softmax; both layers are trained by stochastic gradient descent
 in numpy.  For prediction the two linear layers are multiplied into one table,
 so a text costs one look-up per subword, over the whole text.
 
-Rejection is calibrated on a part of the training rows that the descent does
-not see: the temperature that fits their likelihood best, and the score below
+Rejection is calibrated on every tenth training document, whole and in pieces,
+of which the descent sees nothing: the temperature that fits their likelihood best, and the score below
 which a share of ``REJECT`` of them falls.
 
 Training takes at most ``TRAIN_DOCS`` documents for each language and
 ``TRAIN_TOTAL`` in all (at least ``LEAST_DOCS`` a language), by a hash, whose
 ``crc32(id) mod 4`` is not 2: each whole, and two short pieces of the longer
 ones.  Texts are turned into bags of buckets where they are; a bag has at most
-``BUCKETS`` entries, however long its text.
+``BUCKETS`` entries, however long its text.  More than ``MAX_LANGS`` languages
+are refused, since every one needs its share of the training rows.
 
 Defined results: a null text or one without letters is ``und`` with score 0;
 with no trainable row every text is ``und``; repeated rows each give a row.
@@ -39,6 +40,7 @@ DIMS = 16
 TRAIN_DOCS = 600
 TRAIN_TOTAL = 6_000
 LEAST_DOCS = 20
+MAX_LANGS = 500
 EPOCHS = 12
 REJECT = 0.01
 PIECE = 1 << 16
@@ -122,10 +124,12 @@ def descend(bags, y: np.ndarray, n_langs: int, epochs: int = EPOCHS, rate: float
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-        train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL) -> Model:
+        train_docs: int = TRAIN_DOCS, train_total: int = TRAIN_TOTAL, max_langs: int = MAX_LANGS) -> Model:
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
             .where(F.col("lang").isNotNull() & (F.coalesce(id_crc("id") % 4, F.lit(0)) != 2) & F.col("text").rlike(r"\p{L}")))
-    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(500).collect()}
+    counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().limit(max_langs + 1).collect()}
+    if len(counts) > max_langs:
+        raise ValueError(f"more than {max_langs} languages: raise max_langs (and train_total)")
     if not counts:
         return Model((), b"", b"", 1.0, 0.0)
     train_docs = min(train_docs, max(LEAST_DOCS, train_total // len(counts)))
@@ -145,14 +149,16 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
     got = rows.mapInPandas(bags, "lang string, draw long, k int, ids binary, shares binary").toPandas()
     got = got.sort_values(["draw", "lang", "k"], kind="stable")
-    return train([(np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)) for i, w in zip(got["ids"], got["shares"])], got["lang"])
+    return train([(np.frombuffer(i, np.int32), np.frombuffer(w, np.float32)) for i, w in zip(got["ids"], got["shares"])], got["lang"],
+                 got.groupby(["draw", "lang"], sort=False).ngroup().to_numpy())
 
 
-def train(bags: list, langs) -> Model:
-    """The model from bags of buckets and their languages, in a fixed order."""
+def train(bags: list, langs, docs=None) -> Model:
+    """The model from bags of buckets, their languages and the numbers of the
+    documents that they come from (each its own, if not given), in a fixed order."""
     names = tuple(sorted(set(langs)))
     labels = np.array([names.index(x) for x in langs])
-    seen = np.arange(len(bags)) % 10 != 9
+    seen = (np.arange(len(bags)) if docs is None else np.asarray(docs)) % 10 != 9
     emb, out, bias = descend([b for b, s in zip(bags, seen) if s], labels[seen], len(names))
     table = emb @ out
     z = np.array([w @ table[ids] + bias for (ids, w), s in zip(bags, seen) if not s]).reshape(-1, len(names))

@@ -41,7 +41,8 @@ ROUNDS = 40
 MALE = ("Mr", "Herr", "Monsieur", "Señor", "Sr", "г-н")
 FEMALE = ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "г-жа")
 NEUTRAL = ("Dr", "Prof")
-_EMAIL = r"[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)+"
+#: begins where no character of the local part stands before, so a run of them is read once
+_EMAIL = r"(?<![\p{L}\p{N}._%+\-])[\p{L}\p{N}._%+\-]++@[\p{L}\p{N}\-]++(?:\.[\p{L}\p{N}\-]++)++"
 #: an apostrophe joins what follows, but for a genitive's s
 _JOINED = r"['\u2019](?![sS](?!\p{L}))[\p{L}\p{M}]++"
 _WORD = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}]++(?:{_JOINED})*+|(?:{_JOINED})++)"
@@ -152,7 +153,7 @@ def _email(canon: Column, draw: Column, key: str) -> Column:
 
 def _person(canon: Column, draw: Column) -> Column:
     """First names end after the gender; a sole word after a title is a family name."""
-    n = F.size(F.split(F.substring(canon, 3, 10_000), " "))
+    n = F.size(F.split(F.substr(canon, F.lit(3)), " "))
 
     def of(names: str, female: str, male: str, neutral: str) -> Column:
         end = F.when(canon.startswith("f:"), female).when(canon.startswith("m:"), male).otherwise(neutral)
@@ -196,7 +197,7 @@ def _render(m: Column, kind: Column, made: Column) -> Column:
         def word(w, i):
             own = F.get(written, i)
             return F.concat(F.when(own == F.upper(own), F.upper(w)).otherwise(F.initcap(w)), F.get(seps, i))
-        return F.array_join(F.transform(F.split(F.substring(made, 3, 100_000), " "), word), "")
+        return F.array_join(F.transform(F.split(F.substr(made, F.lit(3)), " "), word), "")
     person = _let(F.regexp_replace(m, r"^\S+\x20", ""), person)
     return (F.when(kind.isin("email", "ip"), made).when(kind == "name", F.concat(F.regexp_extract(m, r"^(\S+\x20)", 1), person))
             .otherwise(_let(F.replace(made, F.lit(":"), F.lit("")), masked)))
@@ -221,14 +222,15 @@ def _settled(written: DataFrame) -> DataFrame:
 
 def _bare(kind: Column, canon: Column) -> Column:
     """What is compared: a name without the gender."""
-    return F.when(kind == "name", F.substring(canon, 3, 100_000)).otherwise(canon)
+    return F.when(kind == "name", F.substr(canon, F.lit(3))).otherwise(canon)
 
 
 def redraws(docs: DataFrame, text_col: str = "text", key: str = KEY) -> DataFrame:
     """``(kind, canon, attempt, settled)`` of the entities whose first
     replacement collides or whose settled form is not that of the title."""
-    found = docs.select(F.explode(F.array_distinct(_entities(matches(F.col(text_col))))).alias("e"))
-    written = checkpoint(_settled(found.select("e.kind", "e.canon").distinct()), "pii-entities")
+    found = docs.select(F.explode(_entities(matches(F.col(text_col)))).alias("e"))
+    found = checkpoint(found.select("e.kind", "e.canon").distinct(), "pii-entities")  # the texts are read once
+    written = checkpoint(_settled(found), "pii-settled")
     every = written.select("kind", F.col("settled").alias("canon")).distinct()
     draw = lambda: core(F.col("kind"), F.col("canon"), F.col("attempt"), key)
     now = checkpoint(every.withColumn("attempt", F.lit(0)).withColumn("made", draw()), "pii-drawn")
@@ -279,7 +281,7 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = docs.withColumn(at, matches(text))
     if size > map_rows:
         i, m = spare(docs, "of_id"), spare(docs, "redrawn")
-        told = (found.select(F.col(f"`{id_col}`").alias(i), F.explode(F.array_distinct(_entities(F.col(at)))).alias("e"))
+        told = (found.select(F.col(f"`{id_col}`").alias(i), F.explode(_entities(F.col(at))).alias("e"))
                 .select(i, "e.kind", "e.canon").distinct().join(again, ["kind", "canon"])
                 .groupBy(i).agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m)))
         found, attempts = found.join(told, F.col(f"`{id_col}`").eqNullSafe(F.col(i)), "left"), F.col(m)

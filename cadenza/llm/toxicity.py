@@ -1,27 +1,30 @@
 """Toxicity by a weighted lexicon matched with Aho-Corasick.
 
 Texts are folded first: lower case, look-alike letters of other scripts to
-Latin ones, digits and signs inside words to the letters they stand for.  One
+Latin ones, underscores to spaces, digits and signs inside words (before the
+word's last letter) to the letters they stand for, in one linear pass.  One
 Aho-Corasick automaton holds the lexicon's stems and the exception phrases; a
 stem counts where it begins a word and lies in no exception phrase.  The score
 is a logistic function of the weights found, also per length of the text.
 
 The lexicon is learnt from labels: stems (whole words and word beginnings) that
 toxic texts hold far more often than others, weighted by log-odds, added to a
-fixed list of common insults.  Counting covers a bounded hash sample of labelled rows
-(``TRAIN_ROWS``); the logistic weights are fitted on the same rows by Newton
-steps.  Held-out rows (``crc32(id) mod 5 = 0``) are never used.
+fixed list of common insults.  Of the stems that a hundredth of the toxic texts
+hold, the ``LEXICON`` with the highest lift are kept.  Counting covers a bounded
+hash sample of labelled rows (``TRAIN_ROWS``); the logistic weights are fitted on
+the same rows by Newton steps.  Held-out rows (``crc32(id) mod 5 = 0``) are never used.
 
 Defined results: a null or empty text has no finding and gets the score of its
 features (none); an id with several labels counts once per label; with no
 labels of both kinds the fixed list and fixed weights are used; repeated rows
-each give a row.
+each give a row; ids may be of any type that labels and documents share.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -32,6 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cadenza.llm.common import hash_sample, id_crc
+from cadenza.session import checkpoint
 
 TRAIN_ROWS = 12_000
 LEXICON = 5_000
@@ -46,23 +50,27 @@ _LOOKS = {"a": "аα", "c": "сϲ", "e": "еёε", "i": "іїιı", "j": "ј", "
           "u": "υ", "v": "ν", "x": "хχ", "y": "у", "d": "ԁ", "q": "ԛ", "w": "ԝ"}
 _LATIN = {c: k for k, v in _LOOKS.items() for c in v}
 _LATIN |= {chr(0xFF41 + i): chr(97 + i) for i in range(26)}
-_FOLD = str.maketrans(_LATIN)
+_FOLD = str.maketrans(_LATIN | {"_": " "})
 _SIGNS = str.maketrans("013457@$!|", "oieastasii")
-_MIXED = re.compile(r"(?<![0-9@$!|])(?=[0-9@$!|]*[^\W\d_])[\w@$!|]*?[013457@$!|][\w@$!|]*[^\W\d_]")
+#: a word with a digit or sign; it is tried at its start alone, so a run is read once
+_MIXED = re.compile(r"(?<![\w@$!|])[^\W\d]*+[\d@$!|][\w@$!|]*+")
+
+
+def _unmask(word: re.Match) -> str:
+    core = word[0].rstrip("0123456789@$!|")
+    return core.translate(_SIGNS) + word[0][len(core):]
 
 
 def fold(text: str | None) -> str:
-    """Lower case, look-alikes to Latin, digits and signs before a letter of the same word to letters."""
-    t = (text or "").lower().translate(_FOLD)
-    return _MIXED.sub(lambda m: m[0] if len(m[0]) > 24 else m[0].translate(_SIGNS), t)
+    """Lower case, look-alikes to Latin, digits and signs before the last letter of their word to letters."""
+    return _MIXED.sub(_unmask, (text or "").lower().translate(_FOLD))
 
 
 def stems(folded: str) -> set[str]:
     out = set()
     for w in set(re.findall(r"[^\W\d_]+", folded)):
-        if len(w) <= 24:
-            out.add(w)
-            out.update(w[:n] for n in range(3, min(len(w), 9)))
+        out.add(w)
+        out.update(w[:n] for n in range(3, min(len(w), 9)))
     return out
 
 
@@ -88,7 +96,13 @@ def features(text: str | None, auto) -> tuple[float, float, float]:
             continue
         (excused if w is None else hits).append((start, end, w))
     if excused:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b, _ in excused)]
+        excused.sort()
+        starts, reach, far = [a for a, *_ in excused], [], -1
+        for _, b, _ in excused:
+            far = max(far, b)
+            reach.append(far)
+        # of the phrases that begin by then, the farthest end
+        hits = [h for h in hits if not (k := bisect_right(starts, h[0])) or reach[k - 1] < h[1]]
     if not hits:
         return 0.0, 0.0, 0.0
     once = {t[a:b + 1]: w for a, b, w in hits}
@@ -103,13 +117,9 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
           label_col: str = "toxic", train_rows: int = TRAIN_ROWS) -> tuple[dict[str, float], tuple]:
     """Lexicon and logistic weights, from rows that are not held out."""
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where("y IS NOT NULL")
-    marks = hash_sample(marks.where(id_crc("id") % 5 != 0).distinct(), train_rows, "id")
-    marks = marks.toPandas()  # bounded by train_rows
-    if marks["y"].nunique() < 2:
-        return {w: 4.0 for w in INSULTS}, FIXED
-    marks = docs.sparkSession.createDataFrame(marks, "id long, y int")
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(marks), "id").select("text", "y"))
+    marks = hash_sample(marks.where(id_crc("id") % 5 != 0).distinct(), train_rows, "id")  # bounded by train_rows
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "id")
+    rows = checkpoint(hash_sample(checkpoint(rows.distinct(), "toxicity-rows"), train_rows, "id", "text"), "toxicity-train").select("text", "y")
 
     def count(wanted=None):
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -130,12 +140,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     n1, n0 = rows.agg(F.sum(F.when(F.col("y") == 1, 1).otherwise(0)), F.sum(F.when(F.col("y") != 1, 1).otherwise(0))).first()
     if not n1 or not n0:
         return {w: 4.0 for w in INSULTS}, FIXED
-    frequent = (total(rows.where("y = 1")).where(F.col("toxic") >= max(3, math.ceil(0.01 * n1)))
-                .orderBy(F.desc("toxic"), "stem").limit(LEXICON).toPandas())
+    # a hundredth of the texts each: a hundred times the stems of a text at most
+    frequent = total(rows.where("y = 1")).where(F.col("toxic") >= max(3, math.ceil(0.01 * n1))).select("stem").toPandas()
     counts = total(rows, set(frequent["stem"])).toPandas()
     lift = {s: math.log((a + 0.5) / (n1 + 1)) - math.log((b + 0.5) / (n0 + 1))
             for s, a, b in zip(counts["stem"], counts["toxic"], counts["clean"])}
-    strong = {s: w for s, w in lift.items() if w >= MIN_LIFT}
+    strong = {s: w for s, w in sorted(lift.items(), key=lambda x: (-x[1], x[0]))[:LEXICON] if w >= MIN_LIFT}
     # the shortest strong beginning stands for the words that begin with it
     lexicon = {s: round(w, 6) for s, w in strong.items() if not any(s[:n] in strong for n in range(3, len(s)))}
     mean = sum(lexicon.values()) / len(lexicon) if lexicon else 4.0

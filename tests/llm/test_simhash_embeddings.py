@@ -83,3 +83,35 @@ def test_embedding_links_match_brute_force(spark, cell_rows):
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(n, n + 6))
     assert (got[None].n_links, got[None].component_id, got[None].kept) == (0, None, False)
     assert embedding_dedup.near_duplicates(df.where("false")).count() == 0
+
+
+def test_embeddings_with_shared_ids(spark):
+    """Ids that other labels and vectors share join nothing; tiny and huge vectors link like any others."""
+    rng = np.random.default_rng(9)
+    base = rng.standard_normal((12, 8))
+    rows = []
+    for k in range(160):
+        v = (base[k % 12] + rng.standard_normal(8) * 0.12) * (1.0, 1e-200, 1e200)[k % 3]
+        rows.append((int(rng.integers(0, 60)), [float(a) for a in v], k % 2))
+    rows += rows[:25]
+    rows += [(1, [1.0] * 8, 0), (2, [1.0] * 7 + [1.01], 0), (1, [-1.0] * 8, 1), (3, [-1.0] * 7 + [-1.01], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int").selectExpr(
+        "*", "1 AS node", "2 AS key", "3 AS least", "4 AS copies")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in embedding_dedup.near_duplicates(df, cell_rows=16).collect())
+    unit = np.array([np.array(v) / max(map(abs, v)) for _, v, _ in rows])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    label = np.array([r[2] for r in rows])
+    close = (unit @ unit.T >= 0.93) & (label[:, None] == label[None])
+    np.fill_diagonal(close, False)
+    group = classes(len(rows), lambda i, j: close[i, j])
+    least = [min(rows[j][0] for j in range(len(rows)) if group[j] == group[i]) for i in range(len(rows))]
+    assert got == sorted((r[0], int(n), m, r[0] == m) for r, n, m in zip(rows, close.sum(axis=1), least))
+
+
+def test_a_label_of_one_sampled_row_is_chunked(spark):
+    """Without a tree a label's cell takes chunks from its sampled size."""
+    x = np.random.default_rng(3).standard_normal((200, 8))
+    df = spark.createDataFrame([(i, [float(a) for a in r], 0) for i, r in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    want = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, cosine=0.7).collect()}
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(df, cosine=0.7, sample_rows=1, cell_rows=40).collect()}
+    assert got == want and sum(want.values()) > 0

@@ -243,3 +243,115 @@ def test_an_automaton_is_kept_by_its_block_not_by_an_address():
     items[:] = [("2", [b"c", b"d"])]  # another block at the same address
     assert decontaminate._built("y", items, 2).hits([b"c", b"d"]) == ([(0, 2)], {"2"})
     assert first.hits([b"c", b"d"]) == ([], set())
+
+
+RUNS = ["a", "漢", "z1", "@", "-", "_", ".", "%", "+", "0", "$", "|", "a@", "1.", "A-", "a_", "-a.", "Mr A ", "b@c.d "]
+
+
+@pytest.mark.parametrize("unit", RUNS)
+def test_folding_is_linear(unit):
+    import time
+    began = time.time()
+    toxicity.features(unit * (1_000_000 // len(unit)), toxicity.build({"idiot": 4.0}))
+    toxicity.stems(toxicity.fold(unit * (1_000_000 // len(unit))))
+    assert time.time() - began < 6
+
+
+def test_entities_of_long_runs_are_found_in_linear_time(spark, make_docs):
+    import time
+    spark.range(1).select(pii.matches(F_lit("warm"))).collect()
+    for unit in ["-", "_", ".", "%", "+", "a", "漢", "0", "@", "a@", "1.", "-a.", "A-", "a@" + "b." * 20]:
+        docs = make_docs([(1, unit * (1_000_000 // len(unit)))])
+        began = time.time()
+        docs.select(pii.matches(docs.text)).write.format("noop").mode("overwrite").save()
+        assert time.time() - began < 6, unit
+    # a domain of many parts is one entity, and is replaced
+    text = "x@" + "b." * 100_000 + "org"
+    assert [r.n_entities for r in pii.report(make_docs([(1, text), (2, "-" * 300_000)])).orderBy("doc_id").collect()] == [1, 0]
+
+
+def F_lit(x):
+    from pyspark.sql import functions as F
+    return F.lit(x)
+
+
+def plain_fold(text):
+    """Fold by scanning characters, word by word."""
+    looks = {c: k for k, v in toxicity._LOOKS.items() for c in v} | {chr(0xFF41 + i): chr(97 + i) for i in range(26)}
+    signs = dict(zip("013457@$!|", "oieastasii"))
+    chars = [looks.get(c, c) for c in text.lower()]
+    out, i = [], 0
+    inside = lambda c: (c.isalnum() and c != "_") or c in "@$!|"
+    while i < len(chars):
+        j = i
+        while j < len(chars) and inside(chars[j]):
+            j += 1
+        if j == i:
+            out.append(" " if chars[i] == "_" else chars[i])
+            i += 1
+            continue
+        last = max((k for k in range(i, j) if chars[k] not in "0123456789@$!|"), default=i - 1)
+        out += [signs.get(c, c) if k <= last else c for k, c in enumerate(chars[i:j], i)]
+        i = j
+    return "".join(out)
+
+
+def plain_features(text, lexicon, exceptions):
+    t = plain_fold(text)
+    begins = lambda i: i == 0 or not t[i - 1].isalnum()
+    excused = [(i, i + len(p)) for p in exceptions for i in range(len(t)) if t.startswith(p, i) and begins(i)]
+    hits = [(i, s) for s in lexicon for i in range(len(t)) if t.startswith(s, i) and begins(i)
+            and not any(a <= i and i + len(s) <= b for a, b in excused)]
+    if not hits:
+        return 0.0, 0.0, 0.0
+    total = sum(lexicon[s] for _, s in hits)
+    return min(sum(lexicon[s] for s in {s for _, s in hits}), 40.0) / 4, min(total * 100 / max(len(t), 50), 10.0), 1.0
+
+
+def test_matching_and_folding_match_a_plain_scan():
+    rng = np.random.default_rng(12)
+    lexicon = {"idiot": 4.0, "clown": 3.0, "trash": 2.0, "los": 1.5, "loser": 5.0}
+    exceptions = ["trash can", "class clown", "clown fish tank", "a clown"]
+    auto = toxicity.build(lexicon, exceptions)
+    bits = ["1d10t", "IDIOT", "іdiоt", "you_are", "_", " ", "clown", "class clown", "clown fish", " tank", "trash", "trash can", "tr4$h", "a ",
+            "loser", "l0s3r5", "7", "!!", "ab12", "x!y", "\n", "²", "é", "c1own", "|", "ｉｄｉｏｔ"]
+    assert toxicity.fold("you_are_such_an_1d10t_today") == "you are such an idiot today"
+    for _ in range(400):
+        text = "".join(rng.choice(bits, int(rng.integers(0, 14))))
+        assert toxicity.fold(text) == plain_fold(text), text
+        assert toxicity.features(text, auto) == pytest.approx(plain_features(text, lexicon, exceptions)), text
+
+
+def test_toxicity_of_other_ids_repeats_and_no_documents(spark, make_docs):
+    rows = [(f"k{i}", "plain river stone cloud " * 5 + ("vilorak" + "x" * 30 if i % 2 else "")) for i in range(60)]
+    docs = spark.createDataFrame(rows + rows[:3] + [(None, "nobody's")], "doc_id string, text string")
+    marks = spark.createDataFrame([(f"k{i}", i % 2) for i in range(60)], "doc_id string, toxic int")
+    lexicon, weights = toxicity.train(docs, marks)
+    assert any(s.startswith("vil") for s in lexicon)
+    got = toxicity.predict(docs, lexicon, weights).collect()
+    assert len(got) == 64 and all(r.predicted == int(r.doc_id[1:]) % 2 for r in got if r.doc_id)
+    assert toxicity.train(docs.where("false"), marks)[1] == toxicity.FIXED
+    assert toxicity.predict(docs.where("false"), lexicon, weights).count() == 0
+    # the bound on the lexicon keeps the highest lift, not the commonest stems
+    import unittest.mock
+    with unittest.mock.patch.object(toxicity, "LEXICON", 1):
+        assert len(set(toxicity.train(docs, marks)[0]) - set(toxicity.INSULTS)) == 1
+
+
+def test_language_calibration_holds_whole_documents_out(spark, make_docs):
+    seen = {}
+    real = langid.descend
+
+    def watch(bags, y, n, **kw):
+        seen["bags"] = [b[0].tobytes() for b in bags]
+        return real(bags, y, n, epochs=1)
+    docs = make_docs([(i, f"{'the river and the stone ' if i % 2 else 'der fluss und ein stein '}{'abcdefghij'[i % 10]} " * 20, "en" if i % 2 else "de")
+                      for i in range(120)] + [(None, "the words of nobody", "en"), (7, "the river twice", "en"), (7, "the river twice", "en")])
+    import unittest.mock
+    with unittest.mock.patch.object(langid, "descend", watch), unittest.mock.patch.object(langid, "train", wraps=langid.train) as trained:
+        langid.fit(docs)
+    bags, _, number = trained.call_args[0]
+    held = {k for k in number if k % 10 == 9}
+    assert held and len(seen["bags"]) == sum(k not in held for k in number)
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(docs, max_langs=1)
