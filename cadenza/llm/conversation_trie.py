@@ -197,9 +197,9 @@ def _subtrees(nodes: DataFrame, stands: DataFrame, block: int) -> DataFrame:
     def sums(key, node: pd.DataFrame, who: pd.DataFrame) -> pd.DataFrame:
         if node.empty:
             return pd.DataFrame(columns=["x", "y", "depth", "saved", "leaves"])
-        n = 8 * max(map(len, node["bits"]))
-        since, said, leaf = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
         at = who["bit"].to_numpy()
+        n = max(8 * max(map(len, node["bits"])), at.max() + 1)  # a later block has the bits of its own members alone
+        since, said, leaf = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, np.int64)
         since[at], said[at], leaf[at] = who["since"], who["said"], who["leaf"]
         saved, leaves = [], []
         for bits, depth, before in zip(node["bits"], node["depth"], node["before"]):

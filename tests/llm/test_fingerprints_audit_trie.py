@@ -186,7 +186,7 @@ def sort_key(r):
     return tuple(-1 if v is None else v for v in r)
 
 
-@pytest.mark.parametrize("shard,block", [(512, 256), (4, 2), (7, 1)])
+@pytest.mark.parametrize("shard,block", [(512, 256), (4, 2), (7, 1), (40, 4)])
 def test_trie_matches_brute_force(spark, shard, block):
     rng = np.random.default_rng(8)
     rows = []
