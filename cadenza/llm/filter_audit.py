@@ -3,14 +3,14 @@
 Tasks read whole texts and build shards: up to ``SHARD_WORDS`` words of
 documents, each distinct word numbered inside the shard, its counts in
 compressed sparse rows.  The shards' vocabularies, not their words, are then
-dealt out by word; every distinct word gets a global number (rank in its hash
-bucket plus the words of the buckets before), and each shard takes the global
-numbers in place of its own.  A word of every document is one row per shard
-there, so no word is a hot key.  Sums and lengths of the matrix rows are the
-words and distinct words that conditions A and B need.  The other conditions
-are attached to the rows, and documents are counted by part and by the set of
-conditions they fail; all filter orders follow from these at most 32 counts a
-part.
+dealt out in pieces by a hash of the word; every distinct word gets a global
+number (its rank in the hash bucket plus the words of the buckets before), and
+each shard takes the global numbers in place of its own.  A word of every
+document stands once per shard there, so no word is a hot key.  Sums and
+lengths of the matrix rows are the words and distinct words that conditions A
+and B need.  The other conditions are attached to the rows, and documents are
+counted by part and by the set of conditions they fail; all filter orders
+follow from these at most 32 counts a part.
 
 Defined results: a null text is empty, a null language the part ``""``; a
 document is good or toxic if any of its labels says so; rows that repeat are
@@ -21,8 +21,9 @@ documents of their own; a null id is smaller than none and has no smaller one
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import permutations
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -32,96 +33,138 @@ from pyspark.sql import functions as F
 
 from cadenza.session import checkpoint
 
-SHARD_WORDS = 4_000_000
-BUCKETS = 4_096
+SHARD_WORDS = 8_000_000
 LETTERS = "ABCDE"
-_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-
-
-def _shards(docs: DataFrame, keep: list[str], shard_words: int) -> DataFrame:
-    """``(shard, docs, vocab, indptr, indices, counts)``; ``docs`` has the columns ``keep`` of each row."""
+#: numbers that are taken of a text's UTF-8 bytes while it is read: code points, A to Z, the signs of condition D
+_LATER = bytes(range(0x80, 0xC0))
+SHAPE: dict[str, Callable[[bytes], int]] = {
+    "chars": lambda t: len(t.translate(None, _LATER)),
+    "upper": lambda t: len(t) - len(t.translate(None, b"ABCDEFGHIJKLMNOPQRSTUVWXYZ")),
+    "signs": lambda t: len(t) - len(t.translate(None, b"#$%&*|")),
+}
+
+
+def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, shape: dict) -> DataFrame:
+    """``(shard, docs, vocab, local, indptr, indices, counts)``; ``docs`` has the
+    columns ``keep`` and ``shape`` of each row, ``vocab`` and ``local`` the words
+    of each hash bucket and their numbers in the shard."""
     kinds = dict(docs.dtypes)
-    struct = ", ".join(f"`{c}`: {kinds[c]}" for c in keep)
+    struct = ", ".join([*(f"`{c}`: {kinds[c]}" for c in keep), *(f"`{c}`: bigint" for c in shape)])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
         code, ends, indices, counts, kept, words = {}, [0], [], [], [], 0
 
+        def of(values, bounds=None):
+            return pa.ListArray.from_arrays(pa.array([0, len(values)] if bounds is None else bounds, pa.int32()), values)
+
         def row():
             # a list of one value per column: the shard
             rest = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
             rest = pa.StructArray.from_arrays(rest.columns, names=rest.schema.names)
-            of = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
             flat = lambda parts: pa.array(np.concatenate([np.empty(0, np.int32), *parts]), pa.int32())
-            vocab = pa.array(list(code), pa.binary()).cast(pa.string())
+            bucket = np.fromiter((crc32(w) % buckets for w in code), np.int32, len(code))
+            dealt = np.argsort(bucket, kind="stable").astype(np.int32)
+            bounds = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
+            vocab = pa.array(list(code), pa.binary()).cast(pa.string()).take(pa.array(dealt))
             return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + made], pa.int64()), of(rest), of(vocab), of(pa.array(ends, pa.int32())),
-                 of(flat(indices)), of(flat(counts))], ["shard", "docs", "vocab", "indptr", "indices", "counts"])
+                [pa.array([(task << 32) + made], pa.int64()), of(rest), of(of(vocab, bounds)), of(of(pa.array(dealt), bounds)),
+                 of(pa.array(ends, pa.int32())), of(flat(indices)), of(flat(counts))],
+                ["shard", "docs", "vocab", "local", "indptr", "indices", "counts"])
 
         for batch in batches:
+            texts = batch.column("text")
+            measured = [pa.array([f(t.as_py()) for t in texts], pa.int64()) for f in shape.values()]
+            rest = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *measured], [*keep, *shape])
             start = 0
-            for i, text in enumerate(batch.column("text")):
+            for i, text in enumerate(texts):
                 found = Counter(text.as_py().split())  # bytes split at the six ASCII blanks
-                indices.append(np.fromiter((code.setdefault(w, len(code)) for w in found), np.int32, len(found)))
+                indices.append(np.fromiter([code.setdefault(w, len(code)) for w in found], np.int32, len(found)))
                 counts.append(np.fromiter(found.values(), np.int32, len(found)))
                 ends.append(ends[-1] + len(found))
                 words += int(counts[-1].sum())
                 if words >= shard_words:
-                    kept.append(batch.select(keep).slice(start, i + 1 - start))
+                    kept.append(rest.slice(start, i + 1 - start))
                     yield row()
                     made, start = made + 1, i + 1
                     code, ends, indices, counts, kept, words = {}, [0], [], [], [], 0
             if start < batch.num_rows:
-                kept.append(batch.select(keep).slice(start))
+                kept.append(rest.slice(start))
         if kept:
             yield row()
 
     return docs.select(*keep, F.col("text").cast("binary").alias("text")).mapInArrow(
-        build, f"shard long, docs array<struct<{struct}>>, vocab array<string>, indptr array<int>, indices array<int>, counts array<int>")
+        build, f"shard long, docs array<struct<{struct}>>, vocab array<array<string>>, local array<array<int>>, "
+               "indptr array<int>, indices array<int>, counts array<int>")
 
 
 def _codes(shards: DataFrame) -> DataFrame:
-    """``(shard, local, id, word)``: the global number of each shard's words;
-    ``word`` stands in one row of each number."""
-    rows = shards.select("shard", F.posexplode("vocab").alias("local", "word"))
-    rows = rows.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int"))
-    order = Window.partitionBy("bucket").orderBy("word")
-    new = ~F.col("word").eqNullSafe(F.lag("word").over(order))
-    coded = checkpoint(rows.select("shard", "local", "bucket", F.dense_rank().over(order).alias("rank"),
-                                   F.when(new, F.col("word")).alias("word")), "word-codes")
-    ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # BUCKETS rows at most
-    offsets = coded.groupBy("bucket").agg(F.max("rank").cast("long").alias("words"))
+    """``(shard, local, rank, offset, new, first)`` per shard and hash bucket: the numbers
+    of the shard's words ``local`` are ``offset`` and ``rank``; the words ``new``
+    stand here first, with the ranks from ``first`` on."""
+    pieces = (shards.select("shard", F.posexplode(F.arrays_zip("vocab", "local")).alias("bucket", "w"))
+              .select("shard", "bucket", F.col("w.vocab").alias("vocab"), F.col("w.local").alias("local")).where(F.size("vocab") > 0))
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, code = None, {}
+        for batch in batches:
+            ranks, news, firsts = [], [], []
+            for bucket, vocab in zip(batch.column("bucket").to_pylist(), batch.column("vocab")):
+                if bucket != at:
+                    at, code = bucket, {}
+                new, first, rank = [], len(code), []
+                for w in vocab.values.to_pylist():
+                    if (k := code.get(w)) is None:
+                        k = code[w] = len(code)
+                        new.append(w)
+                    rank.append(k)
+                ranks.append(np.array(rank, np.int64))
+                news.append(new)
+                firsts.append(first)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("shard"), batch.column("bucket"), batch.column("local"), pa.array(ranks, pa.list_(pa.int64())),
+                 pa.array(news, pa.list_(pa.string())), pa.array(firsts, pa.int64())],
+                ["shard", "bucket", "local", "rank", "new", "first"])
+
+    # a bucket is read in one go, its words alone are held; the numbers are written, so nothing renumbers them
+    coded = checkpoint(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
+        number, "shard long, bucket int, local array<int>, rank array<long>, new array<string>, first long"), "word-codes")
+    ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
+    offsets = coded.groupBy("bucket").agg(F.sum(F.size("new")).alias("words"))
     offsets = offsets.select("bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
-    return coded.join(F.broadcast(offsets), "bucket").select("shard", "local", (F.col("offset") + F.col("rank") - 1).alias("id"), "word")
+    return coded.join(F.broadcast(offsets), "bucket")
 
 
-def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text",
-                         shard_words: int = SHARD_WORDS) -> tuple[DataFrame, DataFrame]:
+def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text", shard_words: int = SHARD_WORDS,
+                         shape: dict[str, Callable[[bytes], int]] | None = None) -> tuple[DataFrame, DataFrame]:
     """The matrix in shards ``(shard, docs, indptr, indices, counts)`` and its
     dictionary ``(id, word)``.
 
-    ``docs`` holds the columns ``keep`` of the shard's documents, ``indptr`` the
-    bounds of their rows, ``indices`` global word numbers, ``counts`` how often
-    each word stands in the document.
+    ``docs`` holds the columns ``keep`` of the shard's documents and the numbers
+    that ``shape`` takes of their bytes, ``indptr`` the bounds of their rows,
+    ``indices`` global word numbers, ``counts`` how often each word stands in
+    the document.  Vocabularies are dealt to ``spark.sql.shuffle.partitions`` buckets.
     """
-    own = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("text")) if text_col not in keep else docs
-    shards = checkpoint(_shards(own, keep, shard_words), "term-shards")
+    own = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = checkpoint(_shards(own, keep, shard_words, buckets, shape or {}), "term-shards")
     codes = _codes(shards)
-    left = shards.drop("vocab")
+    left = shards.drop("vocab", "local")
 
     def globally(shard: pa.Table, words: pa.Table) -> pa.Table:
         if not shard.num_rows:
             return shard
-        number = np.zeros(words.num_rows, np.int64)
-        number[words.column("local").to_numpy()] = words.column("id").to_numpy()
-        values = shard.column("indices").combine_chunks()
-        values = pa.ListArray.from_arrays(pa.array([0, len(values.flatten())], pa.int32()), pa.array(number[values.flatten().to_numpy()], pa.int64()))
-        return shard.set_column(shard.schema.get_field_index("indices"), "indices", values)
+        number = np.zeros(sum(len(x) for x in words.column("local")), np.int64)
+        for local, rank, offset in zip(words.column("local"), words.column("rank"), words.column("offset").to_pylist()):
+            number[local.values.to_numpy()] = rank.values.to_numpy() + offset
+        values = shard.column("indices")[0].values.to_numpy()
+        made = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(number[values], pa.int64()))
+        return shard.set_column(shard.schema.get_field_index("indices"), "indices", made)
 
-    kinds = dict(left.dtypes)
-    matrix = left.groupBy("shard").cogroup(codes.select("shard", "local", "id").groupBy("shard")).applyInArrow(
-        globally, f"shard long, docs {kinds['docs']}, indptr array<int>, indices array<long>, counts array<int>")
-    return matrix, codes.where("word IS NOT NULL").select("id", "word")
+    matrix = left.groupBy("shard").cogroup(codes.select("shard", "local", "rank", "offset").groupBy("shard")).applyInArrow(
+        globally, f"shard long, docs {dict(left.dtypes)['docs']}, indptr array<int>, indices array<long>, counts array<int>")
+    words = codes.select((F.col("offset") + F.col("first")).alias("base"), F.posexplode("new").alias("at", "word"))
+    return matrix, words.select((F.col("base") + F.col("at")).alias("id"), "word")
 
 
 def row_sums(matrix: DataFrame) -> DataFrame:
@@ -146,15 +189,14 @@ def failed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
            shard_words: int = SHARD_WORDS) -> DataFrame:
     """``(id, part, mask)`` per row; bit i of ``mask`` is set if filter i of ``LETTERS`` fails."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    upper = F.length(text) - F.length(F.translate(text, _UPPER, ""))
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text.alias("text"),
-                       (upper * 100 > F.length(text) * 3).alias("c"), text.rlike("[#$%&*|]").alias("d"),
                        F.md5(text.cast("binary")).alias("same"))
-    matrix, _ = document_term_matrix(rows, ["id", "part", "c", "d", "same"], "text", shard_words)
+    matrix, _ = document_term_matrix(rows, ["id", "part", "same"], "text", shard_words, SHAPE)
     stats = row_sums(matrix)
     copies = (rows.select("id", "same").groupBy("same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("same", "first"))
-    fails = [F.col("words") < 200, F.col("distinct") * 100 < F.col("words") * 50, F.col("c"), F.col("d"),
+    fails = [F.col("words") < 200, F.col("distinct") * 100 < F.col("words") * 50,
+             F.col("upper") * 100 > F.col("chars") * 3, F.col("signs") > 0,
              F.coalesce(F.col("id") > F.col("first"), F.lit(False))]
     mask = sum((F.when(f, 1 << i).otherwise(0) for i, f in enumerate(fails)), F.lit(0))
     return stats.join(copies, "same", "left").select("id", "part", mask.alias("mask"))
