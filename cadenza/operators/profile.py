@@ -4,9 +4,13 @@ to the driver except where the result itself is a handful of numbers."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cadenza.session import checkpoint
+
 
 def shape(df: DataFrame, exclude=("row_no",)) -> DataFrame:
     """One row: number of rows and of data columns (the index is not a column)."""
@@ -52,66 +56,95 @@ def value_frequencies(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
 
 
-_LOW_BITS = (1 << 33) - 1  # monotonically_increasing_id: partition << 33 | row
+def frequency_table(df: DataFrame, column: str) -> DataFrame:
+    """``(v, n)``: the distinct values of a numeric column as doubles with
+    their numbers, written once, since every statistic reads it several times.
+    Null and NaN are missing values."""
+    value = F.col(column).cast("double")
+    kept = df.where(value.isNotNull() & ~F.isnan(value))
+    return checkpoint(value_frequencies(kept, column).select(value.alias("v"), "n"), "frequencies")
 
 
-def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
-    """Exact quantiles with linear interpolation (the NumPy/pandas default),
-    one row with one column per entry of ``probs``.
+#: slots into which one counting pass divides a range of values
+SLOTS = 1_024
+
 
-    The values are first reduced to (value, frequency) across the cluster and
-    then ranked across it; no task sees more than its range.
+def select_ranks(freq: DataFrame, ranks: list[int]) -> dict[int, float]:
+    """The values at 0-based ``ranks`` of a frequency table, in order.
+
+    A counting pass divides the range that holds a rank into ``SLOTS`` equal
+    slots and keeps the slot where the running count meets the rank, narrowed to
+    the smallest and largest value found there, until these are one value.
+    Smallest and largest never share a slot, so every pass gets nearer; each
+    brings at most ``SLOTS`` + 2 rows for each rank to the driver, whatever the
+    number of values.  No value is sorted and nothing is written.
     """
-    return _ranked_quantiles(value_frequencies(df, column), column, probs)
-
-
-def _ranked_quantiles(freq: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
-    """Distributed exact quantiles: sort the distinct values by range, give
-    each its cumulative count (a running sum inside its range partition plus
-    the totals of the partitions before it), then pick the values at the two
-    ranks around p * (N - 1) and interpolate as Spark's ``percentile`` does."""
-    from cadenza.session import checkpoint
-    mid = F.monotonically_increasing_id()
-    pos = checkpoint(freq.orderBy(column).select(
-        F.col(column).cast("double").alias("v"), "n",
-        F.shiftright(mid, 33).alias("_part"), mid.bitwiseAND(F.lit(_LOW_BITS)).alias("_row")), "quantiles")
-    sizes = pos.groupBy("_part").agg(F.sum("n").alias("_pn"))
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_part", F.coalesce(F.sum("_pn").over(before), F.lit(0)).alias("_off"))
-    within = Window.partitionBy("_part").orderBy("_row").rowsBetween(Window.unboundedPreceding, 0)
-    cum = (pos.join(F.broadcast(offsets), "_part")
-           .select("v", "n", (F.col("_off") + F.sum("n").over(within)).alias("_end")))
-    total = pos.select(F.sum("n")).scalar()
-
-    def value_at(rank):
-        # 0-based rank k falls on the value whose rows span [_end - n, _end)
-        return F.max(F.when((F.col("_end") - F.col("n") <= rank) & (rank < F.col("_end")), F.col("v")))
-
-    aggs = []
-    for name, p in probs.items():
-        position = F.lit(float(p)) * (total - 1)
-        lower, higher = F.floor(position), F.ceil(position)
-        lo_v, hi_v = value_at(lower), value_at(higher)
-        interp = (higher - position) * lo_v + (position - lower) * hi_v
-        aggs.append(F.when((higher == lower) | (lo_v == hi_v), lo_v).otherwise(interp).alias(name))
-    return cum.agg(*aggs)
+    infinite = float("inf")
+    v, n = F.col("v"), F.col("n")
+    ends = freq.where((v > -infinite) & (v < infinite)).agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()
+    lo, hi = (0.0, 0.0) if ends["lo"] is None else (ends["lo"], ends["hi"])
+    # range: members from, to; slots between; rows before; ranks wanted
+    todo, found = [(-infinite, infinite, lo, hi, 0, sorted(set(ranks)))], {}
+    while todo:
+        at = slot = None
+        for j, (first, last, lo, hi, _, _) in enumerate(todo):
+            inside = (v >= F.lit(first)) & (v <= F.lit(last))
+            # halves where the difference would overflow, else tiny ones would vanish
+            half = 2.0 if hi - lo == infinite else 1.0
+            share = (v / half - F.lit(lo / half)) / F.lit((hi / half - lo / half) or 1.0)
+            own = (F.when(v == -infinite, -1).when(v == infinite, SLOTS)
+                   .otherwise(F.least(F.lit(SLOTS - 1), F.floor(share * SLOTS))).cast("int"))
+            at = F.when(inside, j) if at is None else at.when(inside, j)
+            slot = F.when(inside, own) if slot is None else slot.when(inside, own)
+        counts = (freq.select("v", "n", at.alias("at"), slot.alias("slot")).where("at IS NOT NULL").groupBy("at", "slot")
+                  .agg(F.sum(n).alias("n"), F.min(v).alias("first"), F.max(v).alias("last")).collect())
+        narrower = []
+        for j, (*_, before, wanted) in enumerate(todo):
+            for row in sorted((r for r in counts if r["at"] == j), key=lambda r: r["slot"]):
+                own = [k for k in wanted if before <= k < before + row["n"]]
+                if own and row["first"] == row["last"]:
+                    found |= {k: row["first"] for k in own}
+                elif own:
+                    narrower.append((row["first"], row["last"], row["first"], row["last"], before, own))
+                before += row["n"]
+        todo = narrower
+    return found
+
+
+def quantile_values(freq: DataFrame, total: int | None, probs: dict[str, float]) -> dict[str, float | None]:
+    """Exact quantiles of a frequency table of ``total`` rows, with linear
+    interpolation between ranks (the NumPy/pandas default)."""
+    if not total:
+        return dict.fromkeys(probs)
+    places = {name: float(p) * (total - 1) for name, p in probs.items()}
+    values = select_ranks(freq, [k for x in places.values() for k in (math.floor(x), math.ceil(x))])
+
+    def between(x):
+        lower, higher = math.floor(x), math.ceil(x)
+        low, high = values[lower], values[higher]
+        return low if low == high else (higher - x) * low + (x - lower) * high
+    return {name: between(x) for name, x in places.items()}
+
+
+def exact_quantiles(df: DataFrame, column: str, probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles of one column, one row with one column per entry of ``probs``."""
+    freq = frequency_table(df, column)
+    values = quantile_values(freq, freq.agg(F.sum("n")).first()[0], probs)
+    return df.sparkSession.range(1).select(*[F.lit(x).cast("double").alias(name) for name, x in values.items()])
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
     """``describe()`` of one numeric column: count, mean, sample std, min,
-    exact quartiles, max.  Moments come from one aggregate over the (value,
-    frequency) table (exact sums for integer values); the quartiles from
-    :func:`exact_quantiles`, used as one scalar subquery."""
-    freq = value_frequencies(df, column)
-    v, n = F.col(column).cast("double"), F.col("n").cast("double")
-    tot, s1 = F.sum(n), F.sum(v * n)
+    exact quartiles, max, from the written frequency table (exact sums for
+    integer values)."""
+    freq = frequency_table(df, column)
+    v, n = F.col("v"), F.col("n").cast("double")
+    total, mean = freq.agg(F.sum("n"), F.sum(v * n) / F.sum(n)).first()
+    quartiles = quantile_values(freq, total, {"q25": 0.25, "q50": 0.5, "q75": 0.75})
     # squares of deviations from the mean: sums of squares would cancel
-    mean = freq.select(s1 / tot).scalar()
-    var = F.sum((v - mean) * (v - mean) * n) / (tot - 1)
-    names = ("q25", "q50", "q75")
-    q = exact_quantiles(df, column, dict(zip(names, (0.25, 0.5, 0.75)))).select(F.struct(*names)).scalar()
+    off, count = v - F.lit(mean).cast("double"), F.sum(n)
     moments = freq.agg(
-        F.sum("n").alias("count"), (s1 / tot).alias("mean"),
-        F.when(tot > 1, F.sqrt(var)).alias("std"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("count"), (F.sum(v * n) / count).alias("mean"),
+        F.when(count > 1, F.sqrt(F.sum(off * off * n) / (count - 1))).alias("std"),
         F.min(v).alias("min"), F.max(v).alias("max"))
-    return moments.select("count", "mean", "std", "min", *[q[c].alias(c) for c in names], "max")
+    return moments.select("count", "mean", "std", "min", *[F.lit(x).cast("double").alias(name) for name, x in quartiles.items()], "max")

@@ -71,10 +71,11 @@ class Star:
     table never pays for the dense-id jobs of the artist and album ids.
     """
 
-    def __init__(self, clean: DataFrame, tracks, profile: DataFrame, **tables: DataFrame):
+    def __init__(self, clean: DataFrame, tracks, profile: DataFrame, vote_on=None, **tables: DataFrame):
         """``tracks`` is the voted track rows or a function building them
-        (run on first use, so cleaning-only questions skip the vote)."""
-        self.clean, self.profile = clean, profile
+        (run on first use, so cleaning-only questions skip the vote); ``vote_on``
+        votes on some track rows alone."""
+        self.clean, self.profile, self._vote_on = clean, profile, vote_on
         self._tables = dict(tables)
         self._tracks = tracks
         self._locks: dict[str, threading.Lock] = {}
@@ -115,6 +116,15 @@ class Star:
             with_key_signature(self.rows).select(*[c for c in S.DIM_TRACK_COLS_NAMED if c != "primary_genre"]).distinct(),
             self.dim_albums, "album_name", "album_id").select(*[c for c in S.DIM_TRACK_COLS if c != "primary_genre"]))
 
+    def dim_tracks_of(self, albums: DataFrame) -> DataFrame:
+        """``dim_tracks`` of the albums whose ``album_id`` is listed once each.
+        Where the dimension is not there yet, only their tracks are voted on."""
+        if "dim_tracks" in self._tables or self._vote_on is None:
+            return self.dim_tracks.join(albums, "album_id", "left_semi")
+        rows = lookup_id(self.rows, self.dim_albums, "album_name", "album_id").join(albums, "album_id", "left_semi")
+        voted = with_key_signature(self._vote_on(rows.drop("album_id")))
+        return dim_tracks(voted.select(*S.DIM_TRACK_COLS_NAMED).distinct(), self.dim_albums)
+
     @property
     def dim_albums(self) -> DataFrame:
         return self._get("dim_albums", lambda: dim_albums(self.rows))
@@ -173,4 +183,9 @@ def build_star(raw: DataFrame, match_time_signature: bool = False, checkpoint_st
         tracks = assign_primary_genre(track_rows(clean), clean, profile, match_time_signature)
         return checkpoint(tracks) if checkpoint_stages else tracks
 
-    return Star(clean=clean, tracks=voted_tracks, profile=profile)
+    def vote_on(rows: DataFrame) -> DataFrame:
+        wanted = rows.select(F.col("track_id").alias("_wanted")).distinct()
+        listed = clean.join(wanted, F.col("track_id") == F.col("_wanted"), "left_semi")
+        return assign_primary_genre(rows, listed, profile, match_time_signature)
+
+    return Star(clean=clean, tracks=voted_tracks, profile=profile, vote_on=vote_on)

@@ -1,9 +1,9 @@
 """Distribution statistics behind the notebook's charts: correlation matrix,
 30-bin histogram, Gaussian kernel density, box-plot numbers.
 
-The whole-column numbers each chart needs (min, max, count, quartiles) are
-scalar subqueries: Spark computes each once and feeds it to the per-row
-expressions, so no value is collected to the driver by hand.
+The whole-column numbers each chart needs (min, max, count) are scalar
+subqueries: Spark computes each once and feeds it to the per-row expressions.
+Quartiles are selected by counting passes (:mod:`cadenza.operators.profile`).
 """
 
 from __future__ import annotations
@@ -13,23 +13,45 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.operators.profile import exact_quantiles, value_frequencies
+from cadenza.operators.profile import frequency_table, quantile_values
 
 
 def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     """Pearson correlation of every pair, long form (feature_x, feature_y, r).
 
-    All pairs are computed in ONE aggregate pass; pairs with a null are
-    skipped per pair (pairwise complete observations); NaN counts as missing.
-    The one-row result is turned into rows by ``stack``; the diagonal is
-    exactly 1.
+    Pairs with a null are skipped per pair (pairwise complete observations);
+    NaN counts as missing.  A first pass takes means and numbers of values; a
+    second one sums products of the centred columns: one sum per column and one
+    per pair, and only for pairs with a column that has missing values the sums
+    over the rows where both are there.  The one-row result is turned into rows
+    by ``stack``; the diagonal is exactly 1.
     """
-    clean = df.select(*[F.when(F.isnan(c), None).otherwise(F.col(c)).alias(c) for c in features])
+    clean = df.select(*[F.when(~F.isnan(c), F.col(c).cast("double")).alias(c) for c in features])
+    first = clean.agg(F.count(F.lit(1)), *[F.avg(c) for c in features], *[F.count(c) for c in features]).first()
+    rows, means, counts = first[0], first[1:1 + len(features)], first[1 + len(features):]
+    whole = {c for c, n in zip(features, counts) if n == rows}
+    centred = clean.select(*[(F.col(c) - F.lit(m).cast("double")).alias(c) for c, m in zip(features, means)])
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    wide = clean.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(pairs)])
+    sums = {f"s_{i}": F.sum(F.col(c) * F.col(c)) for i, c in enumerate(features)}
+    for i, (a, b) in enumerate(pairs):
+        sums[f"p{i}"] = F.sum(F.col(a) * F.col(b))
+        if not {a, b} <= whole:
+            both = lambda x, a=a, b=b: F.sum(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), x))
+            sums |= {f"n{i}": both(F.lit(1.0)), f"a{i}": both(F.col(a)), f"b{i}": both(F.col(b)),
+                     f"aa{i}": both(F.col(a) * F.col(a)), f"bb{i}": both(F.col(b) * F.col(b))}
+    wide = centred.agg(*[x.alias(name) for name, x in sums.items()])
+
+    def r(i, a, b):
+        if {a, b} <= whole:
+            spread = F.sqrt(F.col(f"s_{features.index(a)}")) * F.sqrt(F.col(f"s_{features.index(b)}"))
+            return F.when(spread > 0, F.col(f"p{i}") / spread)
+        n, sa, sb = F.col(f"n{i}"), F.col(f"a{i}"), F.col(f"b{i}")
+        spread = F.sqrt(F.col(f"aa{i}") - sa * sa / n) * F.sqrt(F.col(f"bb{i}") - sb * sb / n)
+        return F.when(spread > 0, (F.col(f"p{i}") - sa * sb / n) / spread)
+
     args = []
     for i, (a, b) in enumerate(pairs):
-        args += [F.lit(a), F.lit(b), F.col(f"c{i}"), F.lit(b), F.lit(a), F.col(f"c{i}")]
+        args += [F.lit(a), F.lit(b), r(i, a, b), F.lit(b), F.lit(a), r(i, a, b)]
     for a in features:
         args += [F.lit(a), F.lit(a), F.lit(1.0)]
     n_rows = 2 * len(pairs) + len(features)
@@ -71,48 +93,57 @@ def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
                     F.coalesce(F.col("count"), F.lit(0)).alias("count")))
 
 
+#: beyond so many bandwidths a kernel is below 1e-16 of its peak
+_REACH = math.sqrt(2 * math.log(1e16))
+
+
 def kde(df: DataFrame, column: str, gridsize: int = 200) -> DataFrame:
     """Gaussian kernel density on ``gridsize`` points from min to max.
 
     Bandwidth is Scott's rule, h = sd(x) * n^(-1/5) (sample sd), the
     density at g is sum_i exp(-((g - x_i)/h)^2 / 2) / (n h sqrt(2 pi)).
-    Values are first reduced to (value, frequency) pairs, so the work is
-    gridsize x distinct values, spread over the cluster.
+    Values are first reduced to (value, frequency) pairs, written once; each
+    goes to the grid points where its kernel is above 1e-16 of its peak.
     """
-    freq = value_frequencies(df, column)
-    v = F.col(column).cast("double")
+    freq = frequency_table(df, column)
+    v = F.col("v")
     st = freq.select(F.struct(F.sum("n").cast("double").alias("n"), F.min(v).alias("mn"), F.max(v).alias("mx"),
                               F.sum(v * F.col("n")).alias("s1"))).scalar()
     n_tot, mn, mx = st["n"], st["mn"], st["mx"]
     off = v - st["s1"] / n_tot
     sd = F.sqrt(freq.select(F.sum(off * off * F.col("n"))).scalar() / (n_tot - 1))
-    h = sd * F.pow(n_tot, F.lit(-0.2))
     step = (mx - mn) / F.lit(float(gridsize - 1))
     gi = F.col("gi")
     gx = F.when(gi == gridsize - 1, mx).otherwise(gi.cast("double") * step + mn)
-    contrib = (freq.select(v.alias("v"), F.col("n"),
-                           F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"))
-               .select("gi", F.when(h > 0, F.col("n") * F.exp(-0.5 * F.pow((gx - F.col("v")) / h, 2))).alias("k")))
     # a constant column has no bandwidth: no density (NULL), not a division by zero
-    density = F.when(h > 0, F.col("_k") / (n_tot * h * F.lit(math.sqrt(2 * math.pi))))
-    return (contrib.groupBy("gi").agg(F.sum("k").alias("_k"))
-            .select(F.col("gi").cast("long").alias("grid_index"), gx.alias("x"), density.alias("density")))
+    wide = freq.select("v", "n", (sd * F.pow(n_tot, F.lit(-0.2))).alias("h"), mn.alias("mn"), step.alias("step")).where("h > 0")
+    reach = F.col("h") * F.lit(_REACH)
+    first = F.greatest(F.lit(0), F.ceil((v - reach - F.col("mn")) / F.col("step"))).cast("int")
+    last = F.least(F.lit(gridsize - 1), F.floor((v + reach - F.col("mn")) / F.col("step"))).cast("int")
+    # a value lies within half a step of a grid point, but its kernel may be narrower
+    near = wide.select("v", "n", "h", first.alias("first"), last.alias("last")).where("first <= last")
+    summed = (near.select("v", "n", "h", F.explode(F.sequence("first", "last")).alias("gi"))
+              .select("gi", (F.col("n") * F.exp(-0.5 * F.pow((gx - v) / F.col("h"), 2))).alias("k"))
+              .groupBy("gi").agg(F.sum("k").alias("_k")).withColumnRenamed("gi", "at"))
+    grid = freq.agg(F.count(F.lit(1)).alias("values")).where("values > 0").select(
+        F.explode(F.sequence(F.lit(0), F.lit(gridsize - 1))).alias("gi"), (sd * F.pow(n_tot, F.lit(-0.2))).alias("h"))
+    density = F.when(F.col("h") > 0, F.coalesce("_k", F.lit(0.0)) / (n_tot * F.col("h") * F.lit(math.sqrt(2 * math.pi))))
+    return (grid.join(summed, gi == F.col("at"), "left")
+            .select(gi.cast("long").alias("grid_index"), gx.alias("x"), density.alias("density")))
 
 
 def boxplot_stats(df: DataFrame, column: str, whis: float = 1.5) -> DataFrame:
     """Box-plot numbers: quartiles, IQR, whiskers at the most extreme values
     within ``whis`` x IQR of the box, number of outliers, mean.
 
-    The quartiles come from :func:`exact_quantiles` (one scalar subquery),
-    then one aggregate over the (value, frequency) table does the rest.  A value below
-    the low whisker is exactly a value below the low fence, so the outliers
-    are counted in the same pass.
+    The quartiles are selected from the written frequency table, then one
+    aggregate over it does the rest.  A value below the low whisker is exactly
+    a value below the low fence, so the outliers are counted in the same pass.
     """
-    freq = value_frequencies(df, column)
-    v, n = F.col(column).cast("double"), F.col("n")
-    q = exact_quantiles(df, column, {"q1": 0.25, "median": 0.5, "q3": 0.75}) \
-        .select(F.struct("q1", "median", "q3")).scalar()
-    q1, med, q3 = q["q1"], q["median"], q["q3"]
+    freq = frequency_table(df, column)
+    v, n = F.col("v"), F.col("n")
+    quartiles = quantile_values(freq, freq.agg(F.sum("n")).first()[0], {"q1": 0.25, "median": 0.5, "q3": 0.75})
+    q1, med, q3 = (F.lit(quartiles[x]).cast("double") for x in ("q1", "median", "q3"))
     iqr = q3 - q1
     lo_fence, hi_fence = q1 - F.lit(whis) * iqr, q3 + F.lit(whis) * iqr
     stats = freq.agg(

@@ -13,6 +13,7 @@ from cadenza.operators import genre as G
 from cadenza.operators import profile as P
 from cadenza.operators import stats as ST
 from cadenza.operators.ids import top_k_dense
+from cadenza.operators.string_agg import string_agg
 from cadenza.plans import oracle as O
 from cadenza.plans import questions as Q
 from cadenza.plans.catalog import FLOAT_DECIMALS, _round_doubles, _sql_round, register, star_for
@@ -172,10 +173,9 @@ def _explode(spark, d):
 
 
 def _artists_per_track(spark, d):
-    from cadenza.functions.columns import group_concat
     star = star_for(spark, d)
     joined = star.artist_track_mapping.join(star.dim_artists, "artist_id")
-    return joined.groupBy("track_id").agg(group_concat("artist_name").alias("artist_names"))
+    return string_agg(joined, ["track_id"], "artist_name", "artist_names")
 
 
 register("string_agg_ordered", W(O._final(

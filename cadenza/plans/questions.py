@@ -15,10 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cadenza.functions.columns import (album_category, exact_avg, group_concat, group_concat_distinct, rounded_avg,
-                                       rounded_quotient)
+from cadenza.functions.columns import album_category, exact_avg, group_concat, rounded_avg, rounded_quotient
 from cadenza.operators.ids import dense_rank_all, top_k_dense
 from cadenza.operators.star import Star
+from cadenza.operators.string_agg import string_agg
 from cadenza.session import checkpoint
 
 TOP_K = 10
@@ -121,29 +121,31 @@ def q5_key_counts(star: Star) -> DataFrame:
             .orderBy(F.col("num_songs").desc()))
 
 
+def _albums(star: Star, scores: DataFrame) -> DataFrame:
+    """``scores`` (by album id) with album name, artists and genres.  Names meet
+    on distinct pairs, as texts joined by sort ranges."""
+    members = star.dim_tracks.select("album_id", "track_id", "primary_genre")
+    names = (members.select("album_id", "track_id").distinct().join(star.artist_track_mapping, "track_id")
+             .select("album_id", "artist_id").distinct().join(star.dim_artists, "artist_id"))
+    return (scores.join(star.dim_albums, "album_id")
+            .join(string_agg(names, ["album_id"], "artist_name", "artists", distinct=True), "album_id")
+            .join(string_agg(members, ["album_id"], "primary_genre", "genres", distinct=True), "album_id"))
+
+
 def album_popularity_by_id(star: Star) -> DataFrame:
     """Per album: distinct artists and genres, distinct songs, mean popularity
     over the artist fan-out (a two-artist track weighs twice)."""
-    joined = (star.dim_tracks.join(star.fact_track_popularity, "track_id")
-              .join(star.artist_track_mapping, "track_id")
-              .join(star.dim_artists, "artist_id")
-              .join(star.dim_albums, "album_id"))
-    return joined.groupBy("album_id", "album_name").agg(
-        group_concat_distinct("artist_name").alias("artists"),
-        group_concat_distinct("primary_genre").alias("genres"),
-        F.count_distinct("track_id").alias("num_songs"),
-        rounded_avg("popularity", 0).alias("avg_popularity_score"))
+    return _albums(star, album_scores(star)).select("album_id", "album_name", "artists", "genres", "num_songs",
+                                                    F.col("score").alias("avg_popularity_score"))
 
 
 def albums_ranked(star: Star) -> DataFrame:
     """Every album with its category and its dense rank by score among all
-    albums (singles included)."""
-    # written once: both the rank and the rows it is joined back to read it
-    ap = checkpoint(album_popularity_by_id(star))
-    cat = ap.select("album_name", "artists", "genres",
-                    album_category("num_songs").alias("album_category"),
-                    "num_songs", "avg_popularity_score")
-    return dense_rank_all(cat, ["avg_popularity_score"], "album_rank", ascending=False)
+    albums (singles included).  Only ids and scores are ranked; names follow."""
+    scores = checkpoint(album_scores(star), "album-scores")
+    ranked = dense_rank_all(scores, ["score"], "album_rank", ascending=False)
+    return _albums(star, ranked).select("album_name", "artists", "genres", album_category("num_songs").alias("album_category"),
+                                        "num_songs", F.col("score").alias("avg_popularity_score"), "album_rank")
 
 
 def album_scores(star: Star) -> DataFrame:
@@ -161,18 +163,18 @@ def album_scores(star: Star) -> DataFrame:
 def q6_top_albums(star: Star, k: int = TOP_K) -> DataFrame:
     """Top-k non-single albums by score with their overall rank among all
     albums (singles included); ties are broken by rank and name, which is
-    unique.  Artist and genre strings are built for the k albums only."""
+    unique.  The k albums are written once; only their tracks are voted on, and
+    artist and genre texts are built for them alone."""
     scores = checkpoint(album_scores(star), "album-scores")
     ranked = dense_rank_all(scores, ["score"], "overall_rank", ascending=False)
     order = [F.col("score").desc_nulls_last(), F.col("overall_rank").asc_nulls_first(), F.col("album_name").asc_nulls_first()]
-    best = (ranked.withColumn("album_category", album_category("num_songs")).where(F.col("album_category") != "Single")
-            .join(star.dim_albums, "album_id").orderBy(*order).limit(k))
-    tracks = star.dim_tracks.select("album_id", "track_id", "primary_genre").join(F.broadcast(best), "album_id")  # k rows
+    best = checkpoint(ranked.withColumn("album_category", album_category("num_songs")).where(F.col("album_category") != "Single")
+                      .join(star.dim_albums, "album_id").orderBy(*order).limit(k), "best-albums")
+    tracks = checkpoint(star.dim_tracks_of(best.select("album_id")).select("album_id", "track_id", "primary_genre"), "best-tracks")
     names = (tracks.select("album_id", "track_id").distinct().join(star.artist_track_mapping, "track_id")
-             .join(star.dim_artists, "artist_id").select("album_id", "artist_name").distinct()
-             .groupBy("album_id").agg(group_concat_distinct("artist_name").alias("artists")))
-    genres = (tracks.select("album_id", "primary_genre").distinct()
-              .groupBy("album_id").agg(group_concat_distinct("primary_genre").alias("genres")))
-    return (best.join(names, "album_id").join(genres, "album_id").orderBy(*order)
+             .select("album_id", "artist_id").distinct().join(star.dim_artists, "artist_id"))
+    artists = string_agg(names, ["album_id"], "artist_name", "artists", distinct=True)
+    genres = string_agg(tracks, ["album_id"], "primary_genre", "genres", distinct=True)
+    return (best.join(artists, "album_id").join(genres, "album_id").orderBy(*order)
             .select("album_name", "artists", "album_category", "genres", "overall_rank",
                     F.col("num_songs").cast("bigint").alias("num_songs"), F.col("score").alias("avg_pop_score")))

@@ -108,3 +108,47 @@ def test_variance_does_not_cancel(spark):
 def test_dtypes_is_a_frame(spark):
     df = spark.createDataFrame([(1, "x")], "a int, b string")
     assert [(r.column_name, r.data_type) for r in P.dtypes(df).collect()] == [("a", "int"), ("b", "string")]
+
+
+@pytest.mark.parametrize("values", [
+    [2.0 ** -i for i in range(300)] + [-(3.0 ** i) for i in range(60)], [float("inf"), 1.0, 2.0, 2.0, float("-inf"), float("-inf")],
+    [1.7e308, -1.7e308, 5e-324, 0.0, -0.0, 1.0], [7.0], [1.0, 1.0 + 2 ** -52, 1.0 + 2 ** -51]])
+def test_ranks_are_selected_by_counting(spark, values):
+    df = spark.createDataFrame([(v,) for v in values + [None, float("nan")]], "v double")
+    freq = P.frequency_table(df, "v")
+    got = P.select_ranks(freq, list(range(len(values))))
+    assert [got[k] for k in range(len(values))] == sorted(values)
+
+
+def test_quantiles_sort_and_write_nothing_more(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(size=3_000), rng.integers(0, 5, 2_000)])
+    freq = P.frequency_table(spark.createDataFrame([(float(v),) for v in x], "v double"), "v")
+    monkeypatch.setattr(P, "checkpoint", None)
+    got = P.quantile_values(freq, len(x), {"a": 0.01, "b": 0.37, "c": 0.999})
+    assert list(got.values()) == pytest.approx(list(np.quantile(x, [0.01, 0.37, 0.999])), rel=1e-15)
+
+
+def test_kernels_reach_their_bandwidth_only(spark):
+    # two far groups: most grid points lie beyond every kernel
+    x = np.concatenate([np.linspace(0, 1, 4_000), np.linspace(1_000, 1_001, 3)])
+    df = spark.createDataFrame([(float(v),) for v in x], "v double")
+    h = x.std(ddof=1) * len(x) ** -0.2
+    grid = np.linspace(x.min(), x.max(), 50)
+    want = np.exp(-0.5 * ((grid[:, None] - x) / h) ** 2).sum(axis=1) / (len(x) * h * math.sqrt(2 * math.pi))
+    got = sorted(ST.kde(df, "v", 50).collect(), key=lambda r: r.grid_index)
+    assert len(got) == 50 and np.allclose([r.density for r in got], want, rtol=1e-9, atol=1e-15)
+
+
+def test_correlation_of_complete_and_incomplete_columns(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(80, 4)) + 1e6
+    data[3, 2], data[9, 3], data[10, 3] = np.nan, np.nan, np.nan
+    pdf = pd.DataFrame(data, columns=list("abcd"))
+    pdf["e"] = 5.0
+    rows = [[None if v != v else float(v) for v in r] for r in pdf.to_numpy()]
+    got = {(r.feature_x, r.feature_y): r.r for r in ST.correlation_matrix(
+        spark.createDataFrame(rows, "a double, b double, c double, d double, e double"), list("abcde")).collect()}
+    want = pdf.corr()
+    assert all(got[x, y] == pytest.approx(want.loc[x, y], abs=1e-9) for x in "abcd" for y in "abcd")
+    assert got["a", "e"] is None and got["e", "e"] == 1.0
