@@ -1,8 +1,10 @@
 """Incremental ingestion of raw track files.
 
 The reference job starts from a freshly downloaded CSV.  Here new CSV drops
-in a landing folder are picked up by a Structured Streaming file source with
-the fixed raw schema; each micro-batch is appended to a parquet raw table
+in a landing folder are picked up by a Structured Streaming file source, line
+by line; each micro-batch is put together and parsed by the rules of the batch
+reader (columns by header name, quoted line breaks, missing-value markers, bad
+records refused or reported), is appended to a parquet raw table
 and, when asked, the star schema is rebuilt from the whole raw table
 (dedup, surrogate ids and ranks are global, so the rebuild is a batch job).
 The stream's checkpoint lives in the shared folder, so a restarted job
@@ -14,26 +16,28 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from cadenza import schema as S
+from cadenza.sources.csv import first_header, lines, number_lines, parse_records, records
 
 
-def raw_file_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over CSV files dropped into ``landing_dir``."""
-    reader = (spark.readStream.schema(S.RAW_SCHEMA)
-              .option("header", True).option("quote", '"').option("escape", '"'))
+def raw_line_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of the lines of CSV files dropped into ``landing_dir``."""
+    reader = spark.readStream.option("lineSep", "\n")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    df = reader.csv(landing_dir)
-    return df.select(*[
-        F.when(F.col(c).isin(*S.MISSING_MARKERS), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c)
-        if c in S.STRING_COLS else F.col(c) for c in df.columns])
+    return lines(reader.text(landing_dir))
+
+
+def parse_batch(batch: DataFrame, pandas_missing: bool = True, on_bad: str = "fail") -> DataFrame | None:
+    """The raw rows of a micro-batch of lines; files come whole, with one header."""
+    found = records(number_lines(batch))
+    header = first_header(found)
+    return None if header is None else parse_records(found, header, pandas_missing, on_bad)
 
 
 def ingest(spark: SparkSession, landing_dir: str, raw_table_dir: str,
            checkpoint_location: str, on_update: Callable[[DataFrame], None] | None = None,
-           available_now: bool = True):
+           available_now: bool = True, on_bad: str = "fail", max_files_per_trigger: int | None = None):
     """Append new drops to ``raw_table_dir``; call ``on_update(raw_table)``
     after each non-empty micro-batch (e.g. to rebuild and write the star).
 
@@ -41,14 +45,15 @@ def ingest(spark: SparkSession, landing_dir: str, raw_table_dir: str,
     (a scheduled batch run); otherwise it keeps running.
     """
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
+        rows = parse_batch(batch, on_bad=on_bad)
+        if rows is None:
             return
         # a batch that is run again replaces its own folder
-        batch.write.mode("overwrite").parquet(f"{raw_table_dir}/batch={batch_id}")
+        rows.write.mode("overwrite").parquet(f"{raw_table_dir}/batch={batch_id}")
         if on_update is not None:
             on_update(spark.read.parquet(raw_table_dir).drop("batch"))
 
-    writer = (raw_file_stream(spark, landing_dir).writeStream
+    writer = (raw_line_stream(spark, landing_dir, max_files_per_trigger).writeStream
               .foreachBatch(on_batch)
               .option("checkpointLocation", checkpoint_location))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
