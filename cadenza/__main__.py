@@ -6,7 +6,8 @@
 ``--csv`` reads the source file layout (header, index column first);
 ``--tables`` derives the raw table from the driver's parquet tables.  The six
 tables are written under ``--out`` (parquet), the six answers under
-``--out/answers``; the load audit is printed.
+``--out/answers``; the load audit is printed.  ``--publish`` commits tables and
+answers as one version under a folder instead.
 """
 
 from __future__ import annotations
@@ -23,10 +24,12 @@ def main(argv: list[str] | None = None) -> None:
     src = load.add_mutually_exclusive_group(required=True)
     src.add_argument("--csv", help="raw CSV file(s) in the source layout")
     src.add_argument("--tables", help="folder with lineitem/part/supplier parquet tables")
-    load.add_argument("--out", required=True, help="output folder (shared storage on a cluster)")
+    out = load.add_mutually_exclusive_group(required=True)
+    out.add_argument("--out", help="output folder (shared storage on a cluster)")
+    out.add_argument("--publish", help="folder of versions: all tables and answers are committed together")
     load.add_argument("--export-format", default="csv", choices=["csv", "parquet", "json"])
     load.add_argument("--single-line", action="store_true",
-                      help="no quoted CSV field contains a line break: files can be split")
+                      help="no quoted CSV field contains a line break: lines need not be put together")
     args = ap.parse_args(argv)
 
     spark = get_session()
@@ -36,8 +39,9 @@ def main(argv: list[str] | None = None) -> None:
     else:
         from cadenza.sources.fixture import raw_tracks
         raw = raw_tracks(spark, args.tables)
-    from cadenza.plans.load import run_load
-    for row in run_load(spark, raw, args.out, args.export_format).collect():
+    from cadenza.plans.load import publish_load, run_load
+    job, folder = (publish_load, args.publish) if args.publish else (run_load, args.out)
+    for row in job(spark, raw, folder, args.export_format).collect():
         print(f"{row.table_name}: {row.row_count} rows written")
 
 

@@ -18,9 +18,28 @@ def shape(df: DataFrame, exclude=("row_no",)) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows")).select("n_rows", F.lit(n_cols).cast("long").alias("n_cols"))
 
 
-def dtypes(df: DataFrame) -> DataFrame:
-    """(column_name, data_type) of every column (metadata only, no scan)."""
-    return df.sparkSession.createDataFrame(df.dtypes, "column_name string, data_type string")
+#: types by the text of the values, narrowest first
+_TEXT_TYPES = {"bigint": r"^[+-]?[0-9]+$", "double": r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$",
+               "boolean": r"^([Tt]rue|[Ff]alse)$"}
+
+
+def dtypes(df: DataFrame, exclude=("row_no",)) -> DataFrame:
+    """(column_name, data_type, inferred_type, n_values) of every column: the
+    declared type, and the narrowest one that the text of all values fits
+    (``string`` if none, ``void`` without values), found in one pass."""
+    kept = [(c, k) for c, k in df.dtypes if c not in exclude]
+    parts = []
+    for i, (c, _) in enumerate(kept):
+        text = F.col(c).cast("string")
+        parts += [F.count(c).alias(f"n{i}"), *[F.count_if(text.rlike(p)).alias(f"{name}{i}") for name, p in _TEXT_TYPES.items()]]
+    wide, rows = df.agg(*parts), []
+    for i, (c, kind) in enumerate(kept):
+        n, found = F.col(f"n{i}"), F.lit("string")
+        for name in reversed(_TEXT_TYPES):
+            found = F.when(F.col(f"{name}{i}") == n, name).otherwise(found)
+        rows.append(F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("data_type"),
+                             F.when(n == 0, "void").otherwise(found).alias("inferred_type"), n.alias("n_values")))
+    return wide.select(F.inline(F.array(*rows)))
 
 
 def null_counts(df: DataFrame, columns: list[str] | None = None) -> DataFrame:

@@ -20,7 +20,8 @@ from cadenza.plans.catalog import FLOAT_DECIMALS, _round_doubles, _sql_round, re
 from cadenza.sources.csv import read_tracks_csv, write_tracks_csv
 from cadenza.sources.fixture import raw_tracks
 from cadenza.session import checkpoint
-from cadenza.sources.sinks import audit_frame, read_back_counts, shared_output_dir, write_tables
+from cadenza.sources.published import new_version, read_published
+from cadenza.sources.sinks import audit_frame, contents, shared_output_dir
 
 W = O.with_chain
 F4 = S.SIMILARITY_COLS
@@ -190,8 +191,8 @@ register("key_signature", W(f"SELECT track_id, key, mode, {O._key_signature_sql(
     lambda spark, d: C.track_rows(_clean(spark, d)).select(
         "track_id", "key", "mode", key_signature("key", "mode").alias("key_signature")))
 register("album_category", W(O.Q4_CTES + O._final(
-    "SELECT album_name, num_songs, CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_category "
-    "FROM banded")))(
+    "SELECT album_name, num_songs, CAST(score AS DOUBLE) AS avg_popularity_score, band AS album_category "
+    "FROM album_bands JOIN dim_albums USING (album_id)")))(
     lambda spark, d: Q.album_popularity_by_name(star_for(spark, d)).select(
         "album_name", "num_songs", F.col("avg_popularity_score").cast("double").alias("avg_popularity_score"),
         album_category("num_songs").alias("album_category")))
@@ -203,8 +204,8 @@ register("dense_rank_topk", W(O._final(
     "DENSE_RANK() OVER (ORDER BY popularity DESC) AS track_rank FROM fact_track_popularity) WHERE track_rank <= 10")))(
     lambda spark, d: top_k_dense(star_for(spark, d).fact_track_popularity, ["popularity"], 10, "track_rank"))
 register("dense_rank_global", W(O.Q6_CTES + O._final(
-    "SELECT album_name, artists, genres, album_category, num_songs, "
-    "CAST(avg_popularity_score AS DOUBLE) AS avg_popularity_score, album_rank FROM banded_ranked")))(
+    "SELECT album_name, artists, genres, band AS album_category, num_songs, "
+    "CAST(score AS DOUBLE) AS avg_popularity_score, place AS album_rank FROM albums")))(
     lambda spark, d: Q.albums_ranked(star_for(spark, d)).select(
         "album_name", "artists", "genres", "album_category", "num_songs",
         F.col("avg_popularity_score").cast("double").alias("avg_popularity_score"), "album_rank"))
@@ -224,9 +225,22 @@ def _nulls_sql(src: str) -> str:
 register("profile_shape_dedup", W(f"SELECT count(*) AS n_rows, CAST({len(S.DATA_COLS)} AS BIGINT) AS n_cols FROM dedup"))(
     lambda spark, d: P.shape(_dedup(spark, d)))
 _TYPE_NAMES = {f.name: f.dataType.simpleString() for f in S.RAW_SCHEMA.fields}
-register("profile_dtypes", "SELECT * FROM (VALUES " + ", ".join(
-    f"('{c}', '{t}')" for c, t in _TYPE_NAMES.items()) + ") AS t(column_name, data_type)")(
-    lambda spark, d: P.dtypes(raw_tracks(spark, d)))
+_DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "BOOLEAN": "boolean", "VARCHAR": "string"}
+
+
+def _dtypes_sql() -> str:
+    declared = " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in _DUCK_TYPES.items())
+    parts = []
+    for c in S.DATA_COLS:
+        text = f"CAST({c} AS VARCHAR)"
+        fits = " ".join(f"WHEN bool_and(regexp_matches({text}, '{p}')) THEN '{name}'" for name, p in P._TEXT_TYPES.items())
+        parts.append(f"SELECT '{c}' AS column_name, CASE any_value(typeof({c})) {declared} END AS data_type, "
+                     f"CASE WHEN count({c}) = 0 THEN 'void' {fits} ELSE 'string' END AS inferred_type, count({c}) AS n_values "
+                     f"FROM raw WHERE {c} IS NOT NULL")
+    return O._final(" UNION ALL ".join(parts))
+
+
+register("profile_dtypes", W(_dtypes_sql()))(lambda spark, d: P.dtypes(raw_tracks(spark, d)))
 
 
 def _lookup_track(spark: SparkSession, d: str) -> DataFrame:
@@ -392,14 +406,25 @@ def _counts_sql(names: list[str]) -> str:
         f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in names))
 
 
+_DOUBLES = {f.name for f in S.RAW_SCHEMA.fields if f.dataType.simpleString() == "double"}
+_TABLE_COLUMNS = {"dim_artists": ["artist_id", "artist_name"], "dim_albums": ["album_id", "album_name"], "dim_tracks": S.DIM_TRACK_COLS,
+                  "dim_genre": S.GENRE_FEATURE_COLS, "artist_track_mapping": ["artist_id", "track_id"],
+                  "fact_track_popularity": ["track_id", "popularity"]}
+
+
 def _sink_tables(spark: SparkSession, d: str) -> DataFrame:
+    """The six tables committed together over a former version, and read back
+    through the manifest: their rows and a sum of their contents."""
     star = star_for(spark, d)
-    base = shared_output_dir(spark, "sink")
-    write_tables(star.table_builders(), base)
-    return read_back_counts(spark, base, S.STAR_TABLES)
+    base = shared_output_dir(spark, "published")
+    for _ in range(2):
+        with new_version(spark, base) as version:
+            version.write(star.table_builders())
+    return contents(read_published(spark, base, S.STAR_TABLES))
 
 
-register("sink_tables", W(_counts_sql(S.STAR_TABLES)))(_sink_tables)
+register("sink_tables", W(O._final(" UNION ALL ".join(
+    f"SELECT '{n}' AS table_name, * FROM ({O.content(n, cols, _DOUBLES)})" for n, cols in _TABLE_COLUMNS.items()))))(_sink_tables)
 
 
 def _load_audit(spark: SparkSession, d: str) -> DataFrame:
@@ -411,27 +436,31 @@ def _load_audit(spark: SparkSession, d: str) -> DataFrame:
 register("load_audit", W(_counts_sql(S.STAR_TABLES)))(_load_audit)
 
 
+_ANSWERS = {
+    "pop_scores": (O.Q1, ["track_name", "primary_genre", "artist_names", "popularity", "track_rank"]),
+    "track_vs_pop": (O.Q2, ["track_id", "mins", "avg_popularity"]),
+    "top_10_artists": (O.Q3, ["artist_name", "num_songs", "avg_popularity_score", "artist_rank"]),
+    "album_cat_dist": (O.Q4, ["album_category", "num_albums", "avg_pop_score"]),
+    "key_signature_dist": (O.Q5, ["key_signature", "avg_popularity"]),
+    "top_10_albums": (O.Q6, ["album_name", "artists", "album_category", "genres", "overall_rank", "num_songs", "avg_pop_score"])}
+_ANSWER_DOUBLES = {"mins", "avg_popularity", "avg_popularity_score", "avg_pop_score"}
+
+
 def _sink_export(spark: SparkSession, d: str) -> DataFrame:
+    """The six answers exported as CSV and read back: their rows and a sum of their contents."""
     from cadenza.plans.load import ANSWER_NAMES
-    from cadenza.sources.sinks import export_all
     star = star_for(spark, d)
     base = shared_output_dir(spark, "export")
     frames = {name: fn(star) for name, fn in ANSWER_NAMES.items()}
-    export_all(frames, base, "csv")
-    return read_back_counts(spark, base, list(frames), fmt="csv")
+    with new_version(spark, base) as version:
+        version.write(frames, "csv", "answers")
+    return contents(read_published(spark, base, schemas={name: df.schema for name, df in frames.items()}))
 
 
-_ANSWER_SQL = {"pop_scores": O.Q1, "track_vs_pop": O.Q2, "top_10_artists": O.Q3,
-               "album_cat_dist": O.Q4, "key_signature_dist": O.Q5, "top_10_albums": O.Q6}
-
-
-def _sink_export_sql() -> str | None:
-    # the answers share CTE names (per_album, banded, ...); run each answer
-    # as a scalar subquery with its own WITH list instead
-    parts = []
-    for name, q in _ANSWER_SQL.items():
-        body = q.strip()
-        parts.append(f"SELECT '{name}' AS table_name, (SELECT count(*) FROM (WITH {body})) AS row_count")
+def _sink_export_sql() -> str:
+    # the answers share CTE names; each runs as a subquery with its own WITH list
+    parts = [f"SELECT '{name}' AS table_name, * FROM ({O.content(f'(WITH {q.strip()})', cols, _ANSWER_DOUBLES)})"
+             for name, (q, cols) in _ANSWERS.items()]
     return "WITH " + O.chain() + "\n" + " UNION ALL ".join(parts)
 
 
@@ -452,7 +481,7 @@ register("join_surrogate_nullsafe", W(
     "JOIN dim_albums a ON n.album_name IS NOT DISTINCT FROM a.album_name"))(_join_surrogate)
 
 register("string_agg_distinct", W(O.Q6_CTES + O._final(
-    "SELECT album_id, album_name, artists, genres FROM per_album")))(
+    "SELECT album_id, album_name, artists, genres FROM albums")))(
     lambda spark, d: Q.album_popularity_by_id(star_for(spark, d)).select(
         "album_id", "album_name", "artists", "genres"))
 
@@ -468,3 +497,21 @@ for _key, _oracle in (("q1_top_tracks", O.Q1), ("q2_duration_popularity_named",
                       ("q3_top_artists", O.Q3), ("q4_album_categories", O.Q4),
                       ("q5_key_popularity", O.Q5), ("q6_top_albums", O.Q6)):
     register(f"sql_text_{_key.split('_')[0]}", W(_oracle))(_sql_question(_key))
+
+
+# --- the questions on plain names of a database of the catalog ---------------------------
+
+def _database_question(name: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        import uuid
+
+        from cadenza.plans import sql_questions
+        from cadenza.sources.database import create_database
+        database = f"cadenza_{uuid.uuid4().hex}"
+        create_database(star_for(spark, d), database)
+        return sql_questions.run_in_database(spark, database, name)
+    return run
+
+
+for _key, _oracle in (("q1_top_tracks", O.Q1), ("q6_top_albums", O.Q6)):
+    register(f"sql_database_{_key.split('_')[0]}", W(_oracle))(_database_question(_key))

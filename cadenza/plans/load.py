@@ -9,6 +9,7 @@ from cadenza.operators.star import Star, build_star
 from cadenza.schema import STAR_TABLES
 from cadenza.plans import questions as Q
 from cadenza.session import stage_scope
+from cadenza.sources.published import KEEP, new_version, read_published
 from cadenza.sources.sinks import audit_frame, export_all, shared_output_dir, write_tables
 
 # Output names of the answers (one sheet each in the reference's workbook).
@@ -47,3 +48,20 @@ def run_load(spark: SparkSession, raw: DataFrame, out_dir: str | None = None,
         audit.update({f"answer:{k}": v
                       for k, v in export_all(answers, f"{out_dir}/answers", export_format).items()})
     return audit_frame(spark, audit)
+
+
+def publish_load(spark: SparkSession, raw: DataFrame, base: str, export_format: str = "csv", keep: int = KEEP,
+                 match_time_signature: bool = False) -> DataFrame:
+    """The whole job as one commit under ``base``: readers see the six tables
+    and the answers of this load together, or those of the former one.  A load
+    that fails leaves nothing behind.  Returns the audit."""
+    with stage_scope(spark), new_version(spark, base, keep) as version:
+        star, audit, _ = load_star(spark, raw, version.folder, match_time_signature)
+        version.add(audit)
+        answers = version.write({name: (lambda f=fn: f(star)) for name, fn in ANSWER_NAMES.items()}, export_format, "answers")
+    return audit_frame(spark, audit | {f"answer:{k}": n for k, n in answers.items()})
+
+
+def published_star(spark: SparkSession, base: str, version: int | None = None) -> Star:
+    """The star over the published tables (the newest version)."""
+    return Star(clean=None, tracks=None, profile=None, **read_published(spark, base, STAR_TABLES, version))

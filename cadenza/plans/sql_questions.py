@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cadenza import schema as S
 from cadenza.operators.star import Star
+from cadenza.sources.database import use_database
 
 
 def _mean(total: str, count: str, n: int = 0, divisor: int = 1) -> str:
@@ -125,3 +126,10 @@ def run(spark: SparkSession, star: Star, name: str) -> DataFrame:
     finally:
         for t in tables:
             spark.catalog.dropTempView(prefix + t)
+
+
+def run_in_database(spark: SparkSession, database: str, name: str) -> DataFrame:
+    """Run one question's text on the plain table names of a database of the catalog."""
+    tables, text = SQL[name]
+    with use_database(spark, database):
+        return spark.sql(text.format(**{t: t for t in tables}))
