@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from cadenza.llm import decontaminate, mixing, pii, simhash_vptree, toxicity
 from cadenza.llm.common import table
-from cadenza.session import checkpoint
+from cadenza.session import delete_paths, shared_dir, stage_scope
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -59,7 +59,14 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The five stages in turn.  What a stage wrote for itself is deleted when
+    its result is written, and that when the next one has read it."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = checkpoint(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        path = shared_dir(spark, f"pipeline-{name}")
+        with stage_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            delete_paths(spark, [before])
+        docs, before = spark.read.parquet(path), path
     return docs

@@ -122,3 +122,35 @@ def test_pipeline_matches_a_plain_version(spark, tmp_path):
     assert not [r for r in four.collect() if r.text and "@mail" in r.text]
     five = stages["source_mixing"](spark, four, sf)
     assert five.count() == three.count() and five.agg({"taken": "sum"}).first()[0] == five.agg({"size": "sum"}).first()[0]
+
+
+def test_whole_pipeline_with_other_columns_and_nothing(spark, tmp_path):
+    import os
+
+    import corpus_pipeline as cp
+    from pyspark.sql import functions as F
+    words = lambda i, n=40: " ".join(f"w{i}x{k}" for k in range(n))
+    passage = " ".join(f"bench{k}" for k in range(20))
+    rows = [(i, words(i), "en", f"s{i % 3}", 1) for i in range(60)]
+    rows += [(100 + i, words(i % 2) + f" vilorak vilorak{i % 3} you vilorak", "en", "s0", 1) for i in range(30)]
+    rows += [(200, rows[5][1], "en", "s1", 1), (201, rows[5][1], "de", "s2", 1), (202, passage, "en", "s1", 1), (203, None, None, None, None),
+             (None, "nobody's own words here", "en", "s1", 2), (204, words(9) + " mail jane.roe@mail.org", "en", "s1", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").withColumns(
+        {c: F.lit("x") for c in ("score", "component_id", "contaminated", "n_entities", "size", "h")})
+    labels = spark.createDataFrame([(i, 1, int(i >= 100)) for i in [*range(60), *range(100, 130)]], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, passage), (2, None)], "item_id long, text string")
+    folder = str(tmp_path / "in")
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.write.parquet(f"{folder}/{name}.parquet")
+    ck = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    left = lambda: {d for d in os.listdir(ck) if d.startswith("cadenza-")}
+    before = left()
+    got = cp.run(spark, folder)
+    # every stage's own files are gone, the result's alone are left
+    assert [d.split("-")[2] for d in left() - before] == ["source_mixing"]
+    kept = {r.doc_id for r in got.collect()}
+    assert not kept & set(range(100, 130)) and not kept & {200, 201, 202} and {None, 203} <= kept
+    assert set(range(60)) - kept <= {9} and len(kept & {9, 204}) >= 1
+    for name, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+        df.where("false").write.parquet(f"{tmp_path}/none/{name}.parquet")
+    assert cp.run(spark, str(tmp_path / "none")).count() == 0
