@@ -10,7 +10,8 @@ Tokens that touch a span of a fixed pattern are left to it.
 The models are trained from labelled samples: seeded random strings over the
 usual key alphabets, lower-case letters alone and in groups among them, together
 with the values that the fixed patterns found in a bounded hash sample of the corpus (``SAMPLE`` documents), against the other
-identifiers of that sample and public names of the standard library.
+identifiers of that sample, public names of the standard library and long
+numbers (dates, counters, repeated digits).
 
 Defined results: a null text is empty; offsets count code points, ends
 exclusive; repeated rows each give a row.
@@ -97,9 +98,22 @@ def random_tokens(n: int = 4_000, seed: int = 13) -> list[str]:
     return out + low + groups[:n // 8]
 
 
+def numbers(n: int = 1_500, seed: int = 29) -> list[str]:
+    """Ordinary long numbers: dates and times run together or with dashes,
+    padded counters, one digit or a short group again and again, running digits."""
+    rng, out = np.random.default_rng(seed), []
+    for i in range(n):
+        y, mo, d, h, mi, s, k = (int(x) for x in rng.integers((1970, 1, 1, 0, 0, 0, 0), (2040, 13, 29, 24, 60, 60, 100_000)))
+        date, time, digit = f"{y}{mo:02}{d:02}", f"{h:02}{mi:02}{s:02}", str(k % 10)
+        out.append((date + time + "0" * (k % 9 + 2), f"{y}-{mo:02}-{d:02}-{h:02}-{mi:02}-{s:02}", f"{k:020}", digit * (16 + k % 24),
+                    f"{k % 1000:03}" * (6 + k % 4), ("0123456789" * 4)[k % 10:][:16 + k % 9], f"{date}_{time}_{k:06}",
+                    f"{k % 97}-{k % 13}-{k % 5}/{date}/{k:05}", f"{k:05}000000000000")[i % 9])
+    return out
+
+
 def identifiers() -> list[str]:
     """Ordinary identifiers: the public names of some standard modules, alone
-    and joined in the usual styles, and the fixed ones."""
+    and joined in the usual styles, the fixed ones, and long numbers."""
     import argparse
     import builtins
     import concurrent.futures
@@ -114,7 +128,7 @@ def identifiers() -> list[str]:
     pairs = list(zip(names, names[1:] + names[:1], names[7:] + names[:7]))
     joined = ["_".join(p) for p in pairs] + ["-".join(p).lower() for p in pairs] + ["/".join(p) for p in pairs]
     joined += ["".join(w.title().replace("_", "") for w in p) for p in pairs]
-    return [*names, *joined, *IDENTIFIERS]
+    return [*names, *joined, *IDENTIFIERS, *numbers()]
 
 
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sample_docs: int = SAMPLE) -> np.ndarray:
@@ -205,5 +219,5 @@ def digest(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     text = lambda a: F.array_join(F.transform(a, lambda x: F.concat_ws(
         ":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
     count = lambda k: F.size(F.filter("found", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
-    return found.select(F.col(id_col), *[count(k) for k in KINDS],
-                        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text("found").alias("spans"))
+    return found.select(F.col(id_col), *[count(k) for k in KINDS[:3]],
+                        F.sha2(text(base).cast("binary"), 256).alias("base_sha256"), text("found").alias("spans"), count(KINDS[3]))

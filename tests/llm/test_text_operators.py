@@ -355,3 +355,48 @@ def test_language_calibration_holds_whole_documents_out(spark, make_docs):
     assert held and len(seen["bags"]) == sum(k not in held for k in number)
     with pytest.raises(ValueError, match="languages"):
         langid.fit(docs, max_langs=1)
+
+
+def held_out_tokens():
+    """Labelled tokens that no model was trained on."""
+    import asyncio
+    import decimal
+    import email.message
+    import inspect
+    import socket
+    import tarfile
+    names = sorted({n for m in (asyncio, decimal, email.message, inspect, socket, tarfile) for n in dir(m) if not n.startswith("_")})
+    joined = ["_".join(p) for p in zip(names, names[3:])] + ["".join(w.title() for w in p) for p in zip(names, names[5:])]
+    ordinary = [t for t in names + joined + secrets.numbers(600, seed=77) if len(t) >= 16]
+    return secrets.random_tokens(1_000, seed=99), ordinary
+
+
+def test_random_strings_are_told_from_held_out_identifiers_and_numbers(spark, make_docs):
+    ratio = secrets.fit(make_docs([(i, "the user_account_settings table has a max_connection_timeout of 30") for i in range(20)]))
+    random, ordinary = held_out_tokens()
+    hit = lambda t: bool(secrets.markov_spans(t, ratio, [], secrets.THRESHOLD))
+    tp, fp = sum(map(hit, random)), sum(map(hit, ordinary))
+    print(f"recall {tp / len(random):.3f}, precision {tp / (tp + fp):.3f}, {fp} of {len(ordinary)} ordinary tokens")
+    assert tp / len(random) > 0.85 and fp / len(ordinary) < 0.02
+    assert not any(map(hit, ["0000000000000000", "20240101000000000000", "2024-01-01T00-00-00", "1234567890123456"]))
+
+
+def test_secrets_of_repeated_rows_and_null_ids(spark, make_docs):
+    """Random spans by a plain score of every long token."""
+    key = "q7Zr9TvK2mXw4LpB8cNd"
+    docs = make_docs([(None, f"a {key} b"), (1, f"a {key} b"), (1, f"a {key} b"), (2, "nothing_but_words_in_this_name " + "0" * 40)])
+    ratio = secrets.fit(docs)
+    got = sorted((str(r.doc_id), r.spans) for r in secrets.digest(secrets.scan(docs, ratio)).collect())
+    text = {1: f"a {key} b", 2: "nothing_but_words_in_this_name " + "0" * 40}
+
+    def plain(t):
+        out = []
+        for m in re.finditer(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}", t):
+            codes = [secrets.ALPHABET.index(c) for c in m[0]]
+            if sum(ratio[a, b] for a, b in zip(codes, codes[1:])) / (len(codes) - 1) > secrets.THRESHOLD:
+                out.append(f"random:{m.start()}:{m.end()}")
+        hexes = [f"hex:{m.start()}:{m.end()}" for m in re.finditer("[0-9a-f]{16,}", t)]
+        return ",".join(hexes or out)
+    assert got == sorted([("None", plain(text[1])), ("1", plain(text[1])), ("1", plain(text[1])), ("2", plain(text[2]))])
+    assert plain(text[1])
+    assert secrets.digest(secrets.scan(docs, ratio)).columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
