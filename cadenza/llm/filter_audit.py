@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from cadenza.session import checkpoint
 
-SHARD_WORDS = 8_000_000
+SHARD_WORDS = 3_000_000
 LETTERS = "ABCDE"
 #: numbers that are taken of a text's UTF-8 bytes while it is read: code points, A to Z, the signs of condition D
 _LATER = bytes(range(0x80, 0xC0))
