@@ -121,15 +121,22 @@ def q5_key_counts(star: Star) -> DataFrame:
             .orderBy(F.col("num_songs").desc()))
 
 
-def _albums(star: Star, scores: DataFrame) -> DataFrame:
-    """``scores`` (by album id) with album name, artists and genres.  Names meet
-    on distinct pairs, as texts joined by sort ranges."""
-    members = star.dim_tracks.select("album_id", "track_id", "primary_genre")
+def _texts(star: Star, members: DataFrame) -> DataFrame:
+    """``(album_id, artists, genres)`` of track rows with ``album_id, track_id,
+    primary_genre``: distinct names and genres in order, joined by sort ranges
+    in one go."""
     names = (members.select("album_id", "track_id").distinct().join(star.artist_track_mapping, "track_id")
              .select("album_id", "artist_id").distinct().join(star.dim_artists, "artist_id"))
-    return (scores.join(star.dim_albums, "album_id")
-            .join(string_agg(names, ["album_id"], "artist_name", "artists", distinct=True), "album_id")
-            .join(string_agg(members, ["album_id"], "primary_genre", "genres", distinct=True), "album_id"))
+    both = (names.select("album_id", F.lit("artists").alias("what"), F.col("artist_name").alias("value"))
+            .unionByName(members.select("album_id", F.lit("genres").alias("what"), F.col("primary_genre").alias("value"))))
+    texts = string_agg(both, ["album_id", "what"], "value", "text", distinct=True)
+    return texts.groupBy("album_id").agg(*[F.max(F.when(F.col("what") == c, F.col("text"))).alias(c) for c in ("artists", "genres")])
+
+
+def _albums(star: Star, scores: DataFrame) -> DataFrame:
+    """``scores`` (by album id) with album name, artists and genres."""
+    members = star.dim_tracks.select("album_id", "track_id", "primary_genre")
+    return scores.join(star.dim_albums, "album_id").join(_texts(star, members), "album_id")
 
 
 def album_popularity_by_id(star: Star) -> DataFrame:
@@ -166,15 +173,20 @@ def q6_top_albums(star: Star, k: int = TOP_K) -> DataFrame:
     unique.  The k albums are written once; only their tracks are voted on, and
     artist and genre texts are built for them alone."""
     scores = checkpoint(album_scores(star), "album-scores")
-    ranked = dense_rank_all(scores, ["score"], "overall_rank", ascending=False)
-    order = [F.col("score").desc_nulls_last(), F.col("overall_rank").asc_nulls_first(), F.col("album_name").asc_nulls_first()]
-    best = checkpoint(ranked.withColumn("album_category", album_category("num_songs")).where(F.col("album_category") != "Single")
-                      .join(star.dim_albums, "album_id").orderBy(*order).limit(k), "best-albums")
+    # the rank falls as the score rises, so the order needs the score alone
+    order = [F.col("score").desc_nulls_last(), F.col("album_name").asc_nulls_first()]
+    best = (scores.withColumn("album_category", album_category("num_songs")).where(F.col("album_category") != "Single")
+            .join(star.dim_albums, "album_id").orderBy(*order).limit(k))
+    best = checkpoint(best, "best-albums")
+    # at most k scores: their ranks are counted over the distinct ones in one pass
+    known = [r["score"] for r in best.select("score").distinct().collect()]
+    better = scores.select("score").distinct().agg(*[
+        F.count_if(F.col("score").isNotNull() if x is None else F.col("score") > F.lit(x)).alias(f"n{i}") for i, x in enumerate(known)]
+        or [F.lit(0).alias("n")]).first()
+    rank = F.lit(None).cast("long")
+    for i, x in enumerate(known):
+        rank = F.when(F.col("score").eqNullSafe(F.lit(x).cast("double")), F.lit(better[i] + 1).cast("long")).otherwise(rank)
     tracks = checkpoint(star.dim_tracks_of(best.select("album_id")).select("album_id", "track_id", "primary_genre"), "best-tracks")
-    names = (tracks.select("album_id", "track_id").distinct().join(star.artist_track_mapping, "track_id")
-             .select("album_id", "artist_id").distinct().join(star.dim_artists, "artist_id"))
-    artists = string_agg(names, ["album_id"], "artist_name", "artists", distinct=True)
-    genres = string_agg(tracks, ["album_id"], "primary_genre", "genres", distinct=True)
-    return (best.join(artists, "album_id").join(genres, "album_id").orderBy(*order)
+    return (best.withColumn("overall_rank", rank).join(_texts(star, tracks), "album_id").orderBy(*order)
             .select("album_name", "artists", "album_category", "genres", "overall_rank",
                     F.col("num_songs").cast("bigint").alias("num_songs"), F.col("score").alias("avg_pop_score")))
