@@ -14,11 +14,12 @@ known; the candidate genres per track come from one aggregation keyed by
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cadenza import schema as S
 from cadenza.functions.columns import dot, l2_normalize, l2_norm
+from cadenza.operators.ids import dense_ids
 
 _G = "track_genre"
 _TS = "time_signature"
@@ -72,25 +73,29 @@ def _reference_vectors(nprof: DataFrame, match_time_signature: bool) -> DataFram
     vec_cols = [F.col(c).alias(f"g_{c}") for c in S.SIMILARITY_COLS]
     if match_time_signature:
         return nprof.select(_G, _TS, *vec_cols)
-    first = nprof.groupBy(_G).agg(
-        F.min_by(F.struct(*S.SIMILARITY_COLS), F.col(_TS)).alias("v"))
-    return first.select(_G, *[F.col(f"v.{c}").alias(f"g_{c}") for c in S.SIMILARITY_COLS])
+    first = nprof.groupBy(_G).agg(F.min(_TS).alias(_TS))
+    return nprof.join(first, [_G, _TS]).select(_G, *vec_cols)
 
 
 KEY_COLS = ["track_id", _TS, *S.SIMILARITY_COLS]
 
 
 def candidates_with_lists(cands: DataFrame) -> DataFrame:
-    """Candidates with their track's list length and first genre attached.
+    """Candidates with their track's list length and their place in its list
+    (1 is the first; a name breaks ties).
 
-    The window is partitioned by track, and a partition holds one row per
+    The windows are partitioned by track, and a partition holds one row per
     distinct listed genre of that track, so it stays small however many
     rows the track has.
     """
-    w = Window.partitionBy("track_id")
-    return cands.select("track_id", _G, "pos",
-                        F.sum("mult").over(w).alias("list_len"),
-                        F.min_by(_G, F.struct("pos", _G)).over(w).alias("first_genre"))
+    of_track = Window.partitionBy("track_id")
+    return cands.select("track_id", _G, "pos", F.sum("mult").over(of_track).alias("list_len"),
+                        F.row_number().over(of_track.orderBy("pos", _G)).alias("place"))
+
+
+def genre_numbers(clean: DataFrame) -> DataFrame:
+    """``(genre_no, track_genre)``: a number for every genre."""
+    return dense_ids(clean.select(_G).where(F.col(_G).isNotNull()), _G, "genre_no", null_id=None)
 
 
 def vote_rows(tracks: DataFrame, cinfo: DataFrame) -> DataFrame:
@@ -119,24 +124,42 @@ def add_similarity(rows: DataFrame, nprof: DataFrame, match_time_signature: bool
                  .drop(*t_cols, *[f"g_{c}" for c in S.SIMILARITY_COLS])
 
 
-def vote(scored: DataFrame, row_cols: list[str]) -> DataFrame:
+#: fixed-width fields of a vote: similarity at SIMILARITY_DECIMALS, place from the end, genre number
+_PLACES, _NUMBERS = 10 ** 9, 10 ** 12
+
+
+def _packed() -> Column:
+    """One number per candidate whose order is that of the vote: similarity,
+    then earlier place; the genre's number is its last field.  A sole listed
+    genre stands whatever its similarity."""
+    scale = 10 ** S.SIMILARITY_DECIMALS
+    sim = F.round(F.coalesce("sim", F.lit(0.0)) * F.lit(float(scale))) + F.lit(float(scale))
+    first = sim.cast("decimal(14,0)") * F.lit(str(_PLACES * _NUMBERS)).cast("decimal(22,0)")
+    then = (F.lit(_PLACES) - F.col("place")).cast("decimal(10,0)") * F.lit(_NUMBERS).cast("decimal(13,0)")
+    packed = first + then + F.col("genre_no").cast("decimal(12,0)")
+    return F.when((F.col("list_len") == 1) | F.col("sim").isNotNull(), packed)
+
+
+def vote(scored: DataFrame, row_cols: list[str], numbers: DataFrame) -> DataFrame:
     """One row per track row: the listed genre with the highest similarity
     (ties: earlier list position, then smaller name), or the only listed
-    genre when the list has one entry."""
-    best = F.min_by(_G, F.when(F.col("sim").isNotNull(),
-                               F.struct((-F.col("sim")).alias("neg_sim"), "pos", _G)))
-    return (scored.groupBy(*row_cols)
-            .agg(F.max("list_len").alias("list_len"), F.max("first_genre").alias("first_genre"),
-                 best.alias("voted_genre"))
-            .select(*row_cols, F.when(F.col("list_len") == 1, F.col("first_genre"))
-                                 .otherwise(F.col("voted_genre")).alias("primary_genre"),
-                    "list_len", "voted_genre"))
-
-
-def scored_rows(rows: DataFrame, clean: DataFrame, profile: DataFrame,
-                match_time_signature: bool = False) -> DataFrame:
-    """Rows (at least ``KEY_COLS``) x listed genres with eligibility and similarity."""
+    genre when the list has one entry.
+
+    The maximum of a packed number needs a hash aggregate alone; its last
+    field names the genre by ``numbers``."""
+    best = scored.groupBy(*row_cols).agg(F.max("list_len").alias("list_len"), F.max(_packed()).alias("best"))
+    best = best.withColumn("best_no", F.pmod("best", F.lit(_NUMBERS).cast("decimal(13,0)")).cast("long")).drop("best")
+    return (best.join(numbers.withColumnRenamed(_G, "voted_genre"), F.col("best_no") == F.col("genre_no"), "left")
+            .select(*row_cols, F.col("voted_genre").alias("primary_genre"), "list_len", "voted_genre"))
+
+
+def scored_rows(rows: DataFrame, clean: DataFrame, profile: DataFrame, match_time_signature: bool = False,
+                numbers: DataFrame | None = None) -> DataFrame:
+    """Rows (at least ``KEY_COLS``) x listed genres with eligibility and
+    similarity, and with ``genre_no`` where ``numbers`` are given."""
     cinfo = candidates_with_lists(genre_candidates(clean))
+    if numbers is not None:
+        cinfo = cinfo.join(numbers, _G, "left")
     nprof = normalized_profile(profile)
     return add_similarity(mark_eligible(vote_rows(rows, cinfo), nprof), nprof, match_time_signature)
 
@@ -158,7 +181,8 @@ def assign_primary_genre(tracks: DataFrame, clean: DataFrame, profile: DataFrame
     The vote runs once per distinct key and is joined back to the track rows
     with null-safe equality (a missing signature or id is a key too).
     """
-    votes = vote(scored_rows(vote_keys(tracks), clean, profile, match_time_signature), KEY_COLS)
+    numbers = genre_numbers(clean)
+    votes = vote(scored_rows(vote_keys(tracks), clean, profile, match_time_signature, numbers), KEY_COLS, numbers)
     # the votes come from the same rows: rename their keys so the join is unambiguous
     votes = votes.select(*[F.col(c).alias(f"_v_{c}") for c in KEY_COLS], "primary_genre")
     cond = None

@@ -46,15 +46,16 @@ def _profile(spark, d):
     return G.genre_profile(_clean(spark, d))
 
 
-def _genre_parts(spark, d, match=False):
+def _genre_parts(spark, d, match=False, numbered=False):
     star = star_for(spark, d, match)
     clean, profile = star.clean, star.profile
     tracks = C.track_rows(clean)
     cands = G.genre_candidates(clean)
     lists = G.genre_lists(cands)
     keys = G.vote_keys(tracks)
-    scored = G.scored_rows(keys, clean, profile, match)
-    return dict(star=star, tracks=tracks, cands=cands, lists=lists, keys=keys, scored=scored)
+    numbers = G.genre_numbers(clean) if numbered else None
+    scored = G.scored_rows(keys, clean, profile, match, numbers)
+    return dict(star=star, tracks=tracks, cands=cands, lists=lists, keys=keys, scored=scored, numbers=numbers)
 
 
 def _voting(scored):
@@ -148,8 +149,8 @@ register("cosine_similarity", W(f"SELECT {', '.join(KEYS)}, track_genre, pos, ro
 
 
 def _argmax(spark, d):
-    p = _genre_parts(spark, d)
-    voted = G.vote(p["scored"], G.KEY_COLS)
+    p = _genre_parts(spark, d, numbered=True)
+    voted = G.vote(p["scored"], G.KEY_COLS, p["numbers"])
     return (voted.where((F.col("list_len") > 1) & F.col("voted_genre").isNotNull())
             .select(*KEYS, "voted_genre"))
 

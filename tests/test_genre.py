@@ -86,3 +86,15 @@ def test_hot_track_votes_once_per_key(make_raw):
     voted = G.assign_primary_genre(tracks, clean, profile)
     hot = {r.primary_genre for r in voted.where("track_id = 'hot'").collect()}
     assert hot == {"g0"}      # equal vectors: the first listed genre wins, for all 200 rows
+
+
+def test_vote_is_a_hash_aggregate(spark, make_raw):
+    from cadenza.operators import genre as G
+    from cadenza.operators.clean import clean_tracks, track_rows
+    from cadenza.session import checkpoint
+    raw = make_raw([raw_row(i, track_id=f"t{i % 3}", genre=g, energy=0.1 * (i % 3)) for i, g in enumerate(["a", "b", "c", "b", "a", None, "z"])])
+    clean = checkpoint(clean_tracks(raw))
+    voted = G.assign_primary_genre(checkpoint(track_rows(clean)), clean, checkpoint(G.genre_profile(clean)))
+    plan = voted._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert voted.count() == clean.select("track_id").distinct().count()
