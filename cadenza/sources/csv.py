@@ -52,9 +52,11 @@ def records(found: DataFrame) -> DataFrame:
     quotes = F.length("line") - F.length(F.replace(F.col("line"), F.lit('"'), F.lit("")))
     in_range = Window.partitionBy("file", "start").orderBy("nr")
     so_far = in_range.rowsBetween(Window.unboundedPreceding, -1)
+    # places inside a range do not depend on how ranges are dealt to tasks, as a task's own numbers do
     found = found.withColumn("quotes", quotes.cast("long")).select(
-        *LINE, "quotes", F.coalesce(F.sum("quotes").over(so_far), F.lit(0)).alias("inside"),
-        ((F.col("start") == 0) & (F.row_number().over(in_range) == 1)).alias("first"))
+        "line", "file", "start", F.row_number().over(in_range).alias("nr"), "quotes",
+        F.coalesce(F.sum("quotes").over(so_far), F.lit(0)).alias("inside"))
+    found = found.withColumn("first", (F.col("start") == 0) & (F.col("nr") == 1))
     # one row a byte range: its quotes, and the last line that begins a record if the range begins outside or inside quotes
     even = F.col("inside") % 2 == 0
     ranges = found.groupBy("file", "start").agg(F.sum("quotes").alias("n"), F.max(F.when(even, F.col("nr"))).alias("last_outside"),
