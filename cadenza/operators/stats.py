@@ -26,36 +26,34 @@ def correlation_matrix(df: DataFrame, features: list[str]) -> DataFrame:
     over the rows where both are there.  The one-row result is turned into rows
     by ``stack``; the diagonal is exactly 1.
     """
-    clean = df.select(*[F.when(~F.isnan(c), F.col(c).cast("double")).alias(c) for c in features])
-    first = clean.agg(F.count(F.lit(1)), *[F.avg(c) for c in features], *[F.count(c) for c in features]).first()
+    # as texts: hundreds of Column objects would cost more than the two passes
+    cols = {c: f"`{c.replace('`', '``')}`" for c in features}
+    names = {c: "'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in features}
+    clean = df.selectExpr(*[f"CASE WHEN NOT isnan({x}) THEN double({x}) END AS {x}" for x in cols.values()])
+    first = clean.selectExpr("count(1)", *[f"avg({x})" for x in cols.values()], *[f"count({x})" for x in cols.values()]).first()
     rows, means, counts = first[0], first[1:1 + len(features)], first[1 + len(features):]
     whole = {c for c, n in zip(features, counts) if n == rows}
-    centred = clean.select(*[(F.col(c) - F.lit(m).cast("double")).alias(c) for c, m in zip(features, means)])
+    shift = ["NULL" if m is None else f"double('{m!r}')" for m in means]
+    centred = clean.selectExpr(*[f"{x} - {m} AS {x}" for x, m in zip(cols.values(), shift)])
     pairs = [(a, b) for i, a in enumerate(features) for b in features[i + 1:]]
-    sums = {f"s_{i}": F.sum(F.col(c) * F.col(c)) for i, c in enumerate(features)}
+    sums = {f"s{i}": f"sum({x} * {x})" for i, x in enumerate(cols.values())}
+    made = []
     for i, (a, b) in enumerate(pairs):
-        sums[f"p{i}"] = F.sum(F.col(a) * F.col(b))
-        if not {a, b} <= whole:
-            both = lambda x, a=a, b=b: F.sum(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), x))
-            sums |= {f"n{i}": both(F.lit(1.0)), f"a{i}": both(F.col(a)), f"b{i}": both(F.col(b)),
-                     f"aa{i}": both(F.col(a) * F.col(a)), f"bb{i}": both(F.col(b) * F.col(b))}
-    wide = centred.agg(*[x.alias(name) for name, x in sums.items()])
-
-    def r(i, a, b):
+        x, y = cols[a], cols[b]
+        sums[f"p{i}"] = f"sum({x} * {y})"
         if {a, b} <= whole:
-            spread = F.sqrt(F.col(f"s_{features.index(a)}")) * F.sqrt(F.col(f"s_{features.index(b)}"))
-            return F.when(spread > 0, F.col(f"p{i}") / spread)
-        n, sa, sb = F.col(f"n{i}"), F.col(f"a{i}"), F.col(f"b{i}")
-        spread = F.sqrt(F.col(f"aa{i}") - sa * sa / n) * F.sqrt(F.col(f"bb{i}") - sb * sb / n)
-        return F.when(spread > 0, (F.col(f"p{i}") - sa * sb / n) / spread)
-
-    args = []
-    for i, (a, b) in enumerate(pairs):
-        args += [F.lit(a), F.lit(b), r(i, a, b), F.lit(b), F.lit(a), r(i, a, b)]
-    for a in features:
-        args += [F.lit(a), F.lit(a), F.lit(1.0)]
-    n_rows = 2 * len(pairs) + len(features)
-    return wide.select(F.stack(F.lit(n_rows), *args).alias("feature_x", "feature_y", "r"))
+            top, spread = f"p{i}", f"sqrt(s{features.index(a)}) * sqrt(s{features.index(b)})"
+        else:
+            both = f"{x} IS NOT NULL AND {y} IS NOT NULL"
+            sums |= {f"{k}{i}": f"sum(CASE WHEN {both} THEN {v} END)" for k, v in
+                     (("n", "1.0D"), ("x", x), ("y", y), ("xx", f"{x} * {x}"), ("yy", f"{y} * {y}"))}
+            top = f"p{i} - x{i} * y{i} / n{i}"
+            spread = f"sqrt(xx{i} - x{i} * x{i} / n{i}) * sqrt(yy{i} - y{i} * y{i} / n{i})"
+        made.append(f"CASE WHEN {spread} > 0 THEN ({top}) / ({spread}) END AS c{i}")
+    wide = centred.selectExpr(*[f"{x} AS {name}" for name, x in sums.items()]).selectExpr(*made or ["1 AS one"])
+    cells = [f"{names[a]}, {names[b]}, c{i}, {names[b]}, {names[a]}, c{i}" for i, (a, b) in enumerate(pairs)]
+    cells += [f"{n}, {n}, 1.0D" for n in names.values()]
+    return wide.selectExpr(f"stack({2 * len(pairs) + len(features)}, {', '.join(cells)}) AS (feature_x, feature_y, r)")
 
 
 def _edge(i, lo, step, hi, n_bins):
