@@ -73,7 +73,7 @@ def test_several_files_and_other_column_order(spark, tmp_path, split_bytes):
     spark.conf.set("spark.sql.files.openCostInBytes", 1)
     assert _ranges(C.read_tracks_csv(spark, str(tmp_path))) == want
     _write(tmp_path / "q.csv", 3)
-    with pytest.raises(Exception, match="another header|malformed")  # whichever task comes first:
+    with pytest.raises(Exception, match="another header|malformed"):  # whichever task comes first
         C.read_tracks_csv(spark, str(tmp_path)).count()
 
 
