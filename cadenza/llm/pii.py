@@ -1,14 +1,16 @@
 """Surrogates for personal data, in DataFrame functions alone.
 
-Detected: e-mail addresses, IPv4 addresses, phone numbers, payment card
-numbers, social security numbers, IBANs, and names after a title.  Each gets a
+Detected: e-mail addresses, IPv4 and IPv6 addresses, phone numbers, payment card
+numbers (of 16 digits, or 15 that begin with 34 or 37, whose check digit is right; other
+such numbers stay), social security numbers, IBANs, and names after a title.  Each gets a
 replacement of its own kind, drawn by a keyed hash from its canonical form (so
 one entity gets one replacement wherever and however it is written):
 
 * digits for digits and letters for letters of the same script (those of
   ``_LETTERS``; Latin ones for others) in place, separators kept; a phone with a
   plus sign keeps its country code (one without is an entity of its own), a card its first digit and a valid check digit, an
-  address its four numbers below 256, an IBAN its country;
+  address its four numbers below 256, an IBAN its country, with check digits that are right;
+* an IPv6 address, in whatever form, one of the range kept for documentation, all eight groups written;
 * e-mail: a local part of the same make (eight characters at least) at a
   replacement of the domain under a reserved top level;
 * a name keeps its title, number of words, hyphens, initial capitals and words
@@ -49,11 +51,15 @@ _WORD = rf"\p{{Lu}}(?:[\p{{L}}\p{{M}}]++(?:{_JOINED})*+|(?:{_JOINED})++)"
 _NAME = r"(?:" + "|".join([*MALE, *FEMALE, *NEUTRAL]) + rf")\.?\x20{_WORD}(?:[\x20\-]{_WORD})*+"
 #: country codes, none of which begins another
 _CODE = r"1|7|20|27|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}"
+_GROUP = "[0-9A-Fa-f]{1,4}"
 _PATTERNS = {
     "email": _EMAIL,
     "iban": r"[A-Z]{2}\d{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "ip": r"(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
-    "card": r"\d{4}(?:[\x20\-]?\d{4}){2}[\x20\-]?\d{4}(?![0-9A-Za-z])",
+    # eight groups, or fewer around a double colon, the first with a digit (which scopes of code, a::b, lack)
+    "ip6": (rf"(?<!:)(?=[A-Fa-f]*\d)(?:(?:{_GROUP}:){{7}}{_GROUP}|{_GROUP}(?::{_GROUP}){{0,5}}::(?:{_GROUP}(?::{_GROUP}){{0,5}})?)"
+            r"(?![:\p{L}\p{N}])"),
+    "card": (r"(?:\d{4}(?:[\x20\-]?\d{4}){2}[\x20\-]?\d{4}|3[47]\d{2}[\x20\-]?\d{6}[\x20\-]?\d{5})(?![0-9A-Za-z])"),
     "ssn": r"\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": (r"(?:\+\d{1,3}[\x20.\-]?)?\(\d{2,4}\)[\x20.\-]?\d{3,4}[\x20.\-]?\d{3,4}(?!\d)"
               r"|\+\d{1,3}(?:[\x20.\-]?\d{2,4}){2,4}(?!\d)|\d{3}[.\-]\d{3}[.\-]\d{4}(?!\d)"),
@@ -81,12 +87,39 @@ def matches(text: Column) -> Column:
 
 
 def _kind(m: Column) -> Column:
+    """The kind of a match; null for a card number with a wrong check digit, which is no entity."""
     out = F.lit("phone")
-    for kind in ("name", "ssn", "card", "ip", "iban", "email"):
-        out = F.when(m.rlike(f"^(?:{_PATTERNS[kind]})$"), kind).otherwise(out)
+    for kind in ("name", "ssn", "card", "ip6", "ip", "iban", "email"):
+        of = F.when(_valid_card(m), kind) if kind == "card" else F.lit(kind)
+        out = F.when(m.rlike(f"^(?:{_PATTERNS[kind]})$"), of).otherwise(out)
     return out
 
 
+def _valid_card(m: Column) -> Column:
+    return _let(F.regexp_replace(m, "[^0-9]", ""), lambda digits: _luhn(digits) == digits)
+
+
+def _groups(m: Column) -> Column:
+    """An IPv6 address as its eight groups, lower case, without leading zeros."""
+    def listed(side):
+        return F.filter(F.split(side, ":"), lambda g: g != "")
+
+    def whole(sides):
+        return _let(F.struct(listed(F.get(sides, F.lit(0))).alias("a"), listed(F.coalesce(F.get(sides, F.lit(1)), F.lit(""))).alias("b")),
+                    lambda x: F.concat(x["a"], F.array_repeat(F.lit("0"), F.lit(8) - F.size(x["a"]) - F.size(x["b"])), x["b"]))
+    return F.array_join(F.transform(_let(F.split(F.lower(m), "::"), whole), lambda g: F.regexp_replace(g, "^0+(?=.)", "")), ":")
+
+
+def _iban(made: Column) -> Column:
+    """``made`` with the two check digits that its country and account need."""
+    def add(acc, c):
+        value = F.when(c.rlike("[0-9]"), c.cast("int")).otherwise(F.ascii(c) - 55)
+        return (acc * F.when(c.rlike("[0-9]"), 10).otherwise(100) + value) % 97
+    account, country = F.substr(made, F.lit(5), F.length(made)), F.substring(made, 1, 2)
+    rest = F.aggregate(F.split(F.concat(account, country, F.lit("00")), ""), F.lit(0), add)
+    return F.concat(country, F.lpad((F.lit(98) - rest).cast("string"), 2, "0"), account)
+
+
 def _canon(m: Column, kind: Column) -> Column:
     """One form for the ways in which an entity is written."""
     bare = F.regexp_replace(m, r"[^\p{L}\p{N}]", "")
@@ -94,7 +127,7 @@ def _canon(m: Column, kind: Column) -> Column:
     code = F.when(m.startswith("+"), F.regexp_extract(bare, f"^({_CODE})", 1)).otherwise("")
     gender = (F.when(m.rlike("^(?:" + "|".join(FEMALE) + r")\.?\x20"), "f")
               .when(m.rlike("^(?:" + "|".join(MALE) + r")\.?\x20"), "m").otherwise("n"))
-    return (F.when(kind == "email", F.lower(m)).when(kind == "ip", m)
+    return (F.when(kind == "email", F.lower(m)).when(kind == "ip", m).when(kind == "ip6", _groups(m))
             .when(kind == "name", F.concat(gender, F.lit(":"), person))
             .when(kind == "phone", F.concat_ws(":", code, F.substr(bare, F.length(code) + 1, F.length(bare)))).otherwise(bare))
 
@@ -172,13 +205,15 @@ def _person(canon: Column, draw: Column) -> Column:
 def core(kind: Column, canon: Column, attempt: Column, key: str) -> Column:
     """The replacement in canonical form: what collision checks compare."""
     def made(draw):
+        ip6 = F.concat(F.lit("2001:db8:"), F.array_join(F.transform(F.sequence(F.lit(0), F.lit(5)), lambda i: F.lower(
+            F.hex((_byte(draw, i * 2) * 256 + _byte(draw, i * 2 + 1)).cast("long")))), ":"))
         ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (_byte(draw, i) % 254 + 1).cast("string")), ".")
         def digits(d):
             return (F.when(kind == "card", _luhn(F.concat(F.substring(canon, 1, 1), F.substring(d, 2, 99))))
-                    .when(kind == "iban", F.concat(F.substring(canon, 1, 2), F.substring(d, 3, 99)))
+                    .when(kind == "iban", _iban(F.concat(F.substring(canon, 1, 2), F.substring(d, 3, 99))))
                     .when(kind == "phone", F.concat(F.regexp_extract(canon, "^[^:]*:", 0), F.regexp_extract(d, ":(.*)$", 1)))
                     .otherwise(d))
-        return (F.when(kind == "email", _email(canon, draw, key)).when(kind == "ip", ip)
+        return (F.when(kind == "email", _email(canon, draw, key)).when(kind == "ip", ip).when(kind == "ip6", ip6)
                 .when(kind == "name", _person(canon, draw)).otherwise(_let(_like(canon, draw), digits)))
     return _let(_draw(key, kind, canon, attempt), made)
 
@@ -199,14 +234,14 @@ def _render(m: Column, kind: Column, made: Column) -> Column:
             return F.concat(F.when(own == F.upper(own), F.upper(w)).otherwise(F.initcap(w)), F.get(seps, i))
         return F.array_join(F.transform(F.split(F.substr(made, F.lit(3)), " "), word), "")
     person = _let(F.regexp_replace(m, r"^\S+\x20", ""), person)
-    return (F.when(kind.isin("email", "ip"), made).when(kind == "name", F.concat(F.regexp_extract(m, r"^(\S+\x20)", 1), person))
+    return (F.when(kind.isin("email", "ip", "ip6"), made).when(kind == "name", F.concat(F.regexp_extract(m, r"^(\S+\x20)", 1), person))
             .otherwise(_let(F.replace(made, F.lit(":"), F.lit("")), masked)))
 
 
 def _entities(found: Column) -> Column:
     def one(m):
         return _let(_kind(m), lambda kind: F.struct(kind.alias("kind"), _canon(m, kind).alias("canon")))
-    return F.transform(found, one)
+    return F.filter(F.transform(found, one), lambda e: e["kind"].isNotNull())
 
 
 def _settled(written: DataFrame) -> DataFrame:
@@ -263,7 +298,7 @@ def _rewrite(text: Column, found: Column, attempts: Column | None, key: str) ->
                 own = F.coalesce(F.element_at(attempts, F.concat_ws("\u0001", kind, canon)),
                                  F.struct(F.lit(0).alias("attempt"), canon.alias("settled")))
                 return _let(own, lambda e: _let(core(kind, e["settled"], e["attempt"], key), lambda made: _render(m, kind, made)))
-            return _let(_canon(m, kind), named)
+            return F.when(kind.isNull(), m).otherwise(_let(_canon(m, kind), named))
         return _let(_kind(m), known)
     pieces = F.split(text, ANY, -1)
     made = F.concat(F.transform(found, one), F.array(F.lit("")))
@@ -280,17 +315,20 @@ def pseudonymize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     text, attempts, at = F.col(f"`{text_col}`"), None, spare(docs, "found")
     found = docs.withColumn(at, matches(text))
     if size > map_rows:
-        i, m = spare(docs, "of_id"), spare(docs, "redrawn")
-        told = (found.select(F.col(f"`{id_col}`").alias(i), F.explode(_entities(F.col(at))).alias("e"))
-                .select(i, "e.kind", "e.canon").distinct().join(again, ["kind", "canon"])
-                .groupBy(i).agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m)))
-        found, attempts = found.join(told, F.col(f"`{id_col}`").eqNullSafe(F.col(i)), "left"), F.col(m)
+        i, h, m = spare(docs, "of_id"), spare(docs, "of_text"), spare(docs, "redrawn")
+        digest = F.md5(text.cast("binary"))  # rows that share an id, or have none, meet only where they share the text too
+        told = (found.select(F.col(f"`{id_col}`").alias(i), digest.alias(h), F.explode(_entities(F.col(at))).alias("e"))
+                .select(i, h, "e.kind", "e.canon").distinct().join(again, ["kind", "canon"])
+                .groupBy(i, h).agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m)))
+        same = F.col(f"`{id_col}`").eqNullSafe(F.col(i)) & (digest == F.col(h))
+        found, attempts = found.join(told, same, "left"), F.col(m)
     elif size:
         m = spare(docs, "redrawn")
         table = again.agg(F.map_from_entries(F.collect_list(F.struct(name, F.struct("attempt", "settled")))).alias(m))
         found, attempts = found.crossJoin(F.broadcast(table)), F.col(m)  # one row
     made = _rewrite(text, F.col(at), attempts, key).alias(text_col)
-    extra = [F.coalesce(F.size(at), F.lit(0)).alias(count_col)] if count_col else []
+    n = F.size(F.filter(F.col(at), lambda m: _kind(m).isNotNull()))
+    extra = [F.coalesce(n, F.lit(0)).alias(count_col)] if count_col else []
     return found.select(*[made if c == text_col else F.col(f"`{c}`") for c in docs.columns], *extra)
 
 

@@ -400,3 +400,85 @@ def test_secrets_of_repeated_rows_and_null_ids(spark, make_docs):
     assert got == sorted([("None", plain(text[1])), ("1", plain(text[1])), ("1", plain(text[1])), ("2", plain(text[2]))])
     assert plain(text[1])
     assert secrets.digest(secrets.scan(docs, ratio)).columns == ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans", "n_random"]
+
+
+def plain_surrogate(kind, canon, key=pii.KEY, attempt=0):
+    """The replacement of an entity in canonical form, by plain Python."""
+    def draw(kind, seed):
+        base = "\u0001".join([key, kind, seed, str(attempt if kind != "domain" else 0)])
+        return "".join(hashlib.sha256(f"{base}\u0001{i}".encode()).hexdigest() for i in range(3))
+    d = draw(kind, canon)
+    byte = lambda h, i: int(h[i * 2 % 190:i * 2 % 190 + 2], 16)
+    def like(t):  # noqa: E306
+        return "".join(str(byte(d, i) % 10) if c.isdigit() else chr(byte(d, i) % 26 + 65) if c.isupper() else
+                       chr(byte(d, i) % 26 + 97) if c.isalpha() else c for i, c in enumerate(t))
+    if kind == "ip":
+        return ".".join(str(byte(d, i) % 254 + 1) for i in range(4))
+    if kind == "ip6":
+        return "2001:db8:" + ":".join(f"{byte(d, 2 * i) * 256 + byte(d, 2 * i + 1):x}" for i in range(6))
+    if kind == "email":
+        local, domain = canon.split("@")
+        return f"{like(local.ljust(8, 'a'))}@d{draw('domain', domain)[:10]}.example"
+    if kind == "card":
+        body = canon[0] + like(canon)[1:-1]
+        return next(body + c for c in "0123456789" if luhn(body + c))
+    if kind == "iban":
+        account = like(canon)[4:]
+        return next(f"{canon[:2]}{n:02}{account}" for n in range(2, 99) if mod97(f"{canon[:2]}{n:02}{account}") == 1)
+    if kind == "phone":
+        return like(canon)
+    return like(canon)
+
+
+def luhn(digits):
+    return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(digits))) % 10 == 0
+
+
+def mod97(iban):
+    return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
+
+
+@pytest.mark.parametrize("map_rows", [20_000, 0])
+def test_surrogates_match_a_plain_version(spark, make_docs, map_rows):
+    """Entities planted among fillers: fillers stay, every entity gets what plain Python draws for it."""
+    rng = np.random.default_rng(12)
+    number = lambda n: "".join(rng.choice(list("0123456789"), n))
+    def card(n, head):  # noqa: E306
+        body = head + number(n - len(head) - 1)
+        return next(body + c for c in "0123456789" if luhn(body + c))
+    entities = []  # (kind, canon, ways to write it: text, and how the replacement is written)
+    def spaced(cuts, sep):  # noqa: E306
+        return lambda t: sep.join(t[a:b] for a, b in zip([0, *cuts], [*cuts, len(t)]))
+    same = lambda t: t
+    for i in range(12):
+        entities.append(("email", f"user{i}.x@mail{i % 3}.org", [same, str.upper], None))
+        entities.append(("ip", f"10.{i}.3.{200 + i}", [same], None))
+        entities.append(("card", card(16, "4"), [same, spaced([4, 8, 12], " "), spaced([4, 8, 12], "-")], "written"))
+        entities.append(("card", card(15, "37"), [same, spaced([4, 10], " ")], "written"))
+        entities.append(("ssn", number(9), [spaced([3, 5], "-")], "written"))
+        entities.append(("iban", f"DE{number(20)}", [same, spaced([4, 8, 12, 16, 20], " ")], "written"))
+    entities.append(("ip6", "2001:4860:0:0:0:0:0:8888", [same, lambda t: "2001:4860::8888", lambda t: "2001:4860:0000::0:8888"], None))
+    entities.append(("ip6", "fe80:0:0:0:1:2:3:a", [lambda t: "FE80::1:2:3:A", same], None))
+    plain = {(k, c): plain_surrogate(k, c) for k, c, _, _ in entities}
+    assert len(set(plain.values())) == len(plain)
+    fillers = ["std::vector", "12:30:45", "4539148803436468", "1234-5678-1234-5678", "378282246310006", "aa:bb:cc:dd:ee:ff",
+               "dad::bad", "v1.2.3", "1:2:3:4:5:6:7:8:9", "order", "2024-01-02", "::1"]
+    texts, want = [], []
+    for _ in range(60):
+        text, out, n = [], [], 0
+        for _ in range(int(rng.integers(0, 14))):
+            if rng.random() < 0.4:
+                f = fillers[int(rng.integers(len(fillers)))]
+                text.append(f)
+                out.append(f)
+                continue
+            kind, canon, ways, written = entities[int(rng.integers(len(entities)))]
+            way = ways[int(rng.integers(len(ways)))]
+            text.append(way(canon))
+            out.append(way(plain[kind, canon]) if written else plain[kind, canon])
+            n += 1
+        texts.append(" ; ".join(text))
+        want.append((" ; ".join(out), n))
+    docs = make_docs([(i if i % 3 else None, t) for i, t in enumerate(texts)])
+    got = pii.report(docs, map_rows=map_rows).collect()
+    assert sorted((r.text, r.n_entities) for r in got) == sorted(want)
