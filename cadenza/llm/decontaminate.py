@@ -7,10 +7,13 @@ length, the window's words are hit and the items behind the state are named.
 Words that no item has reset the automaton, so only runs of known words are
 streamed.
 
-Items are taken in blocks of at most ``block_words`` words, one automaton a
+Items are dealt into blocks of about ``block_words`` words, one automaton a
 block; documents pass through the blocks in turn, and spans and items of all
 blocks are put together.  An item of over ``block_words`` words is a block of
-its own.
+its own, or the last of one.  The blocks are written to the shared checkpoint
+folder and read by the tasks: the driver sees one count of words a file, and no
+item.  An automaton keeps its states in flat arrays; only states with
+several transitions, or windows of several items, have a table of their own.
 
 Normalisation: A-Z to a-z, words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``.
 
@@ -21,12 +24,14 @@ id is written as an empty string; repeated documents each give a row.
 
 from __future__ import annotations
 
-import uuid
-from collections.abc import Iterator
+from array import array
+from collections.abc import Iterable, Iterator
 from decimal import Decimal
 
 import numpy as np
 import pandas as pd
+from pyarrow import fs
+from pyarrow import parquet as pq
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -48,71 +53,98 @@ class Automaton:
     """Generalised suffix automaton of word sequences, and which items own the
     windows that its states stand for."""
 
-    def __init__(self, items: list[tuple[str, list[bytes]]], window: int):
+    def __init__(self, items: Iterable[tuple[str, list[bytes]]], window: int):
         self.window, self.vocab = window, {}
-        self.next, self.link, self.len = [{}], [-1], [0]
-        self.least = window
-        seqs = []
+        #: the first transition of a state (word, target); the further ones stand in ``more``
+        self.word, self.to, self.link, self.len = array("i", [-1]), array("i", [-1]), array("i", [-1]), array("i", [0])
+        self.more: dict[int, dict[int, int]] = {}
+        self.least, self.keys, seqs = window, [], []
         for key, words in items:
             if words:
-                seq = [self.vocab.setdefault(w, len(self.vocab)) for w in words]
-                seqs.append((key, seq))
+                seq = array("i", [self.vocab.setdefault(w, len(self.vocab)) for w in words])
+                self.keys.append(key)
+                seqs.append(seq)
                 self.least = min(self.least, len(seq))
                 last = 0
                 for c in seq:
                     last = self._extend(last, c)
-        #: state -> length of a window that ends there -> items that have it
-        self.owners: dict[int, dict[int, set[str]]] = {}
-        for key, seq in seqs:
+        n = len(self.len)
+        #: a window that ends in a state: its length and item; the further ones stand in ``others``
+        self.size, self.item = array("i", [0]) * n, array("i", [-1]) * n
+        self.others: dict[int, set[tuple[int, int]]] = {}
+        for item, seq in enumerate(seqs):
             size = min(window, len(seq))
             for _, state, _ in self.steps(seq, size):
                 while self.len[self.link[state]] >= size:
                     state = self.link[state]
-                self.owners.setdefault(state, {}).setdefault(size, set()).add(key)
+                if not self.size[state]:
+                    self.size[state], self.item[state] = size, item
+                elif (self.size[state], self.item[state]) != (size, item):
+                    self.others.setdefault(state, set()).add((size, item))
         #: nearest state on the way to the root, itself included, that ends a window
-        self.near = [-1] * len(self.len)
-        for s in sorted(range(1, len(self.len)), key=self.len.__getitem__):
-            self.near[s] = s if s in self.owners else self.near[self.link[s]]
+        self.near = array("i", [-1]) * n
+        for s in np.argsort(np.frombuffer(self.len, np.int32), kind="stable")[1:].tolist():
+            self.near[s] = s if self.size[s] else self.near[self.link[s]]
+
+    def _next(self, s: int, c: int) -> int:
+        """Where ``c`` leads from state ``s``; -1 if nowhere."""
+        if self.word[s] == c:
+            return self.to[s]
+        more = self.more.get(s)
+        return -1 if more is None else more.get(c, -1)
+
+    def _lead(self, s: int, c: int, target: int) -> None:
+        if self.word[s] == c or self.to[s] < 0:
+            self.word[s], self.to[s] = c, target
+        else:
+            self.more.setdefault(s, {})[c] = target
 
     def _extend(self, last: int, c: int) -> int:
-        q = self.next[last].get(c)
-        if q is not None and self.len[q] == self.len[last] + 1:
-            return q
-        if q is not None:
-            return self._clone(last, c, q)
-        cur = self._state(self.len[last] + 1, {}, 0)
+        q = self._next(last, c)
+        if q >= 0:
+            return q if self.len[q] == self.len[last] + 1 else self._clone(last, c, q)
+        cur = self._state(self.len[last] + 1, 0)
         p = last
-        while p >= 0 and c not in self.next[p]:
-            self.next[p][c] = cur
+        while p >= 0 and self._next(p, c) < 0:
+            self._lead(p, c, cur)
             p = self.link[p]
         if p >= 0:
-            q = self.next[p][c]
+            q = self._next(p, c)
             self.link[cur] = q if self.len[q] == self.len[p] + 1 else self._clone(p, c, q)
         return cur
 
-    def _state(self, length: int, nxt: dict, link: int) -> int:
-        self.next.append(nxt)
+    def _state(self, length: int, link: int) -> int:
+        self.word.append(-1)
+        self.to.append(-1)
         self.len.append(length)
         self.link.append(link)
         return len(self.len) - 1
 
     def _clone(self, p: int, c: int, q: int) -> int:
-        twin = self._state(self.len[p] + 1, dict(self.next[q]), self.link[q])
+        twin = self._state(self.len[p] + 1, self.link[q])
+        self.word[twin], self.to[twin] = self.word[q], self.to[q]
+        if q in self.more:
+            self.more[twin] = dict(self.more[q])
         self.link[q] = twin
-        while p >= 0 and self.next[p].get(c) == q:
-            self.next[p][c] = twin
+        while p >= 0 and self._next(p, c) == q:
+            self._lead(p, c, twin)
             p = self.link[p]
         return twin
 
+    def windows(self, s: int):
+        """``(length, item)`` of the windows that end in state ``s``."""
+        yield self.size[s], self.item[s]
+        yield from self.others.get(s, ())
+
     def steps(self, seq, least: int):
         """``(position, state, matched length)`` where at least ``least`` words match."""
         state = matched = 0
         for i, c in enumerate(seq):
-            while state and c not in self.next[state]:
+            while (to := self._next(state, c)) < 0 and state:
                 state = self.link[state]
                 matched = self.len[state]
-            if c in self.next[state]:
-                state, matched = self.next[state][c], matched + 1
+            if to >= 0:
+                state, matched = to, matched + 1
             if matched >= least:
                 yield i, state, matched
 
@@ -128,10 +160,10 @@ class Automaton:
             for i, state, matched in self.steps(ids[lo:hi], self.least):
                 longest, s = 0, self.near[state]
                 while s > 0:
-                    for size, keys in self.owners[s].items():
+                    for size, item in self.windows(s):
                         if size <= matched:
                             longest = max(longest, size)
-                            items |= keys
+                            items.add(self.keys[item])
                     s = self.near[self.link[s]]
                 if longest:
                     start, end = lo + i + 1 - longest, lo + i + 1
@@ -151,26 +183,36 @@ def _merge(a: list, b: list) -> list:
     return out
 
 
-def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int):
-    """Items in blocks of at most ``block_words`` words, one block at a time on the driver."""
-    block, held = [], 0
-    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("k"),
-                        F.col(text_col).cast("binary").alias("t"))
-    for r in rows.toLocalIterator():
-        words = words_of(r["t"])
-        if block and held + len(words) > block_words:
-            yield block
-            block, held = [], 0
-        block.append((r["k"], words))
-        held += len(words)
-    if block:
-        yield block
+def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int) -> list[list[str]]:
+    """The distinct items written in files of about a quarter of a block, and the files of each block."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    rows = items.select(F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit("")).alias("k"), text.cast("binary").alias("t"),
+                        F.size(F.split(text, r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")).cast("long").alias("n"))
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    written = checkpoint(rows.distinct().repartition(max(1, -(-4 * total // block_words)), "k", "t"), "benchmark")
+    sizes = written.select(F.input_file_name().alias("file"), "n").groupBy("file").agg(F.sum("n").alias("n")).orderBy("file")
+    blocks, held = [], 0
+    for r in sizes.toLocalIterator():  # a name and a number a file
+        if not blocks or held + r["n"] > block_words:
+            blocks.append([])
+            held = 0
+        blocks[-1].append(r["file"])
+        held += r["n"]
+    return blocks
+
+
+def _items(files: list[str]) -> Iterator[tuple[str, list[bytes]]]:
+    for uri in files:
+        store, path = fs.FileSystem.from_uri(uri)
+        for batch in pq.ParquetFile(store.open_input_file(path)).iter_batches(columns=["k", "t"]):
+            for k, t in zip(batch["k"].to_pylist(), batch["t"].to_pylist()):
+                yield k, words_of(t)
 
 
-_BUILT: dict[str, Automaton] = {}
+_BUILT: dict[tuple, Automaton] = {}
 
 
-def _built(token: str, items: list, window: int) -> Automaton:
+def _built(token, items, window: int) -> Automaton:
     """The automaton of the block that ``token`` names, kept in the worker."""
     if token not in _BUILT:
         _BUILT.clear()
@@ -185,28 +227,21 @@ def find_spans(docs: DataFrame, items: DataFrame, text_col: str = "text", item_i
                item_text_col: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS,
                out_col: str = "found") -> DataFrame:
     """``docs`` with ``out_col``: a struct of ``n_words``, ``spans`` (covered word
-    ranges) and ``items``.  Only texts and findings pass through Python.
-
-    The automaton's items are broadcast; their size is bounded by ``block_words``.
-    """
+    ranges) and ``items``.  Only texts and findings pass through Python."""
     none = F.struct(F.lit(0).cast("long").alias("n_words"), F.array().cast("array<array<int>>").alias("spans"),
                     F.array().cast("array<string>").alias("items"))
     out, cols = docs.withColumn(out_col, none), [F.col(f"`{c}`") for c in docs.columns]
-    sc = docs.sparkSession.sparkContext
-    blocks = 0
-    for block in item_blocks(items, item_id_col, item_text_col, block_words):
-        if blocks:
+    for i, files in enumerate(item_blocks(items, item_id_col, item_text_col, block_words) or [[]]):
+        if i:
             out = checkpoint(out, "decontaminate")  # one automaton at a time in a worker
-        out, blocks = out.select(*cols, _pass(out, text_col, out_col, sc.broadcast(block), window)), blocks + 1
-    return out if blocks else out.select(*cols, _pass(out, text_col, out_col, sc.broadcast([]), window))
-
+        out = out.select(*cols, _pass(out, text_col, out_col, files, window))
+    return out
 
-def _pass(df: DataFrame, text_col: str, out_col: str, block, window: int):
-    token = uuid.uuid4().hex  # an address may be used again
 
+def _pass(df: DataFrame, text_col: str, out_col: str, files: list[str], window: int):
     @F.pandas_udf(FOUND)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        auto = _built(token, block.value, window)
+        auto = _built((window, *files), _items(files), window)
         for texts, before, named in batches:
             rows = []
             for t, s, i in zip(texts, before, named):

@@ -482,3 +482,28 @@ def test_surrogates_match_a_plain_version(spark, make_docs, map_rows):
     docs = make_docs([(i if i % 3 else None, t) for i, t in enumerate(texts)])
     got = pii.report(docs, map_rows=map_rows).collect()
     assert sorted((r.text, r.n_entities) for r in got) == sorted(want)
+
+
+def test_an_automaton_of_many_words_is_small_and_reads_its_items_once():
+    import tracemalloc
+    rng = np.random.default_rng(8)
+    vocab = np.array([b"w%d" % i for i in range(20_000)])
+    items = [(str(i), rng.choice(vocab, 100).tolist()) for i in range(1_000)]
+    tracemalloc.start()
+    auto = decontaminate.Automaton(iter(items), 13)
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 40_000_000  # 100,000 words; tables of their own for every state took over twice as much
+    for k in range(0, 1_000, 97):
+        words = items[k][1]
+        assert auto.hits([b"x", *words[20:40], b"x"]) == ([(1, 21)], {str(k)})
+        assert auto.hits(words[20:32]) == ([], set())
+
+
+def test_the_benchmark_is_dealt_in_files_and_repeated_items_once(spark):
+    rows = [(i % 7, "word " * (i % 7)) for i in range(400)] + [(None, None), (9, "one " * 5_000)]
+    items = spark.createDataFrame(rows, "item_id long, text string")
+    blocks = decontaminate.item_blocks(items, "item_id", "text", 100)
+    found = [(k, len(w)) for files in blocks for k, w in decontaminate._items(files)]
+    assert sorted(found) == sorted([(str(i), i) for i in range(7)] + [("", 0), ("9", 5_000)])
+    assert decontaminate.item_blocks(items.where("false"), "item_id", "text", 100) == []
