@@ -10,7 +10,8 @@ one entity gets one replacement wherever and however it is written):
   ``_LETTERS``; Latin ones for others) in place, separators kept; a phone with a
   plus sign keeps its country code (one without is an entity of its own), a card its first digit and a valid check digit, an
   address its four numbers below 256, an IBAN its country, with check digits that are right;
-* an IPv6 address, in whatever form, one of the range kept for documentation, all eight groups written;
+* an IPv6 address, shortened or not, one of the range kept for documentation, all eight groups written (not found:
+  those whose first group has no digit, that begin with a double colon or end in an IPv4 address);
 * e-mail: a local part of the same make (eight characters at least) at a
   replacement of the domain under a reserved top level;
 * a name keeps its title, number of words, hyphens, initial capitals and words
