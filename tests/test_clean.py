@@ -56,3 +56,21 @@ def test_missing_markers_in_csv(spark, tmp_path):
     assert rows[1].track_name == "two\nlines"
     assert rows[2].artists is None             # 'NA' is missing
     assert rows[1].explicit is True and rows[2].key == -1
+
+
+def test_rows_are_dealt_out_once(spark, make_raw):
+    from cadenza.operators.clean import track_rows
+    from cadenza.schema import DEAL_COLS, TRACK_COLS
+    rows = [raw_row(3), raw_row(1), raw_row(2, genre="rock"), raw_row(4, genre=None), raw_row(5, ts=1), raw_row(6, ts=0),
+            raw_row(7, track_id=None, artists=None, album=None), raw_row(8, track_id=None, artists=None, album=None)]
+    raw = make_raw(rows)
+    tracks = track_rows(clean_tracks(raw))
+    # the rows meet by track columns: neither the full-row groups nor the distinct track rows are dealt out again
+    assert tracks._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    cleaned = clean_tracks(raw)
+    assert cleaned._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+    got = sorted(((r.row_no, r.track_id, r.track_genre, r.time_signature) for r in cleaned.collect()))
+    assert got == [(1, "t1", "pop", 4), (2, "t1", "rock", 4), (4, "t1", None, 4), (5, "t1", "pop", 4), (7, None, "pop", 4)]
+    assert tracks.count() == 2 and set(DEAL_COLS) < set(TRACK_COLS)
+    whole = dedup_rows(raw, DATA_COLS)  # by default the whole row deals
+    assert sorted(r.row_no for r in whole.collect()) == sorted(r.row_no for r in dedup_rows(raw, DATA_COLS, deal_by=DEAL_COLS).collect())

@@ -98,3 +98,21 @@ def test_vote_is_a_hash_aggregate(spark, make_raw):
     plan = voted._jdf.queryExecution().executedPlan().toString()
     assert "HashAggregate" in plan and "SortAggregate" not in plan
     assert voted.count() == clean.select("track_id").distinct().count()
+
+
+def test_track_rows_and_profile_are_written_once(spark, make_raw, monkeypatch):
+    from cadenza import session
+    rows = [raw_row(1), raw_row(2, genre="rock"), raw_row(3, track_id="t2", ts=3), raw_row(4, track_id="t3", ts=3, genre="rock")]
+    real, labels = session.checkpoint, []
+    monkeypatch.setattr(session, "checkpoint", lambda df, label="stage": labels.append(df.columns) or real(df, label))
+    star = build_star(make_raw(rows))
+    assert len(labels) == 1 and "track_genre" in labels[0]  # the cleaned rows
+    assert star.fact_track_popularity.count() == 3 and star.artist_track_mapping.count() == 3
+    assert star.dim_tracks.count() == 3 and star.dim_genre.count() == 4
+    assert len(labels) == 4  # and the track rows, the profile and the voted rows, once each
+    assert star.rows.inputFiles() and star.profile.inputFiles()
+    labels.clear()
+    bare = build_star(make_raw(rows), keep_clean=False)
+    assert not labels and bare.fact_track_popularity.count() == 3 and bare.dim_albums.count() == 1
+    assert ["track_genre" in x for x in labels] == [False]
+    assert sorted(map(tuple, bare.dim_tracks_unvoted.collect())) == sorted(map(tuple, star.dim_tracks_unvoted.collect()))
