@@ -106,3 +106,28 @@ def test_stream_reads_by_the_same_rules(spark, tmp_path, split_bytes):
         ingest(spark, str(landing), str(tmp_path / "raw"), str(tmp_path / "ckpt"), on_update=lambda df: seen.append(df.count()))
     assert seen == [30, 60]
     assert _ranges(spark.read.parquet(str(tmp_path / "raw"))) == sorted(want)
+
+
+def test_only_ranges_with_parts_of_records_are_numbered(spark, tmp_path, split_bytes, monkeypatch):
+    real, numbered = C._placed, []
+    monkeypatch.setattr(C, "_placed", lambda found: numbered.append(found.count()) or real(found))
+
+    def write(name, long_at):
+        buf = io.StringIO(newline="")
+        out = csv.writer(buf)
+        out.writerow(["", *NAMES[1:]])
+        for i in range(200):
+            row = {x: "1" for x in NAMES} | {"row_no": str(i), "explicit": "False", "track_name": 'a, "b"'}
+            if i in long_at:
+                row["track_name"] = "two\nlines" if i % 2 else "long\n" * 150
+            out.writerow([row[c] for c in NAMES])
+        (tmp_path / name).write_bytes(buf.getvalue().encode())
+        return str(tmp_path / name)
+    split_bytes(600)
+    spark.conf.set("spark.sql.files.openCostInBytes", 1)
+    for name, long_at in (("plain.csv", ()), ("some.csv", (51, 120))):
+        path = write(name, long_at)
+        got = C.read_tracks_csv(spark, path).select("row_no", "track_name").collect()
+        names = {i: "two\nlines" if i % 2 else "long\n" * 150 for i in long_at}
+        assert sorted(map(tuple, got)) == [(i, names.get(i, 'a, "b"')) for i in range(200)]
+    assert numbered[0] == 0 and 150 < numbered[1] < 250  # 200 lines of one record each, 152 of the two longer ones
