@@ -110,14 +110,15 @@ def short_templates(spark, templates: dict[str, str]) -> DataFrame:
 
 
 def short_finds(spans: DataFrame, short: DataFrame) -> DataFrame:
-    """``(id, license)`` where ``w`` of ``(id, w)`` holds the whole sequence of a short template."""
-    sizes = sorted(r["n"] for r in short.select("n").distinct().collect())  # fewer than WIDTH
+    """``(id, license)`` where ``w`` of ``(id, w)`` holds the whole sequence of a short template.
 
-    def runs(n: int) -> Column:
-        last = F.size("w") - n + 1
-        return F.when(last >= 1, F.transform(F.sequence(F.lit(1), last), lambda i: F.array_join(F.slice("w", i, n), " "))
-                      ).otherwise(F.array().cast("array<string>"))
-    found = spans.select("id", F.explode(F.concat(F.array().cast("array<string>"), *[runs(n) for n in sizes])).alias("run"))
+    Every word is looked up among the templates' first words; runs are formed
+    only where one begins."""
+    sizes = sorted(r["n"] for r in short.select("n").distinct().collect())  # fewer than WIDTH
+    firsts = short.select(F.substring_index("run", " ", 1).alias("word")).distinct()
+    begun = spans.select("id", "w", F.posexplode("w").alias("at", "word")).join(F.broadcast(firsts), "word", "left_semi")
+    runs = [F.when(F.size("w") >= F.col("at") + n, F.array_join(F.slice("w", F.col("at") + 1, n), " ")) for n in sizes]
+    found = begun.select("id", F.explode(F.array(*runs).cast("array<string>")).alias("run"))
     return found.join(F.broadcast(short), "run").select("id", "license").distinct()
 
 

@@ -168,6 +168,17 @@ def test_surrogates_are_consistent_distinct_and_formatted(spark, make_docs, monk
     assert [r.n_entities for r in pii.report(docs, map_rows=map_rows).orderBy("doc_id").collect()] == [3, 4, 4, 0, 0, 0, 5, 1]
 
 
+def test_short_notices_form_runs_only_where_one_begins(spark):
+    short = licenses.short_templates(spark, {"c": "Copyright 1999", "all": "All rights reserved", "one": "Done", "none": "--"})
+    words = {1: "x copyright 1999", 2: "copyright copyright 1999 all rights", 3: "all all rights reserved done", 4: "", 5: None,
+             6: "1999 copyright", 7: "w " * 30_000 + "done"}
+    spans = spark.createDataFrame(list(words.items()), "id long, t string").selectExpr("id", "filter(split(t, ' '), x -> x != '') AS w")
+    found = licenses.short_finds(spans, short)
+    assert {(r.id, r.license) for r in found.collect()} == {(1, "c"), (2, "c"), (3, "all"), (3, "one"), (7, "one")}
+    # no run is formed for every word of a text
+    assert "transform(" not in found._jdf.queryExecution().optimizedPlan().toString().split("LogicalRDD")[0]
+
+
 def test_licenses_match_plain_containment(spark, make_docs):
     mit = licenses.TEMPLATES["mit-grant"]
     texts = ["Intro words. Licensed under the Apache License, Version 2.0. More.", mit, "x y z " + mit[:-40],
