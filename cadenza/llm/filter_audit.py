@@ -20,9 +20,9 @@ documents of their own; a null id is smaller than none and has no smaller one
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from itertools import permutations
+from itertools import chain, permutations
 from zlib import crc32
 
 import numpy as np
@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 from cadenza.session import checkpoint
 
 SHARD_WORDS = 3_000_000
+#: words that are held as Python objects before they are numbered
+HELD_WORDS = 100_000
 LETTERS = "ABCDE"
 #: numbers that are taken of a text's UTF-8 bytes while it is read: code points, A to Z, the signs of condition D
 _LATER = bytes(range(0x80, 0xC0))
@@ -53,23 +55,30 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
-        code, ends, indices, counts, kept, words = {}, [0], [], [], [], 0
+        found, known, ends, counts, kept, words = [], [], [0], [], [], 0
 
         def of(values, bounds=None):
             return pa.ListArray.from_arrays(pa.array([0, len(values)] if bounds is None else bounds, pa.int32()), values)
 
+        def coded_words(some):
+            return pa.array(some, pa.binary()).dictionary_encode()
+
         def row():
             # a list of one value per column: the shard
             rest = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
             rest = pa.StructArray.from_arrays(rest.columns, names=rest.schema.names)
-            flat = lambda parts: pa.array(np.concatenate([np.empty(0, np.int32), *parts]), pa.int32())
-            bucket = np.fromiter((crc32(w) % buckets for w in code), np.int32, len(code))
+            # words are numbered as they come up first
+            coded = pa.concat_arrays([*known, coded_words(found)])
+            code = coded.dictionary
+            each = chain.from_iterable(code.slice(i, HELD_WORDS).to_pylist() for i in range(0, len(code), HELD_WORDS))
+            bucket = (np.fromiter(map(crc32, each), np.int64, len(code)) % buckets).astype(np.int32)
             dealt = np.argsort(bucket, kind="stable").astype(np.int32)
             bounds = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
-            vocab = pa.array(list(code), pa.binary()).cast(pa.string()).take(pa.array(dealt))
+            vocab = code.cast(pa.string()).take(pa.array(dealt))
+            number = pa.array(np.concatenate([np.empty(0, np.int32), *counts]), pa.int32())
             return pa.RecordBatch.from_arrays(
                 [pa.array([(task << 32) + made], pa.int64()), of(rest), of(of(vocab, bounds)), of(of(pa.array(dealt), bounds)),
-                 of(pa.array(ends, pa.int32())), of(flat(indices)), of(flat(counts))],
+                 of(pa.array(ends, pa.int32())), of(coded.indices), of(number)],
                 ["shard", "docs", "vocab", "local", "indptr", "indices", "counts"])
 
         for batch in batches:
@@ -78,16 +87,20 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
             rest = pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *measured], [*keep, *shape])
             start = 0
             for i, text in enumerate(texts):
-                found = Counter(text.as_py().split())  # bytes split at the six ASCII blanks
-                indices.append(np.fromiter([code.setdefault(w, len(code)) for w in found], np.int32, len(found)))
-                counts.append(np.fromiter(found.values(), np.int32, len(found)))
-                ends.append(ends[-1] + len(found))
-                words += int(counts[-1].sum())
+                every = text.as_py().split()  # bytes split at the six ASCII blanks
+                times = Counter(every)
+                found.extend(times)
+                counts.append(np.fromiter(times.values(), np.int32, len(times)))
+                ends.append(ends[-1] + len(times))
+                words += len(every)
+                if len(found) >= HELD_WORDS:
+                    known.append(coded_words(found))
+                    found = []
                 if words >= shard_words:
                     kept.append(rest.slice(start, i + 1 - start))
                     yield row()
                     made, start = made + 1, i + 1
-                    code, ends, indices, counts, kept, words = {}, [0], [], [], [], 0
+                    found, known, ends, counts, kept, words = [], [], [0], [], [], 0
             if start < batch.num_rows:
                 kept.append(rest.slice(start))
         if kept:
@@ -98,6 +111,19 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
                "indptr array<int>, indices array<int>, counts array<int>")
 
 
+def _numbers() -> defaultdict:
+    """Numbers its keys 0, 1, 2, ... as they are first asked for."""
+    code = defaultdict()
+    code.default_factory = code.__len__
+    return code
+
+
+def _lists(parts: list[pa.Array]) -> pa.ListArray:
+    """A list array of one string array per row."""
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.string()), *parts]))
+
+
 def _codes(shards: DataFrame) -> DataFrame:
     """``(shard, local, rank, offset, new, first)`` per shard and hash bucket: the numbers
     of the shard's words ``local`` are ``offset`` and ``rank``; the words ``new``
@@ -106,24 +132,21 @@ def _codes(shards: DataFrame) -> DataFrame:
               .select("shard", "bucket", F.col("w.vocab").alias("vocab"), F.col("w.local").alias("local")).where(F.size("vocab") > 0))
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, code = None, {}
+        at, code = None, _numbers()
         for batch in batches:
             ranks, news, firsts = [], [], []
             for bucket, vocab in zip(batch.column("bucket").to_pylist(), batch.column("vocab")):
                 if bucket != at:
-                    at, code = bucket, {}
-                new, first, rank = [], len(code), []
-                for w in vocab.values.to_pylist():
-                    if (k := code.get(w)) is None:
-                        k = code[w] = len(code)
-                        new.append(w)
-                    rank.append(k)
-                ranks.append(np.array(rank, np.int64))
-                news.append(new)
+                    at, code = bucket, _numbers()
+                first, words = len(code), vocab.values.cast(pa.binary()).to_pylist()
+                rank = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+                ranks.append(rank)
+                # the words of a shard are distinct: each new one stands once
+                news.append(vocab.values.take(pa.array(np.flatnonzero(rank >= first))))
                 firsts.append(first)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("shard"), batch.column("bucket"), batch.column("local"), pa.array(ranks, pa.list_(pa.int64())),
-                 pa.array(news, pa.list_(pa.string())), pa.array(firsts, pa.int64())],
+                 _lists(news), pa.array(firsts, pa.int64())],
                 ["shard", "bucket", "local", "rank", "new", "first"])
 
     # a bucket is read in one go, its words alone are held; the numbers are written, so nothing renumbers them

@@ -143,6 +143,24 @@ def test_audit_matches_brute_force(spark, shard_words):
     assert filter_audit.audit(df.where("false"), marks).count() == 0
 
 
+@pytest.mark.parametrize("held", [1, 3, 100_000])
+def test_words_numbered_in_pieces_are_one_vocabulary(spark, make_docs, monkeypatch, held):
+    """Words that return in a later piece of a shard keep their number and stand once in the dictionary."""
+    monkeypatch.setattr(filter_audit, "HELD_WORDS", held)
+    texts = {0: "a b a c", 1: "c a d", 2: "", 3: "d é a é", 4: "b"}
+    docs = make_docs(list(texts.items())).coalesce(1)
+    matrix, words = filter_audit.document_term_matrix(docs.select("doc_id", "text"), ["doc_id"])
+    rows = words.collect()
+    word = {r["id"]: r["word"] for r in rows}
+    assert sorted(word.values()) == ["a", "b", "c", "d", "é"] and sorted(word) == list(range(5)) and len(rows) == 5
+    got = {}
+    for s in matrix.collect():
+        for i, d in enumerate(s["docs"]):
+            span = range(s["indptr"][i], s["indptr"][i + 1])
+            got[d["doc_id"]] = {word[s["indices"][j]]: s["counts"][j] for j in span}
+    assert got == {i: dict(Counter(t.split())) for i, t in texts.items()}
+
+
 def test_matrix_is_global(spark, make_docs):
     docs = make_docs([(1, "b a b"), (2, ""), (3, "c a"), (4, None), (5, "b")]).repartition(3)
     matrix, words = filter_audit.document_term_matrix(docs.select("doc_id", "text"), ["doc_id"], shard_words=2)
