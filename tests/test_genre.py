@@ -116,3 +116,21 @@ def test_track_rows_and_profile_are_written_once(spark, make_raw, monkeypatch):
     assert not labels and bare.fact_track_popularity.count() == 3 and bare.dim_albums.count() == 1
     assert ["track_genre" in x for x in labels] == [False]
     assert sorted(map(tuple, bare.dim_tracks_unvoted.collect())) == sorted(map(tuple, star.dim_tracks_unvoted.collect()))
+
+
+def test_top_tracks_alone_are_voted_on(make_raw, monkeypatch):
+    """Question 1 votes on its tracks alone; every row of a track counts, and a track without an id is none of them."""
+    from cadenza.operators import star as ST
+    from cadenza.plans import questions as Q
+    from cadenza.schema import STAR_TABLES
+    rows = [raw_row(10 * i + j, f"t{i}", g, popularity=i, energy=0.1 * i, artists=f"B;A{i}") for i in range(1, 7) for j, g in enumerate(["x", "y"])]
+    rows += [raw_row(100, "t6", "x", popularity=6, album="Other", energy=0.6, artists="B;A6"),
+             raw_row(101, "t5", "x", popularity=5, album=None, energy=0.5, artists="B;A5"), raw_row(102, None, "x", popularity=9)]
+    real, voted = ST.assign_primary_genre, []
+    monkeypatch.setattr(ST, "assign_primary_genre", lambda t, *a: voted.append({r[0] for r in t.select("track_id").collect()}) or real(t, *a))
+    got = sorted(map(tuple, Q.q1_top_tracks(build_star(make_raw(rows)), k=2).collect()))
+    assert voted == [{"t5", "t6"}]
+    whole = build_star(make_raw(rows))
+    tables = ST.Star(clean=None, tracks=None, profile=None, **{t: getattr(whole, t) for t in STAR_TABLES})
+    assert got == sorted(map(tuple, Q.q1_top_tracks(tables, k=2).collect()))
+    assert [(r[0], r[2], r[3]) for r in got] == [("Song", "A5, A5, B, B", 5), ("Song", "A6, A6, B, B", 6)]
