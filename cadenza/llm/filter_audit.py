@@ -2,8 +2,9 @@
 
 Tasks read whole texts and build shards: up to ``SHARD_WORDS`` words of
 documents, each distinct word numbered inside the shard, its counts in
-compressed sparse rows.  The shards' vocabularies, not their words, are then
-dealt out in pieces by a hash of the word; every distinct word gets a global
+compressed sparse rows.  A shard is written in rows of bounded size: blocks of
+``BLOCK`` matrix entries, and its vocabulary by hash bucket.  The shards'
+vocabularies, not their words, are then dealt out by bucket; every distinct word gets a global
 number (its rank in the hash bucket plus the words of the buckets before), and
 each shard takes the global numbers in place of its own.  A word of every
 document stands once per shard there, so no word is a hot key.  Sums and
@@ -36,6 +37,8 @@ from cadenza.session import checkpoint
 SHARD_WORDS = 3_000_000
 #: words that are held as Python objects before they are numbered
 HELD_WORDS = 100_000
+#: matrix entries of a table row, if they are of several documents
+BLOCK = 250_000
 LETTERS = "ABCDE"
 #: numbers that are taken of a text's UTF-8 bytes while it is read: code points, A to Z, the signs of condition D
 _LATER = bytes(range(0x80, 0xC0))
@@ -47,11 +50,14 @@ SHAPE: dict[str, Callable[[bytes], int]] = {
 
 
 def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, shape: dict) -> DataFrame:
-    """``(shard, docs, vocab, local, indptr, indices, counts)``; ``docs`` has the
-    columns ``keep`` and ``shape`` of each row, ``vocab`` and ``local`` the words
-    of each hash bucket and their numbers in the shard."""
+    """``(shard, bucket, vocab, local, docs, indptr, indices, counts)``.  Rows without
+    ``bucket`` are blocks of a shard's documents: ``docs`` has the columns ``keep``
+    and ``shape`` of each; the others hold the words ``vocab`` of one hash bucket
+    and their numbers in the shard, ``local``."""
     kinds = dict(docs.dtypes)
     struct = ", ".join([*(f"`{c}`: {kinds[c]}" for c in keep), *(f"`{c}`: bigint" for c in shape)])
+    ints = pa.list_(pa.int32())
+    fixed = {"bucket": pa.int32(), "vocab": pa.list_(pa.string()), "local": ints, "indptr": ints, "indices": ints, "counts": ints}
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
@@ -60,13 +66,14 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
         def of(values, bounds=None):
             return pa.ListArray.from_arrays(pa.array([0, len(values)] if bounds is None else bounds, pa.int32()), values)
 
+        def rows(n, kinds, **columns):
+            own = [pa.array([(task << 32) + made] * n, pa.int64())]
+            return pa.RecordBatch.from_arrays([*own, *(columns.get(c, pa.nulls(n, t)) for c, t in kinds.items())], ["shard", *kinds])
+
         def coded_words(some):
             return pa.array(some, pa.binary()).dictionary_encode()
 
-        def row():
-            # a list of one value per column: the shard
-            rest = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
-            rest = pa.StructArray.from_arrays(rest.columns, names=rest.schema.names)
+        def shard():
             # words are numbered as they come up first
             coded = pa.concat_arrays([*known, coded_words(found)])
             code = coded.dictionary
@@ -74,12 +81,21 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
             bucket = (np.fromiter(map(crc32, each), np.int64, len(code)) % buckets).astype(np.int32)
             dealt = np.argsort(bucket, kind="stable").astype(np.int32)
             bounds = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
-            vocab = code.cast(pa.string()).take(pa.array(dealt))
-            number = pa.array(np.concatenate([np.empty(0, np.int32), *counts]), pa.int32())
-            return pa.RecordBatch.from_arrays(
-                [pa.array([(task << 32) + made], pa.int64()), of(rest), of(of(vocab, bounds)), of(of(pa.array(dealt), bounds)),
-                 of(pa.array(ends, pa.int32())), of(coded.indices), of(number)],
-                ["shard", "docs", "vocab", "local", "indptr", "indices", "counts"])
+            rest = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+            rest = pa.StructArray.from_arrays(rest.columns, names=rest.schema.names)
+            kinds = fixed | {"docs": pa.list_(rest.type)}
+            some = np.flatnonzero(np.diff(bounds))
+            if len(some):
+                bounds = bounds[[*some, -1]]
+                vocab = code.cast(pa.string()).take(pa.array(dealt))
+                yield rows(len(some), kinds, bucket=pa.array(some, pa.int32()), vocab=of(vocab, bounds), local=of(pa.array(dealt), bounds))
+            number, upto, lo = np.concatenate([np.empty(0, np.int32), *counts]), np.array(ends), 0
+            while lo < len(rest):
+                hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + BLOCK, "right")) - 1)
+                span = slice(upto[lo], upto[hi])
+                yield rows(1, kinds, docs=of(rest[lo:hi]), indptr=of(pa.array(upto[lo:hi + 1] - upto[lo], pa.int32())),
+                           indices=of(coded.indices[span]), counts=of(pa.array(number[span], pa.int32())))
+                lo = hi
 
         for batch in batches:
             texts = batch.column("text")
@@ -98,17 +114,17 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
                     found = []
                 if words >= shard_words:
                     kept.append(rest.slice(start, i + 1 - start))
-                    yield row()
+                    yield from shard()
                     made, start = made + 1, i + 1
                     found, known, ends, counts, kept, words = [], [], [0], [], [], 0
             if start < batch.num_rows:
                 kept.append(rest.slice(start))
         if kept:
-            yield row()
+            yield from shard()
 
     return docs.select(*keep, F.col("text").cast("binary").alias("text")).mapInArrow(
-        build, f"shard long, docs array<struct<{struct}>>, vocab array<array<string>>, local array<array<int>>, "
-               "indptr array<int>, indices array<int>, counts array<int>")
+        build, "shard long, bucket int, vocab array<string>, local array<int>, indptr array<int>, indices array<int>, "
+               f"counts array<int>, docs array<struct<{struct}>>")
 
 
 def _numbers() -> defaultdict:
@@ -128,8 +144,7 @@ def _codes(shards: DataFrame) -> DataFrame:
     """``(shard, local, rank, offset, new, first)`` per shard and hash bucket: the numbers
     of the shard's words ``local`` are ``offset`` and ``rank``; the words ``new``
     stand here first, with the ranks from ``first`` on."""
-    pieces = (shards.select("shard", F.posexplode(F.arrays_zip("vocab", "local")).alias("bucket", "w"))
-              .select("shard", "bucket", F.col("w.vocab").alias("vocab"), F.col("w.local").alias("local")).where(F.size("vocab") > 0))
+    pieces = shards.where("bucket IS NOT NULL").select("shard", "bucket", "vocab", "local")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, code = None, _numbers()
@@ -139,19 +154,19 @@ def _codes(shards: DataFrame) -> DataFrame:
                 if bucket != at:
                     at, code = bucket, _numbers()
                 first, words = len(code), vocab.values.cast(pa.binary()).to_pylist()
-                rank = np.fromiter(map(code.__getitem__, words), np.int64, len(words))
+                rank = np.fromiter(map(code.__getitem__, words), np.int32, len(words))
                 ranks.append(rank)
                 # the words of a shard are distinct: each new one stands once
                 news.append(vocab.values.take(pa.array(np.flatnonzero(rank >= first))))
                 firsts.append(first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("bucket"), batch.column("local"), pa.array(ranks, pa.list_(pa.int64())),
+                [batch.column("shard"), batch.column("bucket"), batch.column("local"), pa.array(ranks, pa.list_(pa.int32())),
                  _lists(news), pa.array(firsts, pa.int64())],
                 ["shard", "bucket", "local", "rank", "new", "first"])
 
     # a bucket is read in one go, its words alone are held; the numbers are written, so nothing renumbers them
     coded = checkpoint(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        number, "shard long, bucket int, local array<int>, rank array<long>, new array<string>, first long"), "word-codes")
+        number, "shard long, bucket int, local array<int>, rank array<int>, new array<string>, first long"), "word-codes")
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
     offsets = coded.groupBy("bucket").agg(F.sum(F.size("new")).alias("words"))
     offsets = offsets.select("bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
@@ -160,10 +175,10 @@ def _codes(shards: DataFrame) -> DataFrame:
 
 def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text", shard_words: int = SHARD_WORDS,
                          shape: dict[str, Callable[[bytes], int]] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The matrix in shards ``(shard, docs, indptr, indices, counts)`` and its
+    """The matrix in blocks of its shards ``(shard, docs, indptr, indices, counts)`` and its
     dictionary ``(id, word)``.
 
-    ``docs`` holds the columns ``keep`` of the shard's documents and the numbers
+    A row is a block of a shard: ``docs`` holds the columns ``keep`` of its documents and the numbers
     that ``shape`` takes of their bytes, ``indptr`` the bounds of their rows,
     ``indices`` global word numbers, ``counts`` how often each word stands in
     the document.  Vocabularies are dealt to ``spark.sql.shuffle.partitions`` buckets.
@@ -172,17 +187,21 @@ def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shards = checkpoint(_shards(own, keep, shard_words, buckets, shape or {}), "term-shards")
     codes = _codes(shards)
-    left = shards.drop("vocab", "local")
+    left = shards.where("bucket IS NULL").drop("bucket", "vocab", "local")
 
     def globally(shard: pa.Table, words: pa.Table) -> pa.Table:
         if not shard.num_rows:
             return shard
         number = np.zeros(sum(len(x) for x in words.column("local")), np.int64)
         for local, rank, offset in zip(words.column("local"), words.column("rank"), words.column("offset").to_pylist()):
-            number[local.values.to_numpy()] = rank.values.to_numpy() + offset
-        values = shard.column("indices")[0].values.to_numpy()
-        made = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(number[values], pa.int64()))
-        return shard.set_column(shard.schema.get_field_index("indices"), "indices", made)
+            number[local.values.to_numpy()] = rank.values.to_numpy() + np.int64(offset)
+        blocks, at = [], shard.schema.get_field_index("indices")
+        for batch in shard.to_batches():
+            for i in range(batch.num_rows):
+                values = batch.column(at)[i].values.to_numpy()
+                made = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(number[values], pa.int64()))
+                blocks.append(batch.slice(i, 1).set_column(at, "indices", made))
+        return pa.Table.from_batches(blocks)
 
     matrix = left.groupBy("shard").cogroup(codes.select("shard", "local", "rank", "offset").groupBy("shard")).applyInArrow(
         globally, f"shard long, docs {dict(left.dtypes)['docs']}, indptr array<int>, indices array<long>, counts array<int>")

@@ -161,6 +161,25 @@ def test_words_numbered_in_pieces_are_one_vocabulary(spark, make_docs, monkeypat
     assert got == {i: dict(Counter(t.split())) for i, t in texts.items()}
 
 
+def test_no_row_holds_a_whole_shard(spark, make_docs, monkeypatch):
+    """Blocks of a shard hold at most ``BLOCK`` entries of several documents, words stand in a row per hash bucket."""
+    monkeypatch.setattr(filter_audit, "BLOCK", 7)
+    texts = {i: " ".join(f"w{(i * 7 + k) % 31}" for k in range(i % 6)) for i in range(40)} | {50: " ".join(f"w{k}" for k in range(20)), 51: ""}
+    docs = make_docs(list(texts.items())).coalesce(1).select("doc_id", "text")
+    shards = filter_audit._shards(docs, ["doc_id"], 10_000, 4, {}).collect()
+    assert len({s["shard"] for s in shards}) == 1
+    words = [s for s in shards if s["bucket"] is not None]
+    assert sorted(s["bucket"] for s in words) == [0, 1, 2, 3] and all(zlib.crc32(w.encode()) % 4 == s["bucket"] for s in words for w in s["vocab"])
+    matrix, words = filter_audit.document_term_matrix(docs, ["doc_id"])
+    blocks, word = matrix.collect(), {r["id"]: r["word"] for r in words.collect()}
+    assert len(blocks) > 10 and all(b["indptr"][0] == 0 and (len(b["indices"]) <= 7 or len(b["docs"]) == 1) for b in blocks)
+    got = {d["doc_id"]: {word[n]: c for n, c in zip(b["indices"][lo:hi], b["counts"][lo:hi])}
+           for b in blocks for d, lo, hi in zip(b["docs"], b["indptr"], b["indptr"][1:])}
+    assert got == {i: dict(Counter(t.split())) for i, t in texts.items()}
+    assert {r["doc_id"]: (r["words"], r["distinct"]) for r in filter_audit.row_sums(matrix).collect()} == {
+        i: (len(t.split()), len(set(t.split()))) for i, t in texts.items()}
+
+
 def test_matrix_is_global(spark, make_docs):
     docs = make_docs([(1, "b a b"), (2, ""), (3, "c a"), (4, None), (5, "b")]).repartition(3)
     matrix, words = filter_audit.document_term_matrix(docs.select("doc_id", "text"), ["doc_id"], shard_words=2)
