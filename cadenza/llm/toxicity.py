@@ -31,6 +31,7 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,6 +191,15 @@ def score_column(lexicon: dict[str, float], weights: tuple, exceptions=EXCEPTION
 
 def predict(docs: DataFrame, lexicon, weights, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col, held_out, score, predicted`` for every row."""
-    return (docs.select(F.col(id_col), F.coalesce(id_crc(id_col) % 5 == 0, F.lit(False)).alias("held_out"),
-                        score_column(lexicon, weights)(F.col(text_col)).alias("score"))
-            .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))
+    # a udf's column would keep each batch of rows beside the texts sent until it is scored; here only ids come back
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        auto = build(lexicon)
+        for batch in batches:
+            # texts become Python strings one at a time
+            made = pa.array([score(t.as_py(), auto, weights) for t in batch.column("text")], pa.float64())
+            yield pa.RecordBatch.from_arrays([batch.column("id"), made], ["id", "score"])
+
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = rows.mapInArrow(scored, f"id {dict(rows.dtypes)['id']}, score double")
+    return rows.select(F.col("id").alias(id_col), F.coalesce(id_crc("id") % 5 == 0, F.lit(False)).alias("held_out"), "score",
+                       (F.col("score") >= 0.5).cast("int").alias("predicted"))

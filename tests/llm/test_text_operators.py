@@ -333,6 +333,18 @@ def test_matching_and_folding_match_a_plain_scan():
         assert toxicity.features(text, auto) == pytest.approx(plain_features(text, lexicon, exceptions)), text
 
 
+def test_toxicity_keeps_no_rows_beside_the_texts_sent(spark, make_docs):
+    """Scores come back with ids alone, whatever the columns' names, and are those of the column of scores."""
+    docs = make_docs([(i, t) for i, t in enumerate(["you idiot", None, "", "river", "1d10t scum " * 50])]).selectExpr("doc_id AS text", "text AS id")
+    lexicon, weights = {"idiot": 4.0, "scum": 2.0}, toxicity.FIXED
+    got = toxicity.predict(docs, lexicon, weights, "text", "id")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "EvalPython" not in plan and "MapInArrow" in plan
+    assert got.columns == ["text", "held_out", "score", "predicted"]
+    want = docs.select("text", toxicity.score_column(lexicon, weights)("id")).collect()
+    assert sorted((r["text"], r["score"]) for r in got.collect()) == sorted(map(tuple, want))
+
+
 def test_toxicity_of_other_ids_repeats_and_no_documents(spark, make_docs):
     rows = [(f"k{i}", "plain river stone cloud " * 5 + ("vilorak" + "x" * 30 if i % 2 else "")) for i in range(60)]
     docs = spark.createDataFrame(rows + rows[:3] + [(None, "nobody's")], "doc_id string, text string")
