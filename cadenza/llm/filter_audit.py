@@ -1,8 +1,9 @@
 """Filter interaction audit over a sparse document-term matrix.
 
 Tasks read whole texts and build shards: up to ``SHARD_WORDS`` words of
-documents, each distinct word numbered inside the shard, its counts in
-compressed sparse rows.  A shard is written in rows of bounded size: blocks of
+documents, each distinct word numbered inside the shard (bucket by hash bucket,
+so that a bucket's numbers are a range), its counts in compressed sparse rows.
+A shard is written in rows of bounded size: blocks of
 ``BLOCK`` matrix entries, and its vocabulary by hash bucket.  The shards'
 vocabularies, not their words, are then dealt out by bucket; every distinct word gets a global
 number (its rank in the hash bucket plus the words of the buckets before), and
@@ -23,7 +24,7 @@ from __future__ import annotations
 
 from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
-from itertools import chain, permutations
+from itertools import chain, pairwise, permutations
 from zlib import crc32
 
 import numpy as np
@@ -32,13 +33,17 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cadenza.session import checkpoint
+from cadenza.session import checkpoint, small_batches
 
 SHARD_WORDS = 3_000_000
 #: words that are held as Python objects before they are numbered
 HELD_WORDS = 100_000
-#: matrix entries of a table row, if they are of several documents
-BLOCK = 250_000
+#: matrix entries of a table row, if they are of several documents: 12 bytes each, below half a heap region
+BLOCK = 32_000
+#: blocks that a task gives to Spark at once
+SENT_BLOCKS = 8
+#: bytes of texts, words or blocks that go to a Python worker at once, and of a row group of shards
+BATCH_BYTES = 8 << 20
 LETTERS = "ABCDE"
 #: numbers that are taken of a text's UTF-8 bytes while it is read: code points, A to Z, the signs of condition D
 _LATER = bytes(range(0x80, 0xC0))
@@ -50,14 +55,14 @@ SHAPE: dict[str, Callable[[bytes], int]] = {
 
 
 def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, shape: dict) -> DataFrame:
-    """``(shard, bucket, vocab, local, docs, indptr, indices, counts)``.  Rows without
+    """``(shard, bucket, vocab, start, docs, indptr, indices, counts)``.  Rows without
     ``bucket`` are blocks of a shard's documents: ``docs`` has the columns ``keep``
-    and ``shape`` of each; the others hold the words ``vocab`` of one hash bucket
-    and their numbers in the shard, ``local``."""
+    and ``shape`` of each; the others hold the words ``vocab`` of one hash bucket,
+    which have the numbers from ``start`` on in the shard."""
     kinds = dict(docs.dtypes)
     struct = ", ".join([*(f"`{c}`: {kinds[c]}" for c in keep), *(f"`{c}`: bigint" for c in shape)])
     ints = pa.list_(pa.int32())
-    fixed = {"bucket": pa.int32(), "vocab": pa.list_(pa.string()), "local": ints, "indptr": ints, "indices": ints, "counts": ints}
+    fixed = {"bucket": pa.int32(), "vocab": pa.list_(pa.string()), "start": pa.int32(), "indptr": ints, "indices": ints, "counts": ints}
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
@@ -74,27 +79,34 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
             return pa.array(some, pa.binary()).dictionary_encode()
 
         def shard():
-            # words are numbered as they come up first
             coded = pa.concat_arrays([*known, coded_words(found)])
+            known.clear()
             code = coded.dictionary
             each = chain.from_iterable(code.slice(i, HELD_WORDS).to_pylist() for i in range(0, len(code), HELD_WORDS))
             bucket = (np.fromiter(map(crc32, each), np.int64, len(code)) % buckets).astype(np.int32)
             dealt = np.argsort(bucket, kind="stable").astype(np.int32)
             bounds = np.searchsorted(bucket[dealt], np.arange(buckets + 1))
+            place = np.empty(len(code), np.int32)
+            place[dealt] = np.arange(len(code), dtype=np.int32)
             rest = pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
             rest = pa.StructArray.from_arrays(rest.columns, names=rest.schema.names)
             kinds = fixed | {"docs": pa.list_(rest.type)}
             some = np.flatnonzero(np.diff(bounds))
             if len(some):
                 bounds = bounds[[*some, -1]]
-                vocab = code.cast(pa.string()).take(pa.array(dealt))
-                yield rows(len(some), kinds, bucket=pa.array(some, pa.int32()), vocab=of(vocab, bounds), local=of(pa.array(dealt), bounds))
+                yield rows(len(some), kinds, bucket=pa.array(some, pa.int32()), start=pa.array(bounds[:-1], pa.int32()),
+                           vocab=of(code.take(pa.array(dealt)).cast(pa.string()), bounds))
             number, upto, lo = np.concatenate([np.empty(0, np.int32), *counts]), np.array(ends), 0
+            index = coded.indices.to_numpy()
             while lo < len(rest):
-                hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + BLOCK, "right")) - 1)
-                span = slice(upto[lo], upto[hi])
-                yield rows(1, kinds, docs=of(rest[lo:hi]), indptr=of(pa.array(upto[lo:hi + 1] - upto[lo], pa.int32())),
-                           indices=of(coded.indices[span]), counts=of(pa.array(number[span], pa.int32())))
+                cuts = [lo]  # documents where blocks begin
+                while cuts[-1] < len(rest) and len(cuts) <= SENT_BLOCKS and upto[cuts[-1]] - upto[lo] < BLOCK * SENT_BLOCKS:
+                    cuts.append(max(cuts[-1] + 1, int(np.searchsorted(upto, upto[cuts[-1]] + BLOCK, "right")) - 1))
+                hi, bounds, span = cuts[-1], upto[cuts] - upto[lo], slice(upto[lo], upto[cuts[-1]])
+                rising = np.concatenate([upto[x:y + 1] - upto[x] for x, y in pairwise(cuts)])
+                yield rows(len(cuts) - 1, kinds, docs=of(rest[lo:hi], np.array(cuts) - lo),
+                           indptr=of(pa.array(rising, pa.int32()), np.array(cuts) - lo + np.arange(len(cuts))),
+                           indices=of(pa.array(place[index[span]]), bounds), counts=of(pa.array(number[span], pa.int32()), bounds))
                 lo = hi
 
         for batch in batches:
@@ -117,16 +129,24 @@ def _shards(docs: DataFrame, keep: list[str], shard_words: int, buckets: int, sh
                     yield from shard()
                     made, start = made + 1, i + 1
                     found, known, ends, counts, kept, words = [], [], [0], [], [], 0
+                    _release()
             if start < batch.num_rows:
                 kept.append(rest.slice(start))
         if kept:
             yield from shard()
+            found, known, ends, counts, kept = [], [], [0], [], []
+        _release()
 
     return docs.select(*keep, F.col("text").cast("binary").alias("text")).mapInArrow(
-        build, "shard long, bucket int, vocab array<string>, local array<int>, indptr array<int>, indices array<int>, "
+        build, "shard long, bucket int, vocab array<string>, start int, indptr array<int>, indices array<int>, "
                f"counts array<int>, docs array<struct<{struct}>>")
 
 
+def _release() -> None:
+    """Gives back what Arrow holds of freed memory: the workers of earlier stages stay beside those that run."""
+    pa.default_memory_pool().release_unused()
+
+
 def _numbers() -> defaultdict:
     """Numbers its keys 0, 1, 2, ... as they are first asked for."""
     code = defaultdict()
@@ -134,17 +154,23 @@ def _numbers() -> defaultdict:
     return code
 
 
-def _lists(parts: list[pa.Array]) -> pa.ListArray:
-    """A list array of one string array per row."""
+def _bounds(lists: pa.ListArray) -> pa.Array:
+    """Where the lists begin and end in ``lists.flatten()``."""
+    ends = lists.offsets.to_numpy()
+    return pa.array(ends - ends[0], pa.int32())
+
+
+def _lists(parts: list, kind: pa.DataType) -> pa.ListArray:
+    """A list array of one array of ``kind`` per row."""
     ends = np.cumsum([0, *map(len, parts)])
-    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], pa.string()), *parts]))
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.concat_arrays([pa.array([], kind), *(pa.array(x, kind) for x in parts)]))
 
 
 def _codes(shards: DataFrame) -> DataFrame:
-    """``(shard, local, rank, offset, new, first)`` per shard and hash bucket: the numbers
-    of the shard's words ``local`` are ``offset`` and ``rank``; the words ``new``
+    """``(shard, start, rank, offset, new, first)`` per shard and hash bucket: the numbers
+    of the shard's words from ``start`` on are ``offset`` and ``rank``; the words ``new``
     stand here first, with the ranks from ``first`` on."""
-    pieces = shards.where("bucket IS NOT NULL").select("shard", "bucket", "vocab", "local")
+    pieces = shards.where("bucket IS NOT NULL").select("shard", "bucket", "vocab", "start")
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, code = None, _numbers()
@@ -160,13 +186,14 @@ def _codes(shards: DataFrame) -> DataFrame:
                 news.append(vocab.values.take(pa.array(np.flatnonzero(rank >= first))))
                 firsts.append(first)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("shard"), batch.column("bucket"), batch.column("local"), pa.array(ranks, pa.list_(pa.int32())),
-                 _lists(news), pa.array(firsts, pa.int64())],
-                ["shard", "bucket", "local", "rank", "new", "first"])
+                [batch.column("shard"), batch.column("bucket"), batch.column("start"), _lists(ranks, pa.int32()),
+                 _lists(news, pa.string()), pa.array(firsts, pa.int64())],
+                ["shard", "bucket", "start", "rank", "new", "first"])
+        _release()
 
     # a bucket is read in one go, its words alone are held; the numbers are written, so nothing renumbers them
     coded = checkpoint(pieces.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
-        number, "shard long, bucket int, local array<int>, rank array<int>, new array<string>, first long"), "word-codes")
+        number, "shard long, bucket int, start int, rank array<int>, new array<string>, first long"), "word-codes")
     ahead = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)  # one row a bucket
     offsets = coded.groupBy("bucket").agg(F.sum(F.size("new")).alias("words"))
     offsets = offsets.select("bucket", F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("offset"))
@@ -185,25 +212,26 @@ def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text
     """
     own = docs.select(*keep, F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    shards = checkpoint(_shards(own, keep, shard_words, buckets, shape or {}), "term-shards")
-    codes = _codes(shards)
-    left = shards.where("bucket IS NULL").drop("bucket", "vocab", "local")
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        shards = checkpoint(_shards(own, keep, shard_words, buckets, shape or {}), "term-shards", {"parquet.block.size": BATCH_BYTES})
+        codes = _codes(shards)
+    left = shards.where("bucket IS NULL").drop("bucket", "vocab", "start")
 
     def globally(shard: pa.Table, words: pa.Table) -> pa.Table:
         if not shard.num_rows:
             return shard
-        number = np.zeros(sum(len(x) for x in words.column("local")), np.int64)
-        for local, rank, offset in zip(words.column("local"), words.column("rank"), words.column("offset").to_pylist()):
-            number[local.values.to_numpy()] = rank.values.to_numpy() + np.int64(offset)
+        number = np.zeros(sum(len(x) for x in words.column("rank")), np.int64)
+        for start, rank, offset in zip(words.column("start").to_pylist(), words.column("rank"), words.column("offset").to_pylist()):
+            number[start:start + len(rank)] = rank.values.to_numpy() + np.int64(offset)
         blocks, at = [], shard.schema.get_field_index("indices")
-        for batch in shard.to_batches():
-            for i in range(batch.num_rows):
-                values = batch.column(at)[i].values.to_numpy()
-                made = pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(number[values], pa.int64()))
-                blocks.append(batch.slice(i, 1).set_column(at, "indices", made))
+        for batch in shard.to_batches(max_chunksize=SENT_BLOCKS):
+            local = batch.column(at)
+            made = pa.ListArray.from_arrays(_bounds(local), pa.array(number[local.flatten().to_numpy()], pa.int64()))
+            blocks.append(batch.set_column(at, "indices", made))
+        _release()
         return pa.Table.from_batches(blocks)
 
-    matrix = left.groupBy("shard").cogroup(codes.select("shard", "local", "rank", "offset").groupBy("shard")).applyInArrow(
+    matrix = left.groupBy("shard").cogroup(codes.select("shard", "start", "rank", "offset").groupBy("shard")).applyInArrow(
         globally, f"shard long, docs {dict(left.dtypes)['docs']}, indptr array<int>, indices array<long>, counts array<int>")
     words = codes.select((F.col("offset") + F.col("first")).alias("base"), F.posexplode("new").alias("at", "word"))
     return matrix, words.select((F.col("base") + F.col("at")).alias("id"), "word")
@@ -216,13 +244,15 @@ def row_sums(matrix: DataFrame) -> DataFrame:
 
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                docs, indptr, counts = (batch.column(c)[i].values for c in ("docs", "indptr", "counts"))
-                ends = indptr.to_numpy()
-                upto = np.concatenate([[0], np.cumsum(counts.to_numpy(), dtype=np.int64)])
-                yield pa.RecordBatch.from_arrays(
-                    [*docs.flatten(), pa.array(upto[ends[1:]] - upto[ends[:-1]], pa.int64()), pa.array(np.diff(ends), pa.int64())],
-                    [*[f.name for f in docs.type], "words", "distinct"])
+            docs, indptr, counts = (batch.column(c) for c in ("docs", "indptr", "counts"))
+            rising, first = indptr.flatten().to_numpy(), _bounds(indptr).to_numpy()
+            ends = rising + np.repeat(_bounds(counts).to_numpy()[:-1].astype(np.int64), np.diff(first))
+            upto = np.concatenate([[0], np.cumsum(counts.flatten().to_numpy(), dtype=np.int64)])
+            # a block has one bound more than documents
+            lo, hi = np.delete(ends, first[1:] - 1), np.delete(ends, first[:-1])
+            yield pa.RecordBatch.from_arrays([*docs.flatten().flatten(), pa.array(upto[hi] - upto[lo], pa.int64()), pa.array(hi - lo, pa.int64())],
+                                             [*[f.name for f in docs.type.value_type], "words", "distinct"])
+        _release()
 
     return matrix.select("docs", "indptr", "counts").mapInArrow(sums, f"{inner.replace('`', '')}, words long, distinct long")
 
@@ -234,8 +264,9 @@ def failed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"), text.alias("text"),
                        F.md5(text.cast("binary")).alias("same"))
     matrix, _ = document_term_matrix(rows, ["id", "part", "same"], "text", shard_words, SHAPE)
-    stats = row_sums(matrix)
-    copies = (rows.select("id", "same").groupBy("same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        stats = checkpoint(row_sums(matrix), "row-sums")
+    copies = (stats.select("id", "same").groupBy("same").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
               .where("n > 1").select("same", "first"))
     fails = [F.col("words") < 200, F.col("distinct") * 100 < F.col("words") * 50,
              F.col("upper") * 100 > F.col("chars") * 3, F.col("signs") > 0,

@@ -11,6 +11,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from cadenza.llm import conversation_trie, filter_audit, fingerprints
+from cadenza.session import small_batches
 
 BLANK = r"[^\x20\x09-\x0D]"
 
@@ -180,6 +181,47 @@ def test_no_row_holds_a_whole_shard(spark, make_docs, monkeypatch):
         i: (len(t.split()), len(set(t.split()))) for i, t in texts.items()}
 
 
+def test_words_of_a_bucket_are_a_range_of_a_shards_numbers(spark, make_docs):
+    """No number is written beside a word; a row of several documents stays below half a region of a small heap."""
+    texts = {i: " ".join(f"w{(i * 997 + k) % 9001}" for k in range(i % 3000)) for i in range(0, 9000, 300)} | {9001: "", 9002: "é é a"}
+    shards = filter_audit._shards(make_docs(list(texts.items())).coalesce(1).select("doc_id", "text"), ["doc_id"], 10**6, 4, {}).collect()
+    words = sorted((s for s in shards if s["bucket"] is not None), key=lambda s: s["bucket"])
+    assert [s["start"] for s in words] == list(itertools.accumulate((len(s["vocab"]) for s in words[:-1]), initial=0))
+    word = [w for s in words for w in s["vocab"]]
+    assert len(set(word)) == len(word) and len(shards) > len(words) + 1
+    got = {}
+    for s in (s for s in shards if s["bucket"] is None):
+        assert 12 * len(s["indices"]) < 2**19 and s["start"] is None
+        for d, lo, hi in zip(s["docs"], s["indptr"], s["indptr"][1:]):
+            got[d["doc_id"]] = {word[n]: c for n, c in zip(s["indices"][lo:hi], s["counts"][lo:hi])}
+    assert got == {i: dict(Counter(t.split())) for i, t in texts.items()}
+
+
+def test_audit_sends_batches_of_bounded_size(spark, monkeypatch):
+    """Texts, words and blocks go to the workers in batches of ``BATCH_BYTES``; a longer text goes alone; the session's settings stay."""
+    keys = ["spark.sql.execution.arrow.maxBytesPerBatch", "spark.sql.parquet.columnarReaderBatchSize"]
+    before, seen, write = [spark.conf.get(k, None) for k in keys], {}, filter_audit.checkpoint
+
+    def spy(df, label, *more):
+        seen[label] = [spark.conf.get(k, None) for k in keys]
+        return write(df, label, *more)
+
+    monkeypatch.setattr(filter_audit, "checkpoint", spy)
+    monkeypatch.setattr(filter_audit, "BATCH_BYTES", 2000)
+    docs = [(i, f"t{i % 11} " * (1 + i % 7) + "x " * 50, "en") for i in range(60)] + [(90, "long " * 3000, "de"), (91, None, None)]
+    got = filter_audit.audit(spark.createDataFrame(docs, "doc_id long, text string, lang string").coalesce(1),
+                             spark.createDataFrame([(1, 1, 0), (2, 0, 1)], "doc_id long, quality int, toxic int"))
+    assert {(r.part, r.filter_order, r.step): list(r[3:]) for r in got.collect()} == plain_audit(docs, [(1, 1, 0), (2, 0, 1)])
+    assert seen == dict.fromkeys(["term-shards", "word-codes", "row-sums"], ["2000", "512"])
+    assert [spark.conf.get(k, None) for k in keys] == before
+    with small_batches(spark, 10**6):
+        with pytest.raises(ZeroDivisionError), small_batches(spark, 5):
+            assert spark.conf.get(keys[0]) == str(10**6)  # the session's own bound holds
+            1 / 0
+        assert spark.conf.get(keys[0]) == str(10**6)
+    assert [spark.conf.get(k, None) for k in keys] == before
+
+
 def test_matrix_is_global(spark, make_docs):
     docs = make_docs([(1, "b a b"), (2, ""), (3, "c a"), (4, None), (5, "b")]).repartition(3)
     matrix, words = filter_audit.document_term_matrix(docs.select("doc_id", "text"), ["doc_id"], shard_words=2)
