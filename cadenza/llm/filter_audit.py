@@ -38,7 +38,8 @@ from cadenza.session import checkpoint, small_batches
 SHARD_WORDS = 3_000_000
 #: words that are held as Python objects before they are numbered
 HELD_WORDS = 100_000
-#: matrix entries of a table row, if they are of several documents: 12 bytes each, below half a heap region
+#: matrix entries of a table row, if they are of several documents; at 12 bytes each, a row is under 512 kB,
+#: from which on heaps of up to 2 GB keep an object in regions of its own
 BLOCK = 32_000
 #: blocks that a task gives to Spark at once
 SENT_BLOCKS = 8
@@ -239,22 +240,14 @@ def document_term_matrix(docs: DataFrame, keep: list[str], text_col: str = "text
 
 def row_sums(matrix: DataFrame) -> DataFrame:
     """The documents of a matrix with ``words`` (sum of the row) and ``distinct`` (its entries)."""
-    kind = dict(matrix.dtypes)["docs"]
-    inner = kind[len("array<struct<"):-2]
-
-    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            docs, indptr, counts = (batch.column(c) for c in ("docs", "indptr", "counts"))
-            rising, first = indptr.flatten().to_numpy(), _bounds(indptr).to_numpy()
-            ends = rising + np.repeat(_bounds(counts).to_numpy()[:-1].astype(np.int64), np.diff(first))
-            upto = np.concatenate([[0], np.cumsum(counts.flatten().to_numpy(), dtype=np.int64)])
-            # a block has one bound more than documents
-            lo, hi = np.delete(ends, first[1:] - 1), np.delete(ends, first[:-1])
-            yield pa.RecordBatch.from_arrays([*docs.flatten().flatten(), pa.array(upto[hi] - upto[lo], pa.int64()), pa.array(hi - lo, pa.int64())],
-                                             [*[f.name for f in docs.type.value_type], "words", "distinct"])
-        _release()
-
-    return matrix.select("docs", "indptr", "counts").mapInArrow(sums, f"{inner.replace('`', '')}, words long, distinct long")
+    def sums(doc: Column, i: Column) -> Column:
+        lo, distinct = F.col("indptr")[i], F.col("indptr")[i + 1] - F.col("indptr")[i]
+        words = F.aggregate(F.slice("counts", lo + 1, distinct), F.lit(0).cast("long"), lambda total, n: total + n)
+        return F.struct(*(doc[c].alias(c) for c in names), words.alias("words"), distinct.cast("long").alias("distinct"))
+
+    # not in Python: these tasks have a worker each already, for the global numbers
+    names = matrix.schema["docs"].dataType.elementType.names
+    return matrix.select(F.inline(F.transform("docs", sums)))
 
 
 def failed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_col: str = "lang",
